@@ -7,13 +7,13 @@
 2.  Documents with the same set are one class; classes with the same prefix and set
     size are one group.  Only prefix shingles of two groups or more can make pairs:
     they are found by a count over groups and kept in a Bloom filter of fixed size.
-3.  Groups expand to their classes, and each class is checked against a few hubs of
-    its buckets (the class with the smallest seeded hash), which settles large
-    clusters of near copies with a number of pairs linear in their size.
+3.  Groups expand to their classes, and each class is checked against a hub of its
+    buckets (the class with the smallest seeded hash), in crowded buckets against
+    several, which settles large clusters of near copies with a number of pairs
+    linear in their size.
 4.  Buckets that still hold several components are finished exactly: each class
     outside the bucket's main component meets every class of another component in
-    the bucket, once, at the first prefix shingle the two share, after size and
-    position filters.
+    the bucket, after size and position filters.
 5.  Pairs are verified on whole sets of shingle hashes; links become components.
 
 Pairs inside one component need no check, since they cannot change the result; no
@@ -42,7 +42,8 @@ WORDS = 5
 PERCENT = 80
 COUNTER_BITS = 20
 FILTER_BITS = 26
-HUBS = 6
+HUBS = 9
+CROWDED = 16  # postings of a bucket from which more hubs pay
 MEMO = 400_000
 NO_ID = 2**62  # stand-ins for null ids begin here
 
@@ -174,34 +175,35 @@ def _may_link(na, nb, pa_, pb, percent: int):
 
 
 def _hub_pairs(postings: DataFrame, hubs: int, percent: int) -> DataFrame:
-    """Each class with the hubs of its buckets, one per seed."""
-    seeds = range(hubs)
+    """Each class with a hub of its buckets, and with ``hubs`` more in crowded ones."""
+    size = postings.groupBy("token").agg(F.count("*").alias("k")).where("k > 1")
+    crowded = postings.join(size.where(F.col("k") >= CROWDED).select("token"), "token", "left_semi")
+    pairs = _nearest_hub(postings, range(1), percent).unionAll(_nearest_hub(crowded, range(1, 1 + hubs), percent))
+    return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+
+
+def _nearest_hub(postings: DataFrame, seeds: range, percent: int) -> DataFrame:
+    """(id, hub): for each seed, the least hub of all of a class's buckets that may link with it."""
     best = [F.min(F.struct(F.xxhash64(F.lit(s), "id").alias("h"), F.col("id").alias("hub"), F.col("n").alias("hn"), F.col("at").alias("hat"))).alias(f"h{s}") for s in seeds]
     bucket = postings.groupBy("token").agg(F.count("*").alias("k"), *best).where("k > 1").drop("k")
     met = postings.join(bucket, "token")
     ok = lambda s: (F.col(f"h{s}.hub") != F.col("id")) & _may_link(F.col("n"), F.col(f"h{s}.hn"), F.col("at"), F.col(f"h{s}.hat"), percent)
     chosen = met.groupBy("id").agg(*[F.min(F.when(ok(s), F.struct(F.col(f"h{s}.h").alias("h"), F.col(f"h{s}.hub").alias("hub")))).alias(f"h{s}") for s in seeds])
-    pairs = chosen.select("id", F.explode(F.array_distinct(F.filter(F.array(*[F.col(f"h{s}.hub") for s in seeds]), lambda x: x.isNotNull()))).alias("hub"))
-    return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    return chosen.select("id", F.explode(F.array_distinct(F.filter(F.array(*[F.col(f"h{s}.hub") for s in seeds]), lambda x: x.isNotNull()))).alias("hub"))
 
 
-def _open_pairs(postings: DataFrame, classes: DataFrame, components: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """The pairs of different components that share a prefix shingle, each once."""
+def _open_pairs(postings: DataFrame, components: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """The pairs of different components that share a prefix shingle and have not been tried."""
     placed = postings.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
     per = placed.groupBy("token", "c").agg(F.count("*").alias("k"))
     main = per.groupBy("token").agg(F.count("*").alias("cs"), F.max(F.struct("k", "c"))["c"].alias("main")).where("cs > 1").drop("cs")
-    mixed = placed.join(main, "token").join(classes.select(F.col("cid").alias("id"), "n", "prefix"), ["id", "n"])
-    side = lambda x: mixed.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "at", "c", "main", "prefix")])
+    mixed = placed.join(main, "token")
+    side = lambda x: mixed.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "at", "c", "main")])
     few, every = side("a").where("a_c != a_main"), side("b").drop("b_main")
-    before = lambda x: F.slice(f"{x}_prefix", F.lit(1), F.col(f"{x}_at"))
-    once = F.when(F.col("b_c") == F.col("a_main"), F.lit(True)).otherwise(F.col("a_id") < F.col("b_id"))
-    rule = (
-        (few["token"] == every["token"]) & (F.col("a_c") != F.col("b_c")) & once
-        & _may_link(F.col("a_n"), F.col("b_n"), F.col("a_at"), F.col("b_at"), percent)
-        & ~F.arrays_overlap(before("a"), before("b"))
-    )
-    pairs = few.join(every, rule).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
-    return pairs.join(tried, ["a", "b"], "left_anti").distinct()
+    once = (F.col("b_c") == F.col("a_main")) | (F.col("a_id") < F.col("b_id"))
+    rule = (few["token"] == every["token"]) & (F.col("a_c") != F.col("b_c")) & once & _may_link(F.col("a_n"), F.col("b_n"), F.col("a_at"), F.col("b_at"), percent)
+    pairs = few.join(every, rule).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
+    return pairs.join(tried, ["a", "b"], "left_anti")
 
 
 def _verify(pairs: DataFrame, plain: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
@@ -260,8 +262,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     tried = materialise(_hub_pairs(postings, hubs, percent), "hubs")
     links = materialise(_verify(tried, plain, words, percent, filter_bits), "links")
     components = connected_components(links)
-    classes = members.select("cid", "gid", "n").join(groups.select("gid", "n", "prefix"), ["gid", "n"])
-    rest = materialise(_open_pairs(postings, classes, components, tried, percent), "open")
+    rest = materialise(_open_pairs(postings, components, tried, percent), "open")
     if not rest.isEmpty():
         more = materialise(_verify(rest, plain, words, percent, filter_bits), "links")
         components = connected_components(more.unionAll(components.select(F.col("node").alias("a"), F.col("component").alias("b"))).unionAll(links))
