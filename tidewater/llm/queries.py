@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontaminate, exact_dedup, jaccard_join, line_dedup
+from tidewater.llm import bpe, decontaminate, exact_dedup, jaccard_join, language, line_dedup, quality, secrets, toxicity
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -25,10 +25,22 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs, min_docs=10, min_chars=1).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -38,12 +50,20 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted_languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_line_dedup": op3_line_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_quality": op6_quality,
+    "op7_secrets": op7_secrets,
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_language": op10_language,
 }
 
 _FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
