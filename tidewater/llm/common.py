@@ -103,6 +103,12 @@ def annotate(
     return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, schema)
 
 
+def shielded(df: DataFrame, *plain: str) -> tuple[DataFrame, list]:
+    """``df`` with every column but ``plain`` under a name of its own, and the columns to select to get them back."""
+    names = {c: c if c in plain else f"__col{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), [F.col(n).alias(c) for c, n in names.items()]
+
+
 def ragged(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Concatenate ``values[start[i] : start[i] + length[i]]`` for every i."""
     end = np.cumsum(length)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import annotate, bytes_of
+from tidewater.llm.common import annotate, bytes_of, shielded
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -229,8 +229,8 @@ def annotate_over(df: DataFrame, fields, start, by: str) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents of ``docs`` that share no window with any benchmark item."""
-    plain = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", F.col(text).alias("__text"))
-    return annotate_hits(plain, benchmark, "__text", **options).where("n_hit = 0").select("__row.*")
+    own, back = shielded(docs, text)
+    return annotate_hits(own, benchmark, text, **options).where("n_hit = 0").select(*back)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import ASCII_SPACE, annotate, bytes_of, materialise
+from tidewater.llm.common import ASCII_SPACE, annotate, bytes_of, materialise, shielded
 
 
 def line_key(line: bytes) -> bytes:
@@ -66,3 +66,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
         F.size(parts).cast("long").alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
+
+
+def without_shared_lines(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with the kept lines as text; n_chars, if there, counts them."""
+    own, back = shielded(docs, "doc_id", "text")
+    done = dedup_lines(own, **options).select(*back)
+    return done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else done

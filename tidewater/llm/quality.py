@@ -196,5 +196,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, m
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_rows: int = MAX_ROWS) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``threshold``."""
     model = train(docs, labels, id_remainder("doc_id", 5) != 0, max_rows=max_rows)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text", *[c for c in ("n_chars",) if c in docs.columns])
-    return score(whole, model, out="__score").where(F.col("__score") >= threshold).select("__row.*")
+    return score(docs, model, out="__score").where(F.col("__score") >= threshold).drop("__score")
