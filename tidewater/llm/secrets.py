@@ -79,30 +79,53 @@ def encoding(word: Column) -> Column:
     )
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of ``value``, which is computed once: inside ``use`` it is a lambda variable."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda p, q: p + q)
+
+
 def battery(word: Column) -> Column:
-    """Combined p-value of a word under uniform random characters of its alphabet."""
+    """Combined p-value of a word under uniform random characters of its alphabet.
+
+    Each array is bound once, so a word costs time linear in its length.
+    """
     kind = encoding(word)
     letters = F.coalesce(*[F.when(kind == k, F.lit(a)) for k, a in ALPHABETS.items()])
-    size = F.length(letters).cast("double")
     spelt = F.when(kind == "hex", F.lower(word)).otherwise(word)
-    n = F.length(word).cast("double")
-    chars = F.filter(F.split(spelt, ""), lambda c: c != "")
-    x = F.transform(chars, lambda c: (F.position(c, letters) - 1).cast("double"))
-    squares = F.aggregate(F.transform(F.array_distinct(chars), lambda c: F.pow(F.size(F.filter(chars, lambda d: d == c)).cast("double"), F.lit(2.0))), F.lit(0.0), lambda a, b: a + b)
-    df = size - 1
-    chi = size / n * squares - n
-    wh = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda p, q: p + q)
-    high = F.transform(x, lambda v: F.when(v >= size / 2, 1.0).otherwise(0.0))
-    up = total(high)
-    expect = 2 * up * (n - up) / n + 1
-    spread = F.sqrt(F.greatest((expect - 1) * (expect - 2) / (n - 1), F.lit(1e-9)))
-    runs = 1 + total(F.zip_with(F.slice(high, 1, F.size(high) - 1), F.slice(high, 2, F.size(high) - 1), lambda a, b: F.abs(a - b)))
-    mean = total(x) / n
-    var = total(F.transform(x, lambda v: (v - mean) * (v - mean)))
-    serial = total(F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: (a - mean) * (b - mean))) / F.greatest(var, F.lit(1e-9)) * F.sqrt(n)
-    least = F.least(_tail(wh), 2 * _tail(F.abs((runs - expect) / spread)), 2 * _tail(F.abs(serial)))
-    return F.least(F.lit(1.0), 3 * least)
+    places = lambda abc: F.transform(F.filter(F.split(spelt, ""), lambda c: c != ""), lambda c: (F.position(c, abc) - 1).cast("double"))
+    return _let(letters, lambda abc: _let(places(abc), lambda x: _let(F.length(abc).cast("double"), lambda m: _least(x, m))))
+
+
+def _least(x: Column, m: Column) -> Column:
+    """Three times the least p-value of places ``x`` in an alphabet of ``m`` characters."""
+    n = F.size(x).cast("double")
+    df = m - 1
+
+    def uniformity(counts):
+        chi = m / n * _sum(F.transform(counts, lambda c: c * c)) - n
+        return (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+
+    def runs(high):
+        up = _sum(high)
+        expect = 2 * up * (n - up) / n + 1
+        spread = F.sqrt(F.greatest((expect - 1) * (expect - 2) / (n - 1), F.lit(1e-9)))
+        seen = 1 + _sum(F.zip_with(F.slice(high, 1, F.size(high) - 1), F.slice(high, 2, F.size(high) - 1), lambda a, b: F.abs(a - b)))
+        return F.abs((seen - expect) / spread)
+
+    def serial(mean):
+        var = _sum(F.transform(x, lambda v: (v - mean) * (v - mean)))
+        lag = _sum(F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: (a - mean) * (b - mean)))
+        return F.abs(lag / F.greatest(var, F.lit(1e-9)) * F.sqrt(n))
+
+    counts = F.transform(F.array_distinct(x), lambda v: F.size(F.filter(x, lambda w: w == v)).cast("double"))  # at most m of them
+    z1 = _let(counts, uniformity)
+    z2 = _let(F.transform(x, lambda v: F.when(v >= m / 2, 1.0).otherwise(0.0)), runs)
+    z3 = _let(_sum(x) / n, serial)
+    return _let(F.least(_tail(z1), 2 * _tail(z2), 2 * _tail(z3)), lambda p: F.least(F.lit(1.0), 3 * p))
 
 
 def stratum(n: Column) -> Column:
