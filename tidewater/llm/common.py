@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
 
@@ -96,7 +96,7 @@ def annotate(
             for cut in slices(batch, by):
                 made = fn(cut)
                 columns = [cut.column(cut.schema.get_field_index(n)) for n in names]
-                columns += [x if isinstance(x, pa.Array) and x.type == t else pa.array(x, t) for x, t in zip(made, types, strict=True)]
+                columns += [x if isinstance(x, pa.Array) and x.type == t else x.cast(t) if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names + new)
 
     need = list(dict.fromkeys([*names, by, *(c for c in (keep or []) if c in df.columns)]))

@@ -27,6 +27,8 @@ the smallest non-null id of their component, or null if it has none.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,37 +46,43 @@ COUNTER_BITS = 20
 FILTER_BITS = 26
 HUBS = 9
 CROWDED = 16  # postings of a bucket from which more hubs pay
-MEMO = 400_000
+MEMO = 200_000
 NO_ID = 2**62  # stand-ins for null ids begin here
 
 
+class _Hashes(dict):
+    """Hashes of words, made on first use; emptied when it has grown."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = out = xxhash.xxh3_64_intdigest(word)
+        return out
+
+
 class Shingler:
-    """Sets of hashed word shingles of many texts at once; one per worker."""
+    """Hashed word shingles of many texts at once; one per worker."""
 
     def __init__(self, words: int):
-        self.words, self.memo = words, {}
+        self.words, self.memo = words, _Hashes()
         with np.errstate(over="ignore"):
             self.odd = (np.arange(words, dtype=np.uint64) * np.uint64(2) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
 
-    def sets(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The sorted distinct hashes (uint64) of each text."""
+    def grams(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The shingle hashes (uint64) of each text, in order."""
         if len(self.memo) > MEMO:
             self.memo.clear()
         split = [t.lower().split() for t in texts]
-        for w in set().union(*split).difference(self.memo):
-            self.memo[w] = xxhash.xxh3_64_intdigest(w)
-        size = np.array([len(s) for s in split], np.int64)
-        total = int(size.sum())
-        hashed = np.fromiter((h for s in split for h in map(self.memo.__getitem__, s)), np.uint64, total)
+        total = sum(map(len, split))
+        hashed = np.fromiter(map(self.memo.__getitem__, itertools.chain.from_iterable(split)), np.uint64, total)
         gram = hashed[: max(0, total - self.words + 1)] * self.odd[0]
         for k in range(1, self.words):
             gram = (gram ^ (gram >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + hashed[k : total - self.words + 1 + k] * self.odd[k]
         gram = (gram ^ (gram >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
         gram ^= gram >> np.uint64(29)
         out, at = [], 0
-        for words, n in zip(split, size.tolist(), strict=True):
+        for words in split:
+            n = len(words)
             if n >= self.words:
-                out.append(np.unique(gram[at : at + n - self.words + 1]))
+                out.append(gram[at : at + n - self.words + 1])
             elif n:
                 out.append(np.array([xxhash.xxh3_64_intdigest(b"\x00" + b" ".join(words))], np.uint64))
             else:
@@ -82,6 +90,10 @@ class Shingler:
             at += n
         return out
 
+    def sets(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The sorted distinct shingle hashes of each text."""
+        return [np.unique(g) for g in self.grams(texts)]
+
 
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
@@ -93,7 +105,7 @@ def _plain(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def shingle_counts(plain: DataFrame, words: int = WORDS, bits: int = COUNTER_BITS) -> np.ndarray:
-    """How often each of 2**bits cells of the hash range occurs among all documents' sets.
+    """How often shingles of each of 2**bits cells of the hash range occur in all documents.
 
     Each task adds into one table and sends its pieces; the pieces of a cell range
     are added up as they stream in; the driver gets 2**bits numbers.
@@ -104,7 +116,7 @@ def shingle_counts(plain: DataFrame, words: int = WORDS, bits: int = COUNTER_BIT
         shingler, mine = Shingler(words), np.zeros(1 << bits, np.int64)
         for batch in batches:
             for cut in slices(batch, "text"):
-                held = np.concatenate([np.zeros(0, np.uint64), *shingler.sets(bytes_of(cut, "text"))])
+                held = np.concatenate([np.zeros(0, np.uint64), *shingler.grams(bytes_of(cut, "text"))])
                 mine += np.bincount((held >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
         for at in np.flatnonzero(mine.reshape(-1, chunk).any(axis=1)).tolist():
             yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([mine[at * chunk : (at + 1) * chunk].astype(np.int64).tobytes()])], names=["chunk", "cells"])
@@ -127,21 +139,20 @@ def shingle_counts(plain: DataFrame, words: int = WORDS, bits: int = COUNTER_BIT
 def prefixes(plain: DataFrame, counts: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """id, n, digest of the set, digest of the prefix, and the prefix in the global order."""
     bits = int(len(counts)).bit_length() - 1
-    shared = plain.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))  # 2**bits numbers
+    shared = plain.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))  # 2**bits numbers of 4 bytes
 
     def start():
         shingler, often = Shingler(words), shared.value
 
         def run(batch):
-            n, digest, mark, prefix = [], [], [], []
-            for s in shingler.sets(bytes_of(batch, "text")):
-                order = np.lexsort((s, often[(s >> np.uint64(64 - bits)).astype(np.int64)]))
-                head = s[order[: prefix_length(len(s), percent)]].view(np.int64)
-                n.append(len(s))
-                digest.append(xxhash.xxh3_128_digest(s.tobytes()))
-                mark.append(xxhash.xxh3_128_digest(head.tobytes()))
-                prefix.append(head)
-            return [n, digest, mark, prefix]
+            sets = shingler.sets(bytes_of(batch, "text"))
+            heads = []
+            for s in sets:
+                rank = np.minimum(often[(s >> np.uint64(64 - bits)).astype(np.int64)], 2**20 - 1).astype(np.uint64) << np.uint64(44) | s >> np.uint64(20)
+                heads.append(s[np.argsort(rank, kind="stable")[: prefix_length(len(s), percent)]])
+            ends = np.cumsum([0, *map(len, heads)], dtype=np.int32)
+            prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *heads]).view(np.int64)))
+            return [[len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [xxhash.xxh3_128_digest(h.tobytes()) for h in heads], prefix]
 
         return run
 
@@ -212,18 +223,14 @@ def _verify(pairs: DataFrame, plain: DataFrame, words: int, percent: int, bits:
     shared = plain.sparkSession.sparkContext.broadcast(bloom(nodes, "id", bits))
 
     def pick(batches):
-        table = shared.value
+        table, shingler = shared.value, Shingler(words)
         for batch in batches:
             ok = bloom_has(table, batch.column(0).to_numpy())
-            if ok.any():
-                yield batch.filter(pa.array(ok))
-
-    def start():
-        shingler = Shingler(words)
-        return lambda batch: [[s.tobytes() for s in shingler.sets(bytes_of(batch, "text"))]]
+            for cut in slices(batch.filter(pa.array(ok)), "text"):
+                held = [s.tobytes() for s in shingler.sets(bytes_of(cut, "text"))]
+                yield pa.RecordBatch.from_arrays([cut.column(0), pa.array(held, pa.binary())], names=["id", "held"])
 
-    some = plain.mapInArrow(pick, "id long, text string")
-    sets = materialise(annotate(some, [("held", T.BinaryType())], start, "text", ["id"]).join(nodes, "id", "left_semi").distinct(), "sets")
+    sets = materialise(plain.mapInArrow(pick, "id long, held binary"), "sets")  # the filter may let a few others pass
 
     def link(batches):
         for batch in batches:
