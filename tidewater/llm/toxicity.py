@@ -13,11 +13,12 @@ every text gets the smoothed base rate; n-grams do not cross texts.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import annotate, id_remainder, texts_of
+from tidewater.llm.common import annotate, id_remainder, materialise, slices, texts_of
 from tidewater.llm.learn import fit_logistic, labelled_sample, sample_features, sigmoid, sparse_rows
 
 BITS = 18
@@ -25,7 +26,7 @@ ORDERS = (3, 4, 5)
 LEVELS = 3
 LEAST_DOCS = 5  # documents of the sample that must have a feature
 LEAST_Z = 4.0  # standard errors by which its rate must differ
-MAX_ROWS = 5000  # labelled rows that are fitted on
+MAX_ROWS = 12_000  # labelled rows that are fitted on
 _ODD = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
 
 
@@ -62,31 +63,69 @@ def ngram_features(texts: list[str | None], used: np.ndarray | None = None, orde
     return rows, index
 
 
-def _extract():
-    def run(batch):
-        row, index = ngram_features(texts_of(batch, "text"))
-        order = np.argsort(row, kind="stable")
-        cuts = np.searchsorted(row[order], np.arange(1, batch.num_rows))
-        return [np.split(index[order].astype(np.int32), cuts)]
-
-    return run
-
-
-def fit(sample_table, label: str) -> dict:
-    """The model: what each feature adds, which hashes have any, and the bias."""
-    y = np.array(sample_table[label].to_pylist(), float)
-    row, index = sparse_rows(sample_table["grams"])
-    dim, n_pos = LEVELS << BITS, y.sum()
-    pos, every = np.bincount(index, y[row], dim), np.bincount(index, minlength=dim)
-    ratio = np.log((pos + 1) / (n_pos + 2)) - np.log((every - pos + 1) / (len(y) - n_pos + 2))
-    base = n_pos / max(1, len(y))
-    z = (pos - every * base) / np.sqrt(np.maximum(every * base * (1 - base), 1e-9))
-    ratio[(every < LEAST_DOCS) | (np.abs(z) < LEAST_Z)] = 0.0
-    on = ratio[index] != 0
-    row, index = row[on], index[on]
-    weight, bias = fit_logistic(row, index, ratio[index], y, dim, np.full(dim, 0.3), 1e-4, 100, 0.02)
+def chosen_ratios(sample: DataFrame, label: str) -> tuple[np.ndarray, float]:
+    """The log ratio of every feature, zero for those that do not tell the classes apart.
+
+    Tasks send what they counted; the driver receives the chosen features, at most
+    LEVELS << BITS rows.
+    """
+
+    def count(batches):
+        pos, every = np.zeros(LEVELS << BITS, np.int64), np.zeros(LEVELS << BITS, np.int64)
+        for batch in batches:
+            for cut in slices(batch, "text"):
+                y = cut.column(cut.schema.get_field_index(label)).to_numpy(zero_copy_only=False)
+                row, index = ngram_features(texts_of(cut, "text"))
+                every += np.bincount(index, minlength=len(every))
+                pos += np.bincount(index[y[row] == 1], minlength=len(pos))
+        at = np.flatnonzero(every)
+        for a in range(0, len(at), 100_000):
+            part = at[a : a + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(pos[part]), pa.array(every[part])], names=["feature", "pos", "n"])
+
+    total = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col(label) == 1).cast("int")), F.lit(0)).alias("pos")).first()
+    out, base = np.zeros(LEVELS << BITS), total["pos"] / max(1, total["n"])
+    if 0 < base < 1:
+        z = (F.col("pos") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base))
+        sums = sample.select(label, "text").mapInArrow(count, "feature int, pos long, n long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+        rows = sums.where((F.col("n") >= LEAST_DOCS) & (F.abs(z) >= LEAST_Z)).toArrow()
+        pos, every = rows["pos"].to_numpy(), rows["n"].to_numpy()
+        out[rows["feature"].to_numpy()] = np.log((pos + 1) / (total["pos"] + 2)) - np.log((every - pos + 1) / (total["n"] - total["pos"] + 2))
+    return out, base
+
+
+def _used(features: np.ndarray) -> np.ndarray:
+    return (features.reshape(LEVELS, -1) != 0).any(axis=0)
+
+
+def train(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic", max_rows: int = MAX_ROWS) -> dict:
+    """Fit on at most ``max_rows`` labelled documents; ``learn`` is a condition on doc_id.
+
+    The model holds what each feature adds, which hashes have any, and the bias.
+    """
+    sample = materialise(labelled_sample(docs, labels, label, learn, max_rows, ["text"]).where(F.col(label).isNotNull()), "sample")
+    ratio, _ = chosen_ratios(sample, label)
+    shared = docs.sparkSession.sparkContext.broadcast(ratio.astype(np.float32))  # LEVELS << BITS numbers
+
+    def start():
+        own = shared.value
+        used = _used(own)
+
+        def run(batch):
+            row, index = ngram_features(texts_of(batch, "text"), used)
+            row, index = row[own[index] != 0], index[own[index] != 0]
+            order = np.argsort(row, kind="stable")
+            cuts = np.searchsorted(row[order], np.arange(1, batch.num_rows))
+            return [np.split(index[order].astype(np.int32), cuts)]
+
+        return run
+
+    table = sample_features(sample, label, [("grams", T.ArrayType(T.IntegerType()))], start, "text", max_rows)
+    y = np.array(table[label].to_pylist(), float)
+    row, index = sparse_rows(table["grams"])
+    weight, bias = fit_logistic(row, index, ratio[index], y, len(ratio), np.full(len(ratio), 0.3), 1e-4, 100, 0.02)
     add = (ratio * weight).astype(np.float32)
-    return {"add": add, "used": (add.reshape(LEVELS, -1) != 0).any(axis=0), "bias": bias}
+    return {"add": add, "used": _used(add), "bias": bias}
 
 
 def score_texts(texts: list[str | None], model: dict) -> np.ndarray:
@@ -94,12 +133,6 @@ def score_texts(texts: list[str | None], model: dict) -> np.ndarray:
     return sigmoid(np.bincount(row, model["add"][index], len(texts)) + model["bias"])
 
 
-def train(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic", max_rows: int = MAX_ROWS) -> dict:
-    """Fit on at most ``max_rows`` labelled documents; ``learn`` is a condition on doc_id."""
-    sample = labelled_sample(docs, labels, label, learn, max_rows, ["text"])
-    return fit(sample_features(sample, label, [("grams", T.ArrayType(T.IntegerType()))], _extract, "text", max_rows), label)
-
-
 def score(df: DataFrame, model: dict, text: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:
     """Append ``out``, the probability of the label; the model has a fixed size (under 4 MB) and is broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(model)
