@@ -18,6 +18,7 @@ text; an id outside the vocabulary fails the decoding with a ``ValueError``.
 from __future__ import annotations
 
 import base64
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -231,7 +232,7 @@ class Codec:
         if new:
             self._learn(sorted(new))
         per = np.array([len(f) for f in found], np.int64)
-        which = np.fromiter((k for f in found for k in map(self.memo.__getitem__, f)), np.int64, int(per.sum()))
+        which = np.fromiter(map(self.memo.__getitem__, itertools.chain.from_iterable(found)), np.int64, int(per.sum()))
         length = self.length[which]
         ids = ragged(self.ids, self.start[which], length)
         ends = np.r_[0, np.cumsum(length)]

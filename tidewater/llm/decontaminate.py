@@ -19,6 +19,8 @@ left out, a null doc_id is kept.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,7 +125,7 @@ def find_matches(texts: list[bytes], windows: Windows) -> tuple[np.ndarray, np.n
     split = [words_of(t) for t in texts]
     n_words = np.array([len(s) for s in split], np.int64)
     total = int(n_words.sum())
-    ids = np.fromiter((k or 0 for s in split for k in map(get, s)), np.int64, total)
+    ids = np.fromiter(map(get, itertools.chain.from_iterable(split), itertools.repeat(0)), np.int64, total)
     ends = np.cumsum(n_words)
     left = np.repeat(ends, n_words) - np.arange(total)
     cover = np.zeros(total + 1, np.int64)
