@@ -9,8 +9,9 @@
     they are found by a count over groups and kept in a Bloom filter of fixed size.
 3.  Groups expand to their classes, and each class is checked against a hub of its
     buckets (the class with the smallest seeded hash), in crowded buckets against
-    several, which settles large clusters of near copies with a number of pairs
-    linear in their size.
+    several, then what is still outside a crowded bucket's main component against
+    more hubs from inside it.  This settles large clusters of near copies with a
+    number of pairs linear in their size.
 4.  Buckets that still hold several components are finished exactly: each class
     outside the bucket's main component meets every class of another component in
     the bucket, after size and position filters.
@@ -45,6 +46,7 @@ PERCENT = 80
 COUNTER_BITS = 20
 FILTER_BITS = 26
 HUBS = 9
+LATE_HUBS = 24
 CROWDED = 16  # postings of a bucket from which more hubs pay
 MEMO = 200_000
 NO_ID = 2**62  # stand-ins for null ids begin here
@@ -189,32 +191,45 @@ def _hub_pairs(postings: DataFrame, hubs: int, percent: int) -> DataFrame:
     """Each class with a hub of its buckets, and with ``hubs`` more in crowded ones."""
     size = postings.groupBy("token").agg(F.count("*").alias("k")).where("k > 1")
     crowded = postings.join(size.where(F.col("k") >= CROWDED).select("token"), "token", "left_semi")
-    pairs = _nearest_hub(postings, range(1), percent).unionAll(_nearest_hub(crowded, range(1, 1 + hubs), percent))
-    return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    pairs = _nearest_hub(postings, postings, range(1), percent).unionAll(_nearest_hub(crowded, crowded, range(1, 1 + hubs), percent))
+    return _in_order(pairs, "id", "hub").distinct()
 
 
-def _nearest_hub(postings: DataFrame, seeds: range, percent: int) -> DataFrame:
-    """(id, hub): for each seed, the least hub of all of a class's buckets that may link with it."""
+def _in_order(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+
+
+def _nearest_hub(seekers: DataFrame, hosts: DataFrame, seeds: range, percent: int) -> DataFrame:
+    """(id, hub): for each seed, the least host in all of a seeker's buckets that may link with it."""
     best = [F.min(F.struct(F.xxhash64(F.lit(s), "id").alias("h"), F.col("id").alias("hub"), F.col("n").alias("hn"), F.col("at").alias("hat"))).alias(f"h{s}") for s in seeds]
-    bucket = postings.groupBy("token").agg(F.count("*").alias("k"), *best).where("k > 1").drop("k")
-    met = postings.join(bucket, "token")
+    met = seekers.join(hosts.groupBy("token").agg(*best), "token")
     ok = lambda s: (F.col(f"h{s}.hub") != F.col("id")) & _may_link(F.col("n"), F.col(f"h{s}.hn"), F.col("at"), F.col(f"h{s}.hat"), percent)
     chosen = met.groupBy("id").agg(*[F.min(F.when(ok(s), F.struct(F.col(f"h{s}.h").alias("h"), F.col(f"h{s}.hub").alias("hub")))).alias(f"h{s}") for s in seeds])
     return chosen.select("id", F.explode(F.array_distinct(F.filter(F.array(*[F.col(f"h{s}.hub") for s in seeds]), lambda x: x.isNotNull()))).alias("hub"))
 
 
-def _open_pairs(postings: DataFrame, components: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """The pairs of different components that share a prefix shingle and have not been tried."""
+def _mixed(postings: DataFrame, components: DataFrame) -> DataFrame:
+    """Postings of buckets that hold several components, with their own, the bucket's main one and its size."""
     placed = postings.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
     per = placed.groupBy("token", "c").agg(F.count("*").alias("k"))
-    main = per.groupBy("token").agg(F.count("*").alias("cs"), F.max(F.struct("k", "c"))["c"].alias("main")).where("cs > 1").drop("cs")
-    mixed = placed.join(main, "token")
+    main = per.groupBy("token").agg(F.count("*").alias("cs"), F.max(F.struct("k", "c"))["c"].alias("main"), F.sum("k").alias("size")).where("cs > 1").drop("cs")
+    return placed.join(main, "token")
+
+
+def _late_pairs(mixed: DataFrame, tried: DataFrame, hubs: int, percent: int) -> DataFrame:
+    """In crowded buckets, what is outside the main component with more hubs from inside it."""
+    crowded = mixed.where(F.col("size") >= CROWDED)
+    pairs = _nearest_hub(crowded.where("c != main"), crowded.where("c = main"), range(100, 100 + hubs), percent)
+    return _in_order(pairs, "id", "hub").distinct().join(tried, ["a", "b"], "left_anti")
+
+
+def _open_pairs(mixed: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """The pairs of different components that share a prefix shingle and have not been tried."""
     side = lambda x: mixed.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "at", "c", "main")])
     few, every = side("a").where("a_c != a_main"), side("b").drop("b_main")
     once = (F.col("b_c") == F.col("a_main")) | (F.col("a_id") < F.col("b_id"))
     rule = (few["token"] == every["token"]) & (F.col("a_c") != F.col("b_c")) & once & _may_link(F.col("a_n"), F.col("b_n"), F.col("a_at"), F.col("b_at"), percent)
-    pairs = few.join(every, rule).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    return _in_order(few.join(every, rule), "a_id", "b_id").distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def _verify(pairs: DataFrame, plain: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
@@ -269,10 +284,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     tried = materialise(_hub_pairs(postings, hubs, percent), "hubs")
     links = materialise(_verify(tried, plain, words, percent, filter_bits), "links")
     components = connected_components(links)
-    rest = materialise(_open_pairs(postings, components, tried, percent), "open")
-    if not rest.isEmpty():
-        more = materialise(_verify(rest, plain, words, percent, filter_bits), "links")
-        components = connected_components(more.unionAll(components.select(F.col("node").alias("a"), F.col("component").alias("b"))).unionAll(links))
+    for find in (lambda m: _late_pairs(m, tried, LATE_HUBS, percent), lambda m: _open_pairs(m, tried, percent)):
+        more = materialise(find(_mixed(postings, components)), "pairs")
+        if not more.isEmpty():
+            links = links.unionAll(materialise(_verify(more, plain, words, percent, filter_bits), "links"))
+            tried = tried.unionAll(more)
+            components = connected_components(links)
 
     of = members.select("digest", "cid").join(components.withColumnRenamed("node", "cid"), "cid", "left").select("digest", F.coalesce("component", "cid").alias("component"))
     null = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
