@@ -1,0 +1 @@
+"""Equity analytics and corpus operators on Spark."""

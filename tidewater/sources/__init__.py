@@ -1,0 +1 @@
+"""Sources, sinks and the test views."""

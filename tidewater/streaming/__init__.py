@@ -1,0 +1 @@
+"""Nothing here yet: the analytics are batch jobs without event-time windows."""
