@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
 

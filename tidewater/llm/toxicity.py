@@ -27,6 +27,7 @@ LEVELS = 3
 LEAST_DOCS = 5  # documents of the sample that must have a feature
 LEAST_Z = 4.0  # standard errors by which its rate must differ
 MAX_ROWS = 12_000  # labelled rows that are fitted on
+COUNT_BYTES = 256 << 10  # text that is counted at a time, as every n-gram is sorted
 _ODD = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
 
 
@@ -73,7 +74,7 @@ def chosen_ratios(sample: DataFrame, label: str) -> tuple[np.ndarray, float]:
     def count(batches):
         pos, every = np.zeros(LEVELS << BITS, np.int64), np.zeros(LEVELS << BITS, np.int64)
         for batch in batches:
-            for cut in slices(batch, "text"):
+            for cut in slices(batch, "text", COUNT_BYTES):
                 y = cut.column(cut.schema.get_field_index(label)).to_numpy(zero_copy_only=False)
                 row, index = ngram_features(texts_of(cut, "text"))
                 every += np.bincount(index, minlength=len(every))
