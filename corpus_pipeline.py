@@ -46,8 +46,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (packed uint32) and whether decoding gave the text back."""
     ranks = bpe.share_ranks(spark, public_tokenizers.path(RANKS))
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    encoded = bpe.encode(plain.withColumn("text_sha256", F.sha2("text", 256)), "text", ranks, public_tokenizers.PATTERN, keep=["doc_id", "text_sha256"])
-    decoded = bpe.decode(encoded, "ids", ranks, public_tokenizers.PATTERN)
+    decoded = bpe.round_trip(plain.withColumn("text_sha256", F.sha2("text", 256)), "text", ranks, public_tokenizers.PATTERN, keep=["doc_id", "text_sha256"])
     return decoded.select("doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
 
 

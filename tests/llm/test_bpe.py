@@ -79,3 +79,10 @@ def test_edges(spark, make_docs):
     assert bpe.round_trip_digests(docs.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
     lists_ = bpe.encode(docs.drop("ids"), "text", ranks, public_tokenizers.PATTERN).select(bpe.unpack("ids").alias("i"), "n_tokens").collect()
     assert all(len(r["i"]) == r["n_tokens"] for r in lists_)
+
+
+def test_decode_alone(spark, make_docs):
+    ranks = bpe.share_ranks(spark, PATH)
+    coded = bpe.encode(make_docs(["one two", None, "drei vier"]), "text", ranks, public_tokenizers.PATTERN)
+    rows = bpe.decode(coded, "ids", ranks, public_tokenizers.PATTERN).collect()
+    assert sorted(bytes(r["decoded"]).decode() for r in rows) == ["", "drei vier", "one two"]

@@ -31,7 +31,7 @@ from tidewater.llm.common import annotate, ragged, texts_of
 
 BUCKETS = (4, 6, 8, 12, 16, 24, 32, 64)
 LONG = BUCKETS[-1]
-MEMO = 500_000  # distinct pieces that a Python worker remembers
+MEMO = 250_000  # distinct pieces that a Python worker remembers
 NONE = np.int32(2**31 - 1)
 
 
@@ -301,6 +301,21 @@ def decode(df: DataFrame, ids: str, ranks, pattern: str, out: str = "decoded", k
     return annotate(df, [(out, T.BinaryType())], start, ids, keep)
 
 
+def round_trip(df: DataFrame, text: str, ranks, pattern: str, out: str = "ids", count: str = "n_tokens", decoded: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """Append the ids, their number and the bytes they decode to, in one pass of one worker."""
+
+    def start():
+        codec = _codec(ranks, pattern)
+
+        def run(batch):
+            ids, per = codec.encode(texts_of(batch, text))
+            return [_binary(ids.astype("<u4").view(np.uint8), per * 4), pa.array(per), _binary(*codec.decode(ids, per))]
+
+        return run
+
+    return annotate(df, [(out, T.BinaryType()), (count, T.LongType()), (decoded, T.BinaryType())], start, text, keep)
+
+
 def unpack(ids: str):
     """Packed ids as ``array<int>``, for readers who want them one by one."""
     size = F.length(ids)
@@ -311,5 +326,5 @@ def unpack(ids: str):
 def round_trip_digests(docs: DataFrame, ranks, pattern: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, SHA-256 of the packed ids and of the decoded bytes."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    done = decode(encode(plain, "text", ranks, pattern, keep=["doc_id"]), "ids", ranks, pattern, keep=["doc_id", "ids", "n_tokens"])
+    done = round_trip(plain, "text", ranks, pattern, keep=["doc_id"])
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

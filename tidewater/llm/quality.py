@@ -13,6 +13,8 @@ without labels of both classes every text gets the smoothed base rate.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,7 +28,7 @@ from tidewater.llm.learn import MAX_ROWS, Adam, labelled_sample, sample_features
 BITS = 14
 RANK = 6
 BINS = 10
-MEMO = 300_000
+MEMO = 100_000
 
 # character classes of UTF-8 bytes
 _CLASS = np.full(256, 4, np.int64)  # 4: other symbols
@@ -57,7 +59,7 @@ class Extractor:
             marked = bool(last) and last[0] < 128 and not last.isalnum()
             self.memo[w] = (xxhash.xxh3_64_intdigest(w.lower()) >> 4) << 2 | marked << 1 | w.isupper()
         words = np.array([len(s) for s in split], np.int64)
-        code = np.fromiter((h for s in split for h in map(self.memo.__getitem__, s)), np.int64, int(words.sum()))
+        code = np.fromiter(map(self.memo.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(words.sum()))
         doc = np.repeat(np.arange(n), words)
         total = np.maximum(words, 1)
         hashed = code >> 2
