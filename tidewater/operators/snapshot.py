@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.expr import col, safe_div, rnd
 from tidewater.operators.panel import latest_per_key
 from tidewater.operators.rank import snapshot_percentiles, weighted_score, weighted_score_neutral
+from tidewater.sources.datasets import cut
 
 COMPANY = "ticker name companysite location currency exchange category sector industry secfilings cusips".split()
 
@@ -113,7 +114,11 @@ def overall_score(df: DataFrame) -> DataFrame:
 
 
 def rank_companies(base: DataFrame) -> DataFrame:
-    """All ranks over a snapshot.  The percentiles of the first stage share one pass."""
+    """All ranks over a snapshot.
+
+    The percentiles of the first stage share one pass.  The snapshot is written
+    between stages, since each reads it twice.
+    """
     parts = {"qualrank": (QUALITY, 0.5), "valuerank": (VALUE, 0.3), "epsrank": (EPS, 0.5), "smrqrank": (SMR, 0.5), "growthrank": (GROWTH, 0.5)}
     names = {(alias, c): f"__{alias}_{k}" for alias, (ps, _) in parts.items() for k, (c, _, _) in enumerate(ps)}
     specs = [(c, up, names[alias, c]) for alias, (ps, _) in parts.items() for c, up, _ in ps]
@@ -121,8 +126,9 @@ def rank_companies(base: DataFrame) -> DataFrame:
     for alias, (ps, coverage) in parts.items():
         ranked = ranked.withColumn(alias, weighted_score([(names[alias, c], w) for c, _, w in ps], coverage))
     ranked = ranked.drop(*names.values(), "__v_evebitda", "__v_evsales", "__v_peg", *[c for c in ranked.columns if c.endswith("_metric")])
-    return overall_score(composite_rank(momentum_rank(industry_rank(ranked))))
+    placed = cut(industry_rank(cut(ranked, "ranked")), "placed")
+    return overall_score(cut(composite_rank(momentum_rank(placed)), "scored"))
 
 
 def company_snapshot(companies: DataFrame, prices: DataFrame, ttm: DataFrame, qtr: DataFrame) -> DataFrame:
-    return rank_companies(company_base(companies, prices, ttm, qtr))
+    return rank_companies(cut(company_base(companies, prices, ttm, qtr), "companies"))

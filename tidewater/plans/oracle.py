@@ -143,7 +143,7 @@ def _blend(parts: list[tuple[str, float]], coverage: float, neutral: bool = Fals
 
 
 def _ranks(parts, alias: str) -> str:
-    return ", ".join(percentile(c, "", "100.0e0", "" if up else "DESC") + f" AS {alias}_{k}" for k, (c, up, _) in enumerate(parts))
+    return ", ".join(f32(percentile(c, "", "100.0e0", "" if up else "DESC")) + f" AS {alias}_{k}" for k, (c, up, _) in enumerate(parts))
 
 
 def _weights(parts, alias: str) -> list[tuple[str, float]]:
@@ -161,11 +161,11 @@ s0 AS (SELECT c.* EXCLUDE (isdelisted), lp.* EXCLUDE (ticker), lt.* EXCLUDE (tic
 s1 AS (SELECT *, marketcap + netdebt AS ev, round(marketcap / nullif(netinc, 0) / nullif(revenuecagr3y, 0), 1) AS peg FROM (SELECT *, sharesbas * close AS marketcap FROM s0) x),
 s2 AS (SELECT *, CASE WHEN ev > 0 AND ebitda > 0 THEN ev / ebitda END AS __v_evebitda, CASE WHEN ev > 0 AND revenue > 0 THEN ev / revenue END AS __v_evsales, CASE WHEN max252 > 0 THEN close / max252 END AS high_proximity FROM s1),
 s3 AS (SELECT *, CASE WHEN __v_evebitda IS NULL THEN NULL WHEN ebitda1y > 0 THEN __v_evebitda / ebitda1y WHEN ebitda1y <= 0 THEN 1e9 END AS __v_peg FROM s2),
-s4 AS (SELECT *, {_ranks(S.QUALITY, "qq")}, {_ranks(S.VALUE, "vv")}, {_ranks(S.EPS, "ee")}, {_ranks(S.SMR, "mm")}, {_ranks(S.GROWTH, "gg")}, {percentile("high_proximity", "", "100.0e0")} AS highrank FROM s3),
-im AS (SELECT industry, {percentile("m", "", "100.0e0")} AS industryrank FROM (SELECT industry, avg(pct126) AS m FROM s3 GROUP BY industry) x),
+s4 AS (SELECT *, {_ranks(S.QUALITY, "qq")}, {_ranks(S.VALUE, "vv")}, {_ranks(S.EPS, "ee")}, {_ranks(S.SMR, "mm")}, {_ranks(S.GROWTH, "gg")}, {f32(percentile("high_proximity", "", "100.0e0"))} AS highrank FROM s3),
+im AS (SELECT industry, {f32(percentile("m", "", "100.0e0"))} AS industryrank FROM (SELECT industry, avg(pct126) AS m FROM s3 GROUP BY industry) x),
 s5 AS (SELECT s4.*, industryrank, {_blend(_weights(S.QUALITY, "qq"), 0.5)} AS qualrank, {_blend(_weights(S.VALUE, "vv"), 0.3)} AS valuerank, {_blend(_weights(S.EPS, "ee"), 0.5)} AS epsrank,
        {_blend(_weights(S.SMR, "mm"), 0.5)} AS smrqrank, {_blend(_weights(S.GROWTH, "gg"), 0.5)} AS growthrank FROM s4 LEFT JOIN im ON s4.industry = im.industry),
-s6 AS (SELECT *, {percentile("epsrank", "", "100.0e0")} AS __c_epsrank, {percentile("smrqrank", "", "100.0e0")} AS __c_smrqrank, {_blend(S.MOMENTUM, 0.5, True)} AS momrank FROM s5),
+s6 AS (SELECT *, {f32(percentile("epsrank", "", "100.0e0"))} AS __c_epsrank, {f32(percentile("smrqrank", "", "100.0e0"))} AS __c_smrqrank, {_blend(S.MOMENTUM, 0.5, True)} AS momrank FROM s5),
 s7 AS (SELECT *, {_blend(S.COMPOSITE, 0.5)} AS comprank, {_blend(S.CONFIRMATION, 0.5, True)} AS conf FROM s6),
 s8 AS (SELECT *, round(CASE WHEN valuerank IS NOT NULL THEN 0.9e0 * conf + 0.1e0 * valuerank ELSE conf END + 0.03e0 * ((coalesce(industryrank, 50) + coalesce(highrank, 50)) / 2), 6) AS core FROM s7),
 snap AS (SELECT *, {percentile("core", "", "100.0e0")} AS rankscore FROM s8)
@@ -187,7 +187,7 @@ u AS (SELECT ticker, d AS reportperiod FROM (SELECT DISTINCT reportperiod AS d F
 known AS (SELECT u.ticker, u.reportperiod, CASE WHEN date_diff('day', f1.reportperiod, u.reportperiod) <= 366 THEN roe END AS roe, CASE WHEN date_diff('day', f1.reportperiod, u.reportperiod) <= 366 THEN netmargin END AS netmargin
   FROM u ASOF LEFT JOIN f1 ON u.ticker = f1.ticker AND u.reportperiod >= f1.reportperiod),
 k1 AS (SELECT * FROM known WHERE roe IS NOT NULL OR netmargin IS NOT NULL),
-ranked AS (SELECT ticker, reportperiod, {percentile("roe", "reportperiod", "100.0e0")} AS roerank, CASE WHEN netmargin IS NOT NULL THEN rank() OVER (PARTITION BY reportperiod ORDER BY netmargin DESC NULLS LAST) + (count(netmargin) OVER (PARTITION BY reportperiod, netmargin) - 1) / 2.0e0 END AS marginplace FROM k1)
+ranked AS (SELECT ticker, reportperiod, {f32(percentile("roe", "reportperiod", "100.0e0"))} AS roerank, CASE WHEN netmargin IS NOT NULL THEN rank() OVER (PARTITION BY reportperiod ORDER BY netmargin DESC NULLS LAST) + (count(netmargin) OVER (PARTITION BY reportperiod, netmargin) - 1) / 2.0e0 END AS marginplace FROM k1)
 """
 
 

@@ -11,6 +11,7 @@ from tidewater.functions.expr import col, finite, ieee_div, pct, ratio, round32,
 from tidewater.operators import ewm, exports, fractal, indicators, insiders, panel, rank, snapshot, statements, technical
 from tidewater.plans import oracle as O
 from tidewater.sources import datasets
+from tidewater.sources.datasets import cut, scratch
 from tidewater.sources.fixtures import AS_OF, duck, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,7 +59,7 @@ def qtr(spark, sf_dir):
 
 
 def base(spark, sf_dir):
-    return snapshot.company_base(view(spark, sf_dir, "co"), technical.technical_daily(bars(spark, sf_dir)), ttm(spark, sf_dir), qtr(spark, sf_dir))
+    return cut(snapshot.company_base(view(spark, sf_dir, "co"), technical.technical_daily(bars(spark, sf_dir)), ttm(spark, sf_dir), qtr(spark, sf_dir)), "companies")
 
 
 def companies(spark, sf_dir):
@@ -83,18 +84,6 @@ def src_csv_roundtrip(spark, sf_dir):
     return datasets.stage_dataset(spark, f"{root}/csv", f"{root}/parquet", "stocks_prices")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir; a session without one gets a temporary folder."""
-    import tempfile
-    import uuid
-
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = tempfile.mkdtemp(prefix="tidewater-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @query(f"SELECT {{cols}} FROM ({duck('co')}) c WHERE isdelisted = 'N'", *snapshot.COMPANY)
 def sink_table(spark, sf_dir):
     return datasets.save_table(snapshot.active_companies(view(spark, sf_dir, "co")), "tidewater_companies")

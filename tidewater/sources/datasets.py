@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # fixed values: column names of the input datasets
@@ -49,3 +52,19 @@ def save_table(df: DataFrame, name: str, explain: bool = False) -> DataFrame:
 
 def export_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under spark.checkpoint.dir, which all executors share; a local session without one gets a temporary folder."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        where = tempfile.mkdtemp(prefix="tidewater-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """``df`` written once and read back, for plans that would make it several times."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
