@@ -234,7 +234,7 @@ def _open_pairs(mixed: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
 
 def _verify(pairs: DataFrame, plain: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
     """The pairs whose sets link.  Sets are made again for the documents in pairs only."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    nodes = pairs.select(F.col("a").alias("id")).distinct().unionAll(pairs.select(F.col("b").alias("id")).distinct())
     shared = plain.sparkSession.sparkContext.broadcast(bloom(nodes, "id", bits))
 
     def pick(batches):
