@@ -41,12 +41,12 @@ def stage_dataset(spark: SparkSession, csv: str, parquet: str, name: str | None
 
 
 def save_table(df: DataFrame, name: str, explain: bool = False) -> DataFrame:
-    """Replace table ``name`` by ``df`` and return the table."""
+    """Replace table ``name`` by ``df`` and return the table; its files are in a new shared folder."""
     if not name:
         raise ValueError("a table needs a name")
     if explain:
         df.explain("formatted")
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    df.write.mode("overwrite").format("parquet").option("path", scratch(df.sparkSession, name)).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
