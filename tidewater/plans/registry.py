@@ -317,7 +317,8 @@ def export_prices(spark, sf_dir):
 
 
 _DUCK_SCREEN = ", ".join(f"{_e} AS {_n}" for _n, _e in exports.SCREEN)
-_SCREEN_DIGITS = {"close": 4, "volume": 2, "atr": 4, "rsi": 4, "divyield": 2, "eps": 2}
+_TWO = dict.fromkeys("qualrank rsrank growthrank momrank valuerank rankscore pct1d pct1w pct1m pct3m pct6m pct12m divyield eps volume".split(), 2)
+_SCREEN_DIGITS = {"close": 4, "atr": 4, "rsi": 4} | _TWO
 _TEXT = {"ticker", "name", "exchange", "sector", "industry", "revenuetrend", "epstrend"}
 _SCREEN_COLS = [n if n in _TEXT else f"{n}:{_SCREEN_DIGITS.get(n, 1)}" for n, _ in exports.SCREEN]
 _MACRO = lambda e: e.replace("try_divide(", "div0(")
@@ -342,7 +343,7 @@ def _divide(text: str) -> str:
 
 ORACLE["export_companies"] = f"{O.SNAP}, screen AS (SELECT {', '.join(f'{_divide(e)} AS {n}' for n, e in exports.SCREEN)} FROM (SELECT * FROM snap) s) SELECT {O.cols(*_SCREEN_COLS)} FROM screen"
 simple("export_search", companies, exports.search_list, O.SNAP + "SELECT exchange, ticker, name, round(close, 4) AS close, round(pct1, 2) AS pct1d FROM snap", "exchange", "ticker", "name", "close:4", "pct1d:2")
-_METRIC_COLS = [n if n in _TEXT else f"{n}:{ {'close': 4}.get(n, 1)}".replace(" ", "") for n, _ in exports.METRICS]
+_METRIC_COLS = [n if n in _TEXT else f"{n}:{_SCREEN_DIGITS.get(n, 1)}" for n, _ in exports.METRICS]
 simple("export_metrics", companies, exports.company_metrics, f"{O.SNAP}, m AS (SELECT {', '.join(f'{e} AS {n}' for n, e in exports.METRICS)} FROM snap) SELECT {{cols}} FROM m", *_METRIC_COLS)
 _TTM_SERIES = "fiscalperiod fcf netdebt de roic roe grossmargin netmargin".split()
 simple("last20_ttm", ttm, lambda d: exports.last_reports(d, ["calendardate", *_TTM_SERIES]), f"WITH {O.TTM} SELECT {{cols}} FROM ttm QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) <= 20", *REPORT, "fiscalperiod", "fcf:2", "netdebt:2", "de:3", "roic:1", "roe:1", "grossmargin:1", "netmargin:1")
