@@ -112,3 +112,20 @@ def test_html_query(spark, sf_dir):
 def test_wrapper_is_plain_data():
     made = html_text.induce([page(i, f"<p>Body {i} {'w ' * i}</p>")[2] for i in range(6)])
     assert json.loads(json.dumps(made)) == made and made["root"].endswith("main:article.")
+
+
+def test_layouts_and_names_of_a_host(spark):
+    """Two layouts on a host, and body classes that vary by page."""
+    rows = []
+    for i in range(24):
+        word = "".join(chr(97 + int(d)) for d in f"{i:04d}")
+        story = f"<p>Story {i} about {word} and {word * 2}.</p><p>It ends with {word * 3} {i}.</p>"
+        if i % 2:
+            body = f'<div class="top">Welcome to this site.</div><article class="post-{word}">{story}</article>'
+        else:
+            body = f'<div class="top">Welcome to this site.</div><section class="text {word}">{story}<p>Printed by the house.</p></section>'
+        rows.append((i, f"https://two.example/{i}", f'<html><body class="page-{word}">{body}</body></html>'))
+    got = texts(spark, rows)
+    for i in range(24):
+        word = "".join(chr(97 + int(d)) for d in f"{i:04d}")
+        assert got[i] == f"Story {i} about {word} and {word * 2}.\nIt ends with {word * 3} {i}."

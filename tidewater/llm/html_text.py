@@ -1,21 +1,21 @@
 """HTML extraction by wrapper induction.
 
-For each host a bounded set of pages (``EXEMPLARS`` distinct ones with the lowest
-content hashes) is parsed into DOM skeletons, in which like siblings are one node.
-The skeletons are aligned by simple tree matching and merged.  Nodes with the same
-text on every page are template; nodes whose text varies are slots.  Slots in
-labelled boilerplate (menus, headers, footers, sidebars, notices, adverts, forms,
-reader comments) are no content.  The wrapper of the host is the node that holds
-the varying text, an aligned article or main element if there is one, and the
-texts below it that never vary.  Wrappers go to all pages of their host: by
+Every distinct page becomes its blocks of text outside labelled boilerplate (menus,
+headers, footers, sidebars, notices, adverts, forms, reader comments), each with the
+path of labels above it.  Classes and ids that fewer than ``NAME_SHARE`` of a host's
+pages have are left out of paths.  Pages of a host whose text is held by the same
+element are a layout.  For each host and layout the pages of every (path, text) and of
+every node are counted: texts on ``SHARE`` of the pages are template, and the root is
+the deepest such node with nearly all varying text, or an article or main element.
+Only hashes and counts leave the tasks.  Wrappers go to all pages of their host: by
 broadcast while they are small together, else by a join.
 
-Of a page, the text below the wrapper's node is kept, without boilerplate and
-template texts; a page that lacks the node falls back to its own article or main
-element, then to its body.
+Of a page, the text below its own article or main element is kept, or below the root
+if that lies deeper or the page has none, without boilerplate and template texts; a
+page of no known layout falls back to its article or main element, then to its body.
 
 Defined cases: a null or empty page has the empty text; a null url is host ''; a
-host with one distinct page has no wrapper and its page falls back; repeated rows
+layout with one distinct page has no wrapper and its page falls back; repeated rows
 give equal texts; markup cut off at the end is dropped, text is kept; references
 that are not complete by the HTML rules stay as they are; ``br`` is white space.
 """
@@ -25,17 +25,20 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.llm.common import annotate, materialise, texts_of
 
-EXEMPLARS = 12  # pages of a host that are looked at
-ALIGNED = 6  # of them, pages with differing texts that are aligned
-FIXED_FROM = 4  # aligned pages from which a text that never varies is template
+SHARE = 0.8  # of the pages of a layout: a text is template, a node can be the root
+NAME_SHARE = 0.1  # of the pages of a host: a class or id is no mark of a single page
 BROADCAST_CHARS = 16 << 20  # wrappers of all hosts together
 
 # fixed values: HTML element classes
@@ -51,6 +54,7 @@ BOILER_WORDS = frozenset(
 )
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 MAIN_TAGS = ("article", "main")
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th figure figcaption".split())
 
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)(?:>|\Z)|[!?/][^>]*(?:>|\Z)|[a-zA-Z][^>]*(?:>|\Z))", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
@@ -164,13 +168,20 @@ def extract(page: str | None, wrapper: dict | None) -> str:
     if not page:
         return ""
     runs = [r for r in blocks(page) if not r[2]]
-    root, fixed = "", {}
-    if wrapper and wrapper["root"] and any(r[0] and (r[0] + "/").startswith(wrapper["root"] + "/") for r in runs):
-        root, fixed = wrapper["root"], wrapper["fixed"]
-    else:
-        root = next((x for r in runs if r[0] and r[1].strip() and (x := _main_of(r[0]))), "")
-    kept = [r for r in runs if r[0] is None or not root or (r[0] + "/").startswith(root + "/")]
-    return "\n".join(t for p, t in joined(kept) if t not in fixed.get(p, ()))
+    found = joined(runs)
+    main = next((x for p, _ in found if (x := _main_of(p))), "")
+    root, fixed, short = main, {}, {}
+    if wrapper:
+        names = wrapper["names"]
+        short = {p: plain_path(p, names) for p in {r[0] for r in runs if r[0] is not None}}
+        layout = wrapper["layouts"].get(layout_of([short[p] for p, _ in found], [len(t) for _, t in found]))
+        if layout:
+            root, fixed = plain_path(main, names), layout["fixed"]
+            below = layout["root"] + "/"
+            if layout["root"] and (not main or below.startswith(root + "/")) and any((short[p] + "/").startswith(below) for p, _ in found):
+                root = layout["root"]
+    kept = [r for r in runs if r[0] is None or not root or (short.get(r[0], r[0]) + "/").startswith(root + "/")]
+    return "\n".join(t for p, t in joined(kept) if text_hash(t) not in fixed.get(short.get(p, p), ()))
 
 
 # --- wrapper induction -------------------------------------------------------
@@ -216,82 +227,189 @@ def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     return n + 1, [(a, b), *pairs]
 
 
-def merge(a: Node, b: Node) -> None:
-    """Add what page ``b`` has to the merged tree ``a``; nodes that match are one."""
-    _, pairs = match(a, b)
-    partner = {id(y): x for x, y in pairs}
-
-    def walk(y: Node) -> None:
-        x = partner[id(y)]
-        x.pages += 1
-        x.texts += y.texts
-        for child in y.children.values():
-            if id(child) in partner:
-                walk(child)
-            else:
-                x.children.setdefault(child.label, child)
-
-    walk(b)
+def names_of(path: str) -> list[str]:
+    """The classes and ids in a path of labels."""
+    return [w for label in path.split("/") for w in label.partition(".")[2].split()]
+
+
+def plain_path(path: str, names) -> str:
+    """``path`` with only those classes and ids that are in ``names``."""
+    cut = (label.partition(".") for label in path.split("/"))
+    return "/".join(tag + dot + " ".join(w for w in rest.split() if w in names) for tag, dot, rest in cut)
+
+
+def layout_of(paths: list[str], sizes: list[int]) -> str:
+    """The element that holds most of the page's text: its article or main, else the parent of its text elements."""
+    held: Counter[str] = Counter()
+    for path, size in zip(paths, sizes, strict=True):
+        main = _main_of(path)
+        parts = (main or path).split("/")
+        while not main and len(parts) > 1 and parts[-1].partition(".")[0] in TEXT_TAGS:
+            parts.pop()
+        held["/".join(parts)] += size
+    return max(held, key=lambda p: (held[p], p), default="")
+
+
+def text_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def facts_of(page: str) -> tuple[list[str], list[int], list[int]]:
+    """Paths, text hashes and sizes of the blocks outside labelled boilerplate."""
+    found = joined(r for r in blocks(page) if not r[2])
+    texts = [t for _, t in found]
+    return [p for p, _ in found], [text_hash(t) for t in texts], [len(t) for t in texts]
+
+
+def assemble(n: int, nodes: list[tuple[str, int, int]], fixed: list[tuple[str, int, int]]) -> dict:
+    """The wrapper of a layout of ``n`` pages from (path, pages, characters) of nodes and (path, text, characters) of template."""
+    spent: Counter[str] = Counter()
+    for path, _, size in fixed:
+        parts = path.split("/")
+        for k in range(1, len(parts) + 1):
+            spent["/".join(parts[:k])] += size
+    weight = {p: size - spent[p] for p, pages, size in nodes if pages >= SHARE * n}
+    total = weight.get("", 0)
+    mains = sorted((p for p in weight if p and weight[p] > 0 and _main_of(p) == p), key=lambda p: (len(p), p))
+    deep = [p for p in weight if p and weight[p] >= 0.95 * total] if total > 0 else []
+    root = mains[0] if mains else max(deep, key=lambda p: (p.count("/"), p), default="")
+    lines: dict[str, list[int]] = {}
+    for path, text, _ in sorted(fixed):
+        lines.setdefault(path, []).append(text)
+    return {"root": root, "fixed": lines}
+
+
+def nodes_of(paths: list[str], sizes: list[int]) -> dict[str, int]:
+    """Characters below each node."""
+    out: Counter[str] = Counter()
+    for path, size in zip(paths, sizes, strict=True):
+        parts = path.split("/")
+        for k in range(1, len(parts) + 1):
+            out["/".join(parts[:k])] += size
+    return out
 
 
 def induce(pages: list[str]) -> dict | None:
-    """The wrapper of pages of one host, or None if they are too few to align."""
-    chosen, seen = [], []
-    for page in pages:
-        tree = skeleton(page)
-        texts = {t for _, t in joined(r for r in blocks(page) if not r[2])}
-        if texts and all(2 * len(texts & s) <= min(len(texts), len(s)) for s in seen):
-            chosen.append(tree)
-            seen.append(texts)
-        if len(chosen) == ALIGNED:
-            break
-    if len(chosen) < 2:
+    """The wrapper of pages of one layout, made at one place; None if fewer than two differ."""
+    held = list({tuple(sorted(f[1])): f for f in map(facts_of, pages) if f[0]}.values())
+    if len(held) < 2:
         return None
-    tree = chosen[0]
-    for other in chosen[1:]:
-        merge(tree, other)
-    n = len(chosen)
-    fixed: dict[str, list[str]] = {}
-    weight: dict[str, int] = {}
-
-    def walk(node: Node, path: str) -> int:
-        always = set.intersection(*node.texts) if len(node.texts) == n and n >= FIXED_FROM else set()
-        if always:
-            fixed[path] = sorted(always)
-        own = sum(len(t) for s in node.texts for t in s - always)
-        own += sum(walk(c, f"{path}/{c.label}") for c in node.children.values())
-        if node.pages == n:
-            weight[path] = own
-        return own
-
-    total = walk(tree, "")
-    mains = sorted((p for p in weight if weight[p] and _main_of(p) == p and p), key=len)
-    deep = [p for p in weight if p and weight[p] >= 0.95 * total]
-    root = mains[0] if mains else max(deep, key=lambda p: p.count("/"), default="")
-    return {"root": root, "fixed": {p: t for p, t in fixed.items() if (p + "/").startswith(root + "/")}}
+    nodes: dict[str, list[int]] = {}
+    texts: dict[tuple[str, int], list[int]] = {}
+    for paths, marks, sizes in held:
+        for path, size in nodes_of(paths, sizes).items():
+            nodes.setdefault(path, []).append(size)
+        for (path, mark), size in dict(zip(zip(paths, marks, strict=True), sizes, strict=True)).items():
+            texts.setdefault((path, mark), []).append(size)
+    fixed = [(path, mark, sum(x)) for (path, mark), x in texts.items() if len(x) >= SHARE * len(held)]
+    return assemble(len(held), [(path, len(x), sum(x)) for path, x in nodes.items()], fixed)
 
 
 def host_of(url: str):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html", exemplars: int = EXEMPLARS) -> DataFrame:
-    """(host, wrapper as JSON) for hosts whose pages align.
+def _facts(pages: DataFrame, url: str, page: str) -> DataFrame:
+    """Host, mark, and paths, text hashes and sizes of blocks: one row per distinct page of a host."""
+
+    def start():
+        def run(batch):
+            made = [facts_of(text) for text in texts_of(batch, "html")]
+            marks = [xxhash.xxh3_64_intdigest(np.sort(np.array(m[1], np.int64)).tobytes()) - (1 << 63) for m in made]
+            return [marks, *([m[k] for m in made] for k in range(3))]
+
+        return run
+
+    own = pages.select(host_of(url).alias("host"), F.col(page).alias("html")).where("html is not null and html != ''")
+    fields = [("mark", T.LongType()), ("paths", T.ArrayType(T.StringType())), ("texts", T.ArrayType(T.LongType())), ("sizes", T.ArrayType(T.IntegerType()))]
+    made = annotate(own, fields, start, "html", ["host"]).where("size(paths) > 0")
+    rest = [n for n, _ in fields[1:]]
+    once = made.groupBy("host", "mark").agg(F.min(F.struct(*rest)).alias("f"))  # texts may be equal at other paths; the least stays
+    return materialise(once.select("host", "mark", *[F.col(f"f.{c}").alias(c) for c in rest]), "facts")
+
+
+def _names(facts: DataFrame) -> DataFrame:
+    """(host, names): the classes and ids that a share of the host's pages have, and two at least."""
+
+    def run(batches):
+        for batch in batches:
+            names = [sorted({w for p in set(paths) for w in names_of(p)}) for paths in texts_of(batch, "paths")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.list_(pa.string()))], names=["host", "names"])
+
+    used = facts.select("host", "paths").mapInArrow(run, "host string, names array<string>").select("host", F.explode("names").alias("name"))
+    often = used.groupBy("host", "name").agg(F.count("*").alias("k")).join(facts.groupBy("host").agg(F.count("*").alias("n")), "host")
+    return often.where((F.col("k") >= 2) & (F.col("k") >= NAME_SHARE * F.col("n"))).groupBy("host").agg(F.sort_array(F.collect_list("name")).alias("names"))
 
-    Exact copies of a page count once, and at most ``exemplars`` pages of a host
-    leave their partition.
+
+def _spread(left: DataFrame, right: DataFrame, small: bool, on: str | list[str]) -> DataFrame:
+    return left.join(F.broadcast(right) if small else right, on, "left")
+
+
+def _placed(facts: DataFrame, names: DataFrame, small: bool) -> DataFrame:
+    """Facts with their layout, paths of stable names only, and the nodes above the blocks with their characters."""
+    rest = [c for c in facts.columns if c not in ("host", "mark", "paths")]
+    held = _spread(facts, names, small, "host").select("host", "mark", "paths", "sizes", "names", *[F.col(c).alias(f"_{c}") for c in rest])
+
+    def run(batches):
+        for batch in batches:
+            layouts, plain, nodes = [], [], []
+            for paths, sizes, known in zip(*(texts_of(batch, c) for c in ("paths", "sizes", "names")), strict=True):
+                known = frozenset(known or ())
+                short = {p: plain_path(p, known) for p in set(paths)}
+                plain.append([short[p] for p in paths])
+                layouts.append(layout_of(plain[-1], sizes))
+                nodes.append(list(nodes_of(plain[-1], sizes).items()))
+            columns = [pa.array(layouts, pa.string()), batch.column(0), batch.column(1), pa.array(plain, pa.list_(pa.string())), pa.array(nodes, pa.list_(pa.struct([("path", pa.string()), ("size", pa.int64())])))]
+            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(5 + k) for k in range(len(rest)))], names=["layout", "host", "mark", "paths", "nodes", *rest])
+
+    kinds = {f.name: f.dataType.simpleString() for f in facts.schema.fields}
+    return held.mapInArrow(run, "layout string, host string, mark long, paths array<string>, nodes array<struct<path:string,size:long>>, " + ", ".join(f"{c} {kinds[c]}" for c in rest))
+
+
+def _groups(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``g``, what counts as one page."""
+    return placed.withColumn("g", F.col("mark"))
+
+
+def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
+    """(host, wrapper as JSON) for hosts that have a layout with two distinct pages.
+
+    Every page counts; what leaves the tasks are hashes and counts.
     """
-    own = pages.select(host_of(url).alias("host"), F.xxhash64(page).alias("mark"), F.col(page).alias("html")).where("html is not null and html != ''")
-    distinct = own.groupBy("host", "mark").agg(F.count("*").alias("copies")).drop("copies")
-    ranked = distinct.selectExpr("host", "mark", "row_number() over (partition by host order by mark) as at").where(F.col("at") <= exemplars)
-    picked = own.join(ranked.select("host", "mark"), ["host", "mark"]).groupBy("host", "mark").agg(F.first("html").alias("html"))
+    facts = _facts(pages, url, page)
+    names = materialise(_names(facts), "names")
+    small = (names.agg(F.sum(F.length("host") + F.length(F.concat_ws(" ", "names")))).first()[0] or 0) <= BROADCAST_CHARS
+    placed = _placed(facts, names, small)
+    key = ["host", "layout"]
+    n = placed.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    groups = _groups(placed)
+    nodes = placed.select(*key, F.explode("nodes").alias("x")).groupBy(*key, "x.path").agg(F.count("*").alias("k"), F.sum("x.size").alias("chars"))
+    nodes = nodes.join(n, key).where(F.col("k") >= SHARE * F.col("n")).select(*key, "n", "path", F.lit(None).cast("long").alias("text"), "k", "chars")
+    block = groups.select(*key, "g", F.explode(F.arrays_zip("paths", "texts", "sizes")).alias("x")).select(*key, "g", "x.paths", "x.texts", "x.sizes")
+    counted = block.groupBy(*key, "paths", "texts", "g").agg(F.sum("sizes").alias("chars")).groupBy(*key, "paths", "texts").agg(F.count("*").alias("k"), F.sum("chars").alias("chars"))
+    of = groups.groupBy(*key).agg(F.count_distinct("g").alias("n")).where("n > 1")
+    fixed = counted.where("k > 1").join(of, key).where(F.col("k") >= SHARE * F.col("n")).select(*key, "n", F.col("paths").alias("path"), F.col("texts").alias("text"), "k", "chars")
 
     def per_host(held: pd.DataFrame) -> pd.DataFrame:
-        made = induce(held.sort_values("mark")["html"].tolist())
-        rows = [(held["host"].iloc[0], json.dumps(made))] if made else []
-        return pd.DataFrame(rows, columns=["host", "wrapper"])
+        layouts = {}
+        for layout, rows in held.groupby("layout"):
+            node, line = rows[rows["text"].isna()], rows[~rows["text"].isna()]
+            listed = lambda x, *c: list(zip(*(x[k].tolist() for k in c), strict=True))
+            if len(node):
+                layouts[layout] = assemble(int(node["n"].iloc[0]), listed(node, "path", "k", "chars"), [(p, int(t), c) for p, t, c in listed(line, "path", "text", "chars")])
+        made = json.dumps({"names": (held["names"].iloc[0] or "").split(), "layouts": layouts})
+        return pd.DataFrame([(held["host"].iloc[0], made)] if layouts else [], columns=["host", "wrapper"])
+
+    rows = _spread(nodes.unionByName(fixed).withColumn("text", F.col("text").cast("string")), names.select("host", F.concat_ws(" ", "names").alias("names")), small, "host")  # a hash must not pass through a float
+    return rows.groupBy("host").applyInPandas(per_host, "host string, wrapper string")
+
 
-    return picked.groupBy("host").applyInPandas(per_host, "host string, wrapper string")
+def _ready(wrapper: str) -> dict:
+    made = json.loads(wrapper)
+    made["names"] = frozenset(made["names"])
+    for layout in made["layouts"].values():
+        layout["fixed"] = {path: frozenset(texts) for path, texts in layout["fixed"].items()}
+    return made
 
 
 def main_text(pages: DataFrame, url: str = "url", page: str = "html", out: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -312,7 +430,7 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html", out: str =
                     if len(read) > 1000:
                         read.clear()
                         read[None] = None
-                    read[wrapper] = json.loads(wrapper)
+                    read[wrapper] = _ready(wrapper)
                 out.append(extract(text, read[wrapper]))
             return [out]
 
