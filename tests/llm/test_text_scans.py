@@ -129,3 +129,22 @@ def test_layouts_and_names_of_a_host(spark):
     for i in range(24):
         word = "".join(chr(97 + int(d)) for d in f"{i:04d}")
         assert got[i] == f"Story {i} about {word} and {word * 2}.\nIt ends with {word * 3} {i}."
+
+
+def test_template_of_short_and_near_copies(spark):
+    """As many template blocks as article blocks; two pages on a host; near copies that outnumber the other pages."""
+    line = lambda i, k: " ".join(hashlib.md5(f"{i} {k} {j}".encode()).hexdigest()[:6] for j in range(30))
+    page = lambda host, i, body: (i, f"https://{host}/{i}", f"<html><body><article><p>House rule one.</p>{body}<p>House rule two.</p></article></body></html>")
+    rows, want = [], {}
+    for host, first, n in (("short.example", 0, 6), ("two.example", 10, 2)):
+        for i in range(first, first + n):
+            rows.append(page(host, i, f"<p>{line(i, 0)}</p><p>{line(i, 1)}</p>"))
+            want[i] = f"{line(i, 0)}\n{line(i, 1)}"
+    for i in range(20, 60):
+        parts = [line(-1, k) for k in range(4)] if i < 50 else [line(i, k) for k in range(4)]
+        if i < 50:
+            words = parts[i % 4].split()
+            parts[i % 4] = " ".join([*words[: i % 7 + 9], f"w{i}", *words[i % 7 + 10 :]])
+        rows.append(page("copies.example", i, "".join(f"<p>{x}</p>" for x in parts)))
+        want[i] = "\n".join(parts)
+    assert texts(spark, rows) == want

@@ -5,7 +5,9 @@ headers, footers, sidebars, notices, adverts, forms, reader comments), each with
 path of labels above it.  Classes and ids that fewer than ``NAME_SHARE`` of a host's
 pages have are left out of paths.  Pages of a host whose text is held by the same
 element are a layout.  For each host and layout the pages of every (path, text) and of
-every node are counted: texts on ``SHARE`` of the pages are template, and the root is
+every node are counted, near copies once for texts (by what is left of a page without the
+blocks that are common on the layout, or near copies of such).  Texts on ``SHARE`` of
+the pages, two at least, are template; the root is
 the deepest such node with nearly all varying text, or an article or main element.
 Only hashes and counts leave the tasks.  Wrappers go to all pages of their host: by
 broadcast while they are small together, else by a join.
@@ -39,6 +41,10 @@ from tidewater.llm.common import annotate, materialise, texts_of
 
 SHARE = 0.8  # of the pages of a layout: a text is template, a node can be the root
 NAME_SHARE = 0.1  # of the pages of a host: a class or id is no mark of a single page
+COMMON = 0.5  # of the pages of a layout: a block tells nothing of near copies
+OFTEN = 0.02  # of the pages of a layout: a group of near copies counts as one page
+SKETCH = 4  # near-copy keys of a block
+MIX = np.random.default_rng(7).integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BROADCAST_CHARS = 16 << 20  # wrappers of all hosts together
 
 # fixed values: HTML element classes
@@ -250,21 +256,51 @@ def layout_of(paths: list[str], sizes: list[int]) -> str:
     return max(held, key=lambda p: (held[p], p), default="")
 
 
+def _mix(words: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+
+
+def block_keys(texts: list[str]) -> np.ndarray:
+    """SKETCH minima of hashed word pairs of each text: texts that are near copies share some."""
+    out = np.empty((len(texts), SKETCH), np.int64)
+    for i, text in enumerate(texts):
+        words = text.split()
+        if len(words) < 4:
+            out[i] = text_hash(text)
+            continue
+        h = _mix(words)
+        pairs = h[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (h[1:] >> np.uint64(7))
+        out[i] = np.stack([(pairs ^ (pairs >> np.uint64(31))) * m for m in MIX]).min(axis=1).view(np.int64)
+    return out
+
+
 def text_hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def facts_of(page: str) -> tuple[list[str], list[int], list[int]]:
-    """Paths, text hashes and sizes of the blocks outside labelled boilerplate."""
+def facts_of(page: str) -> tuple[list[str], list[int], list[int], list[int]]:
+    """Paths, text hashes, sizes and near-copy keys of the blocks outside labelled boilerplate."""
     found = joined(r for r in blocks(page) if not r[2])
     texts = [t for _, t in found]
-    return [p for p, _ in found], [text_hash(t) for t in texts], [len(t) for t in texts]
+    return [p for p, _ in found], [text_hash(t) for t in texts], [len(t) for t in texts], block_keys(texts).ravel().tolist()
 
 
-def assemble(n: int, nodes: list[tuple[str, int, int]], fixed: list[tuple[str, int, int]]) -> dict:
-    """The wrapper of a layout of ``n`` pages from (path, pages, characters) of nodes and (path, text, characters) of template."""
+def varying_keys(keys, common) -> list[int]:
+    """The near-copy keys of what is left of a page without its blocks that are, nearly at least, common on the layout."""
+    table = np.array(keys, np.int64).reshape(-1, SKETCH)
+    left = table[~np.isin(table, np.array(common, np.int64)).any(axis=1)]
+    return left.min(axis=0).tolist() if len(left) else []
+
+
+def group_of(keys: list[int], often: dict[int, int], mark: int) -> int | None:
+    """The group of near copies of a page: its most frequent key, else the page itself; None if nothing of it varies."""
+    return max((k for k in keys if k in often), key=lambda k: (often[k], k), default=mark) if keys else None
+
+
+def assemble(n: int, nodes: list[tuple[str, int, int]], constant: list[tuple[str, int, int, bool]]) -> dict:
+    """The wrapper of a layout of ``n`` pages from (path, pages, characters) of nodes and (path, text, characters, is template) of constant texts."""
     spent: Counter[str] = Counter()
-    for path, _, size in fixed:
+    for path, _, size, _ in constant:
         parts = path.split("/")
         for k in range(1, len(parts) + 1):
             spent["/".join(parts[:k])] += size
@@ -273,12 +309,25 @@ def assemble(n: int, nodes: list[tuple[str, int, int]], fixed: list[tuple[str, i
     mains = sorted((p for p in weight if p and weight[p] > 0 and _main_of(p) == p), key=lambda p: (len(p), p))
     deep = [p for p in weight if p and weight[p] >= 0.95 * total] if total > 0 else []
     root = mains[0] if mains else max(deep, key=lambda p: (p.count("/"), p), default="")
+    parts = root.split("/")
+    while parts[-1].partition(".")[0] in TEXT_TAGS:  # a heading is beside the paragraphs
+        parts.pop()
+    root = "/".join(parts)
     lines: dict[str, list[int]] = {}
-    for path, text, _ in sorted(fixed):
-        lines.setdefault(path, []).append(text)
+    for path, text, _, template in sorted(constant):
+        if template:
+            lines.setdefault(path, []).append(text)
     return {"root": root, "fixed": lines}
 
 
+def block_sizes(paths: list[str], texts: list[int], sizes: list[int]) -> Counter[tuple[str, int]]:
+    """Characters of each (path, text)."""
+    out: Counter[tuple[str, int]] = Counter()
+    for path, text, size in zip(paths, texts, sizes, strict=True):
+        out[path, text] += size
+    return out
+
+
 def nodes_of(paths: list[str], sizes: list[int]) -> dict[str, int]:
     """Characters below each node."""
     out: Counter[str] = Counter()
@@ -291,18 +340,30 @@ def nodes_of(paths: list[str], sizes: list[int]) -> dict[str, int]:
 
 def induce(pages: list[str]) -> dict | None:
     """The wrapper of pages of one layout, made at one place; None if fewer than two differ."""
-    held = list({tuple(sorted(f[1])): f for f in map(facts_of, pages) if f[0]}.values())
+    held = list({tuple(sorted(f[1])): f for f in map(facts_of, pages) if f[0]}.items())
     if len(held) < 2:
         return None
+    n = len(held)
+    common = [k for k, c in Counter(k for _, f in held for k in set(f[3])).items() if c > 1 and c >= COMMON * n]
+    left = [varying_keys(f[3], common) for _, f in held]
+    often = {k: c for k, c in Counter(k for keys in left for k in set(keys)).items() if c > 1 and c >= OFTEN * n}
     nodes: dict[str, list[int]] = {}
-    texts: dict[tuple[str, int], list[int]] = {}
-    for paths, marks, sizes in held:
+    texts: dict[tuple[str, int], list] = {}
+    groups = set()
+    for at, ((_, (paths, marks, sizes, _)), keys) in enumerate(zip(held, left, strict=True)):
         for path, size in nodes_of(paths, sizes).items():
             nodes.setdefault(path, []).append(size)
-        for (path, mark), size in dict(zip(zip(paths, marks, strict=True), sizes, strict=True)).items():
-            texts.setdefault((path, mark), []).append(size)
-    fixed = [(path, mark, sum(x)) for (path, mark), x in texts.items() if len(x) >= SHARE * len(held)]
-    return assemble(len(held), [(path, len(x), sum(x)) for path, x in nodes.items()], fixed)
+        group = group_of(keys, often, ("page", at))
+        groups |= {group} - {None}
+        for block, size in block_sizes(paths, marks, sizes).items():
+            texts.setdefault(block, []).append((group, size))
+    constant = []
+    for block, found in texts.items():
+        k = len({g for g, _ in found} - {None})
+        template = k > 1 and k >= SHARE * len(groups)
+        if template or len(found) >= SHARE * n:
+            constant.append((*block, sum(size for _, size in found), template))
+    return assemble(n, [(path, len(x), sum(x)) for path, x in nodes.items()], constant)
 
 
 def host_of(url: str):
@@ -310,18 +371,18 @@ def host_of(url: str):
 
 
 def _facts(pages: DataFrame, url: str, page: str) -> DataFrame:
-    """Host, mark, and paths, text hashes and sizes of blocks: one row per distinct page of a host."""
+    """Host, mark, and paths, text hashes, sizes and near-copy keys of blocks: one row per distinct page of a host."""
 
     def start():
         def run(batch):
             made = [facts_of(text) for text in texts_of(batch, "html")]
             marks = [xxhash.xxh3_64_intdigest(np.sort(np.array(m[1], np.int64)).tobytes()) - (1 << 63) for m in made]
-            return [marks, *([m[k] for m in made] for k in range(3))]
+            return [marks, *([m[k] for m in made] for k in range(4))]
 
         return run
 
     own = pages.select(host_of(url).alias("host"), F.col(page).alias("html")).where("html is not null and html != ''")
-    fields = [("mark", T.LongType()), ("paths", T.ArrayType(T.StringType())), ("texts", T.ArrayType(T.LongType())), ("sizes", T.ArrayType(T.IntegerType()))]
+    fields = [("mark", T.LongType()), ("paths", T.ArrayType(T.StringType())), ("texts", T.ArrayType(T.LongType())), ("sizes", T.ArrayType(T.IntegerType())), ("keys", T.ArrayType(T.LongType()))]
     made = annotate(own, fields, start, "html", ["host"]).where("size(paths) > 0")
     rest = [n for n, _ in fields[1:]]
     once = made.groupBy("host", "mark").agg(F.min(F.struct(*rest)).alias("f"))  # texts may be equal at other paths; the least stays
@@ -366,9 +427,44 @@ def _placed(facts: DataFrame, names: DataFrame, small: bool) -> DataFrame:
     return held.mapInArrow(run, "layout string, host string, mark long, paths array<string>, nodes array<struct<path:string,size:long>>, " + ", ".join(f"{c} {kinds[c]}" for c in rest))
 
 
-def _groups(placed: DataFrame) -> DataFrame:
-    """``placed`` with ``g``, what counts as one page."""
-    return placed.withColumn("g", F.col("mark"))
+def _per_layout(counted: DataFrame, n: DataFrame, share: float, name: str) -> tuple[DataFrame, bool]:
+    """(host, layout, keys, counts) of keys on a share of the pages, at most a fixed number for each block of a page; and whether they are small."""
+    rows = counted.groupBy("host", "layout", "key").agg(F.count("*").alias("k")).where("k > 1").join(n, ["host", "layout"]).where(F.col("k") >= share * F.col("n"))
+    made = materialise(rows.groupBy("host", "layout").agg(F.collect_list(F.struct("key", "k")).alias(name)), name)
+    return made, (made.agg(F.sum(F.length("host") + F.length("layout") + 16 * F.size(name))).first()[0] or 0) <= BROADCAST_CHARS
+
+
+def _groups(placed: DataFrame, n: DataFrame) -> DataFrame:
+    """host, layout, ``g``, the group of near copies that counts as one page, and the page's distinct blocks.
+
+    Blocks that are common on a layout, or near copies of such blocks, tell nothing;
+    of the rest, pages that share a frequent key are near copies.  A group on under
+    ``OFTEN`` of the pages cannot make a text template, so its pages may count alone.
+    Pages without a rest have no group.
+    """
+    key = ["host", "layout"]
+    common, small = _per_layout(placed.select(*key, F.explode(F.array_distinct("keys")).alias("key")), n, COMMON, "common")
+    held = _spread(placed.select(*key, "mark", "paths", "texts", "sizes", "keys"), common, small, key)
+
+    def vary(batches):
+        for batch in batches:
+            common = [[c["key"] for c in x or ()] for x in texts_of(batch, "common")]
+            left = [varying_keys(k, c) for k, c in zip(texts_of(batch, "keys"), common, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(6)), pa.array(left, pa.list_(pa.int64()))], names=[*batch.schema.names[:6], "rest"])
+
+    rest = held.mapInArrow(vary, "host string, layout string, mark long, paths array<string>, texts array<long>, sizes array<int>, rest array<long>")
+    often, small = _per_layout(rest.select(*key, F.explode(F.array_distinct("rest")).alias("key")), n, OFTEN, "often")
+
+    def group(batches):
+        for batch in batches:
+            often = [{c["key"]: c["k"] for c in x or ()} for x in texts_of(batch, "often")]
+            made = [group_of(k, o, m) for k, o, m in zip(texts_of(batch, "rest"), often, texts_of(batch, "mark"), strict=True)]
+            held = [[(p, t, size) for (p, t), size in block_sizes(*x).items()] for x in zip(*(texts_of(batch, c) for c in ("paths", "texts", "sizes")), strict=True)]
+            kind = pa.list_(pa.struct([("path", pa.string()), ("text", pa.int64()), ("size", pa.int64())]))
+            rows = pa.array([[{"path": p, "text": t, "size": size} for p, t, size in x] for x in held], kind)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.int64()), rows], names=["host", "layout", "g", "blocks"])
+
+    return _spread(rest, often, small, key).mapInArrow(group, "host string, layout string, g long, blocks array<struct<path:string,text:long,size:long>>")
 
 
 def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
@@ -381,14 +477,15 @@ def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
     small = (names.agg(F.sum(F.length("host") + F.length(F.concat_ws(" ", "names")))).first()[0] or 0) <= BROADCAST_CHARS
     placed = _placed(facts, names, small)
     key = ["host", "layout"]
-    n = placed.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-    groups = _groups(placed)
+    n = materialise(placed.groupBy(key).agg(F.count("*").alias("n")).where("n > 1"), "layouts")
+    groups = _groups(placed, n)
     nodes = placed.select(*key, F.explode("nodes").alias("x")).groupBy(*key, "x.path").agg(F.count("*").alias("k"), F.sum("x.size").alias("chars"))
-    nodes = nodes.join(n, key).where(F.col("k") >= SHARE * F.col("n")).select(*key, "n", "path", F.lit(None).cast("long").alias("text"), "k", "chars")
-    block = groups.select(*key, "g", F.explode(F.arrays_zip("paths", "texts", "sizes")).alias("x")).select(*key, "g", "x.paths", "x.texts", "x.sizes")
-    counted = block.groupBy(*key, "paths", "texts", "g").agg(F.sum("sizes").alias("chars")).groupBy(*key, "paths", "texts").agg(F.count("*").alias("k"), F.sum("chars").alias("chars"))
-    of = groups.groupBy(*key).agg(F.count_distinct("g").alias("n")).where("n > 1")
-    fixed = counted.where("k > 1").join(of, key).where(F.col("k") >= SHARE * F.col("n")).select(*key, "n", F.col("paths").alias("path"), F.col("texts").alias("text"), "k", "chars")
+    nodes = nodes.join(n, key).where(F.col("k") >= SHARE * F.col("n")).select(*key, "n", "path", F.lit(None).cast("long").alias("text"), "k", "chars", F.lit(False).alias("template"))
+    units = groups.groupBy(key).agg(F.count_distinct("g").alias("units"))
+    block = groups.select(*key, "g", F.explode("blocks").alias("x")).groupBy(*key, "x.path", "x.text", "g").agg(F.count("*").alias("pages"), F.sum("x.size").alias("chars"))
+    counted = block.groupBy(*key, "path", "text").agg(F.count("g").alias("k"), F.sum("pages").alias("pages"), F.sum("chars").alias("chars")).where("pages > 1")
+    constant = counted.join(n, key).join(units, key).withColumn("template", (F.col("k") > 1) & (F.col("k") >= SHARE * F.col("units"))).where(F.col("template") | (F.col("pages") >= SHARE * F.col("n")))
+    constant = constant.select(*key, "n", "path", "text", "k", "chars", "template")
 
     def per_host(held: pd.DataFrame) -> pd.DataFrame:
         layouts = {}
@@ -396,11 +493,11 @@ def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
             node, line = rows[rows["text"].isna()], rows[~rows["text"].isna()]
             listed = lambda x, *c: list(zip(*(x[k].tolist() for k in c), strict=True))
             if len(node):
-                layouts[layout] = assemble(int(node["n"].iloc[0]), listed(node, "path", "k", "chars"), [(p, int(t), c) for p, t, c in listed(line, "path", "text", "chars")])
+                layouts[layout] = assemble(int(node["n"].iloc[0]), listed(node, "path", "k", "chars"), [(p, int(t), c, bool(x)) for p, t, c, x in listed(line, "path", "text", "chars", "template")])
         made = json.dumps({"names": (held["names"].iloc[0] or "").split(), "layouts": layouts})
         return pd.DataFrame([(held["host"].iloc[0], made)] if layouts else [], columns=["host", "wrapper"])
 
-    rows = _spread(nodes.unionByName(fixed).withColumn("text", F.col("text").cast("string")), names.select("host", F.concat_ws(" ", "names").alias("names")), small, "host")  # a hash must not pass through a float
+    rows = _spread(nodes.unionByName(constant).withColumn("text", F.col("text").cast("string")), names.select("host", F.concat_ws(" ", "names").alias("names")), small, "host")  # a hash must not pass through a float
     return rows.groupBy("host").applyInPandas(per_host, "host string, wrapper string")
 
 
