@@ -148,3 +148,22 @@ def test_template_of_short_and_near_copies(spark):
         rows.append(page("copies.example", i, "".join(f"<p>{x}</p>" for x in parts)))
         want[i] = "\n".join(parts)
     assert texts(spark, rows) == want
+
+
+def test_labels_around_the_article(spark):
+    """Layout containers whose class or id has a word of the list, and labels on all of a page's text."""
+    story = lambda i: f"<p>Story {i} is told {i * 7919} times.</p>"
+    around = {
+        "a.example": lambda i: f'<div class="layout has-sidebar"><article>{story(i)}</article></div>',
+        "b.example": lambda i: f'<div id="header-fixed-page"><div class="text">{story(i)}</div></div>',
+        "c.example": lambda i: f'<div class="search"><article>{story(i)}</article><div class="comments"><article>Reader {i} says more than the story does, and more.</article></div></div>',
+        "d.example": lambda i: f'<form id="form1"><div class="menu"><a href="/">home and other pages</a></div><div class="text">{story(i)}</div><div class="comments">no</div></form>',
+        "e.example": lambda i: f'<div class="text">{story(i)}</div><div class="ad-2">Buy {i}</div><div class="sidebar">News {i}</div>',
+    }
+    rows = [(10 * k + i, f"https://{host}/{i}", f"<html><body>{make(i)}</body></html>") for k, (host, make) in enumerate(around.items()) for i in range(5)]
+    assert texts(spark, rows) == {10 * k + i: f"Story {i} is told {i * 7919} times." for k in range(5) for i in range(5)}
+
+
+def test_constant_links_are_template(spark):
+    rows = [(i, f"https://links.example/{i}", f'<article><p>{hashlib.md5(str(i).encode()).hexdigest()} is told.</p><p><a href="/{i}">Read more</a></p></article>') for i in range(5)]
+    assert texts(spark, rows) == {i: hashlib.md5(str(i).encode()).hexdigest() + " is told." for i in range(5)}

@@ -58,6 +58,8 @@ BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer header masthead "
     "cookie cookies consent notice notices alert popup modal newsletter subscribe subscription signup login search form comment comments respond reply replies disqus share sharing social related recommended widget toolbar pagination pager skip".split()
 )
+NEVER_MAIN = frozenset("comment comments respond reply replies disqus related recommended cookie cookies consent".split())
+LABELLED_SHARE = 0.75  # of a page's text outside links: a labelled element with it is no boilerplate if the page has no article
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 MAIN_TAGS = ("article", "main")
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th figure figcaption".split())
@@ -65,12 +67,12 @@ TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre tabl
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)(?:>|\Z)|[!?/][^>]*(?:>|\Z)|[a-zA-Z][^>]*(?:>|\Z))", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _SPACE = re.compile(r"[ \t\n\x0b\x0c\r]+")
-_WORD = re.compile(r"[a-z]+")
+_NUMBER = re.compile(r"[-_]?\d+\Z")
 _END = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in RAW}
 
 
-def _label(tag: str, attrs: str, memo: dict = {}) -> tuple[str, bool]:  # noqa: B006  a bounded memo
-    """An element's name with its classes, and whether it is labelled boilerplate."""
+def _label(tag: str, attrs: str, memo: dict = {}) -> tuple[str, bool, bool]:  # noqa: B006  a bounded memo
+    """An element's name with its classes, whether it is labelled boilerplate, and whether by a label that no main text has."""
     key = (tag, attrs)
     if key not in memo:
         if len(memo) > 20_000:
@@ -81,18 +83,51 @@ def _label(tag: str, attrs: str, memo: dict = {}) -> tuple[str, bool]:  # noqa:
         names = f"{found.get('class', '')} {found.get('id', '')}"
         boiler = tag in BOILER_TAGS or found.get("role", "") in BOILER_ROLES
         if tag not in ("html", "body", "article", "main"):
-            boiler = boiler or not BOILER_WORDS.isdisjoint(_WORD.findall(names))
+            boiler = boiler or not BOILER_WORDS.isdisjoint(_NUMBER.sub("", w) for w in names.split())
         main = tag in MAIN_TAGS or found.get("role") == "main"
-        memo[key] = (("main:" if main else "") + tag + "." + re.sub(r"\d+", "0", " ".join(sorted(names.split()))), boiler)
+        memo[key] = (("main:" if main else "") + tag + "." + re.sub(r"\d+", "0", " ".join(sorted(names.split()))), boiler, tag == "head" or not NEVER_MAIN.isdisjoint(_NUMBER.sub("", w) for w in names.split()))
     return memo[key]
 
 
-def blocks(page: str):
+def blocks(page: str) -> list[tuple[str | None, str, bool, bool]]:
     """(path of labels, text, in boilerplate, in a link) for each run of text, block by block.
 
-    A run that begins a new block follows a (None, '', False, False).
+    A run that begins a new block follows a (None, '', False, False).  Labels do not
+    count on the elements around the article or main element with the most text, if
+    all such elements are below labels; on a page without any, not on those around
+    the smallest labelled element with ``LABELLED_SHARE`` of the text outside links.
     """
-    stack: list[tuple[str, str, bool]] = [("", "", False)]  # tag, path, boilerplate
+    runs = list(_runs(page))
+    if not any(r[2] for r in runs):
+        return [(path, text, False, link) for path, text, _, link, _ in runs]
+    free = _unlabelled(runs)
+    return [(path, text, not free.issuperset(labels), link) for path, text, labels, link, _ in runs]
+
+
+def _unlabelled(runs) -> frozenset:
+    """The labelled elements whose labels do not count."""
+    mains: dict[tuple, int] = {}
+    held: Counter[tuple] = Counter()
+    total = 0
+    for _, text, labels, link, main in runs:
+        size = 0 if link else len(text.strip())
+        if main and size:
+            if not main[1]:
+                return frozenset()
+            mains[main] = mains.get(main, 0) + size
+        total += size
+        for k in range(1, len(labels) + 1 if size else 0):
+            held[labels[:k]] += size
+    mains = {m: size for m, size in mains.items() if not any(never for _, never in m[1])}
+    if mains:
+        return frozenset(max(mains, key=lambda m: (mains[m], -m[0]))[1])
+    wide = [x for x, size in held.items() if size >= LABELLED_SHARE * total and not any(never for _, never in x)]
+    return frozenset(max(wide, key=len, default=()))
+
+
+def _runs(page: str):
+    """(path, text, labelled elements around it, in a link, (number, labelled elements around it) of its article or main)."""
+    stack: list[tuple] = [("", "", (), None)]  # tag, path, labelled elements as (number, never main), outermost article or main
     links, at, end = 0, 0, len(page)
 
     def shut(tags, barrier=()):
@@ -110,7 +145,7 @@ def blocks(page: str):
         if m is None or m.start() > at:
             piece = page[at : m.start() if m else end]
             top = stack[-1]
-            yield top[1], html.unescape(piece) if "&" in piece else piece, top[2], links > 0
+            yield top[1], html.unescape(piece) if "&" in piece else piece, top[2], links > 0, top[3]
         if m is None:
             return
         at = m.end()
@@ -120,7 +155,7 @@ def blocks(page: str):
         tag = name.lower()
         if m[1]:
             if tag not in INLINE:
-                yield None, "", False, False
+                yield None, "", (), False, None
             shut((tag,))
             continue
         if tag in RAW:
@@ -128,22 +163,24 @@ def blocks(page: str):
                 close = _END[tag].search(page, at)
                 at = close.end() if close else end
             if tag not in INLINE:
-                yield None, "", False, False
+                yield None, "", (), False, None
             continue
         if tag not in INLINE:
-            yield None, "", False, False
+            yield None, "", (), False, None
             if tag in CLOSES_P:
                 shut(("p",), ("article", "div", "section", "body", "td", "li"))
             if tag in CLOSES:
                 shut(CLOSES[tag], ("ul", "ol", "dl", "table", "select"))
         if tag == "br":
-            yield stack[-1][1], " ", stack[-1][2], links > 0
+            yield stack[-1][1], " ", stack[-1][2], links > 0, stack[-1][3]
         if tag in VOID:
             continue
-        label, boiler = _label(tag, m[3] or "")
-        _, path, inside = stack[-1]
+        label, boiler, never = _label(tag, m[3] or "")
+        _, path, inside, main = stack[-1]
         links += tag == "a"
-        stack.append((tag, path if tag in INLINE else f"{path}/{label}", inside or boiler))
+        if label.startswith("main:") and main is None:
+            main = (at, inside)
+        stack.append((tag, path if tag in INLINE else f"{path}/{label}", (*inside, (at, never)) if boiler else inside, main))
 
 
 def joined(runs) -> list[tuple[str, str]]:
