@@ -143,3 +143,11 @@ def test_components(spark):
     got = components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == {i: 0 for i in range(31)} | {50: 50, 70: 50, 100: 50}
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keep_one_without_unique_ids(make_docs):
+    """Null ids and repeated ids: only copies go, one row of each stays."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    rows = [(1, text(1)), (None, text(1)), (None, text(2)), (None, text(3)), (None, text(3)), (5, text(5)), (5, text(6)), (7, text(6)), (None, ""), (None, None), (8, "")]
+    got = Counter((r["doc_id"], r["text"]) for r in jaccard_join.keep_one(make_docs(rows)).collect())
+    assert got == Counter([(1, text(1)), (None, text(2)), (None, text(3)), (5, text(5)), (5, text(6)), (None, ""), (None, None), (8, "")])

@@ -298,10 +298,23 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each component: the rows of the smallest id, once each."""
-    found = materialise(similar_documents(docs, id_col, text, **options), "similar")
-    gone = found.where("component_id != doc_id or (doc_id is null and component_id is not null)").select("doc_id").distinct()
-    kept = docs.join(gone, docs[id_col].eqNullSafe(gone["doc_id"]), "left_anti")
-    if not found.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1 and doc_id is not null").isEmpty():
-        kept = kept.where(f"{id_col} is not null").dropDuplicates([id_col]).unionByName(kept.where(f"{id_col} is null"))
-    return kept
+    """One row of each component: the smallest id, null after all others.
+
+    Where ids are null or repeated, a document is an id with a text (by a hash of 62
+    bits), so texts of one id that are not similar both stay; of rows that agree in
+    both, the least by all columns stays.  Rows without id and words are no copies.
+    """
+    ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.count("*").alias("k"))
+    if ids.where((F.col("k") > 1) | F.col("id").isNull() | (F.col("id") >= NO_ID)).isEmpty():
+        found = materialise(similar_documents(docs, id_col, text, **options), "similar")
+        gone = found.where("component_id != doc_id").select("doc_id")
+        return docs.join(gone, docs[id_col].cast("long") == gone["doc_id"], "left_anti")
+    own = docs.withColumn("__node", F.pmod(F.xxhash64(F.col(id_col).isNull(), id_col, F.coalesce(F.col(text), F.lit(""))), F.lit(NO_ID)))
+    nodes = own.groupBy("__node").agg(F.min(id_col).alias("__id"))
+    found = materialise(similar_documents(own.select("__node", text), "__node", text, **options).distinct(), "similar")
+    placed = found.withColumnRenamed("doc_id", "__node").join(nodes, "__node")
+    loose = placed.where("n_shingles = 0 and __id is null").select("__node")
+    stays = placed.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__node"))["__node"].alias("__node"))
+    rows = own.join(loose, "__node", "left_anti").join(stays, "__node", "left_semi")
+    once = rows.groupBy("__node").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
+    return once.select("__row.*").unionByName(own.join(loose, "__node", "left_semi").drop("__node"))
