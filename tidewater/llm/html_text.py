@@ -28,6 +28,7 @@ import html
 import json
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,7 @@ SHARE = 0.8  # of the pages of a layout: a text is template, a node can be the r
 NAME_SHARE = 0.1  # of the pages of a host: a class or id is no mark of a single page
 COMMON = 0.5  # of the pages of a layout: a block tells nothing of near copies
 OFTEN = 0.02  # of the pages of a layout: a group of near copies counts as one page
+MEMO = 200_000  # words whose hashes a worker holds
 SKETCH = 4  # near-copy keys of a block
 MIX = np.random.default_rng(7).integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BROADCAST_CHARS = 16 << 20  # wrappers of all hosts together
@@ -202,6 +204,8 @@ def joined(runs) -> list[tuple[str, str]]:
 
 def _main_of(path: str) -> str:
     """The path down to the first article or main element, or ''."""
+    if "/main:" not in path:
+        return ""
     parts = path.split("/")
     return next(("/".join(parts[: k + 1]) for k, p in enumerate(parts) if p.startswith("main:")), "")
 
@@ -293,21 +297,36 @@ def layout_of(paths: list[str], sizes: list[int]) -> str:
     return max(held, key=lambda p: (held[p], p), default="")
 
 
-def _mix(words: list[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+class _Hashes(dict):
+    """Hashes of words, made on first use; emptied when it has grown."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > MEMO:
+            self.clear()
+        self[word] = out = xxhash.xxh3_64_intdigest(word)
+        return out
+
+
+_HASHES = _Hashes()
 
 
 def block_keys(texts: list[str]) -> np.ndarray:
     """SKETCH minima of hashed word pairs of each text: texts that are near copies share some."""
     out = np.empty((len(texts), SKETCH), np.int64)
-    for i, text in enumerate(texts):
-        words = text.split()
-        if len(words) < 4:
-            out[i] = text_hash(text)
-            continue
-        h = _mix(words)
-        pairs = h[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (h[1:] >> np.uint64(7))
-        out[i] = np.stack([(pairs ^ (pairs >> np.uint64(31))) * m for m in MIX]).min(axis=1).view(np.int64)
+    split = [t.split() for t in texts]
+    long = [i for i, words in enumerate(split) if len(words) >= 4]
+    for i in set(range(len(texts))).difference(long):
+        out[i] = text_hash(texts[i])
+    if long:
+        ends = np.cumsum([len(split[i]) for i in long])
+        h = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(split[i] for i in long)), np.uint64, ends[-1])
+        pairs = h * np.uint64(0x9E3779B97F4A7C15) ^ (np.roll(h, -1) >> np.uint64(7))
+        pairs ^= pairs >> np.uint64(31)
+        starts, last = np.r_[0, ends[:-1]], ends - 1
+        for k, m in enumerate(MIX):
+            mixed = pairs * m
+            mixed[last] = np.uint64(2**64 - 1)  # pairs end with their text
+            out[long, k] = np.minimum.reduceat(mixed, starts).view(np.int64)
     return out
 
 
@@ -512,10 +531,10 @@ def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
     facts = _facts(pages, url, page)
     names = materialise(_names(facts), "names")
     small = (names.agg(F.sum(F.length("host") + F.length(F.concat_ws(" ", "names")))).first()[0] or 0) <= BROADCAST_CHARS
-    placed = _placed(facts, names, small)
+    placed = materialise(_placed(facts, names, small), "placed")
     key = ["host", "layout"]
     n = materialise(placed.groupBy(key).agg(F.count("*").alias("n")).where("n > 1"), "layouts")
-    groups = _groups(placed, n)
+    groups = materialise(_groups(placed, n), "groups")
     nodes = placed.select(*key, F.explode("nodes").alias("x")).groupBy(*key, "x.path").agg(F.count("*").alias("k"), F.sum("x.size").alias("chars"))
     nodes = nodes.join(n, key).where(F.col("k") >= SHARE * F.col("n")).select(*key, "n", "path", F.lit(None).cast("long").alias("text"), "k", "chars", F.lit(False).alias("template"))
     units = groups.groupBy(key).agg(F.count_distinct("g").alias("units"))
