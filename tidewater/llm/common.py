@@ -1,9 +1,11 @@
 """Helpers that the corpus operators share.
 
 Row-local work runs in ``mapInArrow`` through :func:`annotate`: every input row
-stays a row, its columns pass through and new columns are appended.  A batch is
-cut by bytes before Python sees it, so memory follows ``SLICE_BYTES`` and the
-longest single text, never the batch size or the partition.
+stays a row, its columns pass through and new columns are appended.  Spark bounds
+an Arrow batch (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows, and
+``maxBytesPerBatch`` where it is set); an operator works through a batch in slices
+of ``SLICE_BYTES``, so what it holds beside the batch follows the slice and the
+longest single text, never the partition.
 """
 
 from __future__ import annotations
@@ -27,11 +29,13 @@ ASCII_SPACE = b" \t\n\x0b\x0c\r"
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where that setting is absent (a local session) a temporary folder is
-    made and set as the checkpoint folder.
+    Where that setting is absent, a local session gets a temporary folder; a
+    cluster gets an error, as its executors do not share one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidewater-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -44,6 +48,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Named tables of one run, under one shared folder; ``drop`` deletes one after its last reader."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, shared_dir(spark, name)
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        for name in names:
+            path = hadoop(f"{self.root}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``most`` bytes."""
     n = batch.num_rows

@@ -1,7 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
 Each step is a grouped minimum and a join, so no neighbourhood is gathered in a
-task; edges are written to the shared folder after each round.
+task; edges are written to the shared folder after each round, and a round's table
+is deleted when the next one is written.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import materialise
+from tidewater.llm.common import Tables
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -31,10 +32,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Links of a node to itself and repeated links change nothing; without links the
     result is empty.
     """
-    edges = materialise(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    tables, k = Tables(links.sparkSession, "components"), 0
+    edges = tables.save(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges0")
     mark = None
     while True:
-        edges = materialise(_small(_large(edges)), "edges")
+        k += 1
+        edges = tables.save(_small(_large(edges)), f"edges{k}")
+        tables.drop(f"edges{k - 1}")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             break

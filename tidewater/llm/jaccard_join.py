@@ -5,31 +5,35 @@
     global order, rare first.  Any fixed order is exact; this one keeps passages
     that many documents share out of the prefixes.
 2.  Documents with the same set are one class; classes with the same prefix and set
-    size are one group.  Only prefix shingles of two groups or more can make pairs:
-    they are found by a count over groups and kept in a Bloom filter of fixed size.
-3.  Groups expand to their classes, and each class is checked against a hub of its
-    buckets (the class with the smallest seeded hash), in crowded buckets against
-    several, then what is still outside a crowded bucket's main component against
-    more hubs from inside it.  This settles large clusters of near copies with a
-    number of pairs linear in their size.
-4.  Buckets that still hold several components are finished exactly: each class
-    outside the bucket's main component meets every class of another component in
-    the bucket, after size and position filters.
-5.  Pairs are verified on whole sets of shingle hashes; links become components.
+    size are one group.  Postings of a prefix shingle (its bucket) name groups, and
+    only shingles of two groups or more have any: they are found by a count and kept
+    in a Bloom filter of fixed size.
+3.  Group pairs are formed in the buckets and filtered by size and position.  The
+    first round pairs each group with hubs of its buckets (the groups with the least
+    seeded hash; in crowded buckets several), so a large cluster of near copies costs
+    a number of pairs linear in its size.
+4.  Group pairs expand to pairs of classes.  A parity bitmap of each set, whose width
+    follows the set's size, bounds the intersection from above; pairs that cannot
+    link go.  The rest are verified on the words of the texts themselves, a hub's
+    text once for many partners; links become components.
+5.  The last round finishes exactly: in every bucket that still holds several
+    components, the group pairs of different components are formed, filtered,
+    expanded and verified in the same way.
 
 Pairs inside one component need no check, since they cannot change the result; no
-bucket, partner list or candidate list has a cap.
+bucket, partner list or candidate list has a cap.  Tables of a run are deleted after
+their last reader.
 
 Defined cases: a text without words (null, empty, white space) has an empty set and
-links with nothing; fewer words than a shingle make one shingle; rows that share a
-doc_id are one document for linking; rows with a null id link like others, and get
-the smallest non-null id of their component, or null if it has none.
+links with nothing; fewer words than a shingle make one shingle; every row is a
+document, rows that share an id too; rows with a null id link like others, and get
+the smallest non-null id of their component, or null if it has none; ids may have
+any type with an order; other columns, whatever their names, play no part; very long
+texts cost memory of their own length times a constant, one or two at a time.
 """
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,55 +42,100 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import annotate, bloom, bloom_has, bytes_of, materialise, slices
+from tidewater.llm.common import ASCII_SPACE, Tables, annotate, bloom, bloom_has, bytes_of, slices, texts_of
 from tidewater.llm.components import connected_components
 
 WORDS = 5
 PERCENT = 80
-COUNTER_BITS = 20
+COUNTER_BITS = 21
 FILTER_BITS = 26
-HUBS = 9
-LATE_HUBS = 24
+HUBS = 4
 CROWDED = 16  # postings of a bucket from which more hubs pay
-MEMO = 200_000
-NO_ID = 2**62  # stand-ins for null ids begin here
+PARTNERS = 256  # that share one copy of a hub's text
+CHUNK = 1 << 18  # bytes hashed at a time
+BROADCAST_ROWS = 500_000  # ids that keep_one may broadcast
 
+_SPACE = np.zeros(256, bool)
+_SPACE[list(ASCII_SPACE)] = True
 
-class _Hashes(dict):
-    """Hashes of words, made on first use; emptied when it has grown."""
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 class Shingler:
-    """Hashed word shingles of many texts at once; one per worker."""
+    """Hashed word shingles of many texts at once; one per worker.
+
+    The hash of a word is a polynomial of its bytes modulo 2**64, read off running sums.
+    """
 
     def __init__(self, words: int):
-        self.words, self.memo = words, _Hashes()
-        with np.errstate(over="ignore"):
-            self.odd = (np.arange(words, dtype=np.uint64) * np.uint64(2) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+        self.words = words
+        self.odd = _mix(np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+        self.power, self.inverse = self._powers(CHUNK)
+
+    @staticmethod
+    def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+        base = 0x9E3779B97F4A7C15 | 1
+        out = []
+        for p in (base, pow(base, -1, 1 << 64)):
+            held = np.full(n, p, np.uint64)
+            held[0] = 1
+            out.append(np.cumprod(held))
+        return out[0], out[1]
+
+    def _word_hashes(self, flat: np.ndarray, space: np.ndarray) -> np.ndarray:
+        if len(flat) > len(self.power):
+            power, inverse = self._powers(len(flat))
+        else:
+            power, inverse = self.power, self.inverse
+        edge = np.diff(np.r_[True, space, True].astype(np.int8))
+        starts, ends = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
+        sums = np.zeros(len(flat) + 1, np.uint64)
+        np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[: len(flat)], out=sums[1:])
+        return _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+    def word_hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all words in a row, and the number of words of each text."""
+        flat = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
+        space = _SPACE[flat]
+        size = np.array([len(t) + 1 for t in texts], np.int64)
+        words = (~space[1:] & space[:-1]).astype(np.int32)  # a word begins after a space
+        begins = np.concatenate([[0], np.cumsum(np.r_[not space[0], words])]) if len(flat) else np.zeros(1, np.int64)
+        per = np.diff(begins[np.r_[0, np.cumsum(size)]]) if len(texts) else np.zeros(0, np.int64)
+        out, at = [], 0
+        while at < len(flat):  # a chunk ends at white space
+            stop = min(len(flat), at + CHUNK)
+            if stop < len(flat) and not space[stop]:
+                back = np.flatnonzero(space[at:stop])
+                if len(back):
+                    stop = at + int(back[-1]) + 1
+                else:
+                    on = np.flatnonzero(space[stop:])
+                    stop = stop + int(on[0]) if len(on) else len(flat)
+            out.append(self._word_hashes(flat[at:stop], space[at:stop]))
+            at = stop
+        return np.concatenate([np.zeros(0, np.uint64), *out]), per
 
     def grams(self, texts: list[bytes]) -> list[np.ndarray]:
         """The shingle hashes (uint64) of each text, in order."""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        split = [t.lower().split() for t in texts]
-        total = sum(map(len, split))
-        hashed = np.fromiter(map(self.memo.__getitem__, itertools.chain.from_iterable(split)), np.uint64, total)
-        gram = hashed[: max(0, total - self.words + 1)] * self.odd[0]
-        for k in range(1, self.words):
-            gram = (gram ^ (gram >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + hashed[k : total - self.words + 1 + k] * self.odd[k]
-        gram = (gram ^ (gram >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        gram ^= gram >> np.uint64(29)
+        hashed, per = self.word_hashes(texts)
+        total, w = len(hashed), self.words
+        gram = hashed[: max(0, total - w + 1)] * self.odd[0]
+        for k in range(1, w):
+            gram = (gram ^ (gram >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + hashed[k : total - w + 1 + k] * self.odd[k]
+        gram = _mix(gram)
         out, at = [], 0
-        for words in split:
-            n = len(words)
-            if n >= self.words:
-                out.append(gram[at : at + n - self.words + 1])
+        for n in per.tolist():
+            if n >= w:
+                out.append(gram[at : at + n - w + 1])
             elif n:
-                out.append(np.array([xxhash.xxh3_64_intdigest(b"\x00" + b" ".join(words))], np.uint64))
+                one = np.array([n], np.uint64)
+                for k in range(at, at + n):
+                    one = _mix(one * self.odd[1] ^ hashed[k : k + 1])
+                out.append(one)
             else:
                 out.append(np.zeros(0, np.uint64))
             at += n
@@ -94,7 +143,11 @@ class Shingler:
 
     def sets(self, texts: list[bytes]) -> list[np.ndarray]:
         """The sorted distinct shingle hashes of each text."""
-        return [np.unique(g) for g in self.grams(texts)]
+        out = []
+        for g in self.grams(texts):
+            g = np.sort(g)
+            out.append(g[np.r_[True, g[1:] != g[:-1]]] if len(g) else g)
+        return out
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -102,8 +155,8 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _plain(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    none = F.lit(NO_ID) + F.pmod(F.xxhash64(text), F.lit(NO_ID))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), none).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    return own.select("id", F.xxhash64("id", "text").alias("row_key"), "text")
 
 
 def shingle_counts(plain: DataFrame, words: int = WORDS, bits: int = COUNTER_BITS) -> np.ndarray:
@@ -115,33 +168,63 @@ def shingle_counts(plain: DataFrame, words: int = WORDS, bits: int = COUNTER_BIT
     chunk = 1 << 12
 
     def count(batches):
-        shingler, mine = Shingler(words), np.zeros(1 << bits, np.int64)
+        shingler, mine, held, n = Shingler(words), np.zeros(1 << bits, np.uint32), [], 0
+
+        def flush():
+            mine[:] += np.bincount(np.concatenate(held), minlength=1 << bits).astype(np.uint32)
+            held.clear()
+
         for batch in batches:
             for cut in slices(batch, "text"):
-                held = np.concatenate([np.zeros(0, np.uint64), *shingler.grams(bytes_of(cut, "text"))])
-                mine += np.bincount((held >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                for g in shingler.grams(bytes_of(cut, "text")):
+                    held.append((g >> np.uint64(64 - bits)).astype(np.int32))
+                    n += len(g)
+                if n > 1 << bits:
+                    flush()
+                    n = 0
+        if held:
+            flush()
         for at in np.flatnonzero(mine.reshape(-1, chunk).any(axis=1)).tolist():
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([mine[at * chunk : (at + 1) * chunk].astype(np.int64).tobytes()])], names=["chunk", "cells"])
+            part = mine[at * chunk : (at + 1) * chunk]
+            small = part.max() < 256
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([part.astype(np.uint8 if small else np.uint32).tobytes()])], names=["chunk", "cells"])
 
     def add(batches):
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for at, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held[at] = held.get(at, 0) + np.frombuffer(cells, np.int64)
+                held[at] = held.get(at, 0) + np.frombuffer(cells, np.uint8 if len(cells) == chunk else np.uint32).astype(np.int64)
         for at, cells in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([cells.tobytes()])], names=["chunk", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.minimum(cells, 2**32 - 1).astype(np.uint32).tobytes()])], names=["chunk", "cells"])
 
-    pieces = plain.select("text").mapInArrow(count, "chunk int, cells binary").repartition("chunk").mapInArrow(add, "chunk int, cells binary")
-    out = np.zeros(1 << bits, np.int64)
-    for row in pieces.collect():
-        out[row["chunk"] * chunk : (row["chunk"] + 1) * chunk] = np.frombuffer(row["cells"], np.int64)
+    pieces = plain.select("text").mapInArrow(count, "chunk int, cells binary").repartition("chunk").mapInArrow(add, "chunk int, cells binary").toArrow()
+    out = np.zeros(1 << bits, np.uint32)
+    for at, cells in zip(pieces["chunk"].to_pylist(), pieces["cells"].to_pylist(), strict=True):
+        out[at * chunk : (at + 1) * chunk] = np.frombuffer(cells, np.uint32)
     return out
 
 
+def parity_bits(s: np.ndarray) -> bytes:
+    """Which of w places hold an odd number of the set's hashes; w is the power of two from twice the set's size on."""
+    w = max(64, 1 << int(2 * len(s) - 1).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(w - 1)).astype(np.int64), minlength=w) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def most_common(na: int, a: bytes, nb: int, b: bytes) -> int:
+    """An upper bound of the intersection: every odd place is a hash that only one set has."""
+    if len(a) > len(b):
+        a, b = b, a
+    x, y, w = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(b)
+    while w > 8 * len(a):
+        w >>= 1
+        y = (y & ((1 << w) - 1)) ^ (y >> w)
+    return min(na, nb, (na + nb - (x ^ y).bit_count()) // 2)
+
+
 def prefixes(plain: DataFrame, counts: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """id, n, digest of the set, digest of the prefix, and the prefix in the global order."""
+    """id, row_key, n, digest of the set, digest of the prefix, the prefix in the global order, and the parity bitmap."""
     bits = int(len(counts)).bit_length() - 1
-    shared = plain.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))  # 2**bits numbers of 4 bytes
+    shared = plain.sparkSession.sparkContext.broadcast(counts)  # 2**bits numbers of 4 bytes
 
     def start():
         shingler, often = Shingler(words), shared.value
@@ -154,12 +237,12 @@ def prefixes(plain: DataFrame, counts: np.ndarray, words: int = WORDS, percent:
                 heads.append(s[np.argsort(rank, kind="stable")[: prefix_length(len(s), percent)]])
             ends = np.cumsum([0, *map(len, heads)], dtype=np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *heads]).view(np.int64)))
-            return [[len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [xxhash.xxh3_128_digest(h.tobytes()) for h in heads], prefix]
+            return [[len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [xxhash.xxh3_128_digest(h.tobytes()) for h in heads], prefix, [parity_bits(s) for s in sets]]
 
         return run
 
-    fields = [("n", T.LongType()), ("digest", T.BinaryType()), ("mark", T.BinaryType()), ("prefix", T.ArrayType(T.LongType()))]
-    return annotate(plain, fields, start, "text", ["id"])
+    fields = [("n", T.LongType()), ("digest", T.BinaryType()), ("mark", T.BinaryType()), ("prefix", T.ArrayType(T.LongType())), ("bits", T.BinaryType())]
+    return annotate(plain, fields, start, "text", ["id", "row_key"])
 
 
 def _postings(groups: DataFrame, bits: int) -> DataFrame:
@@ -187,80 +270,152 @@ def _may_link(na, nb, pa_, pb, percent: int):
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * bound >= percent * (na + nb))
 
 
+def _in_order(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+
+
 def _hub_pairs(postings: DataFrame, hubs: int, percent: int) -> DataFrame:
-    """Each class with a hub of its buckets, and with ``hubs`` more in crowded ones."""
-    size = postings.groupBy("token").agg(F.count("*").alias("k")).where("k > 1")
-    crowded = postings.join(size.where(F.col("k") >= CROWDED).select("token"), "token", "left_semi")
-    pairs = _nearest_hub(postings, postings, range(1), percent).unionAll(_nearest_hub(crowded, crowded, range(1, 1 + hubs), percent))
-    return _in_order(pairs, "id", "hub").distinct()
+    """Group pairs: each group with a hub of its buckets, and with ``hubs`` in crowded ones.
 
+    For each seed, a group takes the least host of all its buckets that may link with it.
+    """
+    seeds = range(hubs)
+    best = [F.min(F.struct(F.xxhash64(F.lit(s), "gid").alias("h"), F.col("gid").alias("hub"), F.col("n").alias("hn"), F.col("at").alias("hat"))).alias(f"h{s}") for s in seeds]
+    hosts = postings.groupBy("token").agg(F.count("*").alias("size"), *best).where("size > 1")
+    met = postings.join(hosts, "token")
 
-def _in_order(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    def ok(s):
+        fits = (F.col(f"h{s}.hub") != F.col("gid")) & _may_link(F.col("n"), F.col(f"h{s}.hn"), F.col("at"), F.col(f"h{s}.hat"), percent)
+        return fits & (F.col("size") >= CROWDED) if s else fits
 
+    chosen = met.groupBy("gid").agg(*[F.min(F.when(ok(s), F.struct(F.col(f"h{s}.h").alias("h"), F.col(f"h{s}.hub").alias("hub")))).alias(f"h{s}") for s in seeds])
+    pairs = chosen.select("gid", F.explode(F.array_distinct(F.filter(F.array(*[F.col(f"h{s}.hub") for s in seeds]), lambda x: x.isNotNull()))).alias("hub"))
+    return _in_order(pairs, "gid", "hub").distinct()
 
-def _nearest_hub(seekers: DataFrame, hosts: DataFrame, seeds: range, percent: int) -> DataFrame:
-    """(id, hub): for each seed, the least host in all of a seeker's buckets that may link with it."""
-    best = [F.min(F.struct(F.xxhash64(F.lit(s), "id").alias("h"), F.col("id").alias("hub"), F.col("n").alias("hn"), F.col("at").alias("hat"))).alias(f"h{s}") for s in seeds]
-    met = seekers.join(hosts.groupBy("token").agg(*best), "token")
-    ok = lambda s: (F.col(f"h{s}.hub") != F.col("id")) & _may_link(F.col("n"), F.col(f"h{s}.hn"), F.col("at"), F.col(f"h{s}.hat"), percent)
-    chosen = met.groupBy("id").agg(*[F.min(F.when(ok(s), F.struct(F.col(f"h{s}.h").alias("h"), F.col(f"h{s}.hub").alias("hub")))).alias(f"h{s}") for s in seeds])
-    return chosen.select("id", F.explode(F.array_distinct(F.filter(F.array(*[F.col(f"h{s}.hub") for s in seeds]), lambda x: x.isNotNull()))).alias("hub"))
 
+def _expand_hubs(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Class pairs of group pairs: each member of a group with the first class of the other; and members with their own first class."""
+    mine = members.select(F.col("gid").alias("a"), "uid")
+    one = pairs.join(mine, "a", "left").select(F.coalesce("uid", "a").alias("a"), "b")
+    two = pairs.join(mine.withColumnRenamed("a", "b"), "b", "left").select("a", F.coalesce("uid", "b").alias("b"))
+    inside = members.where("uid != gid").select(F.col("gid").alias("a"), F.col("uid").alias("b"))
+    return _in_order(one.unionAll(two).unionAll(inside), "a", "b").distinct()
 
-def _mixed(postings: DataFrame, components: DataFrame) -> DataFrame:
-    """Postings of buckets that hold several components, with their own, the bucket's main one and its size."""
-    placed = postings.join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-    per = placed.groupBy("token", "c").agg(F.count("*").alias("k"))
-    main = per.groupBy("token").agg(F.count("*").alias("cs"), F.max(F.struct("k", "c"))["c"].alias("main"), F.sum("k").alias("size")).where("cs > 1").drop("cs")
-    return placed.join(main, "token")
 
+def _open_groups(postings: DataFrame, members: DataFrame, components: DataFrame) -> DataFrame:
+    """Postings of buckets that hold several components, with the group's component (negative: its own, as its classes differ) and the bucket's main one."""
+    placed = members.join(components.withColumnRenamed("node", "uid"), "uid", "left").groupBy("gid").agg(F.min(F.coalesce("component", "uid")).alias("low"), F.max(F.coalesce("component", "uid")).alias("high"))
+    torn = placed.select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1 - F.col("gid")).alias("torn"))
+    own = postings.join(components.withColumnRenamed("node", "gid"), "gid", "left").join(torn, "gid", "left")
+    own = own.select("token", "gid", "n", "at", F.coalesce("torn", "component", "gid").alias("c"))
+    per = own.groupBy("token", "c").agg(F.count("*").alias("k"))
+    main = per.groupBy("token").agg(F.count("*").alias("cs"), F.max(F.struct("k", "c"))["c"].alias("main")).where("cs > 1").drop("cs")
+    return own.join(main, "token")
 
-def _late_pairs(mixed: DataFrame, tried: DataFrame, hubs: int, percent: int) -> DataFrame:
-    """In crowded buckets, what is outside the main component with more hubs from inside it."""
-    crowded = mixed.where(F.col("size") >= CROWDED)
-    pairs = _nearest_hub(crowded.where("c != main"), crowded.where("c = main"), range(100, 100 + hubs), percent)
-    return _in_order(pairs, "id", "hub").distinct().join(tried, ["a", "b"], "left_anti")
 
+def _open_pairs(opened: DataFrame, members: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Class pairs of different components whose groups share a prefix shingle.
 
-def _open_pairs(mixed: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """The pairs of different components that share a prefix shingle and have not been tried."""
-    side = lambda x: mixed.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "at", "c", "main")])
+    Group pairs are formed and filtered first; then they, and groups whose own
+    classes are in several components, expand to classes.
+    """
+    side = lambda x: opened.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("gid", "n", "at", "c", "main")])
     few, every = side("a").where("a_c != a_main"), side("b").drop("b_main")
-    once = (F.col("b_c") == F.col("a_main")) | (F.col("a_id") < F.col("b_id"))
+    once = (F.col("b_c") == F.col("a_main")) | (F.col("a_gid") < F.col("b_gid"))
     rule = (few["token"] == every["token"]) & (F.col("a_c") != F.col("b_c")) & once & _may_link(F.col("a_n"), F.col("b_n"), F.col("a_at"), F.col("b_at"), percent)
-    return _in_order(few.join(every, rule), "a_id", "b_id").distinct().join(tried, ["a", "b"], "left_anti")
+    groups = _in_order(few.join(every, rule), "a_gid", "b_gid").distinct()
+    groups = groups.unionAll(members.where("uid != gid").select(F.col("gid").alias("a"), F.col("gid").alias("b")).distinct())
+    mine = members.select(F.col("gid").alias("a"), "uid")
+    one = groups.join(mine, "a", "left").select(F.coalesce("uid", "a").alias("a"), "b")
+    two = one.join(mine.withColumnRenamed("a", "b"), "b", "left").select("a", F.coalesce("uid", "b").alias("b"))
+    return _apart(_in_order(two.where("a != b"), "a", "b").distinct(), components)
+
+
+def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    for end in ("a", "b"):
+        pairs = pairs.join(components.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")), end, "left")
+    return pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps leave room for a link."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column(0), batch.column(1)
+            ok = [(100 + percent) * most_common(na, x, nb, y) >= percent * (na + nb) for na, x, nb, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True)]
+            yield pa.RecordBatch.from_arrays([a.filter(pa.array(ok, pa.bool_())), b.filter(pa.array(ok, pa.bool_()))], names=["a", "b"])
+
+    for end in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("uid").alias(end), F.col("n").alias(f"n{end}"), F.col("bits").alias(f"bits{end}")), end)
+    return pairs.select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(run, "a long, b long")
+
+
+def word_shingles(text: bytes, words: int) -> set:
+    """The distinct shingles of a text, as tuples of words."""
+    held = text.lower().split()
+    if len(held) < words:
+        return {tuple(held)} if held else set()
+    return set(zip(*[held[k:] for k in range(words)], strict=False))
 
 
-def _verify(pairs: DataFrame, plain: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
-    """The pairs whose sets link.  Sets are made again for the documents in pairs only."""
-    nodes = pairs.select(F.col("a").alias("id")).distinct().unionAll(pairs.select(F.col("b").alias("id")).distinct())
-    shared = plain.sparkSession.sparkContext.broadcast(bloom(nodes, "id", bits))
+def _verify(pairs: DataFrame, classes: DataFrame, plain: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
+    """The pairs whose sets link, decided on words.
+
+    The end with more partners is the host; its text goes once to each lot of about
+    ``PARTNERS`` guests, whose texts stream past it.  Texts are read again for the
+    classes in pairs only (a filter lets a few others pass).
+    """
+    ends = pairs.select(F.col("a").alias("uid")).unionAll(pairs.select(F.col("b").alias("uid"))).groupBy("uid").agg(F.count("*").alias("k"))
+    for end in ("a", "b"):
+        pairs = pairs.join(ends.select(F.col("uid").alias(end), F.col("k").alias(f"k{end}")), end)
+    first = (F.col("ka") > F.col("kb")) | ((F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")))
+    pick_end = lambda x, y: F.when(first, F.col(x)).otherwise(F.col(y))
+    lots = F.ceil(pick_end("ka", "kb") / PARTNERS)
+    placed = pairs.select(pick_end("a", "b").alias("host"), pick_end("b", "a").alias("uid"), F.pmod(F.xxhash64(pick_end("b", "a")), lots).alias("lot"))
+    roles = placed.select("uid", "host", "lot", F.lit(1).alias("side")).unionAll(placed.select(F.col("host").alias("uid"), "host", "lot", F.lit(0).alias("side")).distinct())
+    keyed = roles.join(classes.select("uid", "digest"), "uid")
+    wanted = classes.select("uid", "row_key").join(ends.select("uid"), "uid", "left_semi")
+    shared = plain.sparkSession.sparkContext.broadcast(bloom(wanted, "row_key", bits))
 
     def pick(batches):
-        table, shingler = shared.value, Shingler(words)
+        table, shingler, seen = shared.value, Shingler(words), set()
         for batch in batches:
             ok = bloom_has(table, batch.column(0).to_numpy())
             for cut in slices(batch.filter(pa.array(ok)), "text"):
-                held = [s.tobytes() for s in shingler.sets(bytes_of(cut, "text"))]
-                yield pa.RecordBatch.from_arrays([cut.column(0), pa.array(held, pa.binary())], names=["id", "held"])
-
-    sets = materialise(plain.mapInArrow(pick, "id long, held binary"), "sets")  # the filter may let a few others pass
+                held = texts_of(cut, "text")
+                digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in shingler.sets(bytes_of(cut, "text"))]
+                new = [k for k, d in enumerate(digests) if not (d in seen or seen.add(d))]
+                if len(seen) > 100_000:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays([pa.array([digests[k] for k in new], pa.binary()), pa.array([held[k] for k in new], pa.string())], names=["digest", "text"])
 
     def link(batches):
+        at, host = None, set()
         for batch in batches:
-            a, b, x, y = (batch.column(k) for k in range(4))
-            good = []
-            for p, q in zip(x, y, strict=True):
-                p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                both = int((q[np.minimum(np.searchsorted(q, p), max(0, len(q) - 1))] == p).sum()) if len(p) else 0
-                good.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([a.filter(pa.array(good)), b.filter(pa.array(good))], names=["a", "b"])
-
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("held").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("held").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(link, "a long, b long")
+            good_a, good_b = [], []
+            for where, lot, side, uid, text in zip(*(batch.column(k).to_pylist() for k in range(4)), bytes_of(batch, "text"), strict=True):
+                mine = word_shingles(text, words)
+                if side == 0:
+                    at, host = (where, lot), mine
+                elif at == (where, lot):
+                    both = len(host & mine)
+                    if both and 100 * both >= percent * (len(host) + len(mine) - both):
+                        good_a.append(min(where, uid))
+                        good_b.append(max(where, uid))
+            yield pa.RecordBatch.from_arrays([pa.array(good_a, pa.int64()), pa.array(good_b, pa.int64())], names=["a", "b"])
+
+    texts = plain.select("row_key", "text").mapInArrow(pick, "digest binary, text string")
+    dealt = keyed.join(texts, "digest").select("host", "lot", "side", "uid", "text").repartition("host", "lot").sortWithinPartitions("host", "lot", "side")
+    return dealt.mapInArrow(link, "a long, b long").distinct()
+
+
+def _one_each(pairs: DataFrame) -> DataFrame:
+    """One pair for each class in pairs, most of them with the same few partners."""
+    both = pairs.select("a", "b").unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b").alias("h"), "b"))["b"].alias("b"))
+    return _in_order(least, "a", "b").distinct()
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, hubs: int = HUBS, counter_bits: int = COUNTER_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -269,52 +424,58 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     Documents link when 100 * intersection >= percent * union of their shingle sets.
     """
     plain = _plain(docs, id_col, text)
-    sets = materialise(prefixes(plain, shingle_counts(plain, words, counter_bits), words, percent), "prefixes")
-    full = sets.where("n > 0")
-    same = full.groupBy("digest", "mark", "n").agg(F.min("id").alias("cid"))
-    members = materialise(same.join(same.groupBy("mark", "n").agg(F.min("cid").alias("gid"), F.count("*").alias("of")), ["mark", "n"]), "members")
-    groups = materialise(full.groupBy("mark", "n").agg(F.min("id").alias("gid"), F.first("prefix").alias("prefix")), "groups")
-
-    shared = _postings(groups, filter_bits)
-    several = members.where("of > 1")
-    expanded = shared.join(several.select("gid", "n", "cid"), ["gid", "n"], "left").select("token", F.coalesce("cid", "gid").alias("id"), "n", "at")
-    inside = several.select(F.xxhash64("gid", "n", "mark").alias("token"), F.col("cid").alias("id"), "n", F.lit(0).alias("at"))
-    postings = materialise(expanded.unionAll(inside), "postings")
-
-    tried = materialise(_hub_pairs(postings, hubs, percent), "hubs")
-    links = materialise(_verify(tried, plain, words, percent, filter_bits), "links")
-    components = connected_components(links)
-    for find in (lambda m: _late_pairs(m, tried, LATE_HUBS, percent), lambda m: _open_pairs(m, tried, percent)):
-        more = materialise(find(_mixed(postings, components)), "pairs")
-        if not more.isEmpty():
-            links = links.unionAll(materialise(_verify(more, plain, words, percent, filter_bits), "links"))
-            tried = tried.unionAll(more)
-            components = connected_components(links)
-
-    of = members.select("digest", "cid").join(components.withColumnRenamed("node", "cid"), "cid", "left").select("digest", F.coalesce("component", "cid").alias("component"))
-    null = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
-    joined = sets.select("id", "n", "digest").join(of, "digest", "left").withColumn("component", F.coalesce("component", "id"))
-    return joined.select(null("id").alias("doc_id"), F.col("n").alias("n_shingles"), null("component").alias("component_id"))
+    tables = Tables(docs.sparkSession, "jaccard")
+    rows = tables.save(prefixes(plain, shingle_counts(plain, words, counter_bits), words, percent), "rows")
+    own = [F.first(c).alias(c) for c in ("n", "mark", "prefix", "bits")]
+    classes = rows.where("n > 0").groupBy("digest").agg(F.min("id").alias("least_id"), F.min("row_key").alias("row_key"), *own)
+    classes = tables.save(classes.withColumn("uid", F.monotonically_increasing_id()), "classes")
+    rows = tables.save(rows.select("id", "n", "digest"), "sizes")
+    tables.drop("rows")
+    several = classes.groupBy("mark", "n").agg(F.min("uid").alias("gid"), F.count("*").alias("of")).where("of > 1")
+    members = tables.save(classes.select("uid", "mark", "n").join(several, ["mark", "n"]).select("uid", "gid"), "members")
+    groups = classes.select(F.col("uid").alias("gid"), "n", "prefix").join(members.where("uid != gid").select(F.col("uid").alias("gid")), "gid", "left_anti")
+    postings = tables.save(_postings(groups, filter_bits), "postings")
+
+    def joined_by(pairs: DataFrame, name: str, components: DataFrame | None) -> DataFrame:
+        """The components after verifying ``pairs``."""
+        pairs = tables.save(pairs, name)
+        if components is not None and pairs.isEmpty():
+            return components
+        links = tables.save(_verify(pairs, classes, plain, words, percent, filter_bits), f"{name}_links")
+        if components is not None:
+            links = links.unionAll(components.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        return connected_components(links)
+
+    near = tables.save(_bounded(_expand_hubs(_hub_pairs(postings, max(1, hubs), percent), members), classes, percent), "near")
+    components = joined_by(_one_each(near), "first", None)
+    components = joined_by(_apart(near, components), "second", components)
+    mixed = tables.save(_open_groups(postings, members, components), "mixed")
+    components = joined_by(_bounded(_open_pairs(mixed, members, components, percent), classes, percent), "third", components)
+    tables.drop("postings", "mixed", "near", "first", "second", "third")
+
+    placed = classes.select("uid", "digest", "least_id").join(components.withColumnRenamed("node", "uid"), "uid", "left").select("digest", "least_id", F.coalesce("component", "uid").alias("c"))
+    of = tables.save(placed.join(placed.groupBy("c").agg(F.min("least_id").alias("component_id")), "c").select("digest", "component_id"), "component_ids")
+    tables.drop("classes", "members")
+    joined = rows.join(of, "digest", "left")
+    return joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of each component: the smallest id, null after all others.
+    """One row of each component: the smallest id, null after all others; then the smallest hash of the text.
 
-    Where ids are null or repeated, a document is an id with a text (by a hash of 62
-    bits), so texts of one id that are not similar both stay; of rows that agree in
-    both, the least by all columns stays.  Rows without id and words are no copies.
+    Rows are told apart by id and text (a hash of 64 bits), so texts of one id that are
+    not similar both stay; of rows with words that agree in both, the least by all
+    columns stays.  Rows without words are no copies.
     """
-    ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.count("*").alias("k"))
-    if ids.where((F.col("k") > 1) | F.col("id").isNull() | (F.col("id") >= NO_ID)).isEmpty():
-        found = materialise(similar_documents(docs, id_col, text, **options), "similar")
-        gone = found.where("component_id != doc_id").select("doc_id")
-        return docs.join(gone, docs[id_col].cast("long") == gone["doc_id"], "left_anti")
-    own = docs.withColumn("__node", F.pmod(F.xxhash64(F.col(id_col).isNull(), id_col, F.coalesce(F.col(text), F.lit(""))), F.lit(NO_ID)))
-    nodes = own.groupBy("__node").agg(F.min(id_col).alias("__id"))
-    found = materialise(similar_documents(own.select("__node", text), "__node", text, **options).distinct(), "similar")
-    placed = found.withColumnRenamed("doc_id", "__node").join(nodes, "__node")
-    loose = placed.where("n_shingles = 0 and __id is null").select("__node")
-    stays = placed.groupBy("component_id").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__node"))["__node"].alias("__node"))
-    rows = own.join(loose, "__node", "left_anti").join(stays, "__node", "left_semi")
-    once = rows.groupBy("__node").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
-    return once.select("__row.*").unionByName(own.join(loose, "__node", "left_semi").drop("__node"))
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("hash"))
+    tables = Tables(docs.sparkSession, "keep_one")
+    found = tables.save(similar_documents(docs.select(key.alias("key"), F.col(f"`{text}`").alias("text")), "key", "text", **options).where("n_shingles > 0").select("doc_id", "component_id"), "similar")
+    gone = tables.save(found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    stay = docs.join(gone, key == gone["__gone"], "left_anti")
+    again = tables.save(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__again")).agg(F.count("*").alias("k")).where("k > 1").select("__again"), "again")
+    if again.isEmpty():
+        return stay
+    once = stay.join(again, key == again["__again"], "left_semi").groupBy(key.alias("__key")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
+    return stay.join(again, key == again["__again"], "left_anti").unionByName(once.select("__row.*"))
