@@ -2,7 +2,9 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.llm import components, exact_dedup, jaccard_join, line_dedup, queries
 
@@ -70,6 +72,22 @@ def test_exact_edges(make_docs):
     assert exact_dedup.exact_groups(docs.limit(0)).count() == 0
 
 
+def test_index_takes_documents_in_turns(spark, make_docs):
+    """Levels fill, are merged and stay sorted runs; all at once or in turns the entries are the same."""
+    texts = [f"text {i % 37}" for i in range(150)]
+    whole = exact_dedup.DigestIndex(spark)
+    whole.add(exact_dedup.postings(make_docs(texts)))
+    turns = exact_dedup.DigestIndex(spark, fanout=2, memtable_rows=8)
+    for a in range(0, 150, 30):
+        turns.add(exact_dedup.postings(make_docs(texts[a : a + 30], first=a)))
+    assert len(turns.levels) > 2
+    read = lambda index: sorted((bytes(r["digest"]), r["keep_points"], r["keep_id"], r["n"]) for r in index.entries().collect())
+    assert read(turns) == read(whole) and len(read(whole)) == 37
+    for part in turns.entries().select("digest").rdd.glom().collect():
+        held = [bytes(r[0]) for r in part]
+        assert held == sorted(held)
+
+
 def test_exact_query(spark, sf_dir, documents):
     want = brute_exact(documents.select("doc_id", "text").collect())
     got = queries.op5_exact_dedup(spark, sf_dir).collect()
@@ -119,7 +137,7 @@ def test_similar_without_many_hubs(make_docs, monkeypatch):
     """The exact second step alone must find what the hubs miss."""
     monkeypatch.setattr(jaccard_join, "CROWDED", 10**9)
     texts = near_texts(40)
-    got = jaccard_join.similar_documents(make_docs(texts), hubs=1).collect()
+    got = jaccard_join.similar_documents(make_docs(texts), hubs=1, late_hubs=1).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_similar(list(enumerate(texts)))
 
 
@@ -132,6 +150,52 @@ def test_similar_edges(make_docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4] and kept.columns == docs.columns
 
 
+def test_similar_ids_of_any_type(spark, make_docs):
+    """Ids beyond 2**62 and ids that are texts; a null id that links and one that does not."""
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    big = 2**62 + 1
+    docs = make_docs([(big, text(1)), (big + 5, text(1) + " end"), (None, text(1)), (None, text(2)), (7, text(3))])
+    got = Counter((r["doc_id"], r["component_id"]) for r in jaccard_join.similar_documents(docs).collect())
+    assert got == Counter([(big, big), (big + 5, big), (None, big), (None, None), (7, 7)])
+    kept = Counter((r["doc_id"], r["text"]) for r in jaccard_join.keep_one(docs).collect())
+    assert kept == Counter([(big, text(1)), (None, text(2)), (7, text(3))])
+    named = docs.selectExpr("concat('d', doc_id) doc_id", "text")
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard_join.similar_documents(named).collect()} == {(f"d{big}", f"d{big}"), (f"d{big + 5}", f"d{big}"), (None, f"d{big}"), (None, None), ("d7", "d7")}
+
+
+def test_groups_of_one_prefix(make_docs, monkeypatch):
+    """Different sets of one prefix and size are a group; its pairs expand to classes and lose no link."""
+    plain = jaccard_join.prefixes
+
+    def same_mark(*args, **options):
+        return plain(*args, **options).withColumn("mark", F.lit("m").cast("binary"))
+
+    monkeypatch.setattr(jaccard_join, "prefixes", same_mark)
+    monkeypatch.setattr(jaccard_join, "prefix_length", lambda n, percent: n)
+    texts = near_texts(30) + [f"p q r s t u v w {i}" for i in range(6)]
+    got = jaccard_join.similar_documents(make_docs(texts)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_similar(list(enumerate(texts)))
+
+
+def test_bitmap_bound():
+    """The bound is never below the intersection, whatever the sizes, and folds wider maps."""
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        pool = rng.integers(0, 2**63, 400).astype(np.uint64)
+        a, b = (np.unique(rng.choice(pool, rng.integers(1, 400))) for _ in range(2))
+        both = len(np.intersect1d(a, b))
+        top = jaccard_join.most_common(len(a), jaccard_join.parity_bits(a), len(b), jaccard_join.parity_bits(b))
+        assert both <= top <= min(len(a), len(b))
+    assert jaccard_join.most_common(len(a), jaccard_join.parity_bits(a), len(a), jaccard_join.parity_bits(a)) == len(a)
+
+
+def test_very_long_texts_link(make_docs):
+    words = [f"w{k % 977}x{k}" for k in range(120_000)]
+    texts = [" ".join(words), " ".join(words[:-3000]), "x" * 600_000, "x" * 600_000 + "y", " ".join(words[:60_000])]
+    got = jaccard_join.similar_documents(make_docs(texts)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {0: (119_996, 0), 1: (116_996, 0), 2: (1, 2), 3: (1, 3), 4: (59_996, 4)}
+
+
 def test_similar_query(spark, sf_dir, documents):
     want = brute_similar(documents.select("doc_id", "text").collect())
     got = queries.op9_jaccard_join(spark, sf_dir).collect()

@@ -11,7 +11,8 @@
 3.  Group pairs are formed in the buckets and filtered by size and position.  The
     first round pairs each group with hubs of its buckets (the groups with the least
     seeded hash; in crowded buckets several), so a large cluster of near copies costs
-    a number of pairs linear in its size.
+    a number of pairs linear in its size.  A second round pairs what is still outside of
+    a bucket's main component with hubs from inside it.
 4.  Group pairs expand to pairs of classes.  A parity bitmap of each set, whose width
     follows the set's size, bounds the intersection from above; pairs that cannot
     link go.  The rest are verified on the words of the texts themselves, a hub's
@@ -50,6 +51,7 @@ PERCENT = 80
 COUNTER_BITS = 21
 FILTER_BITS = 26
 HUBS = 4
+LATE_HUBS = 24
 CROWDED = 16  # postings of a bucket from which more hubs pay
 PARTNERS = 256  # that share one copy of a hub's text
 CHUNK = 1 << 18  # bytes hashed at a time
@@ -274,19 +276,17 @@ def _in_order(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
 
-def _hub_pairs(postings: DataFrame, hubs: int, percent: int) -> DataFrame:
-    """Group pairs: each group with a hub of its buckets, and with ``hubs`` in crowded ones.
+def _nearest_hubs(seekers: DataFrame, hosts: DataFrame, seeds: range, percent: int) -> DataFrame:
+    """Group pairs: for each seed, a seeker with the host of least seeded hash in all its buckets that may link with it.
 
-    For each seed, a group takes the least host of all its buckets that may link with it.
+    Seeds other than the first ask only in crowded buckets.
     """
-    seeds = range(hubs)
     best = [F.min(F.struct(F.xxhash64(F.lit(s), "gid").alias("h"), F.col("gid").alias("hub"), F.col("n").alias("hn"), F.col("at").alias("hat"))).alias(f"h{s}") for s in seeds]
-    hosts = postings.groupBy("token").agg(F.count("*").alias("size"), *best).where("size > 1")
-    met = postings.join(hosts, "token")
+    met = seekers.select("token", "gid", "n", "at").join(hosts.groupBy("token").agg(F.count("*").alias("size"), *best), "token")
 
     def ok(s):
         fits = (F.col(f"h{s}.hub") != F.col("gid")) & _may_link(F.col("n"), F.col(f"h{s}.hn"), F.col("at"), F.col(f"h{s}.hat"), percent)
-        return fits & (F.col("size") >= CROWDED) if s else fits
+        return fits & (F.col("size") >= CROWDED) if s != seeds[0] else fits
 
     chosen = met.groupBy("gid").agg(*[F.min(F.when(ok(s), F.struct(F.col(f"h{s}.h").alias("h"), F.col(f"h{s}.hub").alias("hub")))).alias(f"h{s}") for s in seeds])
     pairs = chosen.select("gid", F.explode(F.array_distinct(F.filter(F.array(*[F.col(f"h{s}.hub") for s in seeds]), lambda x: x.isNotNull()))).alias("hub"))
@@ -418,7 +418,7 @@ def _one_each(pairs: DataFrame) -> DataFrame:
     return _in_order(least, "a", "b").distinct()
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, hubs: int = HUBS, counter_bits: int = COUNTER_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, hubs: int = HUBS, late_hubs: int = LATE_HUBS, counter_bits: int = COUNTER_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
     """doc_id, n_shingles and component_id, one row per row of ``docs``.
 
     Documents link when 100 * intersection >= percent * union of their shingle sets.
@@ -446,12 +446,19 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
             links = links.unionAll(components.select(F.col("component").alias("a"), F.col("node").alias("b")))
         return connected_components(links)
 
-    near = tables.save(_bounded(_expand_hubs(_hub_pairs(postings, max(1, hubs), percent), members), classes, percent), "near")
-    components = joined_by(_one_each(near), "first", None)
-    components = joined_by(_apart(near, components), "second", components)
+    def expanded(hub_pairs: DataFrame, name: str) -> DataFrame:
+        return tables.save(_bounded(_expand_hubs(hub_pairs, members), classes, percent), name)
+
+    near = expanded(_nearest_hubs(postings, postings, range(max(1, hubs)), percent), "near")
+    components = joined_by(_one_each(near), "near_one", None)
+    components = joined_by(_apart(near, components), "near_rest", components)
     mixed = tables.save(_open_groups(postings, members, components), "mixed")
-    components = joined_by(_bounded(_open_pairs(mixed, members, components, percent), classes, percent), "third", components)
-    tables.drop("postings", "mixed", "near", "first", "second", "third")
+    late = expanded(_nearest_hubs(mixed.where("c != main"), mixed.where("c = main"), range(100, 100 + max(1, late_hubs)), percent), "late")
+    components = joined_by(_one_each(_apart(late, components)), "late_one", components)
+    components = joined_by(_apart(late, components), "late_rest", components)
+    mixed = tables.save(_open_groups(postings, members, components), "open")
+    components = joined_by(_bounded(_open_pairs(mixed, members, components, percent), classes, percent), "last", components)
+    tables.drop("postings", "near", "near_one", "near_rest", "mixed", "late", "late_one", "late_rest", "open", "last")
 
     placed = classes.select("uid", "digest", "least_id").join(components.withColumnRenamed("node", "uid"), "uid", "left").select("digest", "least_id", F.coalesce("component", "uid").alias("c"))
     of = tables.save(placed.join(placed.groupBy("c").agg(F.min("least_id").alias("component_id")), "c").select("digest", "component_id"), "component_ids")
