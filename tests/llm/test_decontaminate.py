@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from tidewater.llm import decontaminate, queries
 
 
@@ -44,7 +46,7 @@ def test_random(spark, make_docs):
     docs = make_docs(texts)
     want = brute(list(enumerate(texts)), items)
     assert result(decontaminate.contamination(docs, bench)) == want
-    assert result(decontaminate.contamination(docs, bench, block_words=5)) == want
+    assert result(decontaminate.contamination(docs, bench, block_words=20)) == want
 
 
 def test_longest_match(spark, make_docs):
@@ -54,6 +56,35 @@ def test_longest_match(spark, make_docs):
     assert [tuple(m) for m in row["matches"]] == [("1", 2, 4, 16)] and row["n_hit"] == 16
 
 
+def test_suffix_array():
+    rng = random.Random(2)
+    for _ in range(200):
+        ids = np.array([rng.randrange(3) for _ in range(rng.randrange(40))], np.int64)
+        assert decontaminate.suffix_array(ids, 10**6).tolist() == sorted(range(len(ids)), key=lambda i: ids[i:].tolist())
+
+
+def test_block_of_many_words():
+    """More than 2**21 different words in a block, and a text that has none of its windows."""
+    many = [b"w%d" % k for k in range(2_200_000)]
+    made = decontaminate.Suffixes([("a", 0, 10, many)])
+    text = b" ".join(many[2_100_000:2_100_012]) + b" " + b" ".join(many[k] for k in range(0, 40_000, 2000))
+    n, hit, matches = decontaminate.find_matches([text, b" ".join(many[5:14])], made)
+    assert n.tolist() == [32, 9] and hit.sum() == 12 and matches.tolist() == [[0, 0, 0, 2_100_000, 12]]
+
+
+def test_parts_of_a_long_item(spark, make_docs):
+    item = " ".join(f"w{k}" for k in range(100))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = make_docs([" ".join(f"w{k}" for k in range(a, a + 12)) for a in range(0, 88, 5)])
+    assert {r["n_hit"] for r in decontaminate.contamination(docs, bench, block_words=30).collect()} == {12}
+
+
+def test_very_long_text(spark, make_docs):
+    bench = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(20)))], "item_id long, text string")
+    docs = make_docs(["z w1 " * 400_000 + " ".join(f"w{k}" for k in range(3, 15))])
+    assert decontaminate.contamination(docs, bench).first()["n_hit"] == 12
+
+
 def test_edges(spark, make_docs):
     bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     docs = make_docs([(1, "ONE, two three"), (1, "ONE, two three"), (None, "clean"), (2, None)]).selectExpr("*", "'m' matches", "5 n_hit")
