@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -48,8 +49,21 @@ def test_any_text(codec, reference, texts):
     assert lists(codec, texts) == [reference.encode_ordinary(t) for t in texts]
 
 
-def test_memo_may_overflow(codec, reference, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO", 5)
+def test_very_long_piece(codec, reference):
+    """A piece of a million bytes takes n log n time; a text of that size in pieces is compared as a whole."""
+    rng = random.Random(9)
+    piece = "".join(rng.choice("etaoinshr") for _ in range(1_000_000))
+    began = time.time()
+    ids, per = codec.encode([piece])
+    assert time.time() - began < 30 and codec.decode(ids, per)[0].tobytes() == piece.encode()
+    assert lists(codec, [piece[:30_000]]) == [reference.encode_ordinary(piece[:30_000])]
+    codec.encode(["x"])
+    assert codec.held < bpe.MEMO_BYTES
+
+
+@pytest.mark.parametrize("limit", ["MEMO", "MEMO_BYTES"])
+def test_memo_may_overflow(codec, reference, monkeypatch, limit):
+    monkeypatch.setattr(bpe, limit, 5)
     texts = [f"word{i} and more{i}" for i in range(20)]
     for a in range(0, 20, 2):
         assert lists(codec, texts[a : a + 2]) == [reference.encode_ordinary(t) for t in texts[a : a + 2]]

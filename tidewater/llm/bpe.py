@@ -5,20 +5,23 @@ rows that are not in the worker's bounded memo go to matrices, one per length
 bucket: a row is a piece, a cell a token, short rows are padded.  In each round
 every row merges its leftmost pair of least rank; pair ranks come from an
 open-addressing hash table of numpy arrays, finished rows leave the matrix and
-the others close the gap.  Pieces over ``LONG`` bytes run as single rows, where a
-round merges every occurrence of the least pair at once if no token of a lower
-rank contains the merged bytes (then the order of those merges cannot matter),
-else only the leftmost.
+the others close the gap.  A piece beyond the widest bucket takes the same merges, the
+leftmost pair of least rank each time, from a heap of its pairs, in time n log n, as
+a matrix row would need time n * n.
 
 Defined cases: a null text counts as empty; an empty text has no ids and decodes
 to nothing; repeated rows are encoded alike; special-token strings are ordinary
-text; an id outside the vocabulary fails the decoding with a ``ValueError``.
+text; an id outside the vocabulary fails the decoding with a ``ValueError``; a very
+long text or piece costs memory of its own length times a constant; other columns pass
+through, but for one that bears the name of an output, which is replaced.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import itertools
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +32,9 @@ from pyspark.sql import types as T
 
 from tidewater.llm.common import annotate, ragged, texts_of
 
-BUCKETS = (4, 6, 8, 12, 16, 24, 32, 64)
-LONG = BUCKETS[-1]
-MEMO = 250_000  # distinct pieces that a Python worker remembers
+BUCKETS = (4, 6, 8, 12, 16, 24, 32, 64, 128, 256)
+MEMO = 250_000  # distinct pieces that a Python worker remembers, and
+MEMO_BYTES = 8 << 20  # their characters together
 NONE = np.int32(2**31 - 1)
 
 
@@ -112,13 +115,12 @@ class Codec:
         self.flat = np.frombuffer(b"".join(tokens), np.uint8)
         self.size = np.array([len(t) for t in tokens], np.int64)
         self.at = np.cumsum(self.size) - self.size
-        self._safe: np.ndarray | None = None
         self._reset()
 
     def _reset(self) -> None:
         self.memo: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
-        self.used = 0
+        self.used = self.held = 0
         self.start = np.zeros(1 << 12, np.int64)
         self.length = np.zeros(1 << 12, np.int64)
 
@@ -137,8 +139,8 @@ class Codec:
                 cells = np.full((len(rows), width), -1, np.int32)
                 cells[np.arange(width) < size[rows, None]] = flat
                 self._bucket(cells, rows, out)
-        for i in np.flatnonzero(size > LONG):
-            out[i] = self._long(self.byte_id[np.frombuffer(pieces[i], np.uint8)])
+        for i in np.flatnonzero(size > BUCKETS[-1]):
+            out[i] = self._by_heap(self.byte_id[np.frombuffer(pieces[i], np.uint8)])
         return out
 
     def _bucket(self, cells: np.ndarray, rows: np.ndarray, out: list[np.ndarray]) -> None:
@@ -172,38 +174,36 @@ class Codec:
             right = best < width - 2
             rank[each[right], best[right]] = self.pairs.get(value[right], cells[each[right], best[right] + 1])
 
-    def _long(self, row: np.ndarray) -> np.ndarray:
-        if self._safe is None:
-            self._safe = np.ones(len(self.tokens), bool)
-            for i, t in enumerate(self.tokens):
-                for a in range(len(t)):
-                    for b in range(a + 2, len(t) + 1):
-                        j = self.whole.get(t[a:b])
-                        if j is not None and j > i:
-                            self._safe[j] = False
-        rank = self.pairs.get(row[:-1], row[1:])
-        while len(rank):
-            least = rank.min()
-            if least == NONE:
-                break
-            at = np.flatnonzero(rank == least)
-            if self._safe[least]:  # left to right, without overlaps
-                run = np.r_[True, np.diff(at) > 1]
-                begin = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
-                at = at[(np.arange(len(at)) - begin) % 2 == 0]
-            else:
-                at = at[:1]
-            row = row.copy()
-            row[at] = least
-            stay = np.ones(len(row), bool)
-            stay[at + 1] = False
-            row = row[stay]
-            rank = np.delete(rank, at)
-            now = at - np.arange(len(at))
-            touched = np.unique(np.r_[now - 1, now])
-            touched = touched[(touched >= 0) & (touched < len(rank))]
-            rank[touched] = self.pairs.get(row[touched], row[touched + 1])
-        return row
+    def _by_heap(self, row: np.ndarray) -> np.ndarray:
+        """The ids of one long piece; a heap entry is rank and place, stale ones are passed over."""
+        rank = self.pairs.get(row[:-1], row[1:]).tolist()
+        heap = [r << 32 | i for i, r in enumerate(rank) if r != NONE]
+        heapq.heapify(heap)
+        n, ids, tokens, find, none = len(row), row.tolist(), self.tokens, self.whole.get, int(NONE)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            entry = heapq.heappop(heap)
+            i = entry & 0xFFFFFFFF
+            if rank[i] != entry >> 32:
+                continue
+            gone = after[i]
+            ids[i], ids[gone] = rank[i], -1
+            if gone < n - 1:
+                rank[gone] = none
+            after[i] = k = after[gone]
+            if k < n:
+                before[k] = i
+                rank[i] = r = find(tokens[ids[i]] + tokens[ids[k]], none)
+                if r != none:
+                    heapq.heappush(heap, r << 32 | i)
+            elif i < n - 1:
+                rank[i] = none
+            j = before[i]
+            if j >= 0:
+                rank[j] = r = find(tokens[ids[j]] + tokens[ids[i]], none)
+                if r != none:
+                    heapq.heappush(heap, r << 32 | j)
+        return np.array([x for x in ids if x >= 0], np.int32)
 
     # --- texts -------------------------------------------------------------
 
@@ -220,13 +220,14 @@ class Codec:
         self.start[first : first + n] = self.used + np.cumsum(length) - length
         self.length[first : first + n] = length
         self.used += total
+        self.held += sum(map(len, pieces))
         self.memo.update(zip(pieces, range(first, first + n), strict=True))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
         found = [self.find(t) if t else [] for t in texts]
         new = set().union(*found).difference(self.memo) if found else set()
-        if len(self.memo) + len(new) > MEMO:
+        if len(self.memo) + len(new) > MEMO or self.held > MEMO_BYTES:
             self._reset()
             new = set().union(*found)
         if new:
@@ -249,14 +250,22 @@ class Codec:
         return ragged(self.flat, self.at[ids], length), ends[bounds[1:]] - ends[bounds[:-1]]
 
 
+class Ranks:
+    """A vocabulary as a broadcast variable, with a name for the workers' codecs."""
+
+    def __init__(self, shared):
+        self.shared, self.key = shared, uuid.uuid4().hex
+
+
 _CODECS: dict[tuple, Codec] = {}
 
 
-def _codec(shared, pattern: str) -> Codec:
-    key = (shared.id if hasattr(shared, "id") else id(shared), pattern)
+def _codec(ranks: Ranks, pattern: str) -> Codec:
+    """The codec of a worker, made once for a vocabulary and pattern."""
+    key = (ranks.key, pattern)
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(shared.value, pattern)
+        _CODECS[key] = Codec(ranks.shared.value, pattern)
     return _CODECS[key]
 
 
@@ -265,9 +274,9 @@ def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-def share_ranks(spark: SparkSession, path: str):
+def share_ranks(spark: SparkSession, path: str) -> Ranks:
     """The vocabulary as a broadcast variable: a fixed file, under 2 MB for 50,000 tokens."""
-    return spark.sparkContext.broadcast(read_ranks(path))
+    return Ranks(spark.sparkContext.broadcast(read_ranks(path)))
 
 
 def encode(df: DataFrame, text: str, ranks, pattern: str, out: str = "ids", count: str = "n_tokens", keep: list[str] | None = None) -> DataFrame:
