@@ -3,21 +3,26 @@
 ``postings``   one row per document: its digest, code points and id.
 memtables      each task collects postings and flushes runs, sorted by digest, of
                (digest, best document, number); a hot digest is one entry of a run.
-compaction     the runs are merged by digest: the smallest sort key (most code
-               points, then smallest id) and the sum of the numbers stay.
-filter         a Bloom filter of fixed size over the digests that occur twice.
-hits           documents that pass the filter carry their bytes to the kept
+levels         a flush adds a table of runs to level 0; when a level holds ``FANOUT``
+               tables they are merged into one table of the next level, whose tasks
+               each write one run.
+compaction     sorted runs stream through a merge: of the entries of a digest the
+               smallest stays (most code points, then smallest id), the numbers add up.
+filters        each run of a table has a Bloom filter of the digests that occur twice;
+               all filters have one size, so their union is a filter of that size.
+hits           documents that pass the filters carry their bytes to those of the kept
                document of their digest and are compared byte by byte; rows that
-               differ go through the index again among themselves, so a digest
+               differ go through an index again among themselves, so a digest
                that two texts share still ends in two groups.
 
-``merge_runs`` takes any number of runs or compacted levels, so an index kept as
-a table can take in later documents.
+The bytes of a group meet the kept document's in a join whose other side has one row
+per digest: it is broadcast while small, else adaptive execution splits hot digests.
 
 Defined cases: a null text counts as empty and equals other empty texts; a row
 with a null id stays only if no equal text of its length has an id; repeated rows
 with one id all name that id, and one that shares id and length with the row that
-stays counts as kept too.
+stays counts as kept too; on an empty table the result is empty; other columns, whatever
+their names, play no part; a very long text costs a few times its own length.
 """
 
 from __future__ import annotations
@@ -28,10 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewater.llm.common import ASCII_SPACE, annotate, bloom, bloom_has, bytes_of, materialise
+from tidewater.llm.common import ASCII_SPACE, Tables, annotate, bloom, bloom_has, bytes_of, materialise
 
 MEMTABLE_ROWS = 50_000
+FANOUT = 4  # tables of a level that are merged into one of the next
 
 
 def normalise(text: bytes) -> bytes:
@@ -58,7 +65,7 @@ def postings(docs: DataFrame, id_col: str = "doc_id", text: str = "text", digest
 
 
 def flush_runs(posted: DataFrame, memtable_rows: int = MEMTABLE_ROWS) -> DataFrame:
-    """Sorted runs of (digest, slot, keep_points, keep_id, n), one for each full memtable."""
+    """A table of sorted runs of (digest, slot, keep_points, keep_id, n), one for each full memtable."""
 
     def flush(held):
         table = pa.Table.from_batches(held).sort_by([("digest", "ascending"), ("points", "descending"), ("id", "ascending")])
@@ -83,13 +90,71 @@ def flush_runs(posted: DataFrame, memtable_rows: int = MEMTABLE_ROWS) -> DataFra
     return posted.select("digest", "slot", "points", "id").mapInArrow(memtables, f"digest binary, slot long, keep_points int, keep_id {kind}, n long")
 
 
-def merge_runs(*runs: DataFrame) -> DataFrame:
-    """Compaction: one entry per digest over all runs."""
-    every = runs[0]
-    for r in runs[1:]:
-        every = every.unionByName(r)
-    best = F.min(F.struct((-F.col("keep_points")).alias("p"), F.col("keep_id").isNull().alias("no"), F.col("keep_id").alias("id"))).alias("best")
-    return every.groupBy("digest", "slot").agg(F.sum("n").alias("n"), best).select("digest", "slot", "n", (-F.col("best.p")).alias("keep_points"), F.col("best.id").alias("keep_id"))
+def merge_runs(*tables: DataFrame) -> DataFrame:
+    """Compaction: the runs of ``tables`` merged into sorted runs with one entry per digest over all."""
+    every = tables[0]
+    for t in tables[1:]:
+        every = every.unionByName(t)
+    schema = every.schema
+    names = schema.names
+    order = [F.col("digest"), F.col("keep_points").desc(), F.col("keep_id").asc_nulls_last()]
+    kind = pa.schema([("digest", pa.binary()), ("slot", pa.int64()), ("keep_points", pa.int32()), ("keep_id", to_arrow_schema(schema).field("keep_id").type), ("n", pa.int64())])
+
+    def merge(batches):
+        last = None
+        for batch in batches:
+            out = []
+            for digest, slot, points, keep, n in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in kind.names), strict=True):
+                if last is not None and last[0] == digest:
+                    last[4] += n
+                else:
+                    if last is not None:
+                        out.append(last)
+                    last = [digest, slot, points, keep, n]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kind.types, strict=True)] if out else [pa.array([], t) for t in kind.types], names=kind.names)
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(last, kind.types, strict=True)], names=kind.names)
+
+    sorted_ = every.repartition("digest").sortWithinPartitions(*order)
+    return sorted_.mapInArrow(merge, T.StructType([schema[n] for n in kind.names])).select(*names)
+
+
+class DigestIndex:
+    """Levels of sorted runs; ``add`` flushes postings, ``entries`` merges what the levels hold."""
+
+    def __init__(self, spark, fanout: int = FANOUT, memtable_rows: int = MEMTABLE_ROWS):
+        self.tables, self.fanout, self.memtable_rows = Tables(spark, "index"), fanout, memtable_rows
+        self.levels: list[list[tuple[str, DataFrame]]] = [[]]
+        self.made = 0
+
+    def _put(self, level: int, df: DataFrame) -> None:
+        while len(self.levels) <= level:
+            self.levels.append([])
+        name = f"level{level}-{self.made}"
+        self.made += 1
+        self.levels[level].append((name, self.tables.save(df, name)))
+
+    def add(self, posted: DataFrame) -> None:
+        """Flush the postings of documents; compact the levels that are full."""
+        self._put(0, flush_runs(posted, self.memtable_rows))
+        for level in range(len(self.levels)):
+            if len(self.levels[level]) >= self.fanout:
+                self.compact(level)
+
+    def compact(self, level: int) -> None:
+        held = self.levels[level]
+        self._put(level + 1, merge_runs(*[t for _, t in held]))
+        self.levels[level] = []
+        self.tables.drop(*[n for n, _ in held])
+
+    def entries(self) -> DataFrame:
+        """One entry per digest: all tables merged into one of the highest level, if they are not yet."""
+        held = [t for level in self.levels for t in level]
+        if len(held) > 1 or self.levels[0]:
+            top = max(1, len(self.levels) - 1)
+            self.levels = [[] for _ in range(top)] + [held]
+            self.compact(top)
+        return next(level[0][1] for level in self.levels if level)
 
 
 def _suspects(docs: DataFrame, id_col: str, text: str, digest_bytes: int, filter_table) -> DataFrame:
@@ -120,26 +185,29 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", di
     ``digest_bytes`` shortens the index key; tests use it to force two texts onto one digest.
     """
     posted = materialise(postings(docs, id_col, text, digest_bytes), "postings")
-    level = materialise(merge_runs(flush_runs(posted, memtable_rows)), "level")
-    hits = level.where("n > 1")
+    built = DigestIndex(docs.sparkSession, memtable_rows=memtable_rows)
+    built.add(posted)
+    hits = built.entries().where("n > 1")
     suspects = materialise(_suspects(docs, id_col, text, digest_bytes, bloom(hits, "slot", filter_bits)), "suspects")
 
     parts, left, index = [], suspects, hits
     while True:
         held = index.select("digest", "keep_id", "keep_points")
-        same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points"))
-        texts = left.join(held, "digest").where(same).groupBy("digest").agg(F.min("norm").alias("keep_norm"))
-        checked = left.join(held, "digest").join(texts, "digest").withColumn("equal", F.col("norm") == F.col("keep_norm")).drop("keep_norm")
+        kept = (left["digest"] == held["digest"]) & left["id"].eqNullSafe(held["keep_id"]) & (left["points"] == held["keep_points"])
+        keepers = left.join(held, kept).groupBy(left["digest"], "keep_id", "keep_points").agg(F.min("norm").alias("keep_norm"))
+        checked = left.join(materialise(keepers, "keepers"), "digest").withColumn("equal", F.col("norm") == F.col("keep_norm")).drop("keep_norm")
         differ = materialise(checked.where("not equal").drop("equal", "keep_id", "keep_points"), "differ")
         if not parts and differ.isEmpty():
             break
-        size = checked.where("equal").groupBy("digest").agg(F.count("*").alias("n"))
-        parts.append(checked.where("equal").join(size, "digest").select("id", "points", "digest", "sha", "keep_id", "keep_points", "n"))
+        same = checked.where("equal").drop("norm")
+        size = same.groupBy("digest").agg(F.count("*").alias("n"))
+        parts.append(same.join(size, "digest").select("id", "points", "digest", "sha", "keep_id", "keep_points", "n"))
         if differ.isEmpty():
             break
         left = differ
-        runs = left.select("digest", F.lit(0).cast("long").alias("slot"), F.col("points").alias("keep_points"), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("n"))
-        index = merge_runs(runs)
+        again = DigestIndex(docs.sparkSession, memtable_rows=memtable_rows)
+        again.add(left.select("digest", F.lit(0).cast("long").alias("slot"), "points", "id"))
+        index = again.entries()
 
     whole, shared = posted, hits.select("digest", "keep_id", "keep_points", "n")
     if parts:  # digests that several texts share take their rows from the rounds above
