@@ -4,22 +4,31 @@ Every distinct page becomes its blocks of text outside labelled boilerplate (men
 headers, footers, sidebars, notices, adverts, forms, reader comments), each with the
 path of labels above it.  Classes and ids that fewer than ``NAME_SHARE`` of a host's
 pages have are left out of paths.  Pages of a host whose text is held by the same
-element are a layout.  For each host and layout the pages of every (path, text) and of
-every node are counted, near copies once for texts (by what is left of a page without the
-blocks that are common on the layout, or near copies of such).  Texts on ``SHARE`` of
-the pages, two at least, are template; the root is
-the deepest such node with nearly all varying text, or an article or main element.
-Only hashes and counts leave the tasks.  Wrappers go to all pages of their host: by
-broadcast while they are small together, else by a join.
+element are a layout.  The most frequent tree of labels of a layout is its skeleton;
+simple tree matching aligns the tree of every page with it (equal tags, equal names
+preferred, order and descent kept), and a page's nodes take the paths of the skeleton
+nodes that they are aligned with.  For each host and layout the pages of every (path,
+text) and of every node are counted, near copies once for texts (by what is left of a
+page without the blocks that are common on the layout, or near copies of such).
+Constant texts, on ``SHARE`` of the pages, two at least, are template; the slots that
+vary are content.  The root is the deepest node with nearly all varying text, or an
+article or main element.  Only hashes, counts and skeletons leave the tasks.  Wrappers
+go to all pages of their host: by broadcast while they are small together, else by a join.
 
 Of a page, the text below its own article or main element is kept, or below the root
 if that lies deeper or the page has none, without boilerplate and template texts; a
 page of no known layout falls back to its article or main element, then to its body.
+Inside an article only the labels of what has to go count (``GOES``); outside, further
+ones do (``BESIDE``).
 
 Defined cases: a null or empty page has the empty text; a null url is host ''; a
 layout with one distinct page has no wrapper and its page falls back; repeated rows
-give equal texts; markup cut off at the end is dropped, text is kept; references
-that are not complete by the HTML rules stay as they are; ``br`` is white space.
+give equal texts; an empty table gives an empty one; markup cut off at the end is
+dropped, text is kept; references that are not complete by the HTML rules stay as they
+are; ``br`` is white space; paths name the first ``DEPTH`` levels, what lies deeper
+counts as part of the last, and no level of nesting fails; a very long page costs
+memory of its own length times a constant; a column named like the output is replaced,
+other columns pass through.
 """
 
 from __future__ import annotations
@@ -51,16 +60,20 @@ BROADCAST_CHARS = 16 << 20  # wrappers of all hosts together
 
 # fixed values: HTML element classes
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select button object".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style textarea title".split())
+CONTROLS = frozenset("select button textarea option datalist".split())  # parts of forms, also outside of one
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mi mo mn ms mtext mrow msub msup mfrac msqrt munder mover semantics annotation svg g object noscript select button textarea option datalist template iframe".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-BOILER_TAGS = frozenset("head nav header footer aside form dialog menu".split()) | RAW
-BOILER_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar side footer header masthead "
-    "cookie cookies consent notice notices alert popup modal newsletter subscribe subscription signup login search form comment comments respond reply replies disqus share sharing social related recommended widget toolbar pagination pager skip".split()
+BOILER_TAGS = frozenset("head nav header footer aside form dialog menu".split()) | CONTROLS
+GOES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsored banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer header masthead "
+    "cookie cookies consent notice notices alert popup modal newsletter subscribe signup login search form comment comments respond replies disqus".split()
 )
+BESIDE = frozenset("side sponsor promo promotion subscription reply share sharing social related recommended widget toolbar pagination pager skip".split())
 NEVER_MAIN = frozenset("comment comments respond reply replies disqus related recommended cookie cookies consent".split())
+DEPTH = 64  # levels that a path names
+NESTED = 16  # labelled elements within each other that are told apart
 LABELLED_SHARE = 0.75  # of a page's text outside links: a labelled element with it is no boilerplate if the page has no article
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 MAIN_TAGS = ("article", "main")
@@ -73,21 +86,24 @@ _NUMBER = re.compile(r"[-_]?\d+\Z")
 _END = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in RAW}
 
 
-def _label(tag: str, attrs: str, memo: dict = {}) -> tuple[str, bool, bool]:  # noqa: B006  a bounded memo
-    """An element's name with its classes, whether it is labelled boilerplate, and whether by a label that no main text has."""
+def _label(tag: str, attrs: str, memo: dict = {}) -> tuple[str, bool, bool, bool]:  # noqa: B006  a bounded memo
+    """An element's name with its classes, whether it is labelled boilerplate in an article, and outside of one, and whether by a label that no main text has."""
     key = (tag, attrs)
     if key not in memo:
         if len(memo) > 20_000:
             memo.clear()
         found = {}
         for name, a, b, c in _ATTR.findall(attrs) if attrs else ():
-            found.setdefault(name.lower(), (a or b or c).lower())
+            found.setdefault(name.lower(), (a or b or c).lower().replace("/", "|"))  # a slash parts the labels of a path
         names = f"{found.get('class', '')} {found.get('id', '')}"
         boiler = tag in BOILER_TAGS or found.get("role", "") in BOILER_ROLES
+        words = {_NUMBER.sub("", w) for w in names.split()}
+        beside = boiler
         if tag not in ("html", "body", "article", "main"):
-            boiler = boiler or not BOILER_WORDS.isdisjoint(_NUMBER.sub("", w) for w in names.split())
+            boiler = boiler or not GOES.isdisjoint(words)
+            beside = boiler or not BESIDE.isdisjoint(words)
         main = tag in MAIN_TAGS or found.get("role") == "main"
-        memo[key] = (("main:" if main else "") + tag + "." + re.sub(r"\d+", "0", " ".join(sorted(names.split()))), boiler, tag == "head" or not NEVER_MAIN.isdisjoint(_NUMBER.sub("", w) for w in names.split()))
+        memo[key] = (("main:" if main else "") + tag + "." + re.sub(r"\d+", "0", " ".join(sorted(names.split()))), boiler, beside, tag == "head" or not NEVER_MAIN.isdisjoint(words))
     return memo[key]
 
 
@@ -177,12 +193,14 @@ def _runs(page: str):
             yield stack[-1][1], " ", stack[-1][2], links > 0, stack[-1][3]
         if tag in VOID:
             continue
-        label, boiler, never = _label(tag, m[3] or "")
+        label, boiler, beside, never = _label(tag, m[3] or "")
         _, path, inside, main = stack[-1]
         links += tag == "a"
+        marked = (boiler if main else beside) and len(inside) < NESTED
         if label.startswith("main:") and main is None:
             main = (at, inside)
-        stack.append((tag, path if tag in INLINE else f"{path}/{label}", (*inside, (at, never)) if boiler else inside, main))
+        named = tag not in INLINE and (len(stack) <= DEPTH or (label.startswith("main:") and "/main:" not in path))
+        stack.append((tag, f"{path}/{label}" if named else path, (*inside, (at, never)) if marked else inside, main))
 
 
 def joined(runs) -> list[tuple[str, str]]:
@@ -220,10 +238,13 @@ def extract(page: str | None, wrapper: dict | None) -> str:
     root, fixed, short = main, {}, {}
     if wrapper:
         names = wrapper["names"]
-        short = {p: plain_path(p, names) for p in {r[0] for r in runs if r[0] is not None}}
-        layout = wrapper["layouts"].get(layout_of([short[p] for p, _ in found], [len(t) for _, t in found]))
+        short = {p: plain_path(p, names) for p in dict.fromkeys(r[0] for r in runs if r[0] is not None)}
+        own = [short[p] for p, _ in found]
+        layout = wrapper["layouts"].get(layout_of(own, [len(t) for _, t in found]))
         if layout:
-            root, fixed = plain_path(main, names), layout["fixed"]
+            aligned = align(tuple(dict.fromkeys(own)), layout["skeleton"])
+            short = {p: placed_path(q, aligned) for p, q in short.items()}
+            root, fixed = placed_path(plain_path(main, names), aligned), layout["fixed"]
             below = layout["root"] + "/"
             if layout["root"] and (not main or below.startswith(root + "/")) and any((short[p] + "/").startswith(below) for p, _ in found):
                 root = layout["root"]
@@ -233,45 +254,93 @@ def extract(page: str | None, wrapper: dict | None) -> str:
 
 # --- wrapper induction -------------------------------------------------------
 
-class Node:
-    """A skeleton node: like siblings in one, with the texts that each page has in it."""
-
-    __slots__ = ("label", "children", "texts", "pages")
-
-    def __init__(self, label: str):
-        self.label, self.children, self.texts, self.pages = label, {}, [], 1
-
-
-def skeleton(page: str) -> Node:
-    runs = list(blocks(page))
-    linked = {t.strip() for _, t, _, link in runs if link and t.strip()}
-    root = Node("")
-    for path, text in joined(r for r in runs if not r[2]):
-        node = root
-        for label in path.split("/")[1:]:
-            node = node.children.setdefault(label, Node(label))
-        if not node.texts:
-            node.texts.append(set())
-        if text not in linked:
-            node.texts[0].add(text)
-    return root
-
-
-def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: the most pairs of like-labelled nodes that keep order and descent."""
-    if a.label != b.label:
-        return 0, []
-    xs, ys = list(a.children.values()), list(b.children.values())
-    best = [[(0, [])] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-    for i, x in enumerate(xs):
-        for j, y in enumerate(ys):
-            n, pairs = match(x, y) if x.label == y.label else (0, [])
-            here = max(best[i][j + 1], best[i + 1][j], key=lambda p: p[0])
-            if n and best[i][j][0] + n > here[0]:
-                here = (best[i][j][0] + n, best[i][j][1] + pairs)
-            best[i + 1][j + 1] = here
-    n, pairs = best[-1][-1]
-    return n + 1, [(a, b), *pairs]
+class Tree:
+    """The nodes above the blocks of a page, like-labelled siblings as one, in page order."""
+
+    def __init__(self, paths):
+        self.labels, self.children, self.paths, self.levels = [""], [[]], [""], [[0]]
+        found = {"": 0}
+        for path in paths:
+            at, spelt = 0, ""
+            for depth, label in enumerate(path.split("/")[1:], 1):
+                spelt = f"{spelt}/{label}"
+                if spelt not in found:
+                    found[spelt] = len(self.labels)
+                    self.children[at].append(len(self.labels))
+                    self.labels.append(label)
+                    self.children.append([])
+                    self.paths.append(spelt)
+                    if depth == len(self.levels):
+                        self.levels.append([])
+                    self.levels[depth].append(found[spelt])
+                at = found[spelt]
+        self.tags = [x.partition(".")[0] for x in self.labels]
+
+
+def _children_match(a: Tree, b: Tree, i: int, j: int, score: dict) -> list[list[int]]:
+    """The table of best scores of the first children of two nodes."""
+    xs, ys = a.children[i], b.children[j]
+    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+    for m, x in enumerate(xs):
+        row, above = best[m + 1], best[m]
+        for n, y in enumerate(ys):
+            row[n + 1] = max(above[n + 1], row[n], above[n] + score.get((x, y), 0))
+    return best
+
+
+def match(a: Tree, b: Tree) -> list[tuple[int, int]]:
+    """Simple tree matching: pairs of nodes of equal tags that keep order and descent, of the greatest score.
+
+    A pair scores 2 for equal labels and 1 for equal tags alone.  Scores are made from
+    the deepest level up, then pairs are read off from the roots down, without recursion.
+    """
+    score: dict[tuple[int, int], int] = {}
+    for depth in range(min(len(a.levels), len(b.levels)) - 1, -1, -1):
+        for i in a.levels[depth]:
+            for j in b.levels[depth]:
+                if a.tags[i] == b.tags[j]:
+                    score[i, j] = 1 + (a.labels[i] == b.labels[j]) + _children_match(a, b, i, j, score)[-1][-1]
+    pairs, todo = [], [(0, 0)]
+    while todo:
+        i, j = todo.pop()
+        pairs.append((i, j))
+        best = _children_match(a, b, i, j, score)
+        m, n = len(a.children[i]), len(b.children[j])
+        while m and n:
+            if best[m][n] == best[m - 1][n]:
+                m -= 1
+            elif best[m][n] == best[m][n - 1]:
+                n -= 1
+            else:
+                m, n = m - 1, n - 1
+                todo.append((a.children[i][m], b.children[j][n]))
+    return pairs
+
+
+def align(paths: tuple, skeleton: tuple, memo: dict = {}) -> dict[str, str]:  # noqa: B006  a bounded memo
+    """Each node path of a page to the path of the skeleton node it is aligned with; other nodes hang below their aligned parents."""
+    key = (paths, skeleton)
+    if key not in memo:
+        if len(memo) > 2000:
+            memo.clear()
+        page, other = Tree(paths), Tree(skeleton)
+        partner = dict(match(page, other))
+        out = {"": ""}
+        for level in page.levels[1:]:
+            for i in level:
+                above = page.paths[i].rpartition("/")[0]
+                out[page.paths[i]] = other.paths[partner[i]] if i in partner else f"{out[above]}/{page.labels[i]}"
+        memo[key] = out
+    return memo[key]
+
+
+def placed_path(path: str, aligned: dict[str, str]) -> str:
+    """The aligned path of a node, which may lie below the aligned ones."""
+    above, rest = path, ""
+    while above not in aligned:
+        above, _, label = above.rpartition("/")
+        rest = f"/{label}{rest}"
+    return aligned[above] + rest
 
 
 def names_of(path: str) -> list[str]:
@@ -353,7 +422,7 @@ def group_of(keys: list[int], often: dict[int, int], mark: int) -> int | None:
     return max((k for k in keys if k in often), key=lambda k: (often[k], k), default=mark) if keys else None
 
 
-def assemble(n: int, nodes: list[tuple[str, int, int]], constant: list[tuple[str, int, int, bool]]) -> dict:
+def assemble(n: int, nodes: list[tuple[str, int, int]], constant: list[tuple[str, int, int, bool]], skeleton: list[str]) -> dict:
     """The wrapper of a layout of ``n`` pages from (path, pages, characters) of nodes and (path, text, characters, is template) of constant texts."""
     spent: Counter[str] = Counter()
     for path, _, size, _ in constant:
@@ -373,7 +442,7 @@ def assemble(n: int, nodes: list[tuple[str, int, int]], constant: list[tuple[str
     for path, text, _, template in sorted(constant):
         if template:
             lines.setdefault(path, []).append(text)
-    return {"root": root, "fixed": lines}
+    return {"root": root, "fixed": lines, "skeleton": skeleton}
 
 
 def block_sizes(paths: list[str], texts: list[int], sizes: list[int]) -> Counter[tuple[str, int]]:
@@ -394,34 +463,6 @@ def nodes_of(paths: list[str], sizes: list[int]) -> dict[str, int]:
     return out
 
 
-def induce(pages: list[str]) -> dict | None:
-    """The wrapper of pages of one layout, made at one place; None if fewer than two differ."""
-    held = list({tuple(sorted(f[1])): f for f in map(facts_of, pages) if f[0]}.items())
-    if len(held) < 2:
-        return None
-    n = len(held)
-    common = [k for k, c in Counter(k for _, f in held for k in set(f[3])).items() if c > 1 and c >= COMMON * n]
-    left = [varying_keys(f[3], common) for _, f in held]
-    often = {k: c for k, c in Counter(k for keys in left for k in set(keys)).items() if c > 1 and c >= OFTEN * n}
-    nodes: dict[str, list[int]] = {}
-    texts: dict[tuple[str, int], list] = {}
-    groups = set()
-    for at, ((_, (paths, marks, sizes, _)), keys) in enumerate(zip(held, left, strict=True)):
-        for path, size in nodes_of(paths, sizes).items():
-            nodes.setdefault(path, []).append(size)
-        group = group_of(keys, often, ("page", at))
-        groups |= {group} - {None}
-        for block, size in block_sizes(paths, marks, sizes).items():
-            texts.setdefault(block, []).append((group, size))
-    constant = []
-    for block, found in texts.items():
-        k = len({g for g, _ in found} - {None})
-        template = k > 1 and k >= SHARE * len(groups)
-        if template or len(found) >= SHARE * n:
-            constant.append((*block, sum(size for _, size in found), template))
-    return assemble(n, [(path, len(x), sum(x)) for path, x in nodes.items()], constant)
-
-
 def host_of(url: str):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
@@ -463,24 +504,31 @@ def _spread(left: DataFrame, right: DataFrame, small: bool, on: str | list[str])
 
 
 def _placed(facts: DataFrame, names: DataFrame, small: bool) -> DataFrame:
-    """Facts with their layout, paths of stable names only, and the nodes above the blocks with their characters."""
+    """Facts with their layout, paths of stable names only, and a hash of the tree of labels."""
     rest = [c for c in facts.columns if c not in ("host", "mark", "paths")]
     held = _spread(facts, names, small, "host").select("host", "mark", "paths", "sizes", "names", *[F.col(c).alias(f"_{c}") for c in rest])
 
     def run(batches):
         for batch in batches:
-            layouts, plain, nodes = [], [], []
+            layouts, plain, shapes = [], [], []
             for paths, sizes, known in zip(*(texts_of(batch, c) for c in ("paths", "sizes", "names")), strict=True):
                 known = frozenset(known or ())
                 short = {p: plain_path(p, known) for p in set(paths)}
                 plain.append([short[p] for p in paths])
                 layouts.append(layout_of(plain[-1], sizes))
-                nodes.append(list(nodes_of(plain[-1], sizes).items()))
-            columns = [pa.array(layouts, pa.string()), batch.column(0), batch.column(1), pa.array(plain, pa.list_(pa.string())), pa.array(nodes, pa.list_(pa.struct([("path", pa.string()), ("size", pa.int64())])))]
-            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(5 + k) for k in range(len(rest)))], names=["layout", "host", "mark", "paths", "nodes", *rest])
+                shapes.append(text_hash("\n".join(dict.fromkeys(plain[-1]))))
+            columns = [pa.array(layouts, pa.string()), batch.column(0), batch.column(1), pa.array(plain, pa.list_(pa.string())), pa.array(shapes, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(5 + k) for k in range(len(rest)))], names=["layout", "host", "mark", "paths", "shape", *rest])
 
     kinds = {f.name: f.dataType.simpleString() for f in facts.schema.fields}
-    return held.mapInArrow(run, "layout string, host string, mark long, paths array<string>, nodes array<struct<path:string,size:long>>, " + ", ".join(f"{c} {kinds[c]}" for c in rest))
+    return held.mapInArrow(run, "layout string, host string, mark long, paths array<string>, shape long, " + ", ".join(f"{c} {kinds[c]}" for c in rest))
+
+
+def _skeletons(placed: DataFrame) -> tuple[DataFrame, bool]:
+    """(host, layout, skeleton): the node paths of the most frequent tree of labels; and whether they are small together."""
+    shapes = placed.groupBy("host", "layout", "shape").agg(F.count("*").alias("k"), F.min(F.array_distinct("paths")).alias("skeleton"))
+    made = materialise(shapes.groupBy("host", "layout").agg(F.max_by("skeleton", F.struct("k", "shape")).alias("skeleton")), "skeletons")
+    return made, (made.agg(F.sum(F.length("host") + F.length("layout") + F.length(F.concat_ws("/", "skeleton")))).first()[0] or 0) <= BROADCAST_CHARS
 
 
 def _per_layout(counted: DataFrame, n: DataFrame, share: float, name: str) -> tuple[DataFrame, bool]:
@@ -490,8 +538,8 @@ def _per_layout(counted: DataFrame, n: DataFrame, share: float, name: str) -> tu
     return made, (made.agg(F.sum(F.length("host") + F.length("layout") + 16 * F.size(name))).first()[0] or 0) <= BROADCAST_CHARS
 
 
-def _groups(placed: DataFrame, n: DataFrame) -> DataFrame:
-    """host, layout, ``g``, the group of near copies that counts as one page, and the page's distinct blocks.
+def _groups(placed: DataFrame, n: DataFrame, skeletons: DataFrame, few: bool) -> DataFrame:
+    """host, layout, ``g``, the group of near copies that counts as one page, and the page's distinct blocks and nodes at their aligned paths.
 
     Blocks that are common on a layout, or near copies of such blocks, tell nothing;
     of the rest, pages that share a frequent key are near copies.  A group on under
@@ -510,23 +558,29 @@ def _groups(placed: DataFrame, n: DataFrame) -> DataFrame:
 
     rest = held.mapInArrow(vary, "host string, layout string, mark long, paths array<string>, texts array<long>, sizes array<int>, rest array<long>")
     often, small = _per_layout(rest.select(*key, F.explode(F.array_distinct("rest")).alias("key")), n, OFTEN, "often")
+    block = pa.list_(pa.struct([("path", pa.string()), ("text", pa.int64()), ("size", pa.int64())]))
+    node = pa.list_(pa.struct([("path", pa.string()), ("size", pa.int64())]))
 
     def group(batches):
         for batch in batches:
             often = [{c["key"]: c["k"] for c in x or ()} for x in texts_of(batch, "often")]
             made = [group_of(k, o, m) for k, o, m in zip(texts_of(batch, "rest"), often, texts_of(batch, "mark"), strict=True)]
-            held = [[(p, t, size) for (p, t), size in block_sizes(*x).items()] for x in zip(*(texts_of(batch, c) for c in ("paths", "texts", "sizes")), strict=True)]
-            kind = pa.list_(pa.struct([("path", pa.string()), ("text", pa.int64()), ("size", pa.int64())]))
-            rows = pa.array([[{"path": p, "text": t, "size": size} for p, t, size in x] for x in held], kind)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.int64()), rows], names=["host", "layout", "g", "blocks"])
+            blocks_, nodes = [], []
+            for paths, texts, sizes, skeleton in zip(*(texts_of(batch, c) for c in ("paths", "texts", "sizes", "skeleton")), strict=True):
+                aligned = align(tuple(dict.fromkeys(paths)), tuple(skeleton))
+                paths = [aligned[p] for p in paths]
+                blocks_.append([{"path": p, "text": t, "size": size} for (p, t), size in block_sizes(paths, texts, sizes).items()])
+                nodes.append([{"path": p, "size": size} for p, size in nodes_of(paths, sizes).items()])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.int64()), pa.array(blocks_, block), pa.array(nodes, node)], names=["host", "layout", "g", "blocks", "nodes"])
 
-    return _spread(rest, often, small, key).mapInArrow(group, "host string, layout string, g long, blocks array<struct<path:string,text:long,size:long>>")
+    schema = "host string, layout string, g long, blocks array<struct<path:string,text:long,size:long>>, nodes array<struct<path:string,size:long>>"
+    return _spread(_spread(rest, often, small, key), skeletons, few, key).mapInArrow(group, schema)
 
 
 def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """(host, wrapper as JSON) for hosts that have a layout with two distinct pages.
 
-    Every page counts; what leaves the tasks are hashes and counts.
+    Every page counts; what leaves the tasks are hashes, counts and skeletons.
     """
     facts = _facts(pages, url, page)
     names = materialise(_names(facts), "names")
@@ -534,8 +588,9 @@ def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
     placed = materialise(_placed(facts, names, small), "placed")
     key = ["host", "layout"]
     n = materialise(placed.groupBy(key).agg(F.count("*").alias("n")).where("n > 1"), "layouts")
-    groups = materialise(_groups(placed, n), "groups")
-    nodes = placed.select(*key, F.explode("nodes").alias("x")).groupBy(*key, "x.path").agg(F.count("*").alias("k"), F.sum("x.size").alias("chars"))
+    skeletons, few = _skeletons(placed)
+    groups = materialise(_groups(placed, n, skeletons, few), "groups")
+    nodes = groups.select(*key, F.explode("nodes").alias("x")).groupBy(*key, "x.path").agg(F.count("*").alias("k"), F.sum("x.size").alias("chars"))
     nodes = nodes.join(n, key).where(F.col("k") >= SHARE * F.col("n")).select(*key, "n", "path", F.lit(None).cast("long").alias("text"), "k", "chars", F.lit(False).alias("template"))
     units = groups.groupBy(key).agg(F.count_distinct("g").alias("units"))
     block = groups.select(*key, "g", F.explode("blocks").alias("x")).groupBy(*key, "x.path", "x.text", "g").agg(F.count("*").alias("pages"), F.sum("x.size").alias("chars"))
@@ -546,14 +601,17 @@ def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
     def per_host(held: pd.DataFrame) -> pd.DataFrame:
         layouts = {}
         for layout, rows in held.groupby("layout"):
-            node, line = rows[rows["text"].isna()], rows[~rows["text"].isna()]
+            node, line, shape = rows[rows["text"].isna() & (rows["k"] > 0)], rows[~rows["text"].isna()], rows[rows["k"] == 0]
             listed = lambda x, *c: list(zip(*(x[k].tolist() for k in c), strict=True))
             if len(node):
-                layouts[layout] = assemble(int(node["n"].iloc[0]), listed(node, "path", "k", "chars"), [(p, int(t), c, bool(x)) for p, t, c, x in listed(line, "path", "text", "chars", "template")])
+                counted = [(p, int(t), c, bool(x)) for p, t, c, x in listed(line, "path", "text", "chars", "template")]
+                layouts[layout] = assemble(int(node["n"].iloc[0]), listed(node, "path", "k", "chars"), counted, shape["path"].iloc[0].split("\n"))
         made = json.dumps({"names": (held["names"].iloc[0] or "").split(), "layouts": layouts})
         return pd.DataFrame([(held["host"].iloc[0], made)] if layouts else [], columns=["host", "wrapper"])
 
-    rows = _spread(nodes.unionByName(constant).withColumn("text", F.col("text").cast("string")), names.select("host", F.concat_ws(" ", "names").alias("names")), small, "host")  # a hash must not pass through a float
+    shapes = n.join(skeletons, key).select(*key, "n", F.concat_ws("\n", "skeleton").alias("path"), F.lit(None).cast("long").alias("text"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("chars"), F.lit(False).alias("template"))
+    rows = nodes.unionByName(constant).unionByName(shapes).withColumn("text", F.col("text").cast("string"))  # a hash must not pass through a float
+    rows = _spread(rows, names.select("host", F.concat_ws(" ", "names").alias("names")), small, "host")
     return rows.groupBy("host").applyInPandas(per_host, "host string, wrapper string")
 
 
@@ -562,6 +620,7 @@ def _ready(wrapper: str) -> dict:
     made["names"] = frozenset(made["names"])
     for layout in made["layouts"].values():
         layout["fixed"] = {path: frozenset(texts) for path, texts in layout["fixed"].items()}
+        layout["skeleton"] = tuple(layout["skeleton"])
     return made
 
 
