@@ -43,8 +43,65 @@ def test_secrets(make_docs):
     assert not any(re.search("random:4[5-9]", s) for s in spans.values())
 
 
+def test_linear_spans(make_docs):
+    import time
+
+    text = "token=abcdef1 " * 20_000
+    began = time.time()
+    rows = secrets.secret_digests(make_docs([text])).collect()
+    assert rows[0]["n_assign"] == 20_000 and time.time() - began < 60
+    check(rows, [text])
+
+
+def plain_battery(word):
+    """The three tests by plain loops."""
+    import math
+
+    body = word.rstrip("=")
+    sets = [("decimal", string.digits), ("hex", "0123456789abcdef"), ("hex", "0123456789ABCDEF"), ("base32", secrets.ALPHABETS["base32"]), ("base62", string.ascii_letters + string.digits), ("base64", secrets.ALPHABETS["base64"]), ("base64url", secrets.ALPHABETS["base64url"])]
+    kind = next((k for k, abc in sets if body and set(body) <= set(abc)), None)
+    if kind is None:
+        return 0.0
+    abc = secrets.ALPHABETS[kind]
+    x = [abc.index(c) for c in (body.lower() if kind == "hex" else body)]
+    n, m = len(x), len(abc)
+    tail = lambda z: 1 / (1 + math.exp(1.5976 * (z := min(8.0, max(-8.0, z))) + 0.070565992 * z**3))
+    chi = sum((x.count(v) - n / m) ** 2 / (n / m) for v in range(m))
+    df = m - 1
+    z1 = ((max(chi, 0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    high = [v >= m / 2 for v in x]
+    up = sum(high)
+    expect = 2 * up * (n - up) / n + 1
+    spread = math.sqrt(max((expect - 1) * (expect - 2) / (n - 1), 1e-9))
+    z2 = abs((1 + sum(a != b for a, b in zip(high, high[1:], strict=False)) - expect) / spread)
+    mean = sum(x) / n
+    var = sum((v - mean) ** 2 for v in x)
+    z3 = abs(sum((a - mean) * (b - mean) for a, b in zip(x, x[1:], strict=False)) / max(var, 1e-9) * math.sqrt(n))
+    return min(1.0, 3 * min(tail(z1), 2 * tail(z2), 2 * tail(z3)))
+
+
+def test_battery_by_plain_loops(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice(abc) for _ in range(rng.randrange(20, 90))) for abc in secrets.ALPHABETS.values() for _ in range(6)]
+    words += [w + "==" for w in words[-8:]] + ["a" * 40, "ab" * 20, "abc=def=ghi0123456789xyz", "A/b-" * 8, "DEADBEEF" * 4, "thisisaperfectlyordinaryword"]
+    frame = spark.createDataFrame([(w,) for w in words], "w string")
+    for w, p in frame.select("w", secrets.battery(frame["w"]).alias("p")).collect():
+        assert abs(p - plain_battery(w)) < 1e-9, w
+
+
+def test_trusted_strata():
+    row = lambda s, d, dp, m, mp: {"stratum": s, "decoys": d, "decoys_passed": dp, "mixed": m, "mixed_passed": mp}
+    assert secrets.trusted_strata([]) == []
+    assert secrets.trusted_strata([row(0, 0, 0, 1, 1)]) == []  # no decoy tells how often ordinary words pass
+    assert secrets.trusted_strata([row(0, 99, 0, 10, 9)]) == [0]
+    assert secrets.trusted_strata([row(0, 99, 30, 10, 9), row(2, 900, 0, 10, 9)]) == [2]
+    assert secrets.trusted_strata([row(2, 0, 0, 5, 5), row(0, 99, 0, 10, 0)]) == [2]  # decoys of shorter words count for longer ones
+    assert secrets.trusted_strata([row(0, 99, 0, 1000, 9)]) == []  # many tested words, few of them pass
+
+
 def test_secret_edges(make_docs):
     docs = make_docs([(1, "token=abcdefg"), (1, "token=abcdefg"), (None, "token=abcdefg")]).selectExpr("*", "'b' base", "'w' words")
+    assert secrets.scan_secrets(docs).columns.count("base") == 1
     assert {r["spans"] for r in secrets.secret_digests(docs).collect()} == {"assign:0:13"}
     assert secrets.secret_digests(docs.limit(0)).count() == 0
 
@@ -91,9 +148,69 @@ def test_html_edges(spark):
     assert html_text.main_text(frame).columns == [*frame.columns, "text"]
 
 
+def tree(*paths):
+    return html_text.Tree(paths)
+
+
+def best_score(a, b, i=0, j=0):
+    """Simple tree matching by plain recursion over forests."""
+    if a.tags[i] != b.tags[j]:
+        return 0
+
+    def forest(xs, ys):
+        if not xs or not ys:
+            return 0
+        return max(forest(xs[1:], ys), forest(xs, ys[1:]), best_score(a, b, xs[0], ys[0]) + forest(xs[1:], ys[1:]))
+
+    return 1 + (a.labels[i] == b.labels[j]) + forest(a.children[i], b.children[j])
+
+
 def test_matching_keeps_order():
-    a, b = html_text.skeleton("<body><div class=x>1</div><div class=y>2</div></body>"), html_text.skeleton("<body><div class=y>3</div><div class=x>4</div></body>")
-    assert html_text.match(a, b)[0] == 3  # root, body and one of the two that cross
+    a, b = tree("/body./div.x", "/body./div.y"), tree("/body./div.y", "/body./div.x")
+    pairs = html_text.match(a, b)
+    assert len(pairs) in (3, 4) and all(a.tags[i] == b.tags[j] for i, j in pairs)  # root, body, and both divs by tag or one by name
+    rng = random.Random(4)
+    for _ in range(200):
+        make = lambda: tree(*["/" + "/".join(rng.choice(["p.a", "p.b", "div.a", "ul."]) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(1, 6))])
+        a, b = make(), make()
+        pairs = html_text.match(a, b)
+        assert sum(1 + (a.labels[i] == b.labels[j]) for i, j in pairs) == best_score(a, b)
+        up = lambda t, i: next(k for k, c in enumerate(t.children) if i in c)
+        assert all((i, j) == (0, 0) or (up(a, i), up(b, j)) in pairs for i, j in pairs)
+
+
+def test_aligned_paths():
+    got = html_text.align(("/body./div.q/p.", "/body./div.q/h1.", "/body./ul./li."), ("/body./div.z/p.",))
+    assert got["/body./div.q/p."] == "/body./div.z/p." and got["/body./div.q/h1."] == "/body./div.z/h1." and got["/body./ul./li."] == "/body./ul./li."
+    assert html_text.placed_path("/body./div.q/p./b.", got) == "/body./div.z/p./b."
+
+
+def test_class_names_that_alternate(spark):
+    """Nodes of other names at the same place are one slot of the template."""
+    story = lambda i: f"<p>{hashlib.md5(str(i).encode()).hexdigest()} is told.</p>"
+    rows = [(i, f"https://alt.example/{i}", f'<body><article><div class="{"left" if i % 2 else "right"}"><p>House line.</p>{story(i)}</div></article></body>') for i in range(8)]
+    assert texts(spark, rows) == {i: f"{hashlib.md5(str(i).encode()).hexdigest()} is told." for i in range(8)}
+
+
+def test_deep_nesting(spark):
+    deep = "<div>" * 5000 + "low text" + "</div>" * 5000
+    inside = "<div>" * 300 + "<article><p>Real text</p></article>" + "</div>" * 300
+    marked = "".join(f'<div class="nav"><p>m{k}</p>' for k in range(2000))
+    rows = [(i, f"https://deep.example/{k}", body) for k, (i, body) in enumerate([(1, deep), (2, deep + " "), (3, inside), (4, "<body>" + marked)])]
+    got = texts(spark, rows)
+    assert got[1] == got[2] == "low text" and got[3] == "Real text"
+
+
+def test_article_keeps_what_is_not_boilerplate(spark):
+    """Elements and classes that only look like boilerplate, inside an article."""
+    body = (
+        '<h1>Title {i}</h1><div class="section-header"><h2>Methods {i}</h2></div><p>Let <math><mi>x{i}</mi></math> be <object>an object {i}</object> here.</p>'
+        '<noscript><p>No script {i}</p></noscript><div class="related-work"><p>Others wrote {i} pages.</p></div><div class="alert-systems widget"><p>Alarm {i} rings.</p></div>'
+        '<p>Press <button>Send {i}</button> now {i}.</p><div class="comments"><p>Reader {i}</p></div><form><p>Mail {i}</p></form>'
+    )
+    rows = [(i, f"https://art.example/{i}", f"<body><nav>menu</nav><article>{body.replace('{i}', str(i * 37))}</article></body>") for i in range(6)]
+    want = "Title {i}\nMethods {i}\nLet x{i} be an object {i} here.\nNo script {i}\nOthers wrote {i} pages.\nAlarm {i} rings.\nPress now {i}."
+    assert texts(spark, rows) == {i: want.replace("{i}", str(i * 37)) for i in range(6)}
 
 
 def test_html_query(spark, sf_dir):
@@ -109,9 +226,11 @@ def test_html_query(spark, sf_dir):
         assert r["text"] == "\n".join(p for p in parts if p) and r["n_chars"] == len(r["text"])
 
 
-def test_wrapper_is_plain_data():
-    made = html_text.induce([page(i, f"<p>Body {i} {'w ' * i}</p>")[2] for i in range(6)])
-    assert json.loads(json.dumps(made)) == made and made["root"].endswith("main:article.")
+def test_wrapper_is_plain_data(spark):
+    rows = [page(i, f"<p>Body {i} {'w ' * i}</p>") for i in range(6)]
+    held = html_text.learn_wrappers(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    made = json.loads(held[0]["wrapper"])["layouts"]
+    assert len(held) == 1 and [w["root"].endswith("main:article.") for w in made.values()] == [True] and any("main:article." in p for w in made.values() for p in w["skeleton"])
 
 
 def test_layouts_and_names_of_a_host(spark):

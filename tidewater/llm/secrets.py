@@ -2,20 +2,24 @@
 
 Base spans: keyword assignments, access key ids and long runs of hex digits.
 Added spans: words that pass a battery of randomness tests for the alphabet they
-seem to be written in (decimal, hex, base 32, base 62, base 64):
+seem to be written in (decimal, hex, base 32, base 62, base 64 and its variant for
+addresses; padding at the end is no part of the test):
   * chi-squared uniformity over the alphabet (Wilson-Hilferty normal score),
   * runs above and below the middle of the alphabet,
   * lag-one serial correlation.
 The least p-value, times three, is a word's p; p >= ``ALPHA`` passes.  Ordinary
-words can pass when they are short, so passing is not enough: for each stratum of
-length the share of letter-only words that pass estimates how many passing words
-are ordinary (a decoy count over the whole corpus), and only strata whose
-estimated false-discovery rate is at most ``FDR`` report.  Only words that mix
-digits with letters can be reported, and none that touches a base span.
+words can pass when they are short, so passing is not enough.  Letter-only words are
+decoys: the share of them that passes, over the whole corpus, among those of a stratum
+of length and of all shorter ones (which pass rather more often), one added to both
+counts, is the rate at which ordinary words pass.  That rate times the number of
+tested words that mix digits with letters estimates the false ones among those that
+pass; a stratum whose estimate is over ``FDR`` of them reports nothing.  Only mixed
+words can be reported, and none that touches a base span.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows get the
-same spans; positions count code points, ends exclusive; on an empty table the
-decoy counts are zero and nothing is reported.
+same spans; positions count code points, ends exclusive; on an empty table or without
+decoys nothing is reported; columns named base or added of the table are replaced;
+very long texts cost time a little over linear in their matches.
 """
 
 from __future__ import annotations
@@ -40,10 +44,23 @@ ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base62": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_=",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
 
 
+def running(values: Column) -> Column:
+    """Running sums of an array of one value or more, by parts of about the root of its length, so that n values cost n * sqrt(n) additions."""
+
+    def parts(v: Column, width: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.size(v), width), lambda i: F.slice(v, i, width))
+        inner = lambda part, start: F.transform(part, lambda _, j: start + _total(F.slice(part, F.lit(1), j + 1)))
+        every = lambda held, sums: F.flatten(F.transform(held, lambda part, k: _let(_total(F.slice(sums, F.lit(1), k)), lambda start: inner(part, start))))
+        return _let(cut, lambda held: _let(F.transform(held, _total), lambda sums: every(held, sums)))
+
+    return _let(values, lambda v: _let(F.ceil(F.sqrt(F.size(v))).cast("int"), lambda width: parts(v, width)))
+
+
 def find_all(text: Column, pattern: str, kind: int, group: int | None = None, least: int = 0) -> Column:
     """Leftmost matches without overlaps as array<struct<s, k, e, word>>.
 
@@ -51,18 +68,19 @@ def find_all(text: Column, pattern: str, kind: int, group: int | None = None, le
     matches whose group has at least ``least`` characters stay.
     """
     rule = F.lit(pattern)
-    hits, gaps = F.regexp_extract_all(text, rule, F.lit(0)), F.split(text, pattern, -1)
-    held = F.regexp_extract_all(text, rule, F.lit(group)) if group else hits
-    rows = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"), held.alias("held"))
     empty = F.array().cast("array<struct<s:int,k:int,e:int,word:string>>")
 
-    def add(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["gap"])
-        e = s + F.length(x["hit"])
-        one = F.array(F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e"), x["hit"].alias("word")))
-        return F.struct(e.alias("at"), F.when(F.length(x["held"]) >= least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+    def placed(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
+        ends = running(F.zip_with(gaps, hits, lambda gap, hit: F.length(gap) + F.length(hit)))
+        return F.zip_with(ends, hits, lambda e, hit: F.struct((e - F.length(hit)).alias("s"), F.lit(kind).alias("k"), e.alias("e"), hit.alias("word")))
 
-    every = F.aggregate(rows, F.struct(F.lit(0).alias("at"), empty.alias("out")), add, lambda acc: acc["out"])
+    def long_enough(spans: Column, held: Column) -> Column:
+        return F.filter(spans, lambda x, i: F.length(F.get(held, i)) >= least)
+
+    every = _let(F.regexp_extract_all(text, rule, F.lit(0)), placed)
+    if group:
+        every = _let(F.regexp_extract_all(text, rule, F.lit(group)), lambda held: long_enough(every, held))
     return F.when(text.rlike(pattern), every).otherwise(empty)
 
 
@@ -72,10 +90,17 @@ def _tail(z: Column) -> Column:
     return 1 / (1 + F.exp(1.5976 * z + 0.070565992 * z * z * z))
 
 
-def encoding(word: Column) -> Column:
+def body(word: Column) -> Column:
+    """A word without the padding at its end."""
+    return F.regexp_replace(word, "=+$", "")
+
+
+def encoding(text: Column) -> Column:
+    """The smallest alphabet that spells a word's body, null if none does."""
     return (
-        F.when(word.rlike("^[0-9]+$"), "decimal").when(word.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
-        .when(word.rlike("^[A-Z2-7]+=*$"), "base32").when(word.rlike("^[A-Za-z0-9]+$"), "base62").otherwise("base64")
+        F.when(text.rlike("^[0-9]+$"), "decimal").when(text.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
+        .when(text.rlike("^[A-Z2-7]+$"), "base32").when(text.rlike("^[A-Za-z0-9]+$"), "base62")
+        .when(text.rlike("^[A-Za-z0-9+/]+$"), "base64").when(text.rlike("^[A-Za-z0-9_-]+$"), "base64url")
     )
 
 
@@ -88,16 +113,24 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda p, q: p + q)
 
 
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda p, q: p + q)
+
+
 def battery(word: Column) -> Column:
-    """Combined p-value of a word under uniform random characters of its alphabet.
+    """Combined p-value of a word under uniform random characters of its alphabet; 0 if it is in none.
 
     Each array is bound once, so a word costs time linear in its length.
     """
-    kind = encoding(word)
-    letters = F.coalesce(*[F.when(kind == k, F.lit(a)) for k, a in ALPHABETS.items()])
-    spelt = F.when(kind == "hex", F.lower(word)).otherwise(word)
-    places = lambda abc: F.transform(F.filter(F.split(spelt, ""), lambda c: c != ""), lambda c: (F.position(c, abc) - 1).cast("double"))
-    return _let(letters, lambda abc: _let(places(abc), lambda x: _let(F.length(abc).cast("double"), lambda m: _least(x, m))))
+
+    def tested(text: Column) -> Column:
+        kind = encoding(text)
+        letters = F.coalesce(*[F.when(kind == k, F.lit(a)) for k, a in ALPHABETS.items()])
+        spelt = F.when(kind == "hex", F.lower(text)).otherwise(text)
+        places = lambda abc: F.transform(F.filter(F.split(spelt, ""), lambda c: c != ""), lambda c: (F.position(c, abc) - 1).cast("double"))
+        return _let(letters, lambda abc: F.when(abc.isNull(), 0.0).otherwise(_let(places(abc), lambda x: _let(F.length(abc).cast("double"), lambda m: _least(x, m)))))
+
+    return _let(body(word), tested)
 
 
 def _least(x: Column, m: Column) -> Column:
@@ -144,18 +177,32 @@ def _tested(words: Column) -> Column:
     ))
 
 
+def trusted_strata(counts: list) -> list[int]:
+    """The strata that may report, from rows (stratum, decoys, decoys_passed, mixed, mixed_passed)."""
+    good, decoys, passed = [], 0, 0
+    for row in sorted(counts, key=lambda r: r["stratum"]):
+        decoys, passed = decoys + row["decoys"], passed + row["decoys_passed"]
+        if row["mixed_passed"] and row["mixed"] * (passed + 1) / (decoys + 1) <= FDR * row["mixed_passed"]:
+            good.append(row["stratum"])
+    return good
+
+
 def scan_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) and ``base``, ``added``: arrays of struct<s, k, e>, by start and kind."""
-    keep = docs.columns if keep is None else keep
-    body = F.coalesce(F.col(text), F.lit(""))
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("base", "added")]
+    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     found = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
-        F.concat(find_all(body, ASSIGN, 0, 2, 6), find_all(body, ACCESS, 1), find_all(body, HEX, 2)).alias("base"),
-        find_all(body, WORD, 3).alias("words"),
+        F.concat(find_all(whole, ASSIGN, 0, 2, 6), find_all(whole, ACCESS, 1), find_all(whole, HEX, 2)).alias("base"),
+        find_all(whole, WORD, 3).alias("words"),
     )
     found = materialise(found.select("row", F.transform("base", lambda b: b.dropFields("word")).alias("base"), _tested(F.col("words")).alias("words")), "scanned")
-    counted = found.select(F.explode("words").alias("w")).where("w.passed").groupBy("w.stratum").agg(F.sum(F.col("w.decoy").cast("int")).alias("decoys"), F.sum(F.col("w.mixed").cast("int")).alias("mixed"))
-    good = [r["stratum"] for r in counted.collect() if r["mixed"] and r["decoys"] / r["mixed"] <= FDR]  # a row per stratum
+    number = lambda x: F.sum(x.cast("int"))
+    counted = found.select(F.explode("words").alias("w")).groupBy("w.stratum").agg(
+        number(F.col("w.decoy")).alias("decoys"), number(F.col("w.decoy") & F.col("w.passed")).alias("decoys_passed"),
+        number(F.col("w.mixed")).alias("mixed"), number(F.col("w.mixed") & F.col("w.passed")).alias("mixed_passed"),
+    )
+    good = trusted_strata(counted.collect())  # a row per stratum
     clear = lambda w: ~F.exists("base", lambda b: (b["s"] < w["e"]) & (w["s"] < b["e"]))
     chosen = F.filter("words", lambda w: w["passed"] & w["mixed"] & w["stratum"].isin(good) & clear(w)) if good else F.filter("words", lambda w: F.lit(False))
     added = F.transform(chosen, lambda w: F.struct(w["s"].alias("s"), F.lit(3).alias("k"), w["e"].alias("e")))
