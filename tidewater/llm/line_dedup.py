@@ -3,12 +3,14 @@
 Lines are normalised and hashed where the documents are read; only 128-bit
 hashes and positions are exploded and shuffled.  A hash counts once per document,
 partial counts combine before the shuffle, and the lines of frequent hashes are
-found by a semi-join, whose skewed side adaptive execution can split.  Documents
-are then reassembled by position from what is left.
+found by a semi-join: frequent hashes are broadcast up to ``BROADCAST_KEYS`` of them, so
+that no task gets all lines of one hash; beyond, adaptive execution splits the skewed
+side.  Documents are then reassembled by position from what is left.
 
 Defined cases: every row is a document, so repeated rows count each; a null or
 empty text is one empty line; a line whose key is shorter than ``min_chars``
-never goes; if all lines go the text is empty; null ids are kept apart by text.
+never goes; if all lines go the text is empty; null ids are kept apart by text;
+without rows there are none; a very long text costs a few times its own length.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import types as T
 
 from tidewater.llm.common import ASCII_SPACE, annotate, bytes_of, materialise, shielded
 
+BROADCAST_KEYS = 500_000  # hashes of 16 bytes
+
 
 def line_key(line: bytes) -> bytes:
     """White space off both ends, A-Z in lower case (``bytes.lower`` leaves other bytes)."""
@@ -51,6 +55,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
         lines.select(F.explode(F.array_distinct("keys")).alias("key")).where("key is not null")
         .groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("key")
     )
+    frequent = materialise(frequent, "frequent")
+    if frequent.count() <= BROADCAST_KEYS:
+        frequent = F.broadcast(frequent)
     dropped = (
         lines.select("id", "mark", F.posexplode("keys").alias("at", "key")).where("key is not null")
         .join(frequent, "key", "left_semi")
