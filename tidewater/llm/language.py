@@ -9,7 +9,9 @@ second codeword is nearly as near.
 
 Defined cases: a null text and a text without a letter are ``und`` with score 0;
 without learnable rows every text is ``und``; with one language every text with a
-letter is that language with score 1; repeated rows are predicted alike.
+letter is that language with score 1; repeated rows are predicted alike; an empty table
+gives an empty one; a very long text costs memory of its own length times a constant;
+columns lang_pred, score and ambiguous of the input are replaced, others pass through.
 """
 
 from __future__ import annotations

@@ -7,13 +7,17 @@ table's own character count against the text's.  The score is
 so pairwise interactions of rank ``RANK`` cost time linear in the features.
 
 Defined cases: a null text counts as empty; an empty text has statistics but no
-words; a null n_chars is taken as the text's length; repeated rows score alike;
-without labels of both classes every text gets the smoothed base rate.
+words; an n_chars that is null, no number or absent is taken as the text's length;
+repeated rows score alike; without labels of both classes every text gets the smoothed
+base rate; an empty table gives an empty one; very long texts cost memory of their own
+length times a constant; a column score of the input is replaced by ``score``, others
+pass through.
 """
 
 from __future__ import annotations
 
 import itertools
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -94,7 +98,9 @@ class Extractor:
 
 
 def _batch_inputs(batch, text: str, count: str | None):
+    """Texts and the table's own character counts, of any number type, None where it gives none."""
     counts = batch.column(batch.schema.get_field_index(count)).to_pylist() if count else [None] * batch.num_rows
+    counts = [float(c) if isinstance(c, (int, float, Decimal)) and c == c else None for c in counts]
     return bytes_of(batch, text), counts
 
 
@@ -172,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, learn, label: str = "quality", max
 def score(df: DataFrame, model: dict, text: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:
     """Append ``out``, the probability of good quality; the model has a fixed size and is broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    count = "n_chars" if "n_chars" in df.columns and dict(df.dtypes)["n_chars"] in ("int", "bigint") else None
+    count = "n_chars" if "n_chars" in df.columns else None
 
     def start():
         own, extract = shared.value, Extractor()

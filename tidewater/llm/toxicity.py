@@ -7,7 +7,9 @@ rates in the two classes, and a logistic model is fitted on top.
 
 Defined cases: a null text counts as empty; an empty text has no feature and gets
 the model's base rate; repeated rows score alike; without labels of both classes
-every text gets the smoothed base rate; n-grams do not cross texts.
+every text gets the smoothed base rate; n-grams do not cross texts; an empty table
+gives an empty one; a very long text costs memory of its own length times a constant;
+a column named like the output is replaced, other columns pass through.
 """
 
 from __future__ import annotations
