@@ -10,8 +10,11 @@ near_duplicates one document of each group of similar ones stays, the smallest i
 decontaminate   documents that share ten words in a row with a benchmark item go.
 tokens          texts become token ids, which are decoded again as a check.
 
-Empty tables give empty tables; null texts count as empty and stay unless the
-quality model rejects empty texts.
+Defined cases, in every stage: empty tables give empty tables; null texts count as
+empty and stay unless the quality model rejects empty texts; rows with null or repeated
+ids stay apart (near_duplicates tells rows apart by id and text, and keeps one of rows
+that agree in both); texts of any length are read whole; further columns pass through
+all stages but the last, whatever their names.
 """
 
 from __future__ import annotations

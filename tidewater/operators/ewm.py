@@ -1,7 +1,8 @@
-"""Exponentially weighted indicators.
+"""Weighted and rolling columns in one grouped pass.
 
-All weighted columns of a ticker are made in one grouped pass over its history;
-the pass takes the lists of steps below, so several indicators share one shuffle.
+All such columns of a ticker are made in one pass over its history, by vectorised
+steps; the pass takes the lists of steps below, so several indicators share one
+shuffle, and a long frame costs no more than a short one.
 """
 
 from __future__ import annotations
@@ -14,28 +15,35 @@ from pyspark.sql import types as T
 from tidewater.functions.expr import col, ieee_div
 from tidewater.operators.panel import lag
 
-#: (source column, alpha, min_periods, output column); a fifth entry asks for the
-#: recursive form.  A pair of columns as source gives their difference.
+#: (source column, alpha, min_periods, output column): a weighted mean; a fifth entry
+#: asks for the recursive form.  (source column, 'mean' | 'min' | 'max' | 'std', rows,
+#: output column): an aggregate of the last rows, null until all of them have a value.
+#: A pair of columns as source gives their difference.
 Step = tuple
 
 
 def ewm(df: DataFrame, steps: list[Step], key: str = "ticker", time: str = "date") -> DataFrame:
-    """Append a weighted mean for each step, in order; a step may read an earlier one's output.
+    """Append a column for each step, in order; a step may read an earlier one's output.
 
-    Nulls take no weight; the output is null until ``min_periods`` values were seen.
+    Nulls take no weight; a weighted mean is null until ``min_periods`` values were seen.
     """
     made = [s[3] for s in steps]
     schema = T.StructType([f for f in df.schema.fields if f.name not in made] + [T.StructField(n, T.DoubleType()) for n in made])
+    names = [f.name for f in schema.fields]
 
     def per_key(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(time, kind="stable")
-        for source, alpha, least, out, *plain in steps:
+        held = {c: rows[c] for c in rows.columns}
+        for source, how, least, out, *plain in steps:
             if isinstance(source, tuple):
-                rows[out] = rows[source[0]] - rows[source[1]]
+                held[out] = held[source[0]] - held[source[1]]
                 continue
-            x = pd.to_numeric(rows[source]).astype(float)
-            rows[out] = x.ewm(alpha=alpha, min_periods=least, adjust=not plain, ignore_na=True).mean()
-        return rows[[f.name for f in schema.fields]]
+            x = pd.to_numeric(held[source]).astype(float)
+            if isinstance(how, str):
+                held[out] = getattr(x.rolling(least, min_periods=least), how)()
+            else:
+                held[out] = x.ewm(alpha=how, min_periods=least, adjust=not plain, ignore_na=True).mean()
+        return pd.DataFrame({n: held[n] for n in names})
 
     return df.groupBy(key).applyInPandas(per_key, schema)
 

@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.expr import NUDGE
 
-OTHER_CODES = ("M", "A", "D", "J", "G", "C")
-
-
+OTHER_CODES = ("M", "A", "D", "J", "G", "C")  # fixed values
 
 def _over(n: str, d: str, digits: int) -> str:
     """A rounded quotient, null on a zero divisor."""
     return f"round(try_divide({n}, {d}) * {NUDGE}e0, {digits})"
 
 
-#: The companies screen: output column, expression.
+# fixed values: output column, expression of the companies screen and of the metrics
 SCREEN = [
     *[(c, c) for c in ("ticker", "name", "exchange", "close")], ("pct1d", "pct1"), *[(c, c) for c in ("volume", "sharesdil", "marketcap", "sector", "industry")],
     ("avgvolumeusd1m", "avgvolumeusd20"), *[(c, c) for c in ("revenue", "revenueqtryoy", "revenueyoy", "revenuecagr3y", "revenue5y", "ev", "ebitda", "ebit", "debt")],
@@ -72,7 +70,50 @@ def sanitize_key(column: str):
     return F.regexp_replace(column, "[^A-Za-z0-9_.-]", "_")
 
 
-def export_partitioned(df: DataFrame, path: str, order: list[str], key: str = "ticker") -> None:
-    """One folder per key, rows in order, in one job."""
+def of_companies(df: DataFrame, companies: DataFrame) -> DataFrame:
+    """The rows of the tickers that are in ``companies``."""
+    return df.join(companies.select("ticker").where("ticker is not null"), "ticker", "left_semi")
+
+
+INSIDER_ORDER = (F.desc, "date"), (F.desc, "transactionvalue")
+
+
+def export_table(df: DataFrame, path: str, *order) -> None:
+    """One dataset of Parquet files, in order where one is given."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").parquet(path)
+
+
+def export_partitioned(df: DataFrame, path: str, order: list, key: str = "ticker", keep_key: bool = False) -> None:
+    """One folder per key, rows in order (names, or (direction, name) pairs), in one job.
+
+    The folder's name is the sanitised key; keys that become equal share a folder, so
+    ``keep_key`` leaves the key itself among the columns for readers who must tell them apart.
+    """
+    by = [o if isinstance(o, str) else o[0](o[1]) for o in order]
     keyed = df.withColumn("key", sanitize_key(key))
-    keyed.repartition("key").sortWithinPartitions("key", *order).write.mode("overwrite").partitionBy("key").parquet(path)
+    sorted_ = keyed.repartition("key").sortWithinPartitions("key", *by)
+    (sorted_ if keep_key else sorted_.drop(key)).write.mode("overwrite").partitionBy("key").parquet(path)
+
+
+def export_files(root: str, companies: DataFrame, prices: DataFrame, ttm: DataFrame, qtr: DataFrame, insiders: DataFrame, as_of: str) -> None:
+    """The three tables and the five sets of files by ticker, below ``root``."""
+    export_table(companies_screen(companies), f"{root}/companies")
+    export_table(search_list(companies), f"{root}/search")
+    export_table(insider_screen(insiders, as_of), f"{root}/insiders")
+    for name, (df, order, keep) in ticker_files(companies, prices, ttm, qtr, insiders).items():
+        export_partitioned(of_companies(df, companies), f"{root}/{name}", order, keep_key=keep)
+
+
+def ticker_files(companies: DataFrame, prices: DataFrame, ttm: DataFrame, qtr: DataFrame, insiders: DataFrame) -> dict:
+    """Rows, their order within a ticker, and whether the ticker stays a column, of each set of files."""
+    return {
+        "metrics_by_ticker": (company_metrics(companies), ["ticker"], True),
+        "ttm_by_ticker": (last_reports(ttm, ["calendardate", *TTM_SERIES]), ["calendardate"], False),
+        "qtr_by_ticker": (last_reports(qtr.withColumn("netinc", F.col("netincadj")), ["calendardate", *QTR_SERIES]), ["calendardate"], False),
+        "insiders_by_ticker": (no_other_codes(insiders), list(INSIDER_ORDER), False),
+        "prices_by_ticker": (prices.select("ticker", "date", "close"), ["date"], False),
+    }
+
+
+TTM_SERIES = "fiscalperiod fcf netdebt de roic roe grossmargin netmargin".split()
+QTR_SERIES = "fiscalperiod revenue netinc".split()

@@ -41,7 +41,7 @@ def hurst_signal(df: DataFrame, rows: int = 20) -> DataFrame:
 def hurst(df: DataFrame, window: int = 100, reverse: bool = False) -> DataFrame:
     """Append ``hurst`` to rows that have ``z``; null until the window is full of signals.
 
-    ``reverse`` averages with boxes that are laid from the window's end.
+    ``reverse`` adds the boxes that are laid from the window's end to each scale's sum.
     """
     scales = scales_for(window)
     whole = Window.partitionBy("ticker")
@@ -55,27 +55,23 @@ def hurst(df: DataFrame, window: int = 100, reverse: bool = False) -> DataFrame:
         return F.greatest(F.lit(0.0), F.regr_syy(y, x).over(box) - F.try_divide(sxy * sxy, F.regr_sxx(y, x).over(box)))
 
     base = base.withColumns({f"__r{s}": residual(s) for s in scales})
-    logs = []
+    points = []
     for s in scales:
         boxes = window // s
         phase = Window.partitionBy("ticker", F.pmod("__rn", F.lit(s))).orderBy("__rn").rowsBetween(0, boxes - 1)
         base = base.withColumn(f"__s{s}", F.sum(f"__r{s}").over(phase))
-        starts = [("f", window - 1)] + ([("b", boxes * s - 1)] if reverse else [])
-        for tag, back in starts:
-            f2 = F.lag(f"__s{s}", back).over(series()) / F.lit(float(boxes * s))
-            base = base.withColumn(f"__l{tag}{s}", F.when(f2 > 0, 0.5 * F.ln(f2)))
-        logs.append((s, [f"__l{t}{s}" for t, _ in starts]))
-
-    def slope(k: int):
-        points = [(math.log(s), F.col(names[k])) for s, names in logs]
-        on = [y.isNotNull().cast("double") for _, y in points]
-        n = sum(on[1:], on[0])
-        tot = lambda f: sum((f(x, y) for x, y in points[1:]), f(*points[0]))
-        sx = sum((x * o for (x, _), o in zip(points[1:], on[1:], strict=True)), points[0][0] * on[0])
-        sxx = sum((x * x * o for (x, _), o in zip(points[1:], on[1:], strict=True)), points[0][0] ** 2 * on[0])
-        sy, sxy = tot(lambda x, y: F.coalesce(y, F.lit(0.0))), tot(lambda x, y: F.coalesce(x * y, F.lit(0.0)))
-        return F.when(n >= 3, F.try_divide(n * sxy - sx * sy, n * sxx - sx * sx))
-
-    h = slope(0) if not reverse else (slope(0) + slope(1)) / 2
+        starts = [window - 1] + ([boxes * s - 1] if reverse else [])
+        total = sum((F.lag(f"__s{s}", back).over(series()) for back in starts[1:]), F.lag(f"__s{s}", starts[0]).over(series()))
+        f2 = total / F.lit(float(len(starts) * boxes * s))
+        base = base.withColumn(f"__l{s}", F.when(f2 > 0, 0.5 * F.ln(f2)))
+        points.append((math.log(s), F.col(f"__l{s}")))
+
+    def tot(f):
+        return sum((f(x, y) for x, y in points[1:]), f(*points[0]))
+
+    n = tot(lambda _, y: y.isNotNull().cast("double"))
+    sx, sxx = (tot(lambda x, y, p=p: F.when(y.isNotNull(), F.lit(x**p)).otherwise(0.0)) for p in (1, 2))
+    sy, sxy = tot(lambda _, y: F.coalesce(y, F.lit(0.0))), tot(lambda x, y: F.coalesce(x * y, F.lit(0.0)))
+    h = F.when(n >= 3, F.try_divide(n * sxy - sx * sy, n * sxx - sx * sx))
     return base.withColumn("hurst", F.when(F.col("__full"), h)).drop(*[c for c in base.columns if c.startswith("__")])
 

@@ -1,4 +1,4 @@
-"""Price indicators that windows express; all share one (ticker, date) ordering."""
+"""Price indicators: short frames and lags as windows of one (ticker, date) order, long frames as steps of the grouped pass."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.expr import col, round32, safe_div
+from tidewater.operators.ewm import Step, ewm
 from tidewater.operators.panel import full, lag
 
 SMA_PERIODS = (10, 20, 50, 100, 150, 200)
@@ -21,16 +22,20 @@ def adjust_prices(df: DataFrame) -> DataFrame:
     return df.select("ticker", F.to_date("date").alias("date"), *[(col(c) * factor).alias(c) for c in ("open", "high", "low")], col("closeadj").alias("close"), col("volume").alias("volume"))
 
 
-def sma_expr(source: str, period: int) -> Column:
-    return full(F.avg, col(source), period)
+def sma_steps(source: str = "close", periods=SMA_PERIODS) -> list[Step]:
+    return [(source, "mean", p, f"sma{p}") for p in periods]
 
 
 def sma(df: DataFrame, source: str = "close", periods=SMA_PERIODS) -> DataFrame:
-    return df.withColumns({f"sma{p}": sma_expr(source, p) for p in periods})
+    return ewm(df, sma_steps(source, periods))
+
+
+def highlow_steps(windows=EXTREME_WINDOWS) -> list[Step]:
+    return [s for w in windows for s in (("low", "min", w, f"min{w}"), ("high", "max", w, f"max{w}"))]
 
 
 def highlows(df: DataFrame, windows=EXTREME_WINDOWS) -> DataFrame:
-    return df.withColumns({f"min{w}": full(F.min, col("low"), w) for w in windows} | {f"max{w}": full(F.max, col("high"), w) for w in windows})
+    return ewm(df, highlow_steps(windows))
 
 
 def chg_expr(source: str, period: int) -> Column:
@@ -83,8 +88,11 @@ def dollar_volume(df: DataFrame) -> DataFrame:
     return df.withColumn("volumeusd", col("close") * col("volume"))
 
 
+VOLUME_STEPS = [("volume", "mean", 60, "avgvolume60"), ("volumeusd", "mean", 20, "avgvolumeusd20"), ("volumeusd", "mean", 126, "avgvolumeusd126")]
+
+
 def volume_averages(df: DataFrame) -> DataFrame:
-    return df.withColumns({"avgvolume60": sma_expr("volume", 60), "avgvolumeusd20": sma_expr("volumeusd", 20), "avgvolumeusd126": sma_expr("volumeusd", 126)})
+    return ewm(df, VOLUME_STEPS)
 
 
 def volume_roc(df: DataFrame) -> DataFrame:
@@ -94,7 +102,7 @@ def volume_roc(df: DataFrame) -> DataFrame:
 
 def rs_raw(df: DataFrame) -> DataFrame:
     parts = ((0.4, 63), (0.2, 126), (0.2, 189), (0.2, 252))
-    return df.withColumn("__rs", sum((w * col(f"pct{p}") for w, p in parts[1:]), parts[0][0] * col("pct63")))
+    return df.withColumn("__rs", sum((w * col(f"pct{p}") for w, p in parts[1:]), parts[0][0] * col("pct63")).cast("float"))
 
 
 def volume_confirmed(df: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,7 +76,3 @@ def period_universe(reports: DataFrame, anchors: DataFrame, on: str, stale_days:
     lived = life.withColumn("__year", F.explode(F.sequence(F.year("first"), F.year("last"))))
     dates = anchors.select(F.col(on).alias("anchor")).where("anchor is not null").distinct().withColumn("__year", F.year("anchor"))
     return lived.join(dates, "__year").where("anchor between first and last").select(key, F.col("anchor").alias(on))
-
-
-def chain(df: DataFrame, *steps) -> DataFrame:
-    return reduce(lambda d, f: f(d), steps, df)

@@ -68,13 +68,13 @@ def period_ranks(df: DataFrame, specs: list[tuple[str, bool, str, bool]], on: st
     """Point-in-time ranks: at each report date a key's latest known report counts, up to ``stale_days`` old.
 
     A spec is (source, ascending, alias, percentile).  All specs share one as-of
-    join; a report never sees later ones.
+    join; a report never sees later ones.  Every report with a date makes an anchor
+    and extends its key's life, and the latest report counts even where it holds no
+    value: a key is then unranked rather than ranked by an older report.
     """
     sources = list(dict.fromkeys(s for s, *_ in specs))
     one = df.where(f"{on} is not null").groupBy(key, on).agg(F.max_by(F.struct(*sources), F.col(time)).alias("r")).select(key, on, "r.*")
-    filled = one.where(" or ".join(f"`{s}` is not null" for s in sources))
-    universe = period_universe(filled, filled, on, stale_days, key)
-    known = asof_join(universe, filled, on, key, stale_days, sources).where(" or ".join(f"`{s}` is not null" for s in sources))
+    known = asof_join(period_universe(one, one, on, stale_days, key), one, on, key, stale_days, sources).where(" or ".join(f"`{s}` is not null" for s in sources))
     for source, ascending, alias, as_percentile in specs:
         x = col(source)
         place = _place(x, [F.col(on)], ascending, "average")

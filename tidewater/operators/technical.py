@@ -13,18 +13,20 @@ from tidewater.operators.rank import percentile
 def technical_daily(bars: DataFrame, hurst_window: int | None = None) -> DataFrame:
     """Every technical column over adjusted bars.
 
-    Windows share one order by (ticker, date); all weighted columns are made in one
-    grouped pass; percentiles are windows by date.
+    Two grouped passes make the rolling and the weighted columns (the accumulation
+    score reads a rolling one); lags are windows of the same (ticker, date) order, and
+    percentiles are windows by date.
     """
-    df = indicators.volume_averages(indicators.dollar_volume(bars))
-    df = indicators.highlows(indicators.rate_of_change(indicators.bollinger(indicators.adr(indicators.sma(df)))))
-    df = indicators.rs_raw(indicators.volume_roc(indicators.close_location(indicators.breakout_flags(df))))
+    df = indicators.rate_of_change(indicators.bollinger(indicators.adr(indicators.dollar_volume(bars))))
     df = ewm.with_moves(ewm.with_true_range(df))
     steps = [
+        *indicators.VOLUME_STEPS, *indicators.sma_steps(), *indicators.highlow_steps(),
         ("close", 2 / 13, 12, "__fast"), ("close", 2 / 27, 26, "__slow"), (("__fast", "__slow"), None, None, "macd"), ("macd", 2 / 10, 9, "macd_signal"),
-        ewm.atr_step(20), *ewm.rsi_steps(14), ewm.AD_STEP,
+        ewm.atr_step(20), *ewm.rsi_steps(14),
     ]
     df = ewm.ewm(df, steps).withColumn("rsi14", ewm.rsi_value())
+    df = indicators.rs_raw(indicators.volume_roc(indicators.close_location(indicators.breakout_flags(df))))
+    df = ewm.ewm(df, [ewm.AD_STEP])
     df = percentile(df, "__rs", "date", True, "rsrank")
     df = percentile(df, "volumeroc", "date", True, "volumerocrank")
     df = percentile(df, "ad", "date", True, "adrank")

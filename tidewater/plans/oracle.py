@@ -6,12 +6,45 @@ its columns from one of them.
 
 from __future__ import annotations
 
-from tidewater.operators import exports as X
-from tidewater.operators import snapshot as S
-from tidewater.operators.fractal import SCALES
-from tidewater.sources.datasets import MONEY, RATIOS
 from tidewater.sources.fixtures import AS_OF, duck
 
+# fixed values, written out here so that a wrong one in an operator shows
+MONEY = (
+    "revenue cor sgna rnd opex intexp taxexp netincdis consolinc netincnci netinc prefdivis netinccmn eps epsdil ebt ebit ebitda gp opinc "
+    "capex ncfbus ncfinv ncff ncfdebt ncfcommon ncfdiv ncfi ncfo ncfx ncf sbcomp depamor fcf "
+    "assets cashneq investments investmentsc investmentsnc deferredrev deposits ppnenet inventory taxassets receivables payables intangibles liabilities equity retearn accoci assetsc assetsnc "
+    "liabilitiesc liabilitiesnc taxliabilities debt debtc debtnc invcap equityavg assetsavg invcapavg tangibles workingcapital fcfps bvps tbvps"
+).split()
+RATIOS = "roe roa roic grossmargin netmargin ebitdamargin ros payoutratio divyield".split()
+SCALES = {500: (7, 11, 17, 25, 38, 56, 84, 125), 100: (7, 9, 11, 13, 15, 18, 21, 24)}
+QUALITY = (
+    ("roic", 1, 0.08), ("roce", 1, 0.08), ("__q_gpassets_metric", 1, 0.08), ("roe", 1, 0.03), ("grossmargin", 1, 0.06), ("__q_ebitmargin_metric", 1, 0.06), ("revenuecagr3y", 1, 0.04),
+    ("__q_revenuecagr5y_metric", 1, 0.04), ("__q_salesassetscagr3y_metric", 1, 0.04), ("__q_grossprofitassetscagr3y_metric", 1, 0.04), ("__q_opprofitassetscagr3y_metric", 1, 0.04),
+    ("__q_rndintensity_metric", 1, 0.025), ("__q_rndcagr3y_metric", 1, 0.025), ("__q_cfc_metric", 1, 0.05), ("__q_fcfassets_metric", 1, 0.05), ("__q_cashaccruals_metric", 1, 0.05),
+    ("__q_icr_metric", 1, 0.04), ("de", 0, 0.04), ("fsscore", 1, 0.04), ("__q_cashassets_metric", 1, 0.03), ("__q_intangiblesassets_metric", 1, 0.03), ("bbyield", 1, 0.03),
+)
+VALUE = (("__v_evebitda", 0, 1 / 3), ("__v_evsales", 0, 1 / 3), ("__v_peg", 0, 1 / 3))
+EPS = (("epsqtrchg", 1, 0.4), ("epsqtraccel", 1, 0.3), ("epsqtryoy", 1, 0.2), ("epscagr3y", 1, 0.1))
+SMR = (("revenueqtryoy", 1, 0.25), ("netmarginqtr", 1, 0.25), ("pretaxmargin", 1, 0.25), ("roe", 1, 0.25))
+GROWTH = (("revenueqtraccel", 1, 0.25), ("epsqtraccel", 1, 0.25), ("grossmarginqtrexp", 1, 0.15), ("ebitdamarginqtrexp", 1, 0.2), ("roicqtrexp", 1, 0.15))
+COMPOSITE = (("__c_epsrank", 0.3), ("rsrank", 0.3), ("__c_smrqrank", 0.15), ("adrank", 0.1), ("industryrank", 0.1), ("highrank", 0.05))
+MOMENTUM = (("growthrank", 0.45), ("rsrank", 0.45), ("volconfirmrank", 0.10))
+CONFIRMATION = (("momrank", 0.35), ("qualrank", 0.40), ("epsrank", 0.15))
+NOT_KEPT = "sharefactor, sps, currentratio, assetturnover, marketcap, shareswadil, eps, epsdil, fcfps, bvps, tbvps"
+LAST_QUARTER = (
+    "revenueqtryoy, revenueqtraccel, netmargin AS netmarginqtr, epsadj AS epsqtr, epsqtryoy, epsqtrchg, epsqtr1qagoyoy, epsqtr2qagoyoy, epsqtraccel, grossmarginqtrexp, ebitdamarginqtrexp, roicqtrexp"
+)
+SCREEN = """ticker, name, exchange, close, pct1 AS pct1d, volume, sharesdil, marketcap, sector, industry, avgvolumeusd20 AS avgvolumeusd1m, revenue, revenueqtryoy, revenueyoy, revenuecagr3y, revenue5y,
+  ev, ebitda, ebit, debt, cashneq AS cash, netinc, epsqtr, round(ev / nullif(ebitda, 0), 1) AS evebitda, round(ev / nullif(revenue, 0), 1) AS evsales, round(marketcap / nullif(equity, 0), 1) AS pb,
+  round(netinc / nullif(sharesdil, 0), 2) AS eps, round(marketcap / nullif(netinc, 0), 1) AS pe, round(marketcap / nullif(netinc * epsyoy / 100, 0), 1) AS fwdpe, epsyoy, epscagr3y, epsqtryoy, fcf, fcfyoy, fcfcagr3y,
+  round(marketcap / nullif(revenue, 0), 1) AS ps, round(marketcap / nullif(fcf, 0), 1) AS pfcf,
+  round(ev / nullif(netinc, 0) / nullif(least(epscagr3y, revenuecagr3y, epsyoy, revenueyoy) + coalesce(100 * dps / nullif(close, 0), 0), 0), 1) AS peg, dps, dpscagr5y, round(100 * dps / nullif(close, 0), 2) AS divyield,
+  round(100 * dps / nullif(round(netinc / nullif(sharesdil, 0), 2), 0), 1) AS divpayoutratio, roa, roe, roic, de, grossmargin, ebitdamargin, netmargin, pct5 AS pct1w, pct21 AS pct1m, pct63 AS pct3m, pct126 AS pct6m, pct252 AS pct12m,
+  atr20 AS atr, rsi14 AS rsi, sma20, sma50, sma200, max252, min252, qualrank, rsrank, growthrank, momrank, valuerank, rankscore,
+  revenueqtraccel > 0 AS revenuetrend, epsqtraccel > 0 AND epsqtr1qagoyoy > epsqtr2qagoyoy AS epstrend"""
+METRICS = """ticker, name, exchange, marketcap, netdebt, netinc, fcf, close, pct1 AS pct1d, max252 AS max1y, min252 AS low1y, rankscore, qualrank, growthrank, momrank, valuerank,
+  revenueyoy, revenuecagr3y, epsyoy, epscagr3y, grossmargin, netmargin, de, roe, roic, dps"""
+
 T = "(PARTITION BY ticker ORDER BY date)"
 
 
@@ -58,7 +91,7 @@ b AS (SELECT *, {sma}, {ext}, {chg}, {f32(full("avg", "day", 20))} AS adr, {full
       CASE WHEN pc IS NOT NULL THEN greatest(high - low, abs(high - pc), abs(low - pc)) END AS tr,
       CASE WHEN close - pc > 0 THEN close - pc ELSE 0 END AS up, CASE WHEN close - pc < 0 THEN pc - close ELSE 0 END AS down FROM a),
 c AS (SELECT *, close > lag(max252) OVER {T} AS high252, close < lag(min252) OVER {T} AS low252, CASE WHEN avgvolumeusd126 > 0 THEN {f32("avgvolumeusd20 / avgvolumeusd126 - 1")} END AS volumeroc,
-      0.4e0 * pct63 + 0.2e0 * pct126 + 0.2e0 * pct189 + 0.2e0 * pct252 AS rs,
+      {f32("0.4e0 * pct63 + 0.2e0 * pct126 + 0.2e0 * pct189 + 0.2e0 * pct252")} AS rs,
       CASE WHEN avgvolume60 > 0 THEN (0.7e0 * sign(close - pc) + 0.3e0 * CASE WHEN high - low > 0 THEN (2 * close - high - low) / (high - low) ELSE 0 END) * (volume / avgvolume60) END AS ad0 FROM b),
 d AS (SELECT *, count(ad0) OVER {T} AS ia FROM c),
 e AS (SELECT *, {ewm("close", "rn", "2", "13", 12)} - {ewm("close", "rn", "2", "27", 26)} AS macd, {ewm("tr", "(rn - 1)", "1", "20", 20)} AS atr20, {ewm("up", "rn", "1", "14", 14)} AS gain, {ewm("down", "rn", "1", "14", 14)} AS loss,
@@ -150,23 +183,21 @@ def _weights(parts, alias: str) -> list[tuple[str, float]]:
     return [(f"{alias}_{k}", w) for k, (_, _, w) in enumerate(parts)]
 
 
-_ANNUAL_NOT = S.NOT_KEPT
-_QCOLS = ", ".join(f"{a} AS {b}" for a, b in S.QUARTERLY.items())
 SNAP = f"""
 {DAILY.strip()}, {TTM.replace("px0", "px1")}, {", ".join(x for x in [QTR.replace("fin AS", "qfin AS").replace("FROM fin", "FROM qfin").replace("n1 AS", "qn1 AS").replace("FROM n1", "FROM qn1").replace("n2 AS", "qn2 AS").replace("FROM n2", "FROM qn2").replace("n3 AS", "qn3 AS").replace("n3.", "qn3.").replace("FROM n3", "FROM qn3")])},
 lp AS (SELECT * FROM tech QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1),
-lt AS (SELECT * EXCLUDE ({", ".join(_ANNUAL_NOT)}) FROM ttm QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) = 1),
-lq AS (SELECT ticker, {_QCOLS} FROM qtr QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) = 1),
+lt AS (SELECT * EXCLUDE ({NOT_KEPT}) FROM ttm QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) = 1),
+lq AS (SELECT ticker, {LAST_QUARTER} FROM qtr QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) = 1),
 s0 AS (SELECT c.* EXCLUDE (isdelisted), lp.* EXCLUDE (ticker), lt.* EXCLUDE (ticker), lq.* EXCLUDE (ticker) FROM (SELECT * FROM ({duck("co")}) WHERE isdelisted = 'N') c JOIN lp ON lp.ticker = c.ticker JOIN lt ON lt.ticker = c.ticker JOIN lq ON lq.ticker = c.ticker),
 s1 AS (SELECT *, marketcap + netdebt AS ev, round(marketcap / nullif(netinc, 0) / nullif(revenuecagr3y, 0), 1) AS peg FROM (SELECT *, sharesbas * close AS marketcap FROM s0) x),
 s2 AS (SELECT *, CASE WHEN ev > 0 AND ebitda > 0 THEN ev / ebitda END AS __v_evebitda, CASE WHEN ev > 0 AND revenue > 0 THEN ev / revenue END AS __v_evsales, CASE WHEN max252 > 0 THEN close / max252 END AS high_proximity FROM s1),
 s3 AS (SELECT *, CASE WHEN __v_evebitda IS NULL THEN NULL WHEN ebitda1y > 0 THEN __v_evebitda / ebitda1y WHEN ebitda1y <= 0 THEN 1e9 END AS __v_peg FROM s2),
-s4 AS (SELECT *, {_ranks(S.QUALITY, "qq")}, {_ranks(S.VALUE, "vv")}, {_ranks(S.EPS, "ee")}, {_ranks(S.SMR, "mm")}, {_ranks(S.GROWTH, "gg")}, {f32(percentile("high_proximity", "", "100.0e0"))} AS highrank FROM s3),
+s4 AS (SELECT *, {_ranks(QUALITY, "qq")}, {_ranks(VALUE, "vv")}, {_ranks(EPS, "ee")}, {_ranks(SMR, "mm")}, {_ranks(GROWTH, "gg")}, {f32(percentile("high_proximity", "", "100.0e0"))} AS highrank FROM s3),
 im AS (SELECT industry, {f32(percentile("m", "", "100.0e0"))} AS industryrank FROM (SELECT industry, avg(pct126) AS m FROM s3 GROUP BY industry) x),
-s5 AS (SELECT s4.*, industryrank, {_blend(_weights(S.QUALITY, "qq"), 0.5)} AS qualrank, {_blend(_weights(S.VALUE, "vv"), 0.3)} AS valuerank, {_blend(_weights(S.EPS, "ee"), 0.5)} AS epsrank,
-       {_blend(_weights(S.SMR, "mm"), 0.5)} AS smrqrank, {_blend(_weights(S.GROWTH, "gg"), 0.5)} AS growthrank FROM s4 LEFT JOIN im ON s4.industry = im.industry),
-s6 AS (SELECT *, {f32(percentile("epsrank", "", "100.0e0"))} AS __c_epsrank, {f32(percentile("smrqrank", "", "100.0e0"))} AS __c_smrqrank, {_blend(S.MOMENTUM, 0.5, True)} AS momrank FROM s5),
-s7 AS (SELECT *, {_blend(S.COMPOSITE, 0.5)} AS comprank, {_blend(S.CONFIRMATION, 0.5, True)} AS conf FROM s6),
+s5 AS (SELECT s4.*, industryrank, {_blend(_weights(QUALITY, "qq"), 0.5)} AS qualrank, {_blend(_weights(VALUE, "vv"), 0.3)} AS valuerank, {_blend(_weights(EPS, "ee"), 0.5)} AS epsrank,
+       {_blend(_weights(SMR, "mm"), 0.5)} AS smrqrank, {_blend(_weights(GROWTH, "gg"), 0.5)} AS growthrank FROM s4 LEFT JOIN im ON s4.industry = im.industry),
+s6 AS (SELECT *, {f32(percentile("epsrank", "", "100.0e0"))} AS __c_epsrank, {f32(percentile("smrqrank", "", "100.0e0"))} AS __c_smrqrank, {_blend(MOMENTUM, 0.5, True)} AS momrank FROM s5),
+s7 AS (SELECT *, {_blend(COMPOSITE, 0.5)} AS comprank, {_blend(CONFIRMATION, 0.5, True)} AS conf FROM s6),
 s8 AS (SELECT *, round(CASE WHEN valuerank IS NOT NULL THEN 0.9e0 * conf + 0.1e0 * valuerank ELSE conf END + 0.03e0 * ((coalesce(industryrank, 50) + coalesce(highrank, 50)) / 2), 6) AS core FROM s7),
 snap AS (SELECT *, {percentile("core", "", "100.0e0")} AS rankscore FROM s8)
 """
@@ -181,24 +212,25 @@ insiders AS (SELECT * REPLACE (CASE WHEN isofficer THEN coalesce(officertitle, '
 
 UNIVERSE = f"""
 WITH f AS (SELECT ticker, reportperiod, max_by(roe, calendardate) AS roe, max_by(netmargin, calendardate) AS netmargin FROM ({duck("fin")}) x WHERE reportperiod IS NOT NULL GROUP BY ticker, reportperiod),
-f1 AS (SELECT * FROM f WHERE roe IS NOT NULL OR netmargin IS NOT NULL),
-life AS (SELECT ticker, min(reportperiod) AS lo, max(reportperiod) AS hi FROM f1 GROUP BY ticker),
-u AS (SELECT ticker, d AS reportperiod FROM (SELECT DISTINCT reportperiod AS d FROM f1) JOIN life ON d BETWEEN lo AND CAST(hi + INTERVAL 366 DAY AS DATE)),
-known AS (SELECT u.ticker, u.reportperiod, CASE WHEN date_diff('day', f1.reportperiod, u.reportperiod) <= 366 THEN roe END AS roe, CASE WHEN date_diff('day', f1.reportperiod, u.reportperiod) <= 366 THEN netmargin END AS netmargin
-  FROM u ASOF LEFT JOIN f1 ON u.ticker = f1.ticker AND u.reportperiod >= f1.reportperiod),
+life AS (SELECT ticker, min(reportperiod) AS lo, max(reportperiod) AS hi FROM f GROUP BY ticker),
+u AS (SELECT ticker, d AS reportperiod FROM (SELECT DISTINCT reportperiod AS d FROM f) JOIN life ON d BETWEEN lo AND CAST(hi + INTERVAL 366 DAY AS DATE)),
+known AS (SELECT u.ticker, u.reportperiod, CASE WHEN date_diff('day', f.reportperiod, u.reportperiod) <= 366 THEN roe END AS roe, CASE WHEN date_diff('day', f.reportperiod, u.reportperiod) <= 366 THEN netmargin END AS netmargin
+  FROM u ASOF LEFT JOIN f ON u.ticker = f.ticker AND u.reportperiod >= f.reportperiod),
 k1 AS (SELECT * FROM known WHERE roe IS NOT NULL OR netmargin IS NOT NULL),
 ranked AS (SELECT ticker, reportperiod, {f32(percentile("roe", "reportperiod", "100.0e0"))} AS roerank, CASE WHEN netmargin IS NOT NULL THEN rank() OVER (PARTITION BY reportperiod ORDER BY netmargin DESC NULLS LAST) + (count(netmargin) OVER (PARTITION BY reportperiod, netmargin) - 1) / 2.0e0 END AS marginplace FROM k1)
 """
 
 
-def hurst_sql(window: int) -> str:
+def hurst_sql(window: int, px: str = PX, reverse: bool = False) -> str:
     scales = SCALES[window]
+    back = lambda s: [window - 1, (window // s) * s - 1][: 1 + reverse]
+    total = lambda s: "(" + " + ".join(f"lag(s{s}, {k}) OVER {T}" for k in back(s)) + ")"
     box = lambda s: f"OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN CURRENT ROW AND {s - 1} FOLLOWING)"
     res = ", ".join(f"greatest(0, regr_syy(c, x) {box(s)} - pow(regr_sxy(c, x) {box(s)}, 2) / nullif(regr_sxx(c, x) {box(s)}, 0)) AS r{s}" for s in scales)
     sums = ", ".join(f"sum(r{s}) OVER (PARTITION BY ticker, rn % {s} ORDER BY rn ROWS BETWEEN CURRENT ROW AND {window // s - 1} FOLLOWING) AS s{s}" for s in scales)
-    lags = " UNION ALL ".join(f"SELECT ticker, date, ok, ln({s}) AS lx, CASE WHEN lag(s{s}, {window - 1}) OVER {T} > 0 THEN 0.5e0 * ln(lag(s{s}, {window - 1}) OVER {T} / {(window // s) * s}) END AS ly FROM h3" for s in scales)
+    lags = " UNION ALL ".join(f"SELECT ticker, date, ok, ln({s}) AS lx, CASE WHEN {total(s)} > 0 THEN 0.5e0 * ln({total(s)} / {len(back(s)) * (window // s) * s}) END AS ly FROM h3" for s in scales)
     return f"""
-WITH px AS ({PX}),
+WITH px AS ({px}),
 h0 AS (SELECT *, row_number() OVER {T} AS rn, lag(close) OVER {T} AS pc, 0.5e0 * pow(ln(high / nullif(low, 0)), 2) - (2 * ln(2) - 1) * pow(ln(close / nullif(open, 0)), 2) AS gk FROM px),
 h1 AS (SELECT *, sqrt(greatest(avg(gk) OVER w, 1e-12)) AS sigma, avg(CASE WHEN volume > 0 THEN volume END) OVER w AS vbar FROM h0 WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS 19 PRECEDING)),
 sig AS (SELECT *, CASE WHEN rn >= 20 THEN ln(close / nullif(pc, 0)) * sqrt(volume / nullif(vbar, 0)) / nullif(sigma, 0) END AS z FROM h1),

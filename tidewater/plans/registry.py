@@ -92,7 +92,7 @@ def sink_table(spark, sf_dir):
 @query(f"SELECT {{cols}} FROM ({O.PX}) p", *DAY, "close:4")
 def export_partitioned(spark, sf_dir):
     root = scratch(spark, "export")
-    exports.export_partitioned(bars(spark, sf_dir).select("ticker", "date", "close"), root, ["date"])
+    exports.export_partitioned(bars(spark, sf_dir).select("ticker", "date", "close"), root, ["date"], keep_key=True)
     return spark.read.parquet(root)
 
 
@@ -213,6 +213,8 @@ _TECH_COLS = [*DAY, "open:4", "high:4", "low:4", "close:4", "volume:2", "avgvolu
 simple("technical_daily", bars, technical.technical_daily, from_tech(), *_TECH_COLS)
 simple("technical_weekly", bars, technical.technical_weekly, O.WEEKLY + "SELECT {cols} FROM tech", *_TECH_COLS)
 _OHLCV = [*DAY, "open:4", "high:4", "low:4", "close:4", "volume:2"]
+query(O.hurst_sql(100, O.resampled("week")) + _HURST, *DAY, "hurst:4", name="hurst_weekly")(lambda spark, sf_dir: technical.technical_weekly(bars(spark, sf_dir), hurst_window=100))
+query(O.hurst_sql(100, reverse=True) + _HURST, *DAY, "hurst:4", name="hurst_reverse")(lambda spark, sf_dir: fractal.hurst(fractal.hurst_signal(bars(spark, sf_dir)), 100, reverse=True))
 simple("resample_weekly", bars, lambda d: panel.resample_ohlcv(d, "week"), f"SELECT {{cols}} FROM ({O.resampled('week')}) r", *_OHLCV)
 simple("resample_monthly", bars, lambda d: panel.resample_ohlcv(d, "month"), f"SELECT {{cols}} FROM ({O.resampled('month')}) r", *_OHLCV)
 simple("latest_per_key", bars, lambda d: panel.latest_per_key(d, "date"), f"SELECT {{cols}} FROM ({O.PX}) p QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1", *_OHLCV)
@@ -251,7 +253,7 @@ def weighted_period_rank(spark, sf_dir):
 
 @query(O.UNIVERSE + "SELECT ticker, reportperiod FROM u")
 def period_universe(spark, sf_dir):
-    fin = _FIN(spark, sf_dir).where("roe is not null or netmargin is not null")
+    fin = _FIN(spark, sf_dir)
     return panel.period_universe(fin, fin, "reportperiod")
 
 
@@ -303,50 +305,69 @@ simple("export_insiders", _INS, lambda d: exports.insider_screen(insiders.inside
 query(f"{_SCREEN} SELECT ticker, count(*) AS transactions FROM insiders WHERE ticker IN (SELECT ticker FROM q) AND date >= CAST(DATE '{AS_OF}' - INTERVAL 6 MONTH AS DATE) AND {_CODES} GROUP BY ticker", name="insider_cluster_buys")(lambda spark, sf_dir: exports.insider_screen(insiders.insiders(_INS(spark, sf_dir), AS_OF), AS_OF).groupBy("ticker").agg(F.count("*").alias("transactions")))
 
 
-@query(f"{O.INSIDERS} SELECT {O.cols(*_INS_COLS)}, regexp_replace(ticker, '[^A-Za-z0-9_.-]', '_', 'g') AS key FROM insiders WHERE {_CODES}")
+_HELD = f"ticker IN (SELECT ticker FROM ({duck('co')}) c WHERE isdelisted = 'N')"
+_KEY = "regexp_replace(ticker, '[^A-Za-z0-9_.-]', '_', 'g') AS key"
+
+
+def _back(spark, sf_dir, df, order, columns, keep_key=False):
+    """``df`` of the active companies, written as files by ticker and read back with their folder as ``key``."""
+    root = scratch(spark, "files")
+    held = exports.of_companies(df, snapshot.active_companies(view(spark, sf_dir, "co")))
+    exports.export_partitioned(held, root, order, keep_key=keep_key)
+    names = [f.name for f in df.schema.fields if keep_key or f.name != "ticker"]
+    schema = ", ".join([*(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names), "key string"])
+    return pick(spark.read.schema(schema).parquet(root), ["key", *columns])
+
+
+_INS_FILE = [c for c in _INS_COLS if c != "ticker"]
+
+
+@query(f"{O.INSIDERS} SELECT {O.cols(*_INS_FILE)}, {_KEY} FROM insiders WHERE {_CODES} AND {_HELD}")
 def export_insiders_by_key(spark, sf_dir):
-    root = scratch(spark, "insiders")
-    exports.export_partitioned(pick(exports.no_other_codes(insiders.insiders(_INS(spark, sf_dir), AS_OF)), _INS_COLS), root, ["date", "transactionvalue"])
-    back = spark.read.parquet(root)
-    return back.withColumn("key", F.col("key").cast("string"))
+    rows = exports.no_other_codes(insiders.insiders(_INS(spark, sf_dir), AS_OF))
+    return _back(spark, sf_dir, rows, list(exports.INSIDER_ORDER), _INS_FILE)
 
 
-@query(f"SELECT ticker, date, round(close, 4) AS close FROM ({O.PX}) p")
+@query(f"SELECT date, round(close, 4) AS close, {_KEY} FROM ({O.PX}) p WHERE {_HELD}")
 def export_prices(spark, sf_dir):
-    return pick(bars(spark, sf_dir).repartition("ticker").sortWithinPartitions(*DAY), [*DAY, "close:4"])
+    return _back(spark, sf_dir, bars(spark, sf_dir).select(*DAY, "close"), ["date"], ["date", "close:4"])
 
 
-_DUCK_SCREEN = ", ".join(f"{_e} AS {_n}" for _n, _e in exports.SCREEN)
-_TWO = dict.fromkeys("qualrank rsrank growthrank momrank valuerank rankscore pct1d pct1w pct1m pct3m pct6m pct12m divyield eps volume".split(), 2)
-_SCREEN_DIGITS = {"close": 4, "atr": 4, "rsi": 4} | _TWO
-_TEXT = {"ticker", "name", "exchange", "sector", "industry", "revenuetrend", "epstrend"}
-_SCREEN_COLS = [n if n in _TEXT else f"{n}:{_SCREEN_DIGITS.get(n, 1)}" for n, _ in exports.SCREEN]
-_MACRO = lambda e: e.replace("try_divide(", "div0(")
-simple("export_companies", companies, exports.companies_screen, "", *_SCREEN_COLS)
+_LAST20 = "QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) <= 20"
+_TTM_FILE = ["calendardate", "fiscalperiod", "fcf:2", "netdebt:2", "de:3", "roic:1", "roe:1", "grossmargin:1", "netmargin:1"]
 
 
-def _divide(text: str) -> str:
-    """try_divide(a, b) as (a) / nullif(b, 0)."""
-    while "try_divide(" in text:
-        start = text.rindex("try_divide(")
-        depth, comma, k = 0, 0, start + len("try_divide(")
-        while depth >= 0:
-            ch = text[k]
-            depth += (ch == "(") - (ch == ")")
-            if ch == "," and depth == 0:
-                comma = k
-            k += 1
-        a, b = text[start + len("try_divide(") : comma], text[comma + 1 : k - 1]
-        text = f"{text[:start]}(({a}) / nullif({b}, 0)){text[k:]}"
-    return text
+@query(f"WITH {O.TTM} SELECT {O.cols(*_TTM_FILE)}, {_KEY} FROM ttm WHERE {_HELD} {_LAST20}")
+def export_ttm_files(spark, sf_dir):
+    return _back(spark, sf_dir, exports.last_reports(ttm(spark, sf_dir), ["calendardate", *exports.TTM_SERIES]), ["calendardate"], _TTM_FILE)
+
+
+@query(f"WITH {O.QTR} SELECT calendardate, fiscalperiod, round(revenue, 2) AS revenue, round(netincadj, 2) AS netinc, {_KEY} FROM qtr WHERE {_HELD} {_LAST20}")
+def export_qtr_files(spark, sf_dir):
+    rows = exports.last_reports(qtr(spark, sf_dir).withColumn("netinc", F.col("netincadj")), ["calendardate", *exports.QTR_SERIES])
+    return _back(spark, sf_dir, rows, ["calendardate"], ["calendardate", "fiscalperiod", "revenue:2", "netinc:2"])
+
+
+def written(step):
+    """The companies table after ``step``, written as one dataset and read back."""
+
+    def run(spark, sf_dir):
+        path = scratch(spark, "table")
+        exports.export_table(step(companies(spark, sf_dir)), path)
+        return spark.read.parquet(path)
 
+    return run
 
-ORACLE["export_companies"] = f"{O.SNAP}, screen AS (SELECT {', '.join(f'{_divide(e)} AS {n}' for n, e in exports.SCREEN)} FROM (SELECT * FROM snap) s) SELECT {O.cols(*_SCREEN_COLS)} FROM screen"
-simple("export_search", companies, exports.search_list, O.SNAP + "SELECT exchange, ticker, name, round(close, 4) AS close, round(pct1, 2) AS pct1d FROM snap", "exchange", "ticker", "name", "close:4", "pct1d:2")
+
+_TWO = dict.fromkeys("qualrank rsrank growthrank momrank valuerank rankscore pct1d pct1w pct1m pct3m pct6m pct12m divyield eps volume".split(), 2)
+_SCREEN_DIGITS = {"close": 4, "atr": 4, "rsi": 4} | _TWO
+_TEXT = {"ticker", "name", "exchange", "sector", "industry", "revenuetrend", "epstrend"}
+_SCREEN_COLS = [n if n in _TEXT else f"{n}:{_SCREEN_DIGITS.get(n, 1)}" for n, _ in exports.SCREEN]
+query(f"{O.SNAP}, screen AS (SELECT {O.SCREEN} FROM snap) SELECT {{cols}} FROM screen", *_SCREEN_COLS, name="export_companies")(written(exports.companies_screen))
+query(O.SNAP + "SELECT exchange, ticker, name, round(close, 4) AS close, round(pct1, 2) AS pct1d FROM snap", "exchange", "ticker", "name", "close:4", "pct1d:2", name="export_search")(written(exports.search_list))
 _METRIC_COLS = [n if n in _TEXT else f"{n}:{_SCREEN_DIGITS.get(n, 1)}" for n, _ in exports.METRICS]
-simple("export_metrics", companies, exports.company_metrics, f"{O.SNAP}, m AS (SELECT {', '.join(f'{e} AS {n}' for n, e in exports.METRICS)} FROM snap) SELECT {{cols}} FROM m", *_METRIC_COLS)
-_TTM_SERIES = "fiscalperiod fcf netdebt de roic roe grossmargin netmargin".split()
-simple("last20_ttm", ttm, lambda d: exports.last_reports(d, ["calendardate", *_TTM_SERIES]), f"WITH {O.TTM} SELECT {{cols}} FROM ttm QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) <= 20", *REPORT, "fiscalperiod", "fcf:2", "netdebt:2", "de:3", "roic:1", "roe:1", "grossmargin:1", "netmargin:1")
+query(f"{O.SNAP}, m AS (SELECT {O.METRICS} FROM snap) SELECT {O.cols(*_METRIC_COLS)}, {_KEY} FROM m", name="export_metrics")(lambda spark, sf_dir: _back(spark, sf_dir, exports.company_metrics(companies(spark, sf_dir)), ["ticker"], _METRIC_COLS, keep_key=True))
+simple("last20_ttm", ttm, lambda d: exports.last_reports(d, ["calendardate", *exports.TTM_SERIES]), f"WITH {O.TTM} SELECT {{cols}} FROM ttm QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) <= 20", *REPORT, "fiscalperiod", "fcf:2", "netdebt:2", "de:3", "roic:1", "roe:1", "grossmargin:1", "netmargin:1")
 simple("last20_qtr", qtr, lambda d: exports.last_reports(d.withColumn("netinc", F.col("netincadj")), ["calendardate", "fiscalperiod", "revenue", "netinc"]), f"WITH {O.QTR} SELECT ticker, calendardate, fiscalperiod, round(revenue, 2) AS revenue, round(netincadj, 2) AS netinc FROM qtr QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) <= 20", *REPORT, "fiscalperiod", "revenue:2", "netinc:2")
 
 

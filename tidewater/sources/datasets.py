@@ -50,14 +50,15 @@ def save_table(df: DataFrame, name: str, explain: bool = False) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def export_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, which all executors share; a local session without one gets a temporary folder."""
+    """A new folder under spark.checkpoint.dir, which all executors share.
+
+    Without that setting a local session gets a temporary folder, a cluster an error.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="tidewater-")
         spark.conf.set("spark.checkpoint.dir", where)
     return f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
