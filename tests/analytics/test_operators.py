@@ -84,6 +84,37 @@ def test_period_rank_uses_known_reports_only(spark):
     assert at["D", D(401)] == (None, None)
 
 
+def test_period_rank_of_an_empty_latest_report(spark):
+    """A key whose latest report holds no value is unranked; an older report does not stand in."""
+    rows = [("A", D(0), 1.0), ("A", D(90), None), ("B", D(90), 2.0), ("C", D(40), None)]
+    df = spark.createDataFrame([(t, d, d, v) for t, d, v in rows], "ticker string, reportperiod date, calendardate date, value double")
+    got = rank.period_ranks(df, [("value", True, "p", True), ("value", False, "r", False)])
+    at = {(r["ticker"], r["reportperiod"]): (r["p"], r["r"]) for r in got.collect()}
+    assert at == {("A", D(0)): (100.0, 1.0), ("A", D(90)): (None, None), ("B", D(90)): (100.0, 1.0), ("C", D(40)): (None, None)}
+
+
+def test_repeated_reports_of_a_period(spark):
+    """Of two reports with one (ticker, reportperiod) the later calendardate counts."""
+    rows = [("A", D(0), D(0), 1.0), ("A", D(0), D(5), 9.0), ("B", D(0), D(0), 5.0)]
+    df = spark.createDataFrame(rows, "ticker string, reportperiod date, calendardate date, value double")
+    got = rank.period_ranks(df, [("value", True, "p", True)])
+    assert {(r["ticker"], r["calendardate"]): r["p"] for r in got.collect()} == {("A", D(0)): 100.0, ("A", D(5)): 100.0, ("B", D(0)): 0.0}
+
+
+def test_rolling_steps_and_gaps(spark):
+    """A frame with a missing value has no aggregate; others match plain slices."""
+    x = [3.0, 1.0, None, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0]
+    df = spark.createDataFrame([("A", D(i), v) for i, v in enumerate(x)], "ticker string, date date, v double")
+    done = ewm.ewm(df, [("v", "mean", 3, "m"), ("v", "min", 3, "lo"), ("v", "max", 3, "hi"), ("v", "std", 3, "sd")]).orderBy("date").collect()
+    for i, r in enumerate(done):
+        part = x[max(0, i - 2) : i + 1]
+        if len(part) < 3 or None in part:
+            assert r["m"] is None and r["lo"] is None and r["sd"] is None
+        else:
+            mean = sum(part) / 3
+            assert (r["m"], r["lo"], r["hi"], r["sd"]) == pytest.approx((mean, min(part), max(part), math.sqrt(sum((v - mean) ** 2 for v in part) / 2)))
+
+
 def test_scores(spark):
     df = spark.createDataFrame([(90, 80, 70), (90, 80, None), (90, None, None), (None, None, None)], "a int, b int, c int")
     parts = [("a", 0.5), ("b", 0.25), ("c", 0.25)]
@@ -119,23 +150,57 @@ def test_exports(spark, tmp_path):
         datasets.save_table(df, "")
 
 
-def test_hurst_against_definition(bars, spark):
+def test_exports_by_ticker(spark, tmp_path):
+    """Latest and largest insider rows first, the key only in the folder's name, companies alone."""
+    rows = [("A", D(1), 5.0, "P"), ("A", D(3), 1.0, None), ("A", D(3), 7.0, "S"), ("A", D(4), 1.0, "M"), ("Z", D(1), 1.0, "P")]
+    df = spark.createDataFrame(rows, "ticker string, date date, transactionvalue double, transactioncode string")
+    held = exports.of_companies(exports.no_other_codes(df), spark.createDataFrame([("A",), (None,)], "ticker string"))
+    exports.export_partitioned(held, str(tmp_path / "ins"), list(exports.INSIDER_ORDER))
+    back = spark.read.parquet(str(tmp_path / "ins"))
+    assert "ticker" not in back.columns and [(r["key"], r["date"], r["transactionvalue"]) for r in back.collect()] == [("A", D(3), 7.0), ("A", D(3), 1.0), ("A", D(1), 5.0)]
+
+
+def test_every_export_is_written(spark, sf_dir, tmp_path):
+    from tidewater.plans import registry as R
+    from tidewater.sources.fixtures import AS_OF, view
+
+    companies = datasets.cut(R.companies(spark, sf_dir))
+    insider = insiders.insiders(view(spark, sf_dir, "ins"), AS_OF)
+    exports.export_files(str(tmp_path), companies, R.bars(spark, sf_dir), R.ttm(spark, sf_dir), R.qtr(spark, sf_dir), insider, AS_OF)
+    assert {p.name for p in tmp_path.iterdir()} == {"companies", "search", "insiders", "metrics_by_ticker", "ttm_by_ticker", "qtr_by_ticker", "insiders_by_ticker", "prices_by_ticker"}
+    tickers = {r["ticker"] for r in companies.select("ticker").collect()}
+    for name in ("metrics", "ttm", "qtr", "prices"):
+        back = spark.read.parquet(str(tmp_path / f"{name}_by_ticker"))
+        assert {str(r["key"]) for r in back.select("key").distinct().collect()} == tickers and ("ticker" in back.columns) == (name == "metrics")
+    assert spark.read.parquet(str(tmp_path / "search")).columns == ["exchange", "ticker", "name", "close", "pct1d"]
+
+
+def test_dropped_columns(spark, sf_dir):
+    from tidewater.sources.fixtures import view
+
+    fin = view(spark, sf_dir, "fin").withColumns({"revenueusd": F.lit(1.0), "dimension": F.lit("ARQ")})
+    assert not {"revenueusd", "dimension"} & set(statements.adjust_financials(fin).columns)
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_hurst_against_definition(bars, spark, reverse):
     import numpy as np
 
     rng = np.random.default_rng(1)
     z = rng.normal(size=230)
     df = spark.createDataFrame([("A", D(i), float(v)) for i, v in enumerate(z)], "ticker string, date date, z double")
-    got = column(fractal.hurst(df, 100), "hurst")
+    got = column(fractal.hurst(df, 100, reverse=reverse), "hurst")
     assert got[98] is None and all(v is not None for v in got[99:])
     for end in (99, 150, 229):
         profile = np.cumsum(z[end - 99 : end + 1] - z[end - 99 : end + 1].mean())
         xs, ys = [], []
         for s in fractal.SCALES[100]:
             ss = 0.0
-            for b in range(100 // s):
-                y = profile[b * s : (b + 1) * s]
+            starts = [b * s for b in range(100 // s)] + [100 - (b + 1) * s for b in range(100 // s) if reverse]
+            for a in starts:
+                y = profile[a : a + s]
                 x = np.arange(s)
                 ss += ((y - np.polyval(np.polyfit(x, y, 1), x)) ** 2).sum()
             xs.append(math.log(s))
-            ys.append(0.5 * math.log(ss / (100 // s * s)))
+            ys.append(0.5 * math.log(ss / (len(starts) * s)))
         assert got[end] == pytest.approx(np.polyfit(xs, ys, 1)[0], abs=1e-9)

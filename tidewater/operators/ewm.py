@@ -18,7 +18,8 @@ from tidewater.operators.panel import lag
 #: (source column, alpha, min_periods, output column): a weighted mean; a fifth entry
 #: asks for the recursive form.  (source column, 'mean' | 'min' | 'max' | 'std', rows,
 #: output column): an aggregate of the last rows, null until all of them have a value.
-#: A pair of columns as source gives their difference.
+#: (source column, 'lag', rows, output column): an earlier row's value.  A pair of columns
+#: as source gives their difference, or with 'ratio' their quotient by a positive divisor.
 Step = tuple
 
 
@@ -36,10 +37,13 @@ def ewm(df: DataFrame, steps: list[Step], key: str = "ticker", time: str = "date
         held = {c: rows[c] for c in rows.columns}
         for source, how, least, out, *plain in steps:
             if isinstance(source, tuple):
-                held[out] = held[source[0]] - held[source[1]]
+                x, y = (pd.to_numeric(held[c]).astype(float) for c in source)
+                held[out] = x / y.where(y > 0) if how == "ratio" else x - y
                 continue
             x = pd.to_numeric(held[source]).astype(float)
-            if isinstance(how, str):
+            if how == "lag":
+                held[out] = x.shift(least)
+            elif isinstance(how, str):
                 held[out] = getattr(x.rolling(least, min_periods=least), how)()
             else:
                 held[out] = x.ewm(alpha=how, min_periods=least, adjust=not plain, ignore_na=True).mean()

@@ -46,16 +46,23 @@ def rate_of_change(df: DataFrame, source: str = "close", periods=CHANGE_PERIODS)
     return df.withColumns({f"pct{p}": chg_expr(source, p) for p in periods})
 
 
+def day_range() -> Column:
+    """The range of a day in per cent of its low."""
+    return (F.try_divide(col("high"), col("low")) - 1) * 100
+
+
 def adr(df: DataFrame, period: int = 20) -> DataFrame:
     """Average daily range in per cent."""
-    day = (F.try_divide(col("high"), col("low")) - 1) * 100
-    return df.withColumn("adr" if period == 20 else f"adr{period}", full(F.avg, day, period).cast("float"))
+    return df.withColumn("adr" if period == 20 else f"adr{period}", full(F.avg, day_range(), period).cast("float"))
+
+
+def bands(mid: Column, dev: Column, multiplier: float = 2.0, tail: str = "") -> dict[str, Column]:
+    return {f"bbtop{tail}": mid + multiplier * dev, f"bbbot{tail}": mid - multiplier * dev}
 
 
 def bollinger(df: DataFrame, period: int = 20, multiplier: float = 2.0) -> DataFrame:
     tail = "" if (period, multiplier) == (20, 2.0) else f"_{period}_{multiplier:g}"
-    mid, dev = full(F.avg, col("close"), period), full(F.stddev_samp, col("close"), period)
-    return df.withColumns({f"bbtop{tail}": mid + multiplier * dev, f"bbbot{tail}": mid - multiplier * dev})
+    return df.withColumns(bands(full(F.avg, col("close"), period), full(F.stddev_samp, col("close"), period), multiplier, tail))
 
 
 def _log_ratio(n: Column, d: Column) -> Column:
@@ -79,9 +86,13 @@ def yang_zhang(df: DataFrame, window: int = 20, annualize_factor: float = 252.0)
     return step.withColumn("yz_variance", var * annualize_factor).withColumn("yz_vol", F.sqrt(F.col("yz_variance"))).drop("__on", "__oc", "__rs")
 
 
+def beyond(high: Column, low: Column) -> dict[str, Column]:
+    return {"high252": col("close") > high, "low252": col("close") < low}
+
+
 def breakout_flags(df: DataFrame) -> DataFrame:
     """Close beyond the previous row's 252-row extreme; null on a ticker's first row."""
-    return df.withColumns({"high252": col("close") > lag("max252"), "low252": col("close") < lag("min252")})
+    return df.withColumns(beyond(lag("max252"), lag("min252")))
 
 
 def dollar_volume(df: DataFrame) -> DataFrame:
@@ -109,10 +120,14 @@ def volume_confirmed(df: DataFrame) -> DataFrame:
     return df.withColumn("__volconfirm", (col("rsrank") - 50) / 50 * (col("volumerocrank") / 100))
 
 
-def close_location(df: DataFrame) -> DataFrame:
-    """Raw accumulation score: direction of the close and its place in the day's range, by relative volume."""
+def pressure() -> Column:
+    """Volume by the direction of the close and its place in the day's range."""
     c, h, low = col("close"), col("high"), col("low")
     inside = F.when(h - low > 0, F.try_divide(2 * c - h - low, h - low)).otherwise(F.lit(0.0))
-    change = F.signum(c - lag(c))
+    return (0.7 * F.signum(c - lag(c)) + 0.3 * inside) * col("volume")
+
+
+def close_location(df: DataFrame) -> DataFrame:
+    """Raw accumulation score: pressure by usual volume."""
     usual = col("avgvolume60")
-    return df.withColumn("__ad", F.when(usual > 0, (0.7 * change + 0.3 * inside) * F.try_divide(col("volume"), usual)))
+    return df.withColumn("__ad", F.when(usual > 0, F.try_divide(pressure(), usual)))

@@ -9,18 +9,26 @@ from tidewater.functions.expr import col, round32
 from tidewater.operators.panel import asof_join, period_universe
 
 
+def _order(value: Column, keys: list, ascending: bool):
+    """One window order for rank, ties and number, so that they share a sort."""
+    return Window.partitionBy(*keys).orderBy(value.asc_nulls_last() if ascending else value.desc_nulls_last())
+
+
 def _place(value: Column, keys: list, ascending: bool, ties: str) -> Column:
-    order = value.asc_nulls_last() if ascending else value.desc_nulls_last()
-    within = Window.partitionBy(*keys).orderBy(order)
+    within = _order(value, keys, ascending)
     if ties == "dense":
         return F.dense_rank().over(within)
-    return F.rank().over(within) + (F.count(value).over(Window.partitionBy(*keys, value)) - 1) / 2
+    return F.rank().over(within) + (F.count(value).over(within.rangeBetween(Window.currentRow, Window.currentRow)) - 1) / 2
+
+
+def _number(value: Column, keys: list, ascending: bool) -> Column:
+    return F.count(value).over(_order(value, keys, ascending).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
 
 
 def percentile(df: DataFrame, source: str, by: str, ascending: bool, alias: str, ties: str = "average", singleton: float | None = None) -> DataFrame:
     """(rank - 1) / (n - 1) * 100 among rows with the same ``by``; ``singleton`` where n is one."""
     x = F.when(~F.isnan(col(source)), col(source))
-    n = F.count(x).over(Window.partitionBy(by))
+    n = _number(x, [F.col(by)], ascending)
     score = F.when(n > 1, F.try_divide(_place(x, [F.col(by)], ascending, ties) - 1, n - 1) * 100).otherwise(F.lit(singleton))
     return df.withColumn(alias, round32(F.when(x.isNotNull(), score), 2))
 
@@ -78,7 +86,7 @@ def period_ranks(df: DataFrame, specs: list[tuple[str, bool, str, bool]], on: st
     for source, ascending, alias, as_percentile in specs:
         x = col(source)
         place = _place(x, [F.col(on)], ascending, "average")
-        n = F.count(x).over(Window.partitionBy(on))
+        n = _number(x, [F.col(on)], ascending)
         value = F.when(n > 1, F.try_divide(place - 1, n - 1) * 100).otherwise(100.0) if as_percentile else place
         known = known.withColumn(alias, round32(F.when(x.isNotNull(), value), 2))
     return df.join(known.select(key, on, *[a for _, _, a, _ in specs]), [key, on], "left")

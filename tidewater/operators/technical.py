@@ -13,20 +13,20 @@ from tidewater.operators.rank import percentile
 def technical_daily(bars: DataFrame, hurst_window: int | None = None) -> DataFrame:
     """Every technical column over adjusted bars.
 
-    Two grouped passes make the rolling and the weighted columns (the accumulation
-    score reads a rolling one); lags are windows of the same (ticker, date) order, and
-    percentiles are windows by date.
+    Lags are windows of one (ticker, date) order; one grouped pass over each ticker
+    makes all rolling and weighted columns; percentiles are windows by date.
     """
-    df = indicators.rate_of_change(indicators.bollinger(indicators.adr(indicators.dollar_volume(bars))))
-    df = ewm.with_moves(ewm.with_true_range(df))
+    df = indicators.rate_of_change(indicators.dollar_volume(bars))
+    df = ewm.with_moves(ewm.with_true_range(df)).withColumns({"__day": indicators.day_range(), "__pressure": indicators.pressure()})
     steps = [
-        *indicators.VOLUME_STEPS, *indicators.sma_steps(), *indicators.highlow_steps(),
+        *indicators.VOLUME_STEPS, *indicators.sma_steps(), *indicators.highlow_steps(), ("max252", "lag", 1, "__max"), ("min252", "lag", 1, "__min"),
+        ("__day", "mean", 20, "__adr"), ("close", "std", 20, "__dev"),
         ("close", 2 / 13, 12, "__fast"), ("close", 2 / 27, 26, "__slow"), (("__fast", "__slow"), None, None, "macd"), ("macd", 2 / 10, 9, "macd_signal"),
-        ewm.atr_step(20), *ewm.rsi_steps(14),
+        ewm.atr_step(20), *ewm.rsi_steps(14), (("__pressure", "avgvolume60"), "ratio", None, "__ad"), ewm.AD_STEP,
     ]
-    df = ewm.ewm(df, steps).withColumn("rsi14", ewm.rsi_value())
-    df = indicators.rs_raw(indicators.volume_roc(indicators.close_location(indicators.breakout_flags(df))))
-    df = ewm.ewm(df, [ewm.AD_STEP])
+    df = ewm.ewm(df, steps).withColumns({"rsi14": ewm.rsi_value(), "adr": F.col("__adr").cast("float")})
+    df = df.withColumns(indicators.bands(F.col("sma20"), F.col("__dev")) | indicators.beyond(F.col("__max"), F.col("__min")))
+    df = indicators.rs_raw(indicators.volume_roc(df))
     df = percentile(df, "__rs", "date", True, "rsrank")
     df = percentile(df, "volumeroc", "date", True, "volumerocrank")
     df = percentile(df, "ad", "date", True, "adrank")
