@@ -83,11 +83,12 @@ def fit(rows: np.ndarray, langs: list[str], rounds: int = 150, l2: float = 1e-5)
     if len(names) > 1:
         y = (code[which] > 0).astype(float)
         move_w, move_b = Adam(weight.shape, 0.3), Adam(bias.shape, 0.3)
+        rows = np.ascontiguousarray(rows, np.float32)  # products in single precision; a mixed one would copy the rows each round
         for _ in range(rounds):
-            gap = sigmoid(rows @ weight + bias) - y
-            weight += move_w.step(rows.T @ gap / len(rows) + l2 * weight)
+            gap = sigmoid(rows @ weight.astype(np.float32) + bias) - y
+            weight += move_w.step(rows.T @ gap.astype(np.float32) / len(rows) + l2 * weight)
             bias += move_b.step(gap.mean(0))
-        right = ((rows @ weight + bias > 0) == (y > 0)).mean(0)
+        right = ((rows @ weight.astype(np.float32) + bias > 0) == (y > 0)).mean(0)
     else:
         right = np.ones(code.shape[1])
     trust = np.maximum(2 * right - 1, 0.01)

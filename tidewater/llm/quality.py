@@ -125,7 +125,8 @@ def machine_scores(rows, index, value, n: int, model: dict) -> np.ndarray:
     return out
 
 
-def fit(row, bucket, value, stats, y: np.ndarray, rounds: int = 120, rate: float = 0.03, l2: float = 1e-4) -> dict:
+def fit(row, bucket, value, stats, y: np.ndarray, rounds: int = 120, rate: float = 0.03, l2: float = 1e-4, enough: float = 0.006) -> dict:
+    """Full-batch steps from the mean log loss down to ``enough``, at most ``rounds`` of them."""
     n, dim = len(y), (1 << BITS) + len(STATS) * (BINS + 1)
     good = float(y.sum())
     edges = np.quantile(stats, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T if n else np.zeros((len(STATS), BINS - 1))
@@ -139,7 +140,10 @@ def fit(row, bucket, value, stats, y: np.ndarray, rounds: int = 120, rate: float
     r, i, x = machine_inputs(row, bucket, value, stats, model)
     move_w, move_v, move_b = Adam(dim, rate), Adam((dim, RANK), rate), Adam(1, rate)
     for _ in range(rounds):
-        gap = (sigmoid(machine_scores(r, i, x, n, model)) - y) / n
+        p = sigmoid(machine_scores(r, i, x, n, model))
+        if -np.log(np.maximum(np.where(y > 0, p, 1 - p), 1e-12)).mean() < enough:
+            break
+        gap = (p - y) / n
         g = gap[r] * x
         grad_v = np.empty((dim, RANK))
         for f in range(RANK):
