@@ -1,8 +1,9 @@
-"""Hurst exponent by detrended fluctuation analysis, in window regressions.
+"""Hurst exponent by detrended fluctuation analysis, in running sums.
 
 A box's residual around its line does not change when a constant or a slope is
 taken off the profile, so the residual of each box is a property of the ticker's
-running sum alone; windows then only add boxes up.
+profile alone.  It comes from differences of running sums, at the same cost for any
+size of box; windows then only add boxes up.
 """
 
 from __future__ import annotations
@@ -46,13 +47,16 @@ def hurst(df: DataFrame, window: int = 100, reverse: bool = False) -> DataFrame:
     scales = scales_for(window)
     whole = Window.partitionBy("ticker")
     base = df.withColumns({"__rn": F.row_number().over(series()), "__c0": F.coalesce(F.col("z") - F.avg("z").over(whole), F.lit(0.0))})
-    base = base.withColumn("__c", F.sum("__c0").over(series())).withColumn("__full", F.count("z").over(trailing(window)) >= window)
+    order = series()
+    base = base.withColumns({"__c": F.sum("__c0").over(order), "__k": F.count("z").over(order)})
+    base = base.withColumns({"__full": F.col("__k") - F.coalesce(F.lag("__k", window).over(order), F.lit(0)) >= window, "__s1": F.sum("__c").over(order), "__s2": F.sum(F.col("__c") * F.col("__c")).over(order), "__sx": F.sum(F.col("__rn") * F.col("__c")).over(order)})
 
     def residual(s: int):
-        box = series().rowsBetween(0, s - 1)
-        x, y = F.col("__rn").cast("double"), F.col("__c")
-        sxy = F.regr_sxy(y, x).over(box)
-        return F.greatest(F.lit(0.0), F.regr_syy(y, x).over(box) - F.try_divide(sxy * sxy, F.regr_sxx(y, x).over(box)))
+        """Squares around the line of the box of ``s`` rows from this one on, with places counted from its first row."""
+        over_box = lambda c: F.lead(c, s - 1).over(order) - F.coalesce(F.lag(c).over(order), F.lit(0.0))
+        y, yy = over_box("__s1"), over_box("__s2")
+        xy = over_box("__sx") - F.col("__rn") * y - (s - 1) / 2 * y
+        return F.greatest(F.lit(0.0), yy - y * y / s - xy * xy / (s * (s * s - 1) / 12))
 
     base = base.withColumns({f"__r{s}": residual(s) for s in scales})
     points = []
