@@ -120,6 +120,7 @@ def annotate(
                 columns = [cut.column(cut.schema.get_field_index(n)) for n in names]
                 columns += [x if isinstance(x, pa.Array) and x.type == t else x.cast(t) if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names + new)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     need = list(dict.fromkeys([*names, by, *(c for c in (keep or []) if c in df.columns)]))
     return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, schema)

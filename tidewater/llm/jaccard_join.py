@@ -35,6 +35,8 @@ texts cost memory of their own length times a constant, one or two at a time.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -48,10 +50,11 @@ from tidewater.llm.components import connected_components
 
 WORDS = 5
 PERCENT = 80
-COUNTER_BITS = 21
-FILTER_BITS = 26
-HUBS = 4
+COUNTER_BITS = 20
+FILTER_BITS = 26  # of shared shingles; texts to verify are picked by a filter of a quarter of that
+HUBS = 3
 LATE_HUBS = 24
+AT_ONCE = 8  # seeds of one aggregation
 CROWDED = 16  # postings of a bucket from which more hubs pay
 PARTNERS = 256  # that share one copy of a hub's text
 CHUNK = 1 << 18  # bytes hashed at a time
@@ -360,8 +363,8 @@ def word_shingles(text: bytes, words: int) -> set:
     return set(zip(*[held[k:] for k in range(words)], strict=False))
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, plain: DataFrame, words: int, percent: int, bits: int) -> DataFrame:
-    """The pairs whose sets link, decided on words.
+def _verify(pairs: DataFrame, classes: DataFrame, plain: DataFrame, words: int, percent: int, bits: int):
+    """The pairs whose sets link, decided on words; and the broadcast filter, to be destroyed when they are written.
 
     The end with more partners is the host; its text goes once to each lot of about
     ``PARTNERS`` guests, whose texts stream past it.  Texts are read again for the
@@ -408,7 +411,7 @@ def _verify(pairs: DataFrame, classes: DataFrame, plain: DataFrame, words: int,
 
     texts = plain.select("row_key", "text").mapInArrow(pick, "digest binary, text string")
     dealt = keyed.join(texts, "digest").select("host", "lot", "side", "uid", "text").repartition("host", "lot").sortWithinPartitions("host", "lot", "side")
-    return dealt.mapInArrow(link, "a long, b long").distinct()
+    return dealt.mapInArrow(link, "a long, b long").distinct(), shared
 
 
 def _one_each(pairs: DataFrame) -> DataFrame:
@@ -441,7 +444,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
         pairs = tables.save(pairs, name)
         if components is not None and pairs.isEmpty():
             return components
-        links = tables.save(_verify(pairs, classes, plain, words, percent, filter_bits), f"{name}_links")
+        found, shared = _verify(pairs, classes, plain, words, percent, max(10, filter_bits - 2))
+        links = tables.save(found, f"{name}_links")
+        shared.destroy()
         if components is not None:
             links = links.unionAll(components.select(F.col("component").alias("a"), F.col("node").alias("b")))
         return connected_components(links)
@@ -453,7 +458,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     components = joined_by(_one_each(near), "near_one", None)
     components = joined_by(_apart(near, components), "near_rest", components)
     mixed = tables.save(_open_groups(postings, members, components), "mixed")
-    late = expanded(_nearest_hubs(mixed.where("c != main"), mixed.where("c = main"), range(100, 100 + max(1, late_hubs)), percent), "late")
+    asked = []
+    for first in range(100, 100 + max(1, late_hubs), AT_ONCE):
+        seeds = range(first, min(first + AT_ONCE, 100 + max(1, late_hubs)))
+        asked.append(tables.save(_nearest_hubs(mixed.where("c != main"), mixed.where("c = main"), seeds, percent), f"asked{first}"))
+    late = expanded(reduce(DataFrame.unionAll, asked).distinct(), "late")
     components = joined_by(_one_each(_apart(late, components)), "late_one", components)
     components = joined_by(_apart(late, components), "late_rest", components)
     mixed = tables.save(_open_groups(postings, members, components), "open")

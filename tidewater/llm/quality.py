@@ -32,7 +32,7 @@ from tidewater.llm.learn import MAX_ROWS, Adam, labelled_sample, sample_features
 BITS = 14
 RANK = 6
 BINS = 10
-MEMO = 100_000
+MEMO = 60_000
 
 # character classes of UTF-8 bytes
 _CLASS = np.full(256, 4, np.int64)  # 4: other symbols
