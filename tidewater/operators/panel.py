@@ -76,3 +76,16 @@ def period_universe(reports: DataFrame, anchors: DataFrame, on: str, stale_days:
     lived = life.withColumn("__year", F.explode(F.sequence(F.year("first"), F.year("last"))))
     dates = anchors.select(F.col(on).alias("anchor")).where("anchor is not null").distinct().withColumn("__year", F.year("anchor"))
     return lived.join(dates, "__year").where("anchor between first and last").select(key, F.col("anchor").alias(on))
+
+
+def running_total(df: DataFrame, order: str, value: str, out: str, width: int = 1024) -> DataFrame:
+    """Append ``out``, the sum of ``value`` over all rows with a smaller ``order`` (distinct integers of at least 0).
+
+    Two levels: sums within stretches of ``width`` numbers, and the totals of the
+    stretches before, so that a window holds one stretch or one row per stretch.
+    """
+    block = df.withColumn("__block", F.floor(F.col(order) / width))
+    totals = block.groupBy("__block").agg(F.sum(value).alias("__total"))
+    before = totals.select("__block", F.coalesce(F.sum("__total").over(Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    own = F.coalesce(F.sum(value).over(Window.partitionBy("__block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return block.join(before, "__block").withColumn(out, F.col("__before") + own).drop("__block", "__before")
