@@ -92,6 +92,23 @@ def bytes_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [x or b"" for x in array.cast(pa.binary()).to_pylist()]
 
 
+def runs_of(texts: list[bytes], table: bytes, cut: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, pa.Array]:
+    """All maximal runs of bytes that ``table`` does not turn into a space: the text of each, and the runs, as ``table`` turns them, as an Arrow array.
+
+    ``cut`` gets all bytes and tells those at which a new run begins besides.
+    """
+    raw = np.frombuffer(b" ".join([*texts, b""]).translate(table), np.uint8)
+    inside = raw != 32
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    if cut is not None:
+        begins |= cut(raw)
+    start = np.flatnonzero(begins)
+    offsets = np.append(np.cumsum(inside, dtype=np.int64)[start] - 1, np.count_nonzero(inside))
+    owner = np.searchsorted(np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1), start, "right")
+    return owner, pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])])
+
+
 def annotate(
     df: DataFrame,
     fields: list[tuple[str, T.DataType]],

@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, line_dedup, quality, secrets, toxicity
+from tidewater.llm import bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, line_dedup, quality, resample, secrets, token_blocks, toxicity
 
 RANKS = "byte_bpe_50k.tiktoken"
+WORDS = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +59,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted_languages(table(spark, sf_dir, "documents"))
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.token_digests(token_blocks.save_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end=2))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_html_text": op2_html_text,
@@ -69,6 +78,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language": op10_language,
+    "op12_resample": op12_resample,
+    "op13_token_blocks": op13_token_blocks,
 }
 
 _FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
