@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, line_dedup, quality, resample, secrets, token_blocks, toxicity
+from tidewater.llm import bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, line_dedup, quality, resample, secrets, spelling, token_blocks, toxicity
 
 RANKS = "byte_bpe_50k.tiktoken"
 WORDS = "word_bpe_49k.json"
@@ -59,6 +59,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predicted_languages(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language": op10_language,
+    "op11_spelling": op11_spelling,
     "op12_resample": op12_resample,
     "op13_token_blocks": op13_token_blocks,
 }
