@@ -66,6 +66,25 @@ def test_asof(spark):
     assert {r["v"] for r in panel.asof_join(left, right, "date", "ticker", 15, ["v"]).where("date = '2020-01-31'").collect()} == {3.0}
 
 
+def test_asof_of_a_hot_key_equals_sql(spark):
+    """One key holds half of the rows over many years, with gaps of years, repeated left rows and rows before any match."""
+    import duckdb
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    day = lambda n: [dt.date(2000, 1, 1) + dt.timedelta(days=int(d)) for d in n]
+    keys = np.where(rng.random(4000) < 0.5, "HOT", rng.choice(list("ABCDE"), 4000))
+    left = pd.DataFrame({"ticker": keys, "date": day(rng.integers(0, 9000, 4000)), "n": np.arange(4000)})
+    right = pd.DataFrame({"ticker": np.where(rng.random(600) < 0.5, "HOT", rng.choice(list("ABCDE"), 600)), "date": day(rng.integers(1500, 9000, 600)), "v": rng.random(600)}).drop_duplicates(["ticker", "date"])
+    right = right[(right["date"] < dt.date(2010, 1, 1)) | (right["date"] > dt.date(2014, 6, 1))]
+    for days in (30, 3000):
+        got = panel.asof_join(spark.createDataFrame(left), spark.createDataFrame(right), "date", "ticker", days, ["v"])
+        want = duckdb.sql(f"SELECT n, CASE WHEN date_diff('day', CAST(r.date AS DATE), CAST(l.date AS DATE)) <= {days} THEN v END AS v FROM left_ l ASOF LEFT JOIN right_ r ON l.ticker = r.ticker AND l.date >= r.date".replace("left_", "left").replace("right_", "right").replace("FROM left l", 'FROM "left" l').replace("JOIN right r", 'JOIN "right" r')).fetchall()
+        assert {r["n"]: r["v"] for r in got.collect()} == dict(want) and len(want) == 4000
+    assert "hashpartitioning(__by" in (plan := got._jdf.queryExecution().executedPlan().toString()) and "__slot" in plan
+
+
 def test_percentiles(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("b", 1, 5.0), ("c", 1, 9.0), ("d", 1, None), ("e", 2, 1.0)], "ticker string, date int, x double")
     assert column(rank.percentile(df, "x", "date", True, "p"), "p", "ticker") == [25.0, 25.0, 100.0, None, None]
@@ -75,6 +94,30 @@ def test_percentiles(spark):
     assert one.first()["p"] == 100.0
 
 
+def test_snapshot_rank_of_many_distinct_values(spark):
+    """A million values in many ranges, with ties and gaps; no window has a metric's rows to itself."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 24)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = 1_000_000
+        df = spark.range(n).select(F.col("id").alias("ticker"), F.pmod(F.col("id") * 7919, F.lit(n)).cast("double").alias("x"), F.when(F.col("id") % 3 > 0, F.floor(F.col("id") / 1000)).cast("double").alias("y"))
+        got = rank.snapshot_percentiles(df, [("x", True, "p"), ("x", False, "q"), ("y", True, "r")])
+        far = got.select(
+            F.max(F.abs(F.col("p") - F.col("x") / (n - 1) * 100)).alias("p"), F.max(F.abs(F.col("q") - (100 - F.col("x") / (n - 1) * 100))).alias("q"), F.count("r").alias("r"), F.count("*").alias("n"),
+        ).first()
+        assert far["p"] < 0.0051 and far["q"] < 0.0051 and far["n"] == n and far["r"] == n - -(-n // 3)
+        r = got.where("ticker in (1, 500000, 999998)").orderBy("ticker").select("r").collect()
+        m, group = n - -(-n // 3), lambda k: sum(i % 3 > 0 for i in range(k * 1000, k * 1000 + 1000))
+        below = lambda k: k * 1000 - -(-k * 1000 // 3)
+        assert [x["r"] for x in r] == pytest.approx([(below(k) + (group(k) - 1) / 2) / (m - 1) * 100 for k in (0, 500, 999)], abs=0.006)
+        ranges = rank.range_ranks(df.select(F.lit(0).alias("metric"), "x", F.lit(1).alias("k")), "metric", "x", "k")
+        assert ranges.where("below != x or n != 1000000").count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_period_rank_uses_known_reports_only(spark):
     rows = [("A", D(0), 1.0), ("B", D(100), 2.0), ("C", D(700), 5.0), ("A", D(400), 3.0), ("D", D(401), None)]
     df = spark.createDataFrame([(t, d, d, v) for t, d, v in rows], "ticker string, reportperiod date, calendardate date, value double")
@@ -160,6 +203,49 @@ def test_exports_by_ticker(spark, tmp_path):
     assert "ticker" not in back.columns and [(r["key"], r["date"], r["transactionvalue"]) for r in back.collect()] == [("A", D(3), 7.0), ("A", D(3), 1.0), ("A", D(1), 5.0)]
 
 
+def test_a_large_ticker_is_several_files_in_order(spark, tmp_path):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20_000).selectExpr("case when id % 10 < 8 then 'HOT' else concat('T', id % 97) end ticker", "date_add(date'1950-01-01', cast(id as int)) date", "cast(id as double) close")
+        exports.export_partitioned(df, str(tmp_path / "out"), [(F.desc, "date")])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = sorted((tmp_path / "out" / "key=HOT").glob("part-*.parquet"))
+    days = [r["date"] for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert len(files) > 3 and len(days) == 16_000 and days == sorted(days, reverse=True)
+    assert len(list((tmp_path / "out").glob("key=T*/part-*"))) < 2 * 97
+
+
+def test_tables_replace_whole_and_leave_no_old_files(spark):
+    from pathlib import Path
+
+    one = datasets.save_table(spark.range(10).selectExpr("id a"), "tidewater_t", order=("a",))
+    first = datasets.table_location(spark, "tidewater_t")
+    assert one.count() == 10
+    datasets.save_table(one.selectExpr("a + 1 a"), "tidewater_t", explain=True)  # reads the table that it replaces
+    second = datasets.table_location(spark, "tidewater_t")
+    assert sorted(r["a"] for r in spark.table("tidewater_t").collect()) == list(range(1, 11)) and first != second
+    assert not Path(first.removeprefix("file:")).exists() and Path(second.removeprefix("file:")).exists()
+    assert datasets.save_table(spark.range(3).selectExpr("id a", "'x' b"), "tidewater_t").columns == ["a", "b"]
+    spark.sql("DROP TABLE tidewater_t")
+
+
+def test_stale_companies_are_left_out(spark):
+    from tidewater.operators import tables
+
+    co = spark.createDataFrame([(t, *[t] * 10, "N") for t in "AB"], ", ".join(f"{c} string" for c in [*snapshot.COMPANY, "isdelisted"]))
+    prices = spark.createDataFrame([("A", D(100), 1.0), ("B", D(60), 1.0)], "ticker string, date date, close double")
+    ttm = spark.createDataFrame([(t, D(50), 1.0, 1.0, 1.0, 1.0) for t in "AB"], "ticker string, calendardate date, sharesbas double, netdebt double, netinc double, revenuecagr3y double")
+    qtr = spark.createDataFrame([(t, D(50), *[1.0] * len(snapshot.QUARTERLY)) for t in "AB"], "ticker string, calendardate date, " + ", ".join(f"{c} double" for c in snapshot.QUARTERLY))
+    held = lambda days: {r["ticker"] for r in snapshot.company_base(co, prices, ttm, qtr, days).collect()}
+    assert held(None) == {"A", "B"} and held(40) == {"A", "B"} and held(39) == {"A"}
+    with pytest.raises(ValueError):
+        tables.build_tables({}, "2020-01-01", ("nothing",))
+
+
 def test_every_export_is_written(spark, sf_dir, tmp_path):
     from tidewater.plans import registry as R
     from tidewater.sources.fixtures import AS_OF, view
@@ -182,6 +268,50 @@ def test_dropped_columns(spark, sf_dir):
     assert not {"revenueusd", "dimension"} & set(statements.adjust_financials(fin).columns)
 
 
+def exponent(z, window, reverse=False):
+    """The definition: boxes of the window's profile, residuals around a line, slope over the logs of the scales."""
+    import numpy as np
+
+    profile, xs, ys = np.cumsum(z - z.mean()), [], []
+    for s in fractal.scales_for(window):
+        starts = [b * s for b in range(window // s)] + [window - (b + 1) * s for b in range(window // s) if reverse]
+        x = np.arange(s)
+        ss = sum(((profile[a : a + s] - np.polyval(np.polyfit(x, profile[a : a + s], 1), x)) ** 2).sum() for a in starts)
+        xs.append(math.log(s))
+        ys.append(0.5 * math.log(ss / (len(starts) * s)))
+    return np.polyfit(xs, ys, 1)[0]
+
+
+@pytest.mark.parametrize(("window", "reverse"), [(100, False), (500, True)])
+def test_hurst_of_a_long_history(spark, window, reverse):
+    """200,000 rows with a trend and a level: the last windows are as exact as the first."""
+    import numpy as np
+    import pandas as pd
+
+    n = 200_000
+    z = np.random.default_rng(9).normal(size=n) + 3.0
+    df = spark.createDataFrame(pd.DataFrame({"ticker": "A", "at": np.arange(n) * 5 - 1000, "z": z}))
+    got = fractal.hurst(df, window, reverse=reverse, time="at").where("at % 5000 = 0 or at > 998900 - 1000").toPandas().set_index("at")["hurst"]
+    assert len(got) > 200 and got.index.max() == (n - 1) * 5 - 1000
+    for at in [*got.index[::20], got.index.max()]:
+        end = (at + 1000) // 5 + 1
+        if end >= window:
+            assert got[at] == pytest.approx(exponent(z[end - window : end], window, reverse), abs=2e-8)
+        else:
+            assert math.isnan(got[at])
+
+
+@pytest.mark.parametrize("kind", ["timestamp_seconds(3600 * n)", "lpad(n, 4, '0')"])
+def test_hurst_keys_of_other_types(spark, kind):
+    df = spark.range(300).selectExpr("case when id < 150 then 'A' else 'B' end t", "id % 150 n", "sin(id * id) z").selectExpr("t", f"{kind} at", "n", "z")
+    got = fractal.hurst(df, 100, key="t", time="at").orderBy("t", "n").collect()
+    for a in (0, 150):
+        z = [r["z"] for r in got[a : a + 150]]
+        import numpy as np
+
+        assert got[a + 98]["hurst"] is None and got[a + 149]["hurst"] == pytest.approx(exponent(np.array(z[50:150]), 100), abs=1e-9)
+
+
 @pytest.mark.parametrize("reverse", [False, True])
 def test_hurst_against_definition(bars, spark, reverse):
     import numpy as np

@@ -1,65 +1,37 @@
-"""Weighted and rolling columns in one grouped pass.
-
-All such columns of a ticker are made in one pass over its history, by vectorised
-steps; the pass takes the lists of steps below, so several indicators share one
-shuffle, and a long frame costs no more than a short one.
-"""
+"""Indicators that are weighted means: steps of the blocked pass over the series."""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewater.functions.expr import col, ieee_div
-from tidewater.operators.panel import lag
-
-#: (source column, alpha, min_periods, output column): a weighted mean; a fifth entry
-#: asks for the recursive form.  (source column, 'mean' | 'min' | 'max' | 'std', rows,
-#: output column): an aggregate of the last rows, null until all of them have a value.
-#: (source column, 'lag', rows, output column): an earlier row's value.  A pair of columns
-#: as source gives their difference, or with 'ratio' their quotient by a positive divisor.
-Step = tuple
-
-
-def ewm(df: DataFrame, steps: list[Step], key: str = "ticker", time: str = "date") -> DataFrame:
-    """Append a column for each step, in order; a step may read an earlier one's output.
-
-    Nulls take no weight; a weighted mean is null until ``min_periods`` values were seen.
-    """
-    made = [s[3] for s in steps]
-    schema = T.StructType([f for f in df.schema.fields if f.name not in made] + [T.StructField(n, T.DoubleType()) for n in made])
-    names = [f.name for f in schema.fields]
-
-    def per_key(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(time, kind="stable")
-        held = {c: rows[c] for c in rows.columns}
-        for source, how, least, out, *plain in steps:
-            if isinstance(source, tuple):
-                x, y = (pd.to_numeric(held[c]).astype(float) for c in source)
-                held[out] = x / y.where(y > 0) if how == "ratio" else x - y
-                continue
-            x = pd.to_numeric(held[source]).astype(float)
-            if how == "lag":
-                held[out] = x.shift(least)
-            elif isinstance(how, str):
-                held[out] = getattr(x.rolling(least, min_periods=least), how)()
-            else:
-                held[out] = x.ewm(alpha=how, min_periods=least, adjust=not plain, ignore_na=True).mean()
-        return pd.DataFrame({n: held[n] for n in names})
-
-    return df.groupBy(key).applyInPandas(per_key, schema)
+from tidewater.operators.blocks import Step, run_steps
+
+
+def ewm(df: DataFrame, steps: list[Step], key: str = "ticker", time: str = "date", only=None) -> DataFrame:
+    """Append a column for each step (see ``blocks``), in order; a step may read an earlier one's output."""
+    return run_steps(df, steps, key, time, only)
 
 
 def ema(df: DataFrame, source: str = "close", spans=(10, 20)) -> DataFrame:
     return ewm(df, [(source, 2 / (s + 1), s, f"ema{s}") for s in spans])
 
 
-def with_true_range(df: DataFrame) -> DataFrame:
-    h, low, before = col("high"), col("low"), lag(col("close"))
-    spans = [h - low, F.abs(h - before), F.abs(low - before)]
-    return df.withColumn("__tr", F.when(before.isNotNull(), F.greatest(*spans)))
+def before(source: str, rows: int = 1) -> Step:
+    """The value ``rows`` rows ago, as ``__source_rows``."""
+    return (source, "lag", rows, f"__{source}_{rows}")
+
+
+def of_row(value: Column, out: str, *names: str) -> Step:
+    """A column of the row's own values, of the columns ``names``."""
+    return (names, value, None, out)
+
+
+def true_range_steps() -> list[Step]:
+    h, low, last = col("high"), col("low"), F.col("__close_1")
+    span = F.when(last.isNotNull(), F.greatest(h - low, F.abs(h - last), F.abs(low - last)))
+    return [before("close"), of_row(span, "__tr", "high", "low", "__close_1")]
 
 
 def atr_step(period: int) -> Step:
@@ -67,49 +39,58 @@ def atr_step(period: int) -> Step:
 
 
 def atr(df: DataFrame, period: int = 20) -> DataFrame:
-    return ewm(with_true_range(df), [atr_step(period)]).drop("__tr")
-
-
-def with_moves(df: DataFrame) -> DataFrame:
-    """Gains and losses; the first row of a ticker has zeros, which count."""
-    d = col("close") - lag(col("close"))
-    return df.withColumns({"__up": F.when(d > 0, d).otherwise(F.lit(0.0)), "__down": F.when(d < 0, -d).otherwise(F.lit(0.0))})
+    return _done(df, [*true_range_steps(), atr_step(period)])
 
 
 def rsi_steps(period: int) -> list[Step]:
-    return [("__up", 1 / period, period, "__gain"), ("__down", 1 / period, period, "__loss")]
+    """Means of gains and losses; the first row of a ticker has zeros, which count."""
+    d = col("close") - F.col("__close_1")
+    up, down = (of_row(F.when(x > 0, x).otherwise(F.lit(0.0)), n, "close", "__close_1") for x, n in ((d, "__up"), (-d, "__down")))
+    return [before("close"), up, down, ("__up", 1 / period, period, "__gain"), ("__down", 1 / period, period, "__loss"), of_row(rsi_value(), f"rsi{period}", "__gain", "__loss")]
 
 
-def rsi_value():
+def rsi_value() -> Column:
     return 100 - ieee_div(F.lit(100.0), 1 + ieee_div(F.col("__gain"), F.col("__loss")))
 
 
 def rsi(df: DataFrame, period: int = 14) -> DataFrame:
-    return ewm(with_moves(df), rsi_steps(period)).withColumn(f"rsi{period}", rsi_value()).drop("__up", "__down", "__gain", "__loss")
+    return _done(df, rsi_steps(period))
+
+
+def macd_steps(fast: int = 12, slow: int = 26, signal: int = 9) -> list[Step]:
+    lines = [("close", 2 / (n + 1), n, out) for n, out in ((fast, "__fast"), (slow, "__slow"))]
+    return [*lines, of_row(F.col("__fast") - F.col("__slow"), "macd", "__fast", "__slow"), ("macd", 2 / (signal + 1), signal, "macd_signal")]
 
 
 def macd(df: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    lines = ewm(df, [("close", 2 / (fast + 1), fast, "__fast"), ("close", 2 / (slow + 1), slow, "__slow")])
-    line = lines.withColumn("macd", F.col("__fast") - F.col("__slow")).drop("__fast", "__slow")
-    return ewm(line, [("macd", 2 / (signal + 1), signal, "macd_signal")])
+    return _done(df, macd_steps(fast, slow, signal))
 
 
 def adx(df: DataFrame, period: int = 14) -> DataFrame:
-    up, down = col("high") - lag(col("high")), lag(col("low")) - col("low")
-    moved = with_true_range(df).withColumns({"__pdm": F.when((up > down) & (up > 0), up).otherwise(F.lit(0.0)), "__mdm": F.when((down > up) & (down > 0), down).otherwise(F.lit(0.0))})
     a = 1 / period
-    smooth = ewm(moved, [("__tr", a, period, "__atr"), ("__pdm", a, period, "__ps"), ("__mdm", a, period, "__ms")])
-    di = smooth.withColumns({"__pdi": F.try_divide(100 * F.col("__ps"), F.col("__atr")), "__mdi": F.try_divide(100 * F.col("__ms"), F.col("__atr"))})
-    dx = di.withColumn("__dx", F.try_divide(100 * F.abs(F.col("__pdi") - F.col("__mdi")), F.col("__pdi") + F.col("__mdi")))
-    out = ewm(dx, [("__dx", a, period, f"adx{period}")])
-    return out.drop("__tr", "__pdm", "__mdm", "__atr", "__ps", "__ms", "__pdi", "__mdi", "__dx")
+    up, down = col("high") - F.col("__high_1"), F.col("__low_1") - col("low")
+    plus, minus = (F.when((x > y) & (x > 0), x).otherwise(F.lit(0.0)) for x, y in ((up, down), (down, up)))
+    moved = ("high", "low", "__high_1", "__low_1")
+    p, m = F.try_divide(100 * F.col("__ps"), F.col("__atr")), F.try_divide(100 * F.col("__ms"), F.col("__atr"))
+    steps = [
+        *true_range_steps(), before("high"), before("low"), of_row(plus, "__pdm", *moved), of_row(minus, "__mdm", *moved),
+        ("__tr", a, period, "__atr"), ("__pdm", a, period, "__ps"), ("__mdm", a, period, "__ms"),
+        of_row(F.try_divide(100 * F.abs(p - m), p + m), "__dx", "__ps", "__ms", "__atr"), ("__dx", a, period, f"adx{period}"),
+    ]
+    return _done(df, steps)
+
+
+def _done(df: DataFrame, steps: list[Step]) -> DataFrame:
+    """The steps' results without the columns they needed on the way."""
+    out = ewm(df, list({s[3]: s for s in steps}.values()))
+    return out.drop(*[s[3] for s in steps if s[3].startswith("__")])
 
 
 def ewma_vol(df: DataFrame, decay: float = 0.94, annualize_factor: float = 252.0) -> DataFrame:
     """Recursive variance of log returns, seeded with the first squared return."""
-    step = df.withColumn("__r2", F.pow(F.ln(F.try_divide(col("close"), lag(col("close")))), F.lit(2.0)))
-    out = ewm(step, [("__r2", 1 - decay, 1, "__v", False)])
-    return out.withColumn("ewma_variance", F.col("__v") * annualize_factor).withColumn("ewma_vol", F.sqrt("ewma_variance")).drop("__r2", "__v")
+    square = F.pow(F.ln(F.try_divide(col("close"), F.col("__close_1"))), F.lit(2.0))
+    out = ewm(df, [before("close"), of_row(square, "__r2", "close", "__close_1"), ("__r2", 1 - decay, 1, "__v", False)])
+    return out.withColumn("ewma_variance", F.col("__v") * annualize_factor).withColumn("ewma_vol", F.sqrt("ewma_variance")).drop("__close_1", "__r2", "__v")
 
 
 AD_STEP = ("__ad", 2 / 66, 20, "ad")

@@ -86,12 +86,13 @@ def export_table(df: DataFrame, path: str, *order) -> None:
 def export_partitioned(df: DataFrame, path: str, order: list, key: str = "ticker", keep_key: bool = False) -> None:
     """One folder per key, rows in order (names, or (direction, name) pairs), in one job.
 
-    The folder's name is the sanitised key; keys that become equal share a folder, so
+    Rows are dealt by ranges of key and order: small keys share a task, a large one
+    is several files whose numbers follow its order.  The folder's name is the sanitised key; keys that become equal share a folder, so
     ``keep_key`` leaves the key itself among the columns for readers who must tell them apart.
     """
     by = [o if isinstance(o, str) else o[0](o[1]) for o in order]
     keyed = df.withColumn("key", sanitize_key(key))
-    sorted_ = keyed.repartition("key").sortWithinPartitions("key", *by)
+    sorted_ = keyed.repartitionByRange("key", *by).sortWithinPartitions("key", *by)
     (sorted_ if keep_key else sorted_.drop(key)).write.mode("overwrite").partitionBy("key").parquet(path)
 
 

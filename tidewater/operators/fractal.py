@@ -2,8 +2,10 @@
 
 A box's residual around its line does not change when a constant or a slope is
 taken off the profile, so the residual of each box is a property of the ticker's
-profile alone.  It comes from differences of running sums, at the same cost for any
-size of box; windows then only add boxes up.
+profile alone, and the profile may begin anew in each block of the series, with the
+block's own mean taken off.  Residuals come from differences of running sums within the block, at
+the same cost for any size of box and the same precision for any length of history;
+windows then only add boxes up.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.expr import col
+from tidewater.operators.blocks import ROWS, block_order, lay, so_far
 from tidewater.operators.panel import lag, series, trailing
 
 #: floor(exp(...)) of log-spaced scales is sensitive to the last bit.
@@ -27,48 +30,54 @@ def scales_for(window: int, count: int = 8) -> tuple[int, ...]:
     return tuple(sorted({int(math.exp(low + (high - low) * k / (count - 1))) for k in range(count)}))
 
 
-def hurst_signal(df: DataFrame, rows: int = 20) -> DataFrame:
+def hurst_signal(df: DataFrame, rows: int = 20, key: str = "ticker", time: str = "date") -> DataFrame:
     """Return over Garman-Klass volatility, times the root of relative volume, from row ``rows`` on."""
     o, h, low, c, v = (col(x) for x in ("open", "high", "low", "close", "volume"))
     ln = lambda n, d: F.ln(F.try_divide(n, d))
     gk = 0.5 * F.pow(ln(h, low), F.lit(2.0)) - (2 * math.log(2) - 1) * F.pow(ln(c, o), F.lit(2.0))
-    frame = trailing(rows)
-    step = df.withColumns({"__gk": gk, "__v": F.when(v > 0, v), "__n": F.row_number().over(series())})
+    frame = trailing(rows, key, time)
+    step = df.withColumns({"__gk": gk, "__v": F.when(v > 0, v), "__n": F.row_number().over(series(key, time))})
     step = step.withColumns({"__sigma": F.sqrt(F.greatest(F.avg("__gk").over(frame), F.lit(1e-12))), "__vbar": F.avg("__v").over(frame)})
-    z = F.try_divide(ln(c, lag(c)) * F.sqrt(F.try_divide(v, F.col("__vbar"))), F.col("__sigma"))
+    z = F.try_divide(ln(c, lag(c, 1, key, time)) * F.sqrt(F.try_divide(v, F.col("__vbar"))), F.col("__sigma"))
     return step.withColumn("z", F.when(F.col("__n") >= rows, z)).drop("__gk", "__v", "__n", "__sigma", "__vbar")
 
 
-def hurst(df: DataFrame, window: int = 100, reverse: bool = False) -> DataFrame:
+def hurst(df: DataFrame, window: int = 100, reverse: bool = False, key: str = "ticker", time: str = "date") -> DataFrame:
     """Append ``hurst`` to rows that have ``z``; null until the window is full of signals.
 
     ``reverse`` adds the boxes that are laid from the window's end to each scale's sum.
+    ``time`` is a date, a timestamp, an integer or a string.
     """
-    scales = scales_for(window)
-    whole = Window.partitionBy("ticker")
-    base = df.withColumns({"__rn": F.row_number().over(series()), "__c0": F.coalesce(F.col("z") - F.avg("z").over(whole), F.lit(0.0))})
-    order = series()
-    base = base.withColumns({"__c": F.sum("__c0").over(order), "__k": F.count("z").over(order)})
-    base = base.withColumns({"__full": F.col("__k") - F.coalesce(F.lag("__k", window).over(order), F.lit(0)) >= window, "__s1": F.sum("__c").over(order), "__s2": F.sum(F.col("__c") * F.col("__c")).over(order), "__sx": F.sum(F.col("__rn") * F.col("__c")).over(order)})
+    scales, order, upto = scales_for(window), block_order(), so_far()
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    laid = lay(df.drop("hurst"), window, key, time, max(ROWS, 2 * window))
+    base = laid.withColumns({"__x": F.row_number().over(order), "__c0": F.coalesce(F.col("z") - F.avg("z").over(whole), F.lit(0.0)), "__k": F.count("z").over(upto)})
+    base = base.withColumn("__c1", F.sum("__c0").over(upto))
+    base = base.withColumns({"__c": F.col("__c1") - F.avg("__c1").over(whole), "__full": F.col("__k") - F.coalesce(F.lag("__k", window).over(order), F.lit(0)) >= window})
+    base = base.withColumns({"__s1": F.sum("__c").over(upto), "__s2": F.sum(F.col("__c") * F.col("__c")).over(upto), "__sx": F.sum(F.col("__x") * F.col("__c")).over(upto)})
 
     def residual(s: int):
-        """Squares around the line of the box of ``s`` rows from this one on, with places counted from its first row."""
-        over_box = lambda c: F.lead(c, s - 1).over(order) - F.coalesce(F.lag(c).over(order), F.lit(0.0))
-        y, yy = over_box("__s1"), over_box("__s2")
-        xy = over_box("__sx") - F.col("__rn") * y - (s - 1) / 2 * y
+        """Squares around the line of the box of ``s`` rows that ends here, with places counted from its middle."""
+        in_box = lambda c: F.col(c) - F.coalesce(F.lag(c, s).over(order), F.lit(0.0))
+        y, yy = in_box("__s1"), in_box("__s2")
+        xy = in_box("__sx") - (F.col("__x") - (s - 1) / 2) * y
         return F.greatest(F.lit(0.0), yy - y * y / s - xy * xy / (s * (s * s - 1) / 12))
 
     base = base.withColumns({f"__r{s}": residual(s) for s in scales})
     points = []
     for s in scales:
         boxes = window // s
-        phase = Window.partitionBy("ticker", F.pmod("__rn", F.lit(s))).orderBy("__rn").rowsBetween(0, boxes - 1)
-        base = base.withColumn(f"__s{s}", F.sum(f"__r{s}").over(phase))
-        starts = [window - 1] + ([boxes * s - 1] if reverse else [])
-        total = sum((F.lag(f"__s{s}", back).over(series()) for back in starts[1:]), F.lag(f"__s{s}", starts[0]).over(series()))
-        f2 = total / F.lit(float(len(starts) * boxes * s))
-        base = base.withColumn(f"__l{s}", F.when(f2 > 0, 0.5 * F.ln(f2)))
+        phase = Window.partitionBy("__key", "__block", F.pmod("__x", F.lit(s))).orderBy("__x").rowsBetween(-(boxes - 1), 0)
+        base = base.withColumn(f"__b{s}", F.sum(f"__r{s}").over(phase))
+    logs = {}
+    for s in scales:
+        boxes = window // s
+        ends = [window - boxes * s] + ([0] if reverse else [])
+        total = sum((F.lag(f"__b{s}", back).over(order) for back in ends[1:]), F.lag(f"__b{s}", ends[0]).over(order))
+        f2 = total / F.lit(float(len(ends) * boxes * s))
+        logs[f"__l{s}"] = F.when(f2 > 0, 0.5 * F.ln(f2))
         points.append((math.log(s), F.col(f"__l{s}")))
+    base = base.withColumns(logs)
 
     def tot(f):
         return sum((f(x, y) for x, y in points[1:]), f(*points[0]))
@@ -77,5 +86,5 @@ def hurst(df: DataFrame, window: int = 100, reverse: bool = False) -> DataFrame:
     sx, sxx = (tot(lambda x, y, p=p: F.when(y.isNotNull(), F.lit(x**p)).otherwise(0.0)) for p in (1, 2))
     sy, sxy = tot(lambda _, y: F.coalesce(y, F.lit(0.0))), tot(lambda x, y: F.coalesce(x * y, F.lit(0.0)))
     h = F.when(n >= 3, F.try_divide(n * sxy - sx * sy, n * sxx - sx * sx))
-    return base.withColumn("hurst", F.when(F.col("__full"), h)).drop(*[c for c in base.columns if c.startswith("__")])
-
+    done = base.where("__own").withColumn("hurst", F.when(F.col("__full"), h))
+    return done.select(*[f"`{c}`" for c in df.columns if c != "hurst"], "hurst")

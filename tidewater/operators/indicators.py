@@ -1,4 +1,4 @@
-"""Price indicators: short frames and lags as windows of one (ticker, date) order, long frames as steps of the grouped pass."""
+"""Price indicators: short frames and lags as windows of one (ticker, date) order, long frames as steps of the blocked pass."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.expr import col, round32, safe_div
-from tidewater.operators.ewm import Step, ewm
+from tidewater.operators.blocks import Step
+from tidewater.operators.ewm import ewm
 from tidewater.operators.panel import full, lag
 
 SMA_PERIODS = (10, 20, 50, 100, 150, 200)
@@ -38,12 +39,13 @@ def highlows(df: DataFrame, windows=EXTREME_WINDOWS) -> DataFrame:
     return ewm(df, highlow_steps(windows))
 
 
-def chg_expr(source: str, period: int) -> Column:
-    return round32((F.try_divide(col(source), lag(col(source), period)) - 1) * 100, 2)
+def change(now: Column, before: Column) -> Column:
+    """Change in per cent."""
+    return round32((F.try_divide(now, before) - 1) * 100, 2)
 
 
 def rate_of_change(df: DataFrame, source: str = "close", periods=CHANGE_PERIODS) -> DataFrame:
-    return df.withColumns({f"pct{p}": chg_expr(source, p) for p in periods})
+    return df.withColumns({f"pct{p}": change(col(source), lag(col(source), p)) for p in periods})
 
 
 def day_range() -> Column:
@@ -120,14 +122,18 @@ def volume_confirmed(df: DataFrame) -> DataFrame:
     return df.withColumn("__volconfirm", (col("rsrank") - 50) / 50 * (col("volumerocrank") / 100))
 
 
-def pressure() -> Column:
-    """Volume by the direction of the close and its place in the day's range."""
+def pressure(last: Column) -> Column:
+    """Volume by the direction of the close since ``last`` and its place in the day's range."""
     c, h, low = col("close"), col("high"), col("low")
     inside = F.when(h - low > 0, F.try_divide(2 * c - h - low, h - low)).otherwise(F.lit(0.0))
-    return (0.7 * F.signum(c - lag(c)) + 0.3 * inside) * col("volume")
+    return (0.7 * F.signum(c - last) + 0.3 * inside) * col("volume")
+
+
+def by_usual_volume(value: Column) -> Column:
+    usual = col("avgvolume60")
+    return F.when(usual > 0, F.try_divide(value, usual))
 
 
 def close_location(df: DataFrame) -> DataFrame:
     """Raw accumulation score: pressure by usual volume."""
-    usual = col("avgvolume60")
-    return df.withColumn("__ad", F.when(usual > 0, F.try_divide(pressure(), usual)))
+    return df.withColumn("__ad", by_usual_volume(pressure(lag(col("close")))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KEY, TIME = "ticker", "date"
 
@@ -34,19 +35,39 @@ def assert_unique_key(df: DataFrame, *keys: str) -> DataFrame:
     return df
 
 
+def stretch(df: DataFrame, time: str, rows: int = 1024) -> Column:
+    """A coarse number that grows with ``time``, so that a stretch of a key is a small part of it: a year of dates, a day of timestamps."""
+    kind = df.schema[time].dataType
+    if isinstance(kind, T.DateType):
+        return F.year(time)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.datediff(F.to_date(time), F.lit("1970-01-01"))
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.floor(F.col(time) / rows)
+    return F.lit(0)
+
+
 def asof_join(left: DataFrame, right: DataFrame, on: str, by: str, tolerance_days: int, columns: list[str]) -> DataFrame:
     """``left`` with ``columns`` of the last row of ``right`` at or before ``on``, within the tolerance.
 
-    Both sides are laid in one series per key, so a key is one sort and no pair of
-    rows is made.  ``right`` has one row per (by, on).
+    Both sides are laid in one series per key and stretch of time, so no pair of rows is
+    made and a key's history is spread over tasks.  A row whose stretch has no earlier row
+    of ``right`` takes the last one of the stretches before, of which there is one row
+    each.  ``right`` has one row per (by, on); a null key or time finds nothing.
     """
     found = F.struct(F.col(on).alias("at"), *[F.col(c) for c in columns])
-    l_ = left.select(F.col(by).alias("__by"), F.col(on).alias("__on"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"), F.lit(None).alias("__hit"))
-    r_ = right.select(F.col(by).alias("__by"), F.col(on).alias("__on"), F.lit(0).alias("__side"), F.lit(None).alias("__row"), found.alias("__hit"))
-    order = Window.partitionBy("__by").orderBy("__on", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    both = l_.unionByName(r_).withColumn("__hit", F.last("__hit", ignorenulls=True).over(order)).where("__side = 1")
+    slot = lambda df: F.coalesce(stretch(df, on), F.lit(-(2**31))).cast("long").alias("__slot")
+    l_ = left.select(F.col(by).alias("__by"), F.col(on).alias("__on"), slot(left), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"), F.lit(None).alias("__hit"))
+    r_ = right.where(F.col(by).isNotNull() & F.col(on).isNotNull()).select(F.col(by).alias("__by"), F.col(on).alias("__on"), slot(right), F.lit(0).alias("__side"), F.lit(None).alias("__row"), found.alias("__hit"))
+    inside = Window.partitionBy("__by", "__slot").orderBy("__on", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    both = l_.unionByName(r_).withColumn("__hit", F.last("__hit", ignorenulls=True).over(inside)).where("__side = 1")
+    ends = r_.groupBy("__by", "__slot").agg(F.max_by("__hit", "__on").alias("__hit"))
+    slots = ends.unionByName(l_.select("__by", "__slot").distinct(), allowMissingColumns=True).groupBy("__by", "__slot").agg(F.first("__hit", ignorenulls=True).alias("__hit"))
+    before = F.last("__hit", ignorenulls=True).over(Window.partitionBy("__by").orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1))
+    carried = slots.where("__by is not null").select("__by", "__slot", before.alias("__before"))
+    hit = both.join(carried, ["__by", "__slot"], "left").withColumn("__hit", F.coalesce("__hit", "__before"))
     near = F.col("__by").isNotNull() & (F.datediff("__on", F.col("__hit.at")) <= tolerance_days)
-    return both.select("__row.*", *[F.when(near, F.col(f"__hit.{c}")).alias(c) for c in columns])
+    return hit.select("__row.*", *[F.when(near, F.col(f"__hit.{c}")).alias(c) for c in columns])
 
 
 def latest_per_key(df: DataFrame, time: str, key: str = KEY) -> DataFrame:

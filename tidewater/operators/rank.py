@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.expr import col, round32
 from tidewater.operators.panel import asof_join, period_universe
+from tidewater.sources.datasets import cut
 
 
 def _order(value: Column, keys: list, ascending: bool):
@@ -36,19 +37,39 @@ def percentile(df: DataFrame, source: str, by: str, ascending: bool, alias: str,
 def snapshot_percentiles(df: DataFrame, specs: list[tuple[str, bool, str]], key: str = "ticker") -> DataFrame:
     """Percentiles over all rows of a snapshot, (source, ascending, alias) each; one row scores 100.
 
-    Metrics are unpivoted, so their windows are partitions of one shuffle.  Ranks go
-    over distinct values with counts, which partial aggregation makes small, and are
-    joined back; no window holds the rows of the snapshot.
+    Metrics are unpivoted and their values counted, so repeated values meet before the
+    shuffle.  Distinct values are then dealt by ranges of (metric, value), ranked within
+    their range, and lifted by the counts of the ranges before; a metric is spread
+    over as many tasks as its values need, and only the counts, one row a metric and
+    range, are added up by metric.
     """
-    entries = F.array(*[F.struct(F.lit(a).alias("metric"), (col(s) if up else -col(s)).alias("value")) for s, up, a in specs])
+    entries = F.array(*[F.struct(F.lit(k).alias("metric"), (col(s) if up else -col(s)).alias("value")) for k, (s, up, _) in enumerate(specs)])
     long = df.select(key, F.explode(entries).alias("e")).select(key, "e.metric", "e.value").where("value is not null and not isnan(value)")
-    values = long.groupBy("metric", "value").agg(F.count("*").alias("k"))
-    upto = Window.partitionBy("metric").orderBy("value")
-    placed = values.withColumns({"n": F.sum("k").over(Window.partitionBy("metric")), "below": F.sum("k").over(upto) - F.col("k")})
+    scores = _scores(range_ranks(long.groupBy("metric", "value").agg(F.count("*").alias("k")), "metric", "value", "k"))
+    scored = long.join(scores, ["metric", "value"])
+    wide = scored.groupBy(key).pivot("metric", list(range(len(specs)))).agg(F.first("score"))
+    named = wide.select(key, *[F.col(f"`{k}`").alias(alias) for k, (*_, alias) in enumerate(specs)])
+    return df.drop(*[a for _, _, a in specs]).join(named, key, "left")
+
+
+def _scores(ranked: DataFrame) -> DataFrame:
     score = F.when(F.col("n") > 1, (F.col("below") + (F.col("k") - 1) / 2) / F.greatest(F.col("n") - 1, F.lit(1)) * 100).otherwise(100.0)
-    scored = long.join(placed.select("metric", "value", round32(score, 2).alias("score")), ["metric", "value"])
-    wide = scored.groupBy(key).pivot("metric", [a for _, _, a in specs]).agg(F.first("score"))
-    return df.drop(*[a for _, _, a in specs]).join(wide, key, "left")
+    return ranked.select("metric", "value", round32(score, 2).alias("score"))
+
+
+def range_ranks(values: DataFrame, by: str, value: str, count: str) -> DataFrame:
+    """``values``, distinct in (by, value), with ``below``, the sum of ``count`` over smaller values of the same ``by``, and ``n``, the sum over all of them.
+
+    The values are dealt by ranges and written with the number of their range, so that
+    the counts of ranges and the ranks within them speak of the same deal.
+    """
+    dealt = cut(values.repartitionByRange(by, value).withColumn("__part", F.spark_partition_id()), "ranges")
+    parts = dealt.groupBy(by, "__part").agg(F.sum(count).alias("__k"))
+    before = F.sum("__k").over(Window.partitionBy(by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = parts.select(by, "__part", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__k").over(Window.partitionBy(by)).alias("n"))
+    inside = F.sum(count).over(Window.partitionBy(by, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1))
+    local = dealt.withColumn("__inside", F.coalesce(inside, F.lit(0)))
+    return local.join(offsets, [by, "__part"]).withColumn("below", F.col("__before") + F.col("__inside")).drop("__part", "__before", "__inside")
 
 
 def weighted_score(weighted: list[tuple[str, float]], min_coverage: float) -> Column:

@@ -43,12 +43,20 @@ def snapshot_valuation(df: DataFrame) -> DataFrame:
     return step.withColumn("peg", rnd(safe_div(safe_div("marketcap", "netinc"), col("revenuecagr3y")), 1))
 
 
-def company_base(companies: DataFrame, prices: DataFrame, ttm: DataFrame, qtr: DataFrame) -> DataFrame:
-    """Active companies with their last price row, last twelve months and last quarter."""
+def company_base(companies: DataFrame, prices: DataFrame, ttm: DataFrame, qtr: DataFrame, max_staleness_days: int | None = None) -> DataFrame:
+    """Active companies with their last price row, last twelve months and last quarter.
+
+    With ``max_staleness_days``, a company whose last price is older than that, counted
+    from the newest price of all companies, is left out.
+    """
     annual = ttm.drop(*[c for c in NOT_KEPT if c in ttm.columns])
     quarter = qtr.select("ticker", "calendardate", *[F.col(a).alias(b) for a, b in QUARTERLY.items()])
     last = latest_per_key(annual, "calendardate"), latest_per_key(quarter, "calendardate").drop("calendardate")
-    joined = active_companies(companies).join(latest_per_key(prices, "date"), "ticker")
+    priced = latest_per_key(prices, "date")
+    if max_staleness_days is not None:
+        newest = priced.agg(F.max("date")).first()[0]
+        priced = priced.where(F.datediff(F.lit(newest), "date") <= max_staleness_days)
+    joined = active_companies(companies).join(priced, "ticker")
     for side in last:
         joined = joined.join(side, "ticker")
     return snapshot_valuation(joined)

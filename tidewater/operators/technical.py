@@ -10,33 +10,70 @@ from tidewater.operators.panel import resample_ohlcv
 from tidewater.operators.rank import percentile
 
 
-def technical_daily(bars: DataFrame, hurst_window: int | None = None) -> DataFrame:
-    """Every technical column over adjusted bars.
-
-    Lags are windows of one (ticker, date) order; one grouped pass over each ticker
-    makes all rolling and weighted columns; percentiles are windows by date.
-    """
-    df = indicators.rate_of_change(indicators.dollar_volume(bars))
-    df = ewm.with_moves(ewm.with_true_range(df)).withColumns({"__day": indicators.day_range(), "__pressure": indicators.pressure()})
+def series_steps() -> list[ewm.Step]:
+    """Lags, frames and weighted means of the technical table."""
+    row, close = ewm.of_row, F.col("close").cast("double")
     steps = [
+        row(indicators.day_range(), "__day", "high", "low"), *[ewm.before("close", p) for p in indicators.CHANGE_PERIODS],
+        *[row(indicators.change(close, F.col(f"__close_{p}")), f"pct{p}", "close", f"__close_{p}") for p in indicators.CHANGE_PERIODS],
         *indicators.VOLUME_STEPS, *indicators.sma_steps(), *indicators.highlow_steps(), ("max252", "lag", 1, "__max"), ("min252", "lag", 1, "__min"),
-        ("__day", "mean", 20, "__adr"), ("close", "std", 20, "__dev"),
-        ("close", 2 / 13, 12, "__fast"), ("close", 2 / 27, 26, "__slow"), (("__fast", "__slow"), None, None, "macd"), ("macd", 2 / 10, 9, "macd_signal"),
-        ewm.atr_step(20), *ewm.rsi_steps(14), (("__pressure", "avgvolume60"), "ratio", None, "__ad"), ewm.AD_STEP,
+        ("__day", "mean", 20, "__adr"), ("close", "std", 20, "__dev"), *ewm.macd_steps(), *ewm.true_range_steps(), ewm.atr_step(20), *ewm.rsi_steps(14),
+        row(indicators.by_usual_volume(indicators.pressure(F.col("__close_1"))), "__ad", "close", "high", "low", "volume", "__close_1", "avgvolume60"), ewm.AD_STEP,
     ]
-    df = ewm.ewm(df, steps).withColumns({"rsi14": ewm.rsi_value(), "adr": F.col("__adr").cast("float")})
+    return list({s[3]: s for s in steps}.values())
+
+
+def with_series(bars: DataFrame, only=None) -> DataFrame:
+    """Adjusted bars with the columns that a ticker's own history gives; ``only`` as in ``blocks``."""
+    df = ewm.ewm(indicators.dollar_volume(bars), series_steps(), only=only)
+    df = df.withColumns({f"pct{p}": F.col(f"pct{p}").cast("float") for p in indicators.CHANGE_PERIODS} | {"adr": F.col("__adr").cast("float")})
     df = df.withColumns(indicators.bands(F.col("sma20"), F.col("__dev")) | indicators.beyond(F.col("__max"), F.col("__min")))
-    df = indicators.rs_raw(indicators.volume_roc(df))
-    df = percentile(df, "__rs", "date", True, "rsrank")
-    df = percentile(df, "volumeroc", "date", True, "volumerocrank")
-    df = percentile(df, "ad", "date", True, "adrank")
-    df = percentile(indicators.volume_confirmed(df), "__volconfirm", "date", True, "volconfirmrank")
+    return indicators.rs_raw(indicators.volume_roc(df))
+
+
+def with_ranks(df: DataFrame, unit: str | None = None) -> DataFrame:
+    """Percentiles among all rows of a date, or of the ``unit`` ('week', ...) that the date is in."""
+    by = "date" if unit is None else "__unit"
+    df = df if unit is None else df.withColumn(by, F.date_trunc(unit, "date"))
+    df = percentile(df, "__rs", by, True, "rsrank")
+    df = percentile(df, "volumeroc", by, True, "volumerocrank")
+    df = percentile(df, "ad", by, True, "adrank")
+    df = percentile(indicators.volume_confirmed(df), "__volconfirm", by, True, "volconfirmrank")
     df = df.withColumn("rs1y", F.col("rsrank"))
-    if hurst_window:
-        df = fractal.hurst(fractal.hurst_signal(df), hurst_window).drop("z")
     return df.drop("volumeusd", "ad", *[c for c in df.columns if c.startswith("__")])
 
 
-def technical_weekly(bars: DataFrame, hurst_window: int | None = None) -> DataFrame:
-    return technical_daily(resample_ohlcv(bars, "week"), hurst_window)
+def technical_daily(bars: DataFrame, hurst_window: int | None = None, rank_unit: str | None = None) -> DataFrame:
+    """Every technical column over adjusted bars.
+
+    One blocked pass makes all lags, frames and weighted means (a repeated (ticker,
+    date) fails there); percentiles are windows by date, or by ``rank_unit``.
+    """
+    df = with_ranks(with_series(bars), rank_unit)
+    if not hurst_window:
+        return df
+    narrow = fractal.hurst_signal(bars).select(F.col("ticker").alias("__ticker"), F.col("date").alias("__date"), "z")
+    found = fractal.hurst(narrow, hurst_window, key="__ticker", time="__date").drop("z")
+    return df.join(found, F.col("ticker").eqNullSafe(F.col("__ticker")) & F.col("date").eqNullSafe(F.col("__date")), "left").drop("__ticker", "__date")
 
+
+def technical_last(bars: DataFrame, tickers: DataFrame) -> DataFrame:
+    """The rows of ``technical_daily`` on the last dates of ``tickers``.
+
+    Only those dates are ranked, and of the history before them only what the frames
+    reach and the carries of the weighted means are made.
+    """
+
+    def last_dates(rows: DataFrame) -> DataFrame:
+        return rows.join(tickers.select("ticker"), "ticker", "left_semi").groupBy("ticker").agg(F.max("date").alias("date"))
+
+    return with_ranks(with_series(bars, last_dates))
+
+
+def technical_weekly(bars: DataFrame, hurst_window: int | None = None, rank_by: str = "date") -> DataFrame:
+    """The technical columns over weekly bars.
+
+    A week is labelled with the ticker's own first trading date; ``rank_by='period'``
+    ranks all tickers of a calendar week together, whatever their labels.
+    """
+    return technical_daily(resample_ohlcv(bars, "week"), hurst_window, {"date": None, "period": "week"}[rank_by])

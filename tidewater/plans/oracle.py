@@ -79,7 +79,7 @@ def resampled(unit: str) -> str:
     return f"SELECT ticker, min(date) AS date, min_by(open, date) AS open, max(high) AS high, min(low) AS low, max_by(close, date) AS close, coalesce(sum(volume), 0) AS volume FROM ({PX}) p GROUP BY ticker, date_trunc('{unit}', date)"
 
 
-def tech(px: str) -> str:
+def tech(px: str, by: str = "date") -> str:
     sma = ", ".join(f"{full('avg', 'close', p)} AS sma{p}" for p in (10, 20, 50, 100, 150, 200))
     ext = ", ".join(f"{full('min', 'low', w)} AS min{w}, {full('max', 'high', w)} AS max{w}" for w in (20, 55, 252))
     chg = ", ".join(f"{f32(f'round((close / nullif(lag(close, {p}) OVER {T}, 0) - 1) * 100, 2)')} AS pct{p}" for p in (1, 5, 21, 63, 126, 189, 252))
@@ -98,13 +98,14 @@ e AS (SELECT *, {ewm("close", "rn", "2", "13", 12)} - {ewm("close", "rn", "2", "
       {ewm("ad0", "ia", "2", "66", 20)} AS ad, {ewm("close", "rn", "2", "11", 10)} AS ema10, {ewm("close", "rn", "2", "21", 20)} AS ema20 FROM d),
 f AS (SELECT *, count(macd) OVER {T} AS im FROM e),
 g AS (SELECT *, {ewm("macd", "im", "2", "10", 9)} AS macd_signal, CASE WHEN loss = 0 AND gain > 0 THEN 100.0e0 WHEN loss > 0 THEN 100 - 100 / (1 + gain / loss) END AS rsi14,
-      {f32(percentile("rs", "date"))} AS rsrank, {f32(percentile("volumeroc", "date"))} AS volumerocrank, CASE WHEN ad IS NULL THEN NULL ELSE {percentile("ad", "date")} END AS adrank FROM f),
+      {f32(percentile("rs", by))} AS rsrank, {f32(percentile("volumeroc", by))} AS volumerocrank, CASE WHEN ad IS NULL THEN NULL ELSE {percentile("ad", by)} END AS adrank FROM f),
 h AS (SELECT *, (rsrank - 50) / 50 * (volumerocrank / 100) AS volconfirm, rsrank AS rs1y FROM g),
-tech AS (SELECT *, {percentile("volconfirm", "date")} AS volconfirmrank FROM h)
+tech AS (SELECT *, {percentile("volconfirm", by)} AS volconfirmrank FROM h)
 """
 
 
 DAILY, WEEKLY = tech(PX), tech(resampled("week"))
+WEEKLY_BY_PERIOD = tech(resampled("week"), "date_trunc('week', date)")
 
 L = lambda x, n: f"lag({x}, {n}) OVER (PARTITION BY ticker ORDER BY calendardate)"
 Q = "OVER (PARTITION BY ticker ORDER BY calendardate)"

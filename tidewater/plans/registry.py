@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.expr import col, finite, ieee_div, pct, ratio, round32, safe_div, rnd
-from tidewater.operators import ewm, exports, fractal, indicators, insiders, panel, rank, snapshot, statements, technical
+from tidewater.operators import ewm, exports, fractal, indicators, insiders, panel, rank, snapshot, statements, tables, technical
 from tidewater.plans import oracle as O
 from tidewater.sources import datasets
 from tidewater.sources.datasets import cut, scratch
@@ -59,7 +59,10 @@ def qtr(spark, sf_dir):
 
 
 def base(spark, sf_dir):
-    return cut(snapshot.company_base(view(spark, sf_dir, "co"), technical.technical_daily(bars(spark, sf_dir)), ttm(spark, sf_dir), qtr(spark, sf_dir)), "companies")
+    co = view(spark, sf_dir, "co")
+    prices, fin = cut(bars(spark, sf_dir), "bars"), cut(_FIN(spark, sf_dir), "fin")
+    last = technical.technical_last(prices, snapshot.active_companies(co))
+    return cut(snapshot.company_base(co, last, statements.financials_ttm(fin), statements.financials_qtr(fin, prices)), "companies")
 
 
 def companies(spark, sf_dir):
@@ -212,6 +215,7 @@ _TECH_COLS = [*DAY, "open:4", "high:4", "low:4", "close:4", "volume:2", "avgvolu
               *[f"pct{p}:2" for p in indicators.CHANGE_PERIODS], "rs1y:2", "rsrank:2", "volumeroc:4", "volumerocrank:2", "volconfirmrank:2", "adrank:2", *[f"sma{p}:4" for p in indicators.SMA_PERIODS], "macd:4", "macd_signal:4", "rsi14:4"]
 simple("technical_daily", bars, technical.technical_daily, from_tech(), *_TECH_COLS)
 simple("technical_weekly", bars, technical.technical_weekly, O.WEEKLY + "SELECT {cols} FROM tech", *_TECH_COLS)
+simple("weekly_period_rank", bars, lambda d: technical.technical_weekly(d, rank_by="period"), O.WEEKLY_BY_PERIOD + "SELECT {cols} FROM tech", *DAY, "close:4", "rs1y:2", "rsrank:2", "volumerocrank:2", "volconfirmrank:2", "adrank:2")
 _OHLCV = [*DAY, "open:4", "high:4", "low:4", "close:4", "volume:2"]
 query(O.hurst_sql(100, O.resampled("week")) + _HURST, *DAY, "hurst:4", name="hurst_weekly")(lambda spark, sf_dir: technical.technical_weekly(bars(spark, sf_dir), hurst_window=100))
 query(O.hurst_sql(100, reverse=True) + _HURST, *DAY, "hurst:4", name="hurst_reverse")(lambda spark, sf_dir: fractal.hurst(fractal.hurst_signal(bars(spark, sf_dir)), 100, reverse=True))
@@ -371,6 +375,59 @@ simple("last20_ttm", ttm, lambda d: exports.last_reports(d, ["calendardate", *ex
 simple("last20_qtr", qtr, lambda d: exports.last_reports(d.withColumn("netinc", F.col("netincadj")), ["calendardate", "fiscalperiod", "revenue", "netinc"]), f"WITH {O.QTR} SELECT ticker, calendardate, fiscalperiod, round(revenue, 2) AS revenue, round(netincadj, 2) AS netinc FROM qtr QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY calendardate DESC) <= 20", *REPORT, "fiscalperiod", "revenue:2", "netinc:2")
 
 
+# --- tables ------------------------------------------------------------------
+
+def build(spark, sf_dir, *names, **options):
+    """The named tables, written under names of the query's own, and those they need."""
+    source = {"stocks_prices": cut(view(spark, sf_dir, "bars"), "bars"), "companies": view(spark, sf_dir, "co"), "insiders": view(spark, sf_dir, "ins")}
+    source |= dict.fromkeys(("financials_ttm", "financials_qtr"), cut(_FIN(spark, sf_dir), "fin"))
+    return tables.build_tables(source, AS_OF, names or tuple(tables.NEEDS), prefix="tidewater_", **options)
+
+
+_DAILY_HURST = "SELECT {cols} FROM (" + O.DAILY + " SELECT * FROM tech) t LEFT JOIN (" + O.hurst_sql(500) + _HURST + ") h USING (ticker, date)"
+
+
+@query(_DAILY_HURST, *_TECH_COLS, "hurst:4")
+def build_stock_prices(spark, sf_dir):
+    """The daily table as written, with the exponent over 500 days."""
+    return build(spark, sf_dir, "stock_prices")["stock_prices"]
+
+
+_WEEKLY_HURST = "SELECT {cols} FROM (" + O.WEEKLY + " SELECT * FROM tech) t LEFT JOIN (" + O.hurst_sql(100, O.resampled("week")) + _HURST + ") h USING (ticker, date)"
+
+
+@query(_WEEKLY_HURST, *_TECH_COLS, "hurst:4")
+def build_weekly_prices(spark, sf_dir):
+    return build(spark, sf_dir, "stock_prices_weekly")["stock_prices_weekly"]
+
+
+_SIZES = {
+    "stock_prices": (f"({O.PX}) p", "date", "close"), "stock_prices_weekly": (f"({O.resampled('week')}) p", "date", "close"), "financials_ttm": (f"(WITH {O.TTM} SELECT * FROM ttm) t", "calendardate", "revenue"),
+    "financials_qtr": (f"(WITH {O.QTR} SELECT * FROM qtr) q", "calendardate", "epsqtrchg"), "companies": (f"({O.SNAP} SELECT * FROM snap) s", "calendardate", "rankscore"), "insiders": (f"({O.INSIDERS} SELECT * FROM insiders) i", "date", "transactionvalue"),
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n_rows, count(DISTINCT ticker) AS tickers, CAST(max({at}) AS DATE) AS last, count({c}) AS n_values, round(sum({c}), 1) AS total FROM {sql}" for n, (sql, at, c) in _SIZES.items()))
+def build_all_tables(spark, sf_dir):
+    """Rows, tickers, newest date and one column's sum of each of the six tables of one build."""
+    made, out = build(spark, sf_dir, hurst=False), None
+    for name, (_, at, c) in _SIZES.items():
+        one = made[name].agg(F.count("*").alias("n_rows"), F.countDistinct("ticker").alias("tickers"), F.max(at).cast("date").alias("last"), F.count(c).alias("n_values"), rnd(F.sum(F.col(c).cast("double")), 1).alias("total")).select(F.lit(name).alias("name"), "*")
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+_SNAP_PRICE = ["date", "open:4", "high:4", "low:4", "close:4", "volume:2", "avgvolume60:4", "avgvolumeusd20:2", "adr:3", "atr20:4", "bbbot:3", "bbtop:3", *[f"pct{p}:2" for p in indicators.CHANGE_PERIODS], "volumeroc:4", *[f"sma{p}:4" for p in indicators.SMA_PERIODS], "macd:4", "macd_signal:4", "rsi14:4", "max252:4", "min252:4", "high252", "low252"]
+_SNAP_FIN = ["calendardate", "reportperiod", "revenue:2", "netinc:2", "ebitda:2", "fcf:2", "assets:2", "debt:2", "equity:2", "cashneq:2", *[f"{c}:1" for c in datasets.RATIOS if c != "divyield"], "netincadj:2", "epsadj:2", "fcfadj:2", "fcfpsadj:2", "de:3", "fsscore", *_LEVELS, *_GROWTH, *_CAGR]
+_SNAP_QTR = ["revenueqtryoy:1", "netmarginqtr:1", "epsqtr:2", "epsqtryoy:1", "epsqtrchg:3", *_ACCEL]
+
+
+@query(_SNAP, *snapshot.COMPANY, *_SNAP_PRICE, *_SNAP_FIN, *_SNAP_QTR, *_RANKS)
+def build_companies(spark, sf_dir):
+    """The companies table as written from the tables that it needs, with its price, statement and quarter columns."""
+    return build(spark, sf_dir, "companies", hurst=False)["companies"]
+
+
 def _half_up(sql: str) -> str:
     """``round`` as Spark does it, on decimals with ties away from zero."""
     at = len(sql)

@@ -40,14 +40,43 @@ def stage_dataset(spark: SparkSession, csv: str, parquet: str, name: str | None
     return spark.read.parquet(parquet)
 
 
-def save_table(df: DataFrame, name: str, explain: bool = False) -> DataFrame:
-    """Replace table ``name`` by ``df`` and return the table; its files are in a new shared folder."""
+def save_table(df: DataFrame, name: str, explain: bool = False, order: tuple[str, ...] = ()) -> DataFrame:
+    """Replace table ``name`` by ``df`` and return the table.
+
+    Rows go to a new shared folder, dealt by ranges of ``order`` and sorted by it, so
+    that readers of a few keys skip the other files.  Only when they are all
+    written does the name move to the new folder, and then the old one is deleted,
+    if an earlier call of this function made it; a reader finds the old rows or the new.
+    """
     if not name:
         raise ValueError("a table needs a name")
     if explain:
         df.explain("formatted")
-    df.write.mode("overwrite").format("parquet").option("path", scratch(df.sparkSession, name)).saveAsTable(name)
-    return df.sparkSession.table(name)
+    spark, path = df.sparkSession, scratch(df.sparkSession, f"table-{name}")
+    (df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df).write.parquet(path)
+    old = table_location(spark, name)
+    if old and spark.table(name).schema == spark.read.parquet(path).schema:
+        spark.sql(f"ALTER TABLE `{name}` SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        spark.sql(f"CREATE TABLE `{name}` USING parquet LOCATION '{path}'")
+    if old and f"/table-{name}-" in old:
+        delete_folder(spark, old)
+    return spark.table(name)
+
+
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """The folder of a table, if there is such a table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{name}`").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
