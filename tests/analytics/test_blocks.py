@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidewater.operators import blocks, technical
+from tidewater.operators import blocks, tables, technical
 from tidewater.operators.ewm import of_row
 
 def steps():
@@ -120,3 +120,37 @@ def test_limits_of_steps(spark):
     with pytest.raises(ValueError):
         blocks.run_steps(df, [("x", 1.0, 1, "w")])
     assert blocks.run_steps(df.limit(0), [("x", 0.5, 1, "w"), ("x", "mean", 3, "m")]).count() == 0
+
+
+def test_later_rows_from_the_stored_state(spark, monkeypatch):
+    """Rows that come in parts get the columns of one pass: new keys, keys that pause, sparse columns, a part of one time, parts over several blocks."""
+    monkeypatch.setattr(blocks, "ROWS", 64)
+    rng, parts = np.random.default_rng(13), []
+    for k, (first, n) in enumerate(((0, 900), (0, 310), (350, 40), (500, 400), (0, 899))):
+        x, y = some_rows(rng, n, 0.01)
+        parts.append(pd.DataFrame({"ticker": None if k == 4 else f"T{k}", "at": np.arange(first, first + n), "x": x, "y": y}))
+    df = spark.createDataFrame(pd.concat(parts), "ticker string, at long, x double, y double").cache()
+    whole = blocks.run_steps(df, steps(), "ticker", "at").toPandas().sort_values(["ticker", "at"]).reset_index(drop=True)
+    state, got = None, []
+    for a, b in ((0, 300), (300, 301), (301, 900)):
+        rows, state = blocks.advance(df.where(f"at >= {a} and at < {b}"), steps(), state, "ticker", "at")
+        got.append(rows.toPandas())
+    assert state.tail.count() == 4 * 252 + 40 and state.tail.where("__row >= 0 or __row < -252").count() == 0
+    done = pd.concat(got).sort_values(["ticker", "at"]).reset_index(drop=True)
+    pd.testing.assert_frame_equal(done, whole, rtol=1e-9, atol=1e-9)
+    with pytest.raises(PySparkException, match="not after"):
+        blocks.advance(df.where("at = 5"), steps(), state, "ticker", "at")[0].count()
+    df.unpersist()
+
+
+def test_appended_dates_are_not_added_twice(spark):
+    rows = [(t, dt.date(2020, 1, 1) + dt.timedelta(days=i), 5.0, 6.0 + i % 3, 4.0, 5.0 + i % 5 / 10, 10.0 + i) for t in "AB" for i in range(60)]
+    bars = spark.createDataFrame(rows, "ticker string, date date, open double, high double, low double, close double, volume double")
+    tables.start_prices(bars.where("date < '2020-02-01'"), "t_")
+    assert tables.append_prices(spark, bars.where("date >= '2020-02-01'"), "t_").count() == 120
+    with pytest.raises(ValueError):
+        tables.append_prices(spark, bars.where("date >= '2020-02-01'"), "t_")
+    assert tables.append_prices(spark, bars.limit(0), "t_").count() == 120
+    got = spark.table("t_stock_prices").toPandas().sort_values(["ticker", "date"]).reset_index(drop=True)
+    want = technical.technical_daily(bars).toPandas().sort_values(["ticker", "date"]).reset_index(drop=True)
+    pd.testing.assert_frame_equal(got[want.columns], want, rtol=1e-9)

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,15 +72,22 @@ def numbered(df: DataFrame, key: str = "ticker", time: str = "date") -> DataFram
     return slotted.join(starts, ["__key", "__slot"]).withColumn("__row", F.col("__first") + place).drop("__slot", "__first")
 
 
-def lay(df: DataFrame, reach: int, key: str = "ticker", time: str = "date", rows: int = ROWS) -> DataFrame:
+def lay(df: DataFrame, reach: int, key: str = "ticker", time: str = "date", rows: int = ROWS, tail: DataFrame | None = None) -> DataFrame:
     """Numbered rows in blocks, each with the last ``reach`` rows before it; written and read back.
 
-    ``__own`` tells a block's own rows, ``__end`` the last block of a key.
+    ``__own`` tells a block's own rows, ``__end`` the last block of a key.  ``tail`` has
+    the rows before those of ``df``, by ``__key`` and ``__row`` from -1 down, and must
+    end before they begin; only keys with rows in ``df`` get blocks.
     """
     number = numbered(df, key, time)
+    if tail is not None:
+        sizes = number.groupBy("__key").agg(F.first("__rows").alias("__rows"), F.min(time).alias("__from"))
+        late = F.when(F.col(time) >= F.col("__from"), F.raise_error(F.concat(F.lit(f"{time} not after the stored rows: "), F.col("__key"))))
+        earlier = tail.join(sizes, "__key").withColumn("__row", F.coalesce(late.cast("long"), F.col("__row")))
+        number = number.unionByName(earlier.select(*number.columns))
     block, end = F.floor(F.col("__row") / rows), F.floor((F.col("__rows") - 1) / rows)
-    blocks = F.sequence(block, F.least(F.floor((F.col("__row") + reach) / rows), end))
-    spread = number.withColumn("__block", F.explode(blocks))
+    blocks = F.sequence(F.greatest(block, F.lit(0)), F.least(F.floor((F.col("__row") + reach) / rows), end))
+    spread = number.where(F.col("__row") + reach >= 0).withColumn("__block", F.explode(blocks))
     return cut(spread.withColumns({"__own": F.col("__block") == block, "__end": F.col("__block") == end}).drop("__rows"), "series")
 
 
@@ -151,17 +159,24 @@ def _running(frame: DataFrame, steps: list[Step]) -> DataFrame:
     return frame.withColumns(sums | firsts)
 
 
-def _carries(totals: DataFrame, steps: list[Step]) -> DataFrame:
-    """What the blocks before leave to each block: counts, decayed sums and first values, as ``__was_...``."""
+def _left(totals: DataFrame, steps: list[Step], stored: DataFrame | None) -> DataFrame:
+    """What each block and those before it leave: (__key, __block, i, seen, left, first) for each step i.
+
+    ``stored`` has such rows by the name of the step, from before the first block.
+    """
     sources = {s: k for k, s in enumerate(dict.fromkeys(s for s, *_ in steps))}
-    state = []
-    for i, (source, alpha, _, _, *plain) in enumerate(steps):
+    state, constants = [], []
+    for i, (source, alpha, _, name, *plain) in enumerate(steps):
         k = sources[source]
-        w = F.lit(1 - alpha)
+        w, cell = F.lit(1 - alpha), F.lit(math.ceil(SPENT / -math.log1p(-alpha))).cast("long")
+        constants.append(F.struct(F.lit(i).alias("i"), F.lit(name).alias("step"), w.alias("w"), cell.alias("cell_n")))
         first = F.col(f"__f{k}") if plain else F.lit(None).cast("double")
-        state.append(F.struct(F.lit(i).alias("i"), w.alias("w"), F.lit(math.ceil(SPENT / -math.log1p(-alpha))).cast("long").alias("cell_n"), F.col(f"__c{k}").alias("n"), (F.col(f"__p{i}") * F.pow(w, F.col(f"__c{k}"))).alias("sum"), first.alias("first")))
+        state.append(F.struct(F.lit(i).alias("i"), w.alias("w"), cell.alias("cell_n"), F.col(f"__c{k}").alias("n"), (F.col(f"__p{i}") * F.pow(w, F.col(f"__c{k}"))).alias("sum"), first.alias("first")))
     last = totals.where("__own").groupBy("__key", "__block").agg(F.max_by(F.array(*state), F.col("__row")).alias("s"))
     long = last.select("__key", "__block", F.explode("s").alias("s")).select("__key", "__block", "s.*")
+    if stored is not None:
+        known = stored.withColumn("c", F.explode(F.array(*constants))).where("step = c.step")
+        long = long.unionByName(known.select("__key", F.lit(-1).cast("long").alias("__block"), "c.i", "c.w", "c.cell_n", F.col("seen").alias("n"), F.col("left").alias("sum"), "first"))
     upto = Window.partitionBy("__key", "i").orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
     long = long.withColumns({"seen": F.sum("n").over(upto), "first": F.first("first", ignorenulls=True).over(upto)}).withColumn("cell", F.floor(F.col("seen") / F.col("cell_n")))
     long = long.withColumn("lifted", F.col("sum") * F.pow("w", -(F.col("seen") - F.col("cell") * F.col("cell_n"))))
@@ -170,13 +185,18 @@ def _carries(totals: DataFrame, steps: list[Step]) -> DataFrame:
     long = long.withColumn("newer", F.sum("lifted").over(inside)).join(cells, ["__key", "i", "cell"], "left")
     age = F.col("seen") - F.col("cell") * F.col("cell_n")
     left = F.pow("w", age) * F.col("newer") + F.coalesce(F.pow("w", age + F.col("cell_n")) * F.col("older"), F.lit(0.0))
+    return long.select("__key", "__block", "i", "seen", left.alias("left"), "first")
+
+
+def _carries(totals: DataFrame, steps: list[Step], stored: DataFrame | None) -> DataFrame:
+    """What the blocks before leave to each block: counts, decayed sums and first values, as ``__was_...``."""
     pick = lambda c, i: F.max(F.when(F.col("i") == i, F.col(c)))
-    done = long.withColumn("left", left).groupBy("__key", (F.col("__block") + 1).alias("__block"))
-    return done.agg(*[pick("left", i).alias(f"__was_sum{i}") for i in range(len(steps))], *[pick("seen", i).alias(f"__was_n{i}") for i in range(len(steps))], *[pick("first", i).alias(f"__was_first{i}") for i in range(len(steps))])
+    done = _left(totals, steps, stored).groupBy("__key", (F.col("__block") + 1).alias("__block"))
+    return done.agg(*[pick(c, i).alias(f"__was_{n}{i}") for i in range(len(steps)) for c, n in (("left", "sum"), ("seen", "n"), ("first", "first"))])
 
 
-def _weighted(frame: DataFrame, totals: DataFrame | None, steps: list[Step]) -> DataFrame:
-    """Weighted means over ``frame``; ``totals`` holds the blocks that others follow, if there are any."""
+def _weighted(frame: DataFrame, totals: DataFrame | None, steps: list[Step], stored: DataFrame | None) -> DataFrame:
+    """Weighted means over ``frame``; ``totals`` holds the blocks that others follow, if there are any or if something is ``stored``."""
     sources = {s: k for k, s in enumerate(dict.fromkeys(s for s, *_ in steps))}
     had = frame.columns
     joined = _running(frame, steps)
@@ -184,7 +204,7 @@ def _weighted(frame: DataFrame, totals: DataFrame | None, steps: list[Step]) ->
         nothing = {"sum": "double", "n": "long", "first": "double"}
         joined = joined.withColumns({f"__was_{c}{i}": F.lit(None).cast(t) for i in range(len(steps)) for c, t in nothing.items()})
     else:
-        joined = joined.join(_carries(_running(totals, steps), steps), ["__key", "__block"], "left")
+        joined = joined.join(_carries(_running(totals, steps), steps, stored), ["__key", "__block"], "left")
     out = {}
     for i, (source, alpha, least, name, *plain) in enumerate(steps):
         k, w = sources[source], 1 - alpha
@@ -235,17 +255,39 @@ class Plan:
                 made[out] = how.cast("double")
         return frame.withColumns(made) if made else frame
 
-    def run(self, laid: DataFrame, totals: DataFrame | None, rounds: int | None = None) -> DataFrame:
-        """All columns over the rows of ``laid``; ``totals`` are the rows of blocks that others follow."""
+    def weights(self, turn: int) -> list[Step]:
+        return [s for s in self.steps if isinstance(s[1], float) and self.at[s[3]][0] == turn]
+
+    def before(self, turn: int) -> Plan:
+        """The steps that the weighted means of a round read, and what those read."""
+        want, kept = {s[0] for s in self.weights(turn)}, []
+        for step in reversed(self.steps):
+            if step[3] in want:
+                want |= set(step[0]) if isinstance(step[0], tuple) else {step[0]}
+                kept.append(step)
+        return Plan(kept[::-1])
+
+    def run(self, laid: DataFrame, totals: DataFrame | None, rounds: int | None = None, stored: DataFrame | None = None) -> DataFrame:
+        """All columns over the rows of ``laid``; ``totals`` are the rows of blocks that others follow, ``stored`` what was left before the first."""
         frame = self._own(laid, 0, 0)
         for layer in range(1, self.layers + 1):
             frame = self._own(_rolled(frame, [s for s in self.steps if isinstance(s[1], str) and self.at[s[3]] == (0, layer)]), 0, layer)
         for turn in range(1, (self.rounds if rounds is None else rounds) + 1):
-            steps = [s for s in self.steps if isinstance(s[1], float) and self.at[s[3]][0] == turn]
-            before = None if totals is None else self.run(totals, totals, turn - 1)
-            frame = self._own(_weighted(frame, before, steps), turn, None)
+            before = None if totals is None else self.before(turn).run(totals, totals, turn - 1, stored)
+            frame = self._own(_weighted(frame, before, self.weights(turn), stored), turn, None)
         return frame
 
+    def left(self, laid: DataFrame, stored: DataFrame | None) -> DataFrame:
+        """(__key, step, seen, left, first): what the whole of ``laid`` leaves to rows that may come later."""
+        out = None
+        for turn in range(1, self.rounds + 1):
+            steps = self.weights(turn)
+            at = _left(_running(self.before(turn).run(laid, laid, turn - 1, stored), steps), steps, stored)
+            name = F.element_at(F.array(*[F.lit(s[3]) for s in steps]), F.col("i") + 1)
+            last = at.groupBy("__key", name.alias("step")).agg(F.max_by(F.struct("seen", "left", "first"), F.col("__block")).alias("s")).select("__key", "step", "s.*")
+            out = last if out is None else out.unionAll(last)
+        return out
+
 
 def run_steps(df: DataFrame, steps: list[Step], key: str = "ticker", time: str = "date", only: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Append a column for each step; a step may read an earlier one's output, a frame only what is no weighted mean.
@@ -265,3 +307,35 @@ def run_steps(df: DataFrame, steps: list[Step], key: str = "ticker", time: str =
     if only is not None:
         done = done.join(times, time, "left_semi")
     return done.select(*[f"`{c}`" for c in plain.columns], *made)
+
+
+# --- rows that come later ----------------------------------------------------
+
+@dataclass
+class State:
+    """What later rows need of a series: its last rows (with ``__key`` and ``__row`` from -1 down), and what its weighted means have summed."""
+
+    tail: DataFrame
+    left: DataFrame
+
+
+def advance(new: DataFrame, steps: list[Step], state: State | None = None, key: str = "ticker", time: str = "date") -> tuple[DataFrame, State]:
+    """The rows of ``new`` with the steps' columns, and the state after them.
+
+    ``state`` stands for all rows before; none of them is read.  A row that does not
+    come after its key's stored rows raises an error.  Both parts of the new state are
+    written.
+    """
+    plan, made = Plan(steps), [s[3] for s in steps]
+    plain = new.drop(*made)
+    laid = lay(plain, plan.reach, key, time, plan.rows, state and state.tail)
+    stored = state and state.left
+    totals = laid.where("not __end")
+    done = plan.run(laid, totals if state or totals.take(1) else None, stored=stored).where("__own")
+    place = F.row_number().over(Window.partitionBy("__key").orderBy(F.desc("__row")))
+    tail = laid.where("__end").withColumn("__row", -place.cast("long")).where(F.col("__row") >= -max(1, plan.reach)).select("__key", *plain.columns, "__row")
+    left = plan.left(laid, stored)
+    if state is not None:  # keys without new rows keep what they have
+        held = laid.select("__key").distinct()
+        tail, left = tail.unionByName(state.tail.join(held, "__key", "left_anti")), left.unionByName(stored.join(held, "__key", "left_anti"))
+    return done.select(*[f"`{c}`" for c in plain.columns], *made), State(cut(tail, "tail"), cut(left, "left"))

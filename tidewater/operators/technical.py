@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators import ewm, fractal, indicators
+from tidewater.operators.blocks import State, advance
 from tidewater.operators.panel import resample_ohlcv
 from tidewater.operators.rank import percentile
 
@@ -25,12 +26,24 @@ def series_steps() -> list[ewm.Step]:
 
 def with_series(bars: DataFrame, only=None) -> DataFrame:
     """Adjusted bars with the columns that a ticker's own history gives; ``only`` as in ``blocks``."""
-    df = ewm.ewm(indicators.dollar_volume(bars), series_steps(), only=only)
+    return _finished(ewm.ewm(indicators.dollar_volume(bars), series_steps(), only=only))
+
+
+def _finished(df: DataFrame) -> DataFrame:
     df = df.withColumns({f"pct{p}": F.col(f"pct{p}").cast("float") for p in indicators.CHANGE_PERIODS} | {"adr": F.col("__adr").cast("float")})
     df = df.withColumns(indicators.bands(F.col("sma20"), F.col("__dev")) | indicators.beyond(F.col("__max"), F.col("__min")))
     return indicators.rs_raw(indicators.volume_roc(df))
 
 
+def technical_more(bars: DataFrame, state: State | None = None) -> tuple[DataFrame, State]:
+    """The rows of ``technical_daily`` for bars that come after those that ``state`` stands for, and the state after them.
+
+    A date comes whole: its percentiles are those of the rows in ``bars``.
+    """
+    df, after = advance(indicators.dollar_volume(bars), series_steps(), state)
+    return with_ranks(_finished(df)), after
+
+
 def with_ranks(df: DataFrame, unit: str | None = None) -> DataFrame:
     """Percentiles among all rows of a date, or of the ``unit`` ('week', ...) that the date is in."""
     by = "date" if unit is None else "__unit"

@@ -401,6 +401,17 @@ def build_weekly_prices(spark, sf_dir):
     return build(spark, sf_dir, "stock_prices_weekly")["stock_prices_weekly"]
 
 
+@query(O.DAILY + "SELECT {cols} FROM tech", *_TECH_COLS)
+def build_appended_prices(spark, sf_dir):
+    """The daily table from a first part of the dates and two later ones, each added from the stored state."""
+    all_bars = cut(bars(spark, sf_dir), "bars")
+    parts = ["date < '1995-06-01'", "date >= '1995-06-01' and date < '1998-08-01'", "date >= '1998-08-01'"]
+    tables.start_prices(all_bars.where(parts[0]), "tidewater_parts_")
+    for part in parts[1:]:
+        done = tables.append_prices(spark, all_bars.where(part), "tidewater_parts_")
+    return done
+
+
 _SIZES = {
     "stock_prices": (f"({O.PX}) p", "date", "close"), "stock_prices_weekly": (f"({O.resampled('week')}) p", "date", "close"), "financials_ttm": (f"(WITH {O.TTM} SELECT * FROM ttm) t", "calendardate", "revenue"),
     "financials_qtr": (f"(WITH {O.QTR} SELECT * FROM qtr) q", "calendardate", "epsqtrchg"), "companies": (f"({O.SNAP} SELECT * FROM snap) s", "calendardate", "rankscore"), "insiders": (f"({O.INSIDERS} SELECT * FROM insiders) i", "date", "transactionvalue"),
