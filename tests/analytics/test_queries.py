@@ -1,4 +1,5 @@
 import datetime as dt
+import functools
 import math
 
 import duckdb
@@ -18,6 +19,14 @@ def duck(sf_dir):
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_base():
+    """The queries over the snapshot share the rows of one unranked snapshot, which the first of them makes."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(registry, "base", functools.cache(registry.base))
+        yield
+
+
 def plain(v):
     if isinstance(v, dt.datetime):
         return v.date()
