@@ -316,16 +316,45 @@ def _open_groups(postings: DataFrame, members: DataFrame, components: DataFrame)
     return own.join(main, "token")
 
 
-def _open_pairs(opened: DataFrame, members: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+FOLDS = [f"fold{k}" for k in range(5)]
+
+
+def _folded(classes: DataFrame, members: DataFrame) -> DataFrame:
+    """gid and parity bitmap, folded to 64 places and, where it has as many, to 256, of groups of one class."""
+
+    def fold(batches):
+        for batch in batches:
+            out = []
+            for bits in batch.column(1).to_pylist():
+                words = np.frombuffer(bits, np.int64)
+                four = np.bitwise_xor.reduce(words.reshape(-1, 4), axis=0).tolist() if len(words) >= 4 else [None] * 4
+                out.append([int(np.bitwise_xor.reduce(words)), *four])
+            columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)] or [pa.array([], pa.int64())] * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["gid", *FOLDS])
+
+    alone = classes.select(F.col("uid").alias("gid"), "bits").join(members.select("gid").distinct(), "gid", "left_anti")
+    return alone.mapInArrow(fold, "gid long, " + ", ".join(f"{f} long" for f in FOLDS))
+
+
+def _parity_allows(na, nb, a: str, b: str, percent: int):
+    """Whether the places at which the folded bitmaps differ, each a shingle of one set alone, leave room for a link; unknown bitmaps do."""
+    apart = [F.bit_count(F.col(f"{a}_{f}").bitwiseXOR(F.col(f"{b}_{f}"))) for f in FOLDS]
+    most = F.coalesce(F.greatest(apart[0], sum(apart[2:], apart[1])), F.lit(0))
+    return (100 + percent) * (na + nb - most) >= 2 * percent * (na + nb)
+
+
+def _open_pairs(opened: DataFrame, members: DataFrame, components: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Class pairs of different components whose groups share a prefix shingle.
 
-    Group pairs are formed and filtered first; then they, and groups whose own
+    Group pairs are formed and filtered first, those of single classes by their
+    folded bitmaps too, before they leave the bucket; then they, and groups whose own
     classes are in several components, expand to classes.
     """
-    side = lambda x: opened.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("gid", "n", "at", "c", "main")])
+    opened = opened.join(_folded(classes, members), "gid", "left")
+    side = lambda x: opened.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("gid", "n", "at", "c", "main", *FOLDS)])
     few, every = side("a").where("a_c != a_main"), side("b").drop("b_main")
     once = (F.col("b_c") == F.col("a_main")) | (F.col("a_gid") < F.col("b_gid"))
-    rule = (few["token"] == every["token"]) & (F.col("a_c") != F.col("b_c")) & once & _may_link(F.col("a_n"), F.col("b_n"), F.col("a_at"), F.col("b_at"), percent)
+    rule = (few["token"] == every["token"]) & (F.col("a_c") != F.col("b_c")) & once & _may_link(F.col("a_n"), F.col("b_n"), F.col("a_at"), F.col("b_at"), percent) & _parity_allows(F.col("a_n"), F.col("b_n"), "a", "b", percent)
     groups = _in_order(few.join(every, rule), "a_gid", "b_gid").distinct()
     groups = groups.unionAll(members.where("uid != gid").select(F.col("gid").alias("a"), F.col("gid").alias("b")).distinct())
     mine = members.select(F.col("gid").alias("a"), "uid")
@@ -466,7 +495,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     components = joined_by(_one_each(_apart(late, components)), "late_one", components)
     components = joined_by(_apart(late, components), "late_rest", components)
     mixed = tables.save(_open_groups(postings, members, components), "open")
-    components = joined_by(_bounded(_open_pairs(mixed, members, components, percent), classes, percent), "last", components)
+    components = joined_by(_bounded(_open_pairs(mixed, members, components, classes, percent), classes, percent), "last", components)
     tables.drop("postings", "near", "near_one", "near_rest", "mixed", "late", "late_one", "late_rest", "open", "last")
 
     placed = classes.select("uid", "digest", "least_id").join(components.withColumnRenamed("node", "uid"), "uid", "left").select("digest", "least_id", F.coalesce("component", "uid").alias("c"))
