@@ -188,7 +188,7 @@ def test_aligned_paths():
 def test_class_names_that_alternate(spark):
     """Nodes of other names at the same place are one slot of the template."""
     story = lambda i: f"<p>{hashlib.md5(str(i).encode()).hexdigest()} is told.</p>"
-    rows = [(i, f"https://alt.example/{i}", f'<body><article><div class="{"left" if i % 2 else "right"}"><p>House line.</p>{story(i)}</div></article></body>') for i in range(8)]
+    rows = [(i, f"https://alt.example/{i}", f'<body><article><div class="{"left" if i % 2 else "right"}"><p class="house">House line.</p>{story(i)}</div></article></body>') for i in range(8)]
     assert texts(spark, rows) == {i: f"{hashlib.md5(str(i).encode()).hexdigest()} is told." for i in range(8)}
 
 
@@ -251,14 +251,16 @@ def test_layouts_and_names_of_a_host(spark):
 
 
 def test_template_of_short_and_near_copies(spark):
-    """As many template blocks as article blocks; two pages on a host; near copies that outnumber the other pages."""
+    """As many template blocks as article blocks; two pages on a host, which are too few; near copies that outnumber the other pages."""
     line = lambda i, k: " ".join(hashlib.md5(f"{i} {k} {j}".encode()).hexdigest()[:6] for j in range(30))
-    page = lambda host, i, body: (i, f"https://{host}/{i}", f"<html><body><article><p>House rule one.</p>{body}<p>House rule two.</p></article></body></html>")
+    page = lambda host, i, body: (i, f"https://{host}/{i}", f"<html><body><article><p class=rule>House rule one.</p>{body}<p class=rule>House rule two.</p></article></body></html>")
     rows, want = [], {}
     for host, first, n in (("short.example", 0, 6), ("two.example", 10, 2)):
         for i in range(first, first + n):
             rows.append(page(host, i, f"<p>{line(i, 0)}</p><p>{line(i, 1)}</p>"))
             want[i] = f"{line(i, 0)}\n{line(i, 1)}"
+            if n == 2:
+                want[i] = f"House rule one.\n{want[i]}\nHouse rule two."
     for i in range(20, 60):
         parts = [line(-1, k) for k in range(4)] if i < 50 else [line(i, k) for k in range(4)]
         if i < 50:
@@ -286,3 +288,49 @@ def test_labels_around_the_article(spark):
 def test_constant_links_are_template(spark):
     rows = [(i, f"https://links.example/{i}", f'<article><p>{hashlib.md5(str(i).encode()).hexdigest()} is told.</p><p><a href="/{i}">Read more</a></p></article>') for i in range(5)]
     assert texts(spark, rows) == {i: hashlib.md5(str(i).encode()).hexdigest() + " is told." for i in range(5)}
+
+
+def test_article_keeps_shared_headings_and_sentences(spark):
+    """Headings of two articles of a host, a sentence that ten articles open with, constant column heads between varying cells."""
+    word = lambda i, k: hashlib.md5(f"{i} {k}".encode()).hexdigest()
+    rows, want = [], {}
+    for i in range(2):
+        rows.append((i, f"https://duo.example/{i}", f"<article><h1>{word(i, 0)}</h1><h2>Summary</h2><p>{word(i, 1)}</p><h2>Conclusion</h2><p>{word(i, 2)}</p></article>"))
+        want[i] = f"{word(i, 0)}\nSummary\n{word(i, 1)}\nConclusion\n{word(i, 2)}"
+    for i in range(10, 20):
+        rows.append((i, f"https://ten.example/{i}", f"<article><p>Once upon a time.</p><p>{word(i, 0)}</p><h2>Notes</h2><table><tr><th>Name</th></tr><tr><td>{word(i, 1)}</td></tr></table><h3>The end</h3></article>"))
+        want[i] = f"Once upon a time.\n{word(i, 0)}\nNotes\nName\n{word(i, 1)}\nThe end"
+    assert texts(spark, rows) == want
+
+
+def test_labels_inside_an_article(spark):
+    body = '<p>Start {i}.</p><div class="alert alert-info"><p>Mind {i}.</p></div><div id="search"><p>We search {i}.</p></div><div class="menu"><p>Soup {i}.</p></div><div class="comment-list"><p>Reader {i}</p></div><div class="user_comments">No {i}</div>'
+    rows = [(i, f"https://lab.example/{i}", f"<article>{body.replace('{i}', str(i * 37))}</article>") for i in range(4)]
+    assert texts(spark, rows) == {i: "Start {i}.\nMind {i}.\nWe search {i}.\nSoup {i}.".replace("{i}", str(i * 37)) for i in range(4)}
+
+
+def test_compound_labels_without_wrapper(spark):
+    """One page of a host, with neither article nor template."""
+    page = '<body><div class="cookie-notice">We use {i}.</div><div class="story"><p>The story {i} is long enough.</p></div><ul class="comment-list"><li>Reader</li></ul><div class="site-footer">House {i}</div><div id="left-sidebar">News</div></body>'
+    rows = [(i, f"https://one{i}.example/", page.replace("{i}", str(i))) for i in range(3)]
+    assert texts(spark, rows) == {i: f"The story {i} is long enough." for i in range(3)}
+
+
+def test_matching_of_many_siblings():
+    """5,000 distinct siblings: the page with itself, and with another order of them."""
+    import time
+
+    spelt = ["".join(chr(97 + int(d)) for d in f"{k:05d}") for k in range(5000)]
+    a = tree(*[f"/body./div.{w}/p." for w in spelt])
+    b = tree(*[f"/body./div.{w}/p." for w in spelt[2500:] + spelt[:2500]])
+    begun = time.process_time()
+    assert sum(1 + (a.labels[i] == a.labels[j]) for i, j in html_text.match(a, a)) == 2 * len(a.labels)
+    pairs = html_text.match(a, b)
+    assert time.process_time() - begun < 4
+    # the root, the body and 5,000 pairs of divs by tag, each with an equal paragraph, or 2,500 pairs of equal divs
+    assert sum(1 + (a.labels[i] == b.labels[j]) for i, j in pairs) == 2 + 2 + 5000 * (1 + 2)
+
+
+def test_edges_of_an_article():
+    assert html_text._edges([True, False, True, False, True]) == [True, False, False, False, True]
+    assert html_text._edges([True, True]) == [False, False] and html_text._edges([]) == []

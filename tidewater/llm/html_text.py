@@ -19,7 +19,11 @@ Of a page, the text below its own article or main element is kept, or below the
 if that lies deeper or the page has none, without boilerplate and template texts; a
 page of no known layout falls back to its article or main element, then to its body.
 Inside an article only the labels of what has to go count (``GOES``); outside, further
-ones do (``BESIDE``).
+ones do (``BESIDE``).  Of compound names the first or last part counts (``PART_FIRST``,
+``PART_LAST``).  Inside a page's own article a constant text goes only if ``MANY`` groups
+have it, before the first or after the last other block, in a node without varying text
+that is no heading, or all in links: headings between paragraphs and sentences that
+articles share stay.
 
 Defined cases: a null or empty page has the empty text; a null url is host ''; a
 layout with one distinct page has no wrapper and its page falls back; repeated rows
@@ -53,6 +57,7 @@ SHARE = 0.8  # of the pages of a layout: a text is template, a node can be the r
 NAME_SHARE = 0.1  # of the pages of a host: a class or id is no mark of a single page
 COMMON = 0.5  # of the pages of a layout: a block tells nothing of near copies
 OFTEN = 0.02  # of the pages of a layout: a group of near copies counts as one page
+MANY = 3  # groups: what fewer have in common inside their own articles is article text
 MEMO = 200_000  # words whose hashes a worker holds
 SKETCH = 4  # near-copy keys of a block
 MIX = np.random.default_rng(7).integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -67,10 +72,13 @@ CLOSES_P = frozenset("address article aside blockquote details div dl fieldset f
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BOILER_TAGS = frozenset("head nav header footer aside form dialog menu".split()) | CONTROLS
 GOES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsored banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer header masthead "
-    "cookie cookies consent notice notices alert popup modal newsletter subscribe signup login search form comment comments respond replies disqus".split()
+    "ad ads advert adverts advertisement advertising sponsored nav navbar navigation breadcrumb breadcrumbs sidebar footer header masthead "
+    "cookie cookies consent notice notices newsletter subscribe signup login comment comments respond replies disqus".split()
 )
-BESIDE = frozenset("side sponsor promo promotion subscription reply share sharing social related recommended widget toolbar pagination pager skip".split())
+BESIDE = frozenset("alert banner menu popup modal search form side sponsor promo promotion subscription reply share sharing social related recommended widget toolbar pagination pager skip".split())
+PART_FIRST = frozenset("comment comments cookie cookies".split())  # compound names: comment-list, cookie_notice
+PART_LAST = frozenset("footer comments".split())  # site-footer, reader-comments
+PART_LAST_BESIDE = frozenset("sidebar nav navigation notice ads".split())  # outside of an article only
 NEVER_MAIN = frozenset("comment comments respond reply replies disqus related recommended cookie cookies consent".split())
 DEPTH = 64  # levels that a path names
 NESTED = 16  # labelled elements within each other that are told apart
@@ -82,6 +90,8 @@ TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre tabl
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)(?:>|\Z)|[!?/][^>]*(?:>|\Z)|[a-zA-Z][^>]*(?:>|\Z))", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _SPACE = re.compile(r"[ \t\n\x0b\x0c\r]+")
+_PARTS = re.compile(r"[-_]+")
+_HEADING = re.compile(r"h[1-6]\Z")
 _NUMBER = re.compile(r"[-_]?\d+\Z")
 _END = {t: re.compile(rf"</{t}\b[^>]*(?:>|\Z)", re.I) for t in RAW}
 
@@ -98,12 +108,14 @@ def _label(tag: str, attrs: str, memo: dict = {}) -> tuple[str, bool, bool, bool
         names = f"{found.get('class', '')} {found.get('id', '')}"
         boiler = tag in BOILER_TAGS or found.get("role", "") in BOILER_ROLES
         words = {_NUMBER.sub("", w) for w in names.split()}
+        parts = [x for x in (_PARTS.split(w) for w in words) if len(x) > 1]
+        readers = any(x[0] in PART_FIRST or x[-1] == "comments" for x in parts)
         beside = boiler
         if tag not in ("html", "body", "article", "main"):
-            boiler = boiler or not GOES.isdisjoint(words)
-            beside = boiler or not BESIDE.isdisjoint(words)
+            boiler = boiler or readers or not GOES.isdisjoint(words) or any(x[-1] in PART_LAST for x in parts)
+            beside = boiler or not BESIDE.isdisjoint(words) or any(x[-1] in PART_LAST_BESIDE for x in parts)
         main = tag in MAIN_TAGS or found.get("role") == "main"
-        memo[key] = (("main:" if main else "") + tag + "." + re.sub(r"\d+", "0", " ".join(sorted(names.split()))), boiler, beside, tag == "head" or not NEVER_MAIN.isdisjoint(words))
+        memo[key] = (("main:" if main else "") + tag + "." + re.sub(r"\d+", "0", " ".join(sorted(names.split()))), boiler, beside, tag == "head" or readers or not NEVER_MAIN.isdisjoint(words))
     return memo[key]
 
 
@@ -203,20 +215,21 @@ def _runs(page: str):
         stack.append((tag, f"{path}/{label}" if named else path, (*inside, (at, never)) if marked else inside, main))
 
 
-def joined(runs) -> list[tuple[str, str]]:
-    """(path, text) of each non-empty block, white space made single."""
-    out, held, path = [], [], ""
-    for where, text, *_ in [*runs, (None, "")]:
+def joined(runs) -> list[tuple[str, str, bool]]:
+    """(path, text, all of it in links) of each non-empty block, white space made single."""
+    out, held, path, linked = [], [], "", True
+    for where, text, _, link in [*runs, (None, "", False, False)]:
         if where is None:
             if held:
                 text = _SPACE.sub(" ", "".join(held)).strip(" ")
                 if text:
-                    out.append((path, text))
-            held = []
+                    out.append((path, text, linked))
+            held, linked = [], True
         else:
             if not held:
                 path = where
             held.append(text)
+            linked = linked and (link or not text.strip())
     return out
 
 
@@ -234,22 +247,32 @@ def extract(page: str | None, wrapper: dict | None) -> str:
         return ""
     runs = [r for r in blocks(page) if not r[2]]
     found = joined(runs)
-    main = next((x for p, _ in found if (x := _main_of(p))), "")
-    root, fixed, short = main, {}, {}
+    main = next((x for p, *_ in found if (x := _main_of(p))), "")
+    root, fixed, short, layout = main, {}, {}, None
     if wrapper:
         names = wrapper["names"]
         short = {p: plain_path(p, names) for p in dict.fromkeys(r[0] for r in runs if r[0] is not None)}
-        own = [short[p] for p, _ in found]
-        layout = wrapper["layouts"].get(layout_of(own, [len(t) for _, t in found]))
+        own = [short[p] for p, *_ in found]
+        layout = wrapper["layouts"].get(layout_of(own, [len(t) for _, t, _ in found]))
         if layout:
             aligned = align(tuple(dict.fromkeys(own)), layout["skeleton"])
             short = {p: placed_path(q, aligned) for p, q in short.items()}
             root, fixed = placed_path(plain_path(main, names), aligned), layout["fixed"]
             below = layout["root"] + "/"
-            if layout["root"] and (not main or below.startswith(root + "/")) and any((short[p] + "/").startswith(below) for p, _ in found):
+            if layout["root"] and (not main or below.startswith(root + "/")) and any((short[p] + "/").startswith(below) for p, *_ in found):
                 root = layout["root"]
     kept = [r for r in runs if r[0] is None or not root or (short.get(r[0], r[0]) + "/").startswith(root + "/")]
-    return "\n".join(t for p, t in joined(kept) if text_hash(t) not in fixed.get(short.get(p, p), ()))
+    held = [(short.get(p, p), t, linked) for p, t, linked in joined(kept)]
+    gone = [text_hash(t) in fixed.get(p, ()) for p, t, _ in held]
+    if main and layout:
+        gone = _edges([x and (linked or p in layout["still"]) and text_hash(t) not in layout["few"] for x, (p, t, linked) in zip(gone, held, strict=True)])
+    return "\n".join(t for (_, t, _), x in zip(held, gone, strict=True) if not x)
+
+
+def _edges(flags: list[bool]) -> list[bool]:
+    """Only the flags before the first and after the last unset one; none if all are set."""
+    unset = [k for k, x in enumerate(flags) if not x]
+    return [x and not unset[0] < k < unset[-1] for k, x in enumerate(flags)] if unset else [False] * len(flags)
 
 
 # --- wrapper induction -------------------------------------------------------
@@ -277,43 +300,100 @@ class Tree:
         self.tags = [x.partition(".")[0] for x in self.labels]
 
 
-def _children_match(a: Tree, b: Tree, i: int, j: int, score: dict) -> list[list[int]]:
-    """The table of best scores of the first children of two nodes."""
-    xs, ys = a.children[i], b.children[j]
-    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-    for m, x in enumerate(xs):
-        row, above = best[m + 1], best[m]
-        for n, y in enumerate(ys):
-            row[n + 1] = max(above[n + 1], row[n], above[n] + score.get((x, y), 0))
-    return best
+class _Forests:
+    """Best scores of the children of two nodes; equal lists of subtrees have one number and are compared once."""
+
+    def __init__(self):
+        self.ids: dict[tuple, int] = {}
+        self.kids: list[tuple] = []  # (label, number of its own children) of each child
+        self.full: list[int] = []  # the score of the list with itself
+        self.numbers: dict[str, int] = {}
+        self.best: dict[tuple[int, int], int] = {}
+
+    def of(self, tree: Tree) -> list[int]:
+        """The number of each node's children."""
+        own = [0] * len(tree.labels)
+        for level in reversed(tree.levels):
+            for i in level:
+                key = tuple((tree.labels[c], own[c]) for c in tree.children[i])
+                if key not in self.ids:
+                    self.ids[key] = len(self.kids)
+                    self.kids.append(key)
+                    self.full.append(sum(2 + self.full[f] for _, f in key))
+                own[i] = self.ids[key]
+        return own
+
+    def number(self, word: str) -> int:
+        return self.numbers.setdefault(word, len(self.numbers))
+
+    def value(self, f: int, g: int) -> int:
+        if f == g:
+            return self.full[f]
+        if not self.kids[f] or not self.kids[g]:
+            return 0
+        if (f, g) not in self.best:
+            self.best[f, g] = self.table(f, g)[0]
+        return self.best[f, g]
+
+    def table(self, f: int, g: int, keep: bool = False) -> tuple[int, int, int, list]:
+        """The best score, how many first and last subtrees are equal, and (if ``keep``) where a cell is as the one above and before it.
+
+        Equal subtrees at either end are always matched: no other partner scores more.
+        Between them a row of the table is made at once; only bits of rows are held.
+        """
+        xs, ys = self.kids[f], self.kids[g]
+        most = min(len(xs), len(ys))
+        head = next((k for k in range(most) if xs[k] != ys[k]), most)
+        tail = next((k for k in range(most - head) if xs[-1 - k] != ys[-1 - k]), most - head)
+        sure = sum(2 + self.full[h] for _, h in (*xs[:head], *xs[len(xs) - tail :]))
+        mine, other = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
+        above, bits, gains = np.zeros(len(other) + 1, np.int64), [], {}
+        labels = np.array([self.number(label) for label, _ in other], np.int64)
+        lists = np.array([h for _, h in other], np.int64)
+        tags = np.array([self.number("<" + label.partition(".")[0]) for label, _ in other], np.int64)
+        for label, h in mine if other else ():
+            tag = self.number("<" + label.partition(".")[0])
+            if (tag, h) not in gains:
+                if len(gains) > 64:
+                    gains.clear()
+                gain = (tags == tag).astype(np.int64)
+                like = np.flatnonzero(gain)
+                kinds, which = np.unique(lists[like], return_inverse=True)
+                gain[like] += np.array([self.value(h, k) for k in kinds.tolist()], np.int64)[which]
+                gains[tag, h] = gain
+            row = np.zeros_like(above)
+            row[1:] = np.maximum.accumulate(np.maximum(above[1:], above[:-1] + gains[tag, h] + (labels == self.number(label))))
+            if keep:
+                bits.append((np.packbits(row == above), np.packbits(np.r_[False, row[1:] == row[:-1]])))
+            above = row
+        return sure + int(above[-1]), head, tail, bits
 
 
 def match(a: Tree, b: Tree) -> list[tuple[int, int]]:
     """Simple tree matching: pairs of nodes of equal tags that keep order and descent, of the greatest score.
 
-    A pair scores 2 for equal labels and 1 for equal tags alone.  Scores are made from
-    the deepest level up, then pairs are read off from the roots down, without recursion.
+    A pair scores 2 for equal labels and 1 for equal tags alone.  Pairs are read off
+    from the roots down.
     """
-    score: dict[tuple[int, int], int] = {}
-    for depth in range(min(len(a.levels), len(b.levels)) - 1, -1, -1):
-        for i in a.levels[depth]:
-            for j in b.levels[depth]:
-                if a.tags[i] == b.tags[j]:
-                    score[i, j] = 1 + (a.labels[i] == b.labels[j]) + _children_match(a, b, i, j, score)[-1][-1]
+    held = _Forests()
+    of_a, of_b = held.of(a), held.of(b)
     pairs, todo = [], [(0, 0)]
     while todo:
         i, j = todo.pop()
         pairs.append((i, j))
-        best = _children_match(a, b, i, j, score)
-        m, n = len(a.children[i]), len(b.children[j])
+        xs, ys = a.children[i], b.children[j]
+        _, head, tail, bits = held.table(of_a[i], of_b[j], keep=True)
+        m, n = len(xs) - head - tail, len(ys) - head - tail
+        todo += [*zip(xs[:head], ys[:head], strict=True), *zip(xs[len(xs) - tail :], ys[len(ys) - tail :], strict=True)]
         while m and n:
-            if best[m][n] == best[m - 1][n]:
+            up, back = (x[n >> 3] >> (7 - (n & 7)) & 1 for x in bits[m - 1])
+            if up:
                 m -= 1
-            elif best[m][n] == best[m][n - 1]:
+            elif back:
                 n -= 1
             else:
                 m, n = m - 1, n - 1
-                todo.append((a.children[i][m], b.children[j][n]))
+                todo.append((xs[head + m], ys[head + n]))
     return pairs
 
 
@@ -406,8 +486,8 @@ def text_hash(text: str) -> int:
 def facts_of(page: str) -> tuple[list[str], list[int], list[int], list[int]]:
     """Paths, text hashes, sizes and near-copy keys of the blocks outside labelled boilerplate."""
     found = joined(r for r in blocks(page) if not r[2])
-    texts = [t for _, t in found]
-    return [p for p, _ in found], [text_hash(t) for t in texts], [len(t) for t in texts], block_keys(texts).ravel().tolist()
+    texts = [t for _, t, _ in found]
+    return [p for p, *_ in found], [text_hash(t) for t in texts], [len(t) for t in texts], block_keys(texts).ravel().tolist()
 
 
 def varying_keys(keys, common) -> list[int]:
@@ -422,10 +502,10 @@ def group_of(keys: list[int], often: dict[int, int], mark: int) -> int | None:
     return max((k for k in keys if k in often), key=lambda k: (often[k], k), default=mark) if keys else None
 
 
-def assemble(n: int, nodes: list[tuple[str, int, int]], constant: list[tuple[str, int, int, bool]], skeleton: list[str]) -> dict:
-    """The wrapper of a layout of ``n`` pages from (path, pages, characters) of nodes and (path, text, characters, is template) of constant texts."""
+def assemble(n: int, nodes: list[tuple[str, int, int]], constant: list[tuple[str, int, int, bool, int]], skeleton: list[str]) -> dict:
+    """The wrapper of a layout of ``n`` pages from (path, pages, characters) of nodes and (path, text, characters, is template, groups) of constant texts."""
     spent: Counter[str] = Counter()
-    for path, _, size, _ in constant:
+    for path, _, size, *_ in constant:
         parts = path.split("/")
         for k in range(1, len(parts) + 1):
             spent["/".join(parts[:k])] += size
@@ -439,10 +519,14 @@ def assemble(n: int, nodes: list[tuple[str, int, int]], constant: list[tuple[str
         parts.pop()
     root = "/".join(parts)
     lines: dict[str, list[int]] = {}
-    for path, text, _, template in sorted(constant):
+    few: set[int] = set()
+    for path, text, _, template, groups in sorted(constant):
         if template:
             lines.setdefault(path, []).append(text)
-    return {"root": root, "fixed": lines, "skeleton": skeleton}
+            if groups < MANY:
+                few.add(text)
+    still = [p for p in lines if weight.get(p, 1) <= 0 and not _HEADING.match(p.rpartition("/")[2].partition(".")[0])]
+    return {"root": root, "fixed": lines, "still": still, "few": sorted(few), "skeleton": skeleton}
 
 
 def block_sizes(paths: list[str], texts: list[int], sizes: list[int]) -> Counter[tuple[str, int]]:
@@ -604,7 +688,7 @@ def learn_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
             node, line, shape = rows[rows["text"].isna() & (rows["k"] > 0)], rows[~rows["text"].isna()], rows[rows["k"] == 0]
             listed = lambda x, *c: list(zip(*(x[k].tolist() for k in c), strict=True))
             if len(node):
-                counted = [(p, int(t), c, bool(x)) for p, t, c, x in listed(line, "path", "text", "chars", "template")]
+                counted = [(p, int(t), c, bool(x), k) for p, t, c, x, k in listed(line, "path", "text", "chars", "template", "k")]
                 layouts[layout] = assemble(int(node["n"].iloc[0]), listed(node, "path", "k", "chars"), counted, shape["path"].iloc[0].split("\n"))
         made = json.dumps({"names": (held["names"].iloc[0] or "").split(), "layouts": layouts})
         return pd.DataFrame([(held["host"].iloc[0], made)] if layouts else [], columns=["host", "wrapper"])
@@ -620,6 +704,7 @@ def _ready(wrapper: str) -> dict:
     made["names"] = frozenset(made["names"])
     for layout in made["layouts"].values():
         layout["fixed"] = {path: frozenset(texts) for path, texts in layout["fixed"].items()}
+        layout["still"], layout["few"] = frozenset(layout["still"]), frozenset(layout["few"])
         layout["skeleton"] = tuple(layout["skeleton"])
     return made
 
