@@ -469,7 +469,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     postings = tables.save(_postings(groups, filter_bits), "postings")
 
     def joined_by(pairs: DataFrame, name: str, components: DataFrame | None) -> DataFrame:
-        """The components after verifying ``pairs``."""
+        """The components after verifying ``pairs``; without a new link they stay as they are."""
         pairs = tables.save(pairs, name)
         if components is not None and pairs.isEmpty():
             return components
@@ -477,6 +477,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
         links = tables.save(found, f"{name}_links")
         shared.destroy()
         if components is not None:
+            if links.isEmpty():
+                return components
             links = links.unionAll(components.select(F.col("component").alias("a"), F.col("node").alias("b")))
         return connected_components(links)
 
