@@ -215,3 +215,14 @@ def test_keep_one_without_unique_ids(make_docs):
     rows = [(1, text(1)), (None, text(1)), (None, text(2)), (None, text(3)), (None, text(3)), (5, text(5)), (5, text(6)), (7, text(6)), (None, ""), (None, None), (8, "")]
     got = Counter((r["doc_id"], r["text"]) for r in jaccard_join.keep_one(make_docs(rows)).collect())
     assert got == Counter([(1, text(1)), (None, text(2)), (None, text(3)), (5, text(5)), (5, text(6)), (None, ""), (None, None), (8, "")])
+
+
+def test_components_of_further_links(spark):
+    rng = random.Random(3)
+    first = [(rng.randrange(60), rng.randrange(60)) for _ in range(30)]
+    more = [(rng.randrange(100), rng.randrange(100)) for _ in range(30)] + [(200 + i, 201 + i) for i in range(9)]
+    link = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    whole = components.connected_components(link(first + more)).collect()
+    got = components.joined_components(components.connected_components(link(first)), link(more)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole))
+    assert sorted(map(tuple, components.joined_components(components.connected_components(link([])), link(more)).collect())) == sorted(map(tuple, components.connected_components(link(more)).collect()))

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.llm.common import ASCII_SPACE, Tables, annotate, bloom, bloom_has, bytes_of, slices, texts_of
-from tidewater.llm.components import connected_components
+from tidewater.llm.components import connected_components, joined_components
 
 WORDS = 5
 PERCENT = 80
@@ -58,7 +58,7 @@ AT_ONCE = 8  # seeds of one aggregation
 CROWDED = 16  # postings of a bucket from which more hubs pay
 PARTNERS = 256  # that share one copy of a hub's text
 CHUNK = 1 << 18  # bytes hashed at a time
-BROADCAST_ROWS = 500_000  # ids that keep_one may broadcast
+BROADCAST_BYTES = 16 << 20  # of ids that keep_one may broadcast, as text and 24 bytes each
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(ASCII_SPACE)] = True
@@ -476,11 +476,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
         found, shared = _verify(pairs, classes, plain, words, percent, max(10, filter_bits - 2))
         links = tables.save(found, f"{name}_links")
         shared.destroy()
-        if components is not None:
-            if links.isEmpty():
-                return components
-            links = links.unionAll(components.select(F.col("component").alias("a"), F.col("node").alias("b")))
-        return connected_components(links)
+        if components is None:
+            return connected_components(links)
+        return components if links.isEmpty() else tables.save(joined_components(components, links), f"{name}_components")
 
     def expanded(hub_pairs: DataFrame, name: str) -> DataFrame:
         return tables.save(_bounded(_expand_hubs(hub_pairs, members), classes, percent), name)
@@ -498,7 +496,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     components = joined_by(_apart(late, components), "late_rest", components)
     mixed = tables.save(_open_groups(postings, members, components), "open")
     components = joined_by(_bounded(_open_pairs(mixed, members, components, classes, percent), classes, percent), "last", components)
-    tables.drop("postings", "near", "near_one", "near_rest", "mixed", "late", "late_one", "late_rest", "open", "last")
+    tables.drop("postings", "near", "mixed", *[f"asked{first}" for first in range(100, 100 + max(1, late_hubs), AT_ONCE)], "late", "open")
+    tables.drop(*[name + part for name in ("near_one", "near_rest", "late_one", "late_rest", "last") for part in ("", "_links")])
 
     placed = classes.select("uid", "digest", "least_id").join(components.withColumnRenamed("node", "uid"), "uid", "left").select("digest", "least_id", F.coalesce("component", "uid").alias("c"))
     of = tables.save(placed.join(placed.groupBy("c").agg(F.min("least_id").alias("component_id")), "c").select("digest", "component_id"), "component_ids")
@@ -518,10 +517,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **opti
     tables = Tables(docs.sparkSession, "keep_one")
     found = tables.save(similar_documents(docs.select(key.alias("key"), F.col(f"`{text}`").alias("text")), "key", "text", **options).where("n_shingles > 0").select("doc_id", "component_id"), "similar")
     gone = tables.save(found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    if gone.count() <= BROADCAST_ROWS:
+    if (gone.agg(F.sum(24 + F.coalesce(F.octet_length(F.col("__gone.id").cast("string")), F.lit(0)))).first()[0] or 0) <= BROADCAST_BYTES:
         gone = F.broadcast(gone)
     stay = docs.join(gone, key == gone["__gone"], "left_anti")
     again = tables.save(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__again")).agg(F.count("*").alias("k")).where("k > 1").select("__again"), "again")
+    tables.drop("similar")
     if again.isEmpty():
         return stay
     once = stay.join(again, key == again["__again"], "left_semi").groupBy(key.alias("__key")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
