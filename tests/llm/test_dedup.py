@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
