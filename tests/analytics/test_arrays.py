@@ -2,7 +2,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidewater.operators import arrays, fractal
+from tidewater.operators import arrays, blocks, fractal
+from tidewater.plans import registry
 
 
 def test_frames_and_decayed_sums_of_two_blocks():
@@ -37,3 +38,11 @@ def test_hurst_sorts_its_blocks_once(spark):
     df = spark.range(600).select(F.lit("a").alias("ticker"), F.col("id").alias("date"), F.rand(1).alias("z"))
     plan = fractal.hurst(df, 100)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Sort [") <= 2
+
+
+def test_accumulation_score_lays_its_series_once(spark, sf_dir, monkeypatch):
+    """It was laid, shuffled and written once for the volumes and once more for the score."""
+    laid, lay = [], blocks.lay
+    monkeypatch.setattr(blocks, "lay", lambda *a, **k: laid.append(1) or lay(*a, **k))
+    registry.QUERIES["ad_score"](spark, sf_dir)
+    assert len(laid) == 1
