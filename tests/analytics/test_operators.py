@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions.expr import col, ieee_div, pct, safe_div
-from tidewater.operators import ewm, exports, fractal, indicators, insiders, panel, rank, snapshot, statements
+from tidewater.operators import ewm, exports, fractal, indicators, insiders, panel, rank, snapshot, statements, technical
 from tidewater.sources import datasets
 
 D = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
@@ -94,6 +94,15 @@ def test_percentiles(spark):
     assert one.first()["p"] == 100.0
 
 
+def test_blends_take_unnarrowed_ranks_by_date(spark):
+    """0.45 * 1.56 + 0.1 * 33.33 is 4.035: which way it rounds must not hang on 33.33 as a float."""
+    df = spark.createDataFrame([(k, D(0), float(k), float(k), float(k)) for k in range(1, 5)], "ticker int, date date, __rs double, volumeroc double, ad double")
+    ranked = technical.with_ranks(df)
+    assert column(ranked, "volconfirmrank", "ticker") == [33.33, 0.0, 66.67, 100.0] and column(ranked, "adrank", "ticker") == [0.0, 33.33, 66.67, 100.0]
+    blend = snapshot.momentum_rank(ranked.withColumn("growthrank", F.lit(0.0).cast("float")).withColumn("rsrank", F.lit(1.56).cast("float")))
+    assert round(column(blend, "momrank", "ticker")[0], 2) == 4.03
+
+
 def test_snapshot_rank_of_many_distinct_values(spark):
     """A million values in many ranges, with ties and gaps; no window has a metric's rows to itself."""
     before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
