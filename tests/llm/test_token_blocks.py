@@ -90,3 +90,16 @@ def test_encoder_agrees_with_the_library(tokenizer, docs):
     ids, per = token_blocks.Encoder(PATH).encode([t.encode() for t in docs], None) if docs else (np.zeros(0), np.zeros(0))
     want = [tokenizer.encode(t, add_special_tokens=False).ids for t in docs]
     assert ids.tolist() == [i for w in want for i in w] and per.tolist() == [len(w) for w in want]
+
+
+def test_new_chunks_are_one_text_and_stay_known(tokenizer):
+    texts = ["Wörter, die-- (zählen) Éa!! éa ×x don't x^2 a_b. " * 3, "", "straße qqqqzzzz... Qqqqzzzz"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = token_blocks.worker_encoder(PATH)
+    assert encoder is token_blocks.worker_encoder(PATH)
+    assert encoder._joined([b"straight", b"zzq...", b"a"], [1, 2, 1]) and encoder._joined([b"straight", b"zzq...", b"a"], [1, 1, 1]) is None
+    fresh = token_blocks.Encoder(PATH)
+    fresh.ends[:] = False  # a vocabulary without tokens that end a piece
+    for e in (encoder, encoder, fresh):
+        ids, per = e.encode([t.encode() for t in texts], None)
+        assert per.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
