@@ -94,6 +94,16 @@ def test_percentiles(spark):
     assert one.first()["p"] == 100.0
 
 
+def test_exponent_is_joined_while_rows_are_narrow(spark):
+    rows = [(t, D(i), 10.0 + i % 7, 12.0 + i % 7, 9.0 + i % 5, 10.5 + (i * 7) % 11 / 10, 100.0 + i) for t in ("A", None) for i in range(130)]
+    bars = spark.createDataFrame(rows, "ticker string, date date, open double, high double, low double, close double, volume double")
+    done = technical.technical_daily(bars, 100)
+    assert "Join" not in done._jdf.queryExecution().executedPlan().toString()
+    assert done.columns == [*technical.technical_daily(bars).columns, "hurst"]
+    want = column(fractal.hurst(fractal.hurst_signal(bars), 100), "hurst")
+    assert column(done, "hurst") == want and len(want) == 260 and sum(v is not None for v in want) == 2 * 12
+
+
 def test_blends_take_unnarrowed_ranks_by_date(spark):
     """0.45 * 1.56 + 0.1 * 33.33 is 4.035: which way it rounds must not hang on 33.33 as a float."""
     df = spark.createDataFrame([(k, D(0), float(k), float(k), float(k)) for k in range(1, 5)], "ticker int, date date, __rs double, volumeroc double, ad double")
