@@ -154,3 +154,26 @@ def test_appended_dates_are_not_added_twice(spark):
     got = spark.table("t_stock_prices").toPandas().sort_values(["ticker", "date"]).reset_index(drop=True)
     want = technical.technical_daily(bars).toPandas().sort_values(["ticker", "date"]).reset_index(drop=True)
     pd.testing.assert_frame_equal(got[want.columns], want, rtol=1e-9)
+
+
+def test_array_forms_are_their_expressions(spark):
+    """Over nulls, NaN, infinities, days without a range or volume."""
+    rng, odd = np.random.default_rng(5), [None, float("nan"), float("inf"), float("-inf"), 0.0, -2.0]
+    rows = [("A", i, *[odd[rng.integers(6)] if rng.random() < 0.3 else float(rng.integers(1, 4)) for _ in range(6)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "ticker string, date long, high double, low double, close double, volume double, __close_1 double, avgvolume60 double")
+    df = df.withColumns({"__fast": F.col("high"), "__slow": F.col("low")})
+    forms = [s for s in technical.series_steps() if len(s) == 5 and not isinstance(s[1], float)]
+    assert len(forms) == 5
+    read = [(s[3], "max", 1, f"{s[3]}_read") for s in forms]  # what a later step sees
+    by_array, by_column = (blocks.run_steps(df, [*steps, *read]).toPandas().sort_values("date") for steps in (forms, [s[:4] for s in forms]))
+    for *_, out in read:
+        np.testing.assert_array_equal(by_array[out].to_numpy(float), by_column[out].to_numpy(float), err_msg=out)
+
+
+def test_rows_are_made_wide_once(spark):
+    """One pass for the percentiles over narrow rows, one for the table, and no shuffle of the table's columns."""
+    rows = [(t, dt.date(2020, 1, 1) + dt.timedelta(days=i), 5.0, 6.0, 4.0, 5.0, 10.0) for t in "AB" for i in range(3)]
+    bars = spark.createDataFrame(rows, "ticker string, date date, open double, high double, low double, close double, volume double")
+    plan = technical.technical_daily(bars)._jdf.queryExecution().sparkPlan().toString()
+    wide = plan[: plan.index("MapInArrow")]
+    assert plan.count("MapInArrow") == 2 and "Window" not in wide and "RepartitionByExpression" not in wide and "Exchange" not in wide
