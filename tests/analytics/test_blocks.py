@@ -177,3 +177,21 @@ def test_rows_are_made_wide_once(spark):
     plan = technical.technical_daily(bars)._jdf.queryExecution().sparkPlan().toString()
     wide = plan[: plan.index("MapInArrow")]
     assert plan.count("MapInArrow") == 2 and "Window" not in wide and "RepartitionByExpression" not in wide and "Exchange" not in wide
+
+
+def test_tables_leave_nothing_on_the_way_and_come_in_order(spark):
+    from pathlib import Path
+
+    rows = [(f"T{k}", dt.date(2020, 1, 1) + dt.timedelta(days=i), 5.0, 6.0 + i % 3, 4.0, 5.0 + i % 5 / 10, 5.0 + i % 5 / 10, 10.0 + i) for k in range(12) for i in range(30)]
+    source = spark.createDataFrame(rows, "ticker string, date date, open double, high double, low double, close double, closeadj double, volume double")
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    had = {p.name for p in root.iterdir()} if root.exists() else set()
+    made = tables.build_tables({"stocks_prices": source}, "2020-03-01", ("stock_prices", "stock_prices_weekly"), "p_")
+    assert sorted(p.name.partition("-")[0] for p in root.iterdir() if p.name not in had) == ["table", "table"]
+    assert made["stock_prices"].count() == 360
+    ends = []
+    for file in sorted(f.removeprefix("file:") for f in made["stock_prices"].inputFiles()):
+        part = pd.read_parquet(file, columns=["ticker", "date"]).apply(tuple, axis=1).tolist()
+        assert part == sorted(part)
+        ends += [part[0], part[-1]] if part else []
+    assert ends == sorted(ends)
