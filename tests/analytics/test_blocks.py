@@ -195,3 +195,11 @@ def test_tables_leave_nothing_on_the_way_and_come_in_order(spark):
         assert part == sorted(part)
         ends += [part[0], part[-1]] if part else []
     assert ends == sorted(ends)
+
+
+def test_last_rows_by_dates_alone(spark):
+    """As ``latest_per_key``, null keys and dates included, and no wide rows sorted for it."""
+    day = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([("A", day, 1.0), ("A", day + dt.timedelta(days=1), 2.0), ("A", None, 3.0), (None, day, 4.0), ("B", None, 5.0)], "ticker string, date date, x double")
+    got, want = (sorted(map(str, f.collect())) for f in (tables._newest(df), tables.latest_per_key(df, "date")))
+    assert got == want and len(got) == 3
