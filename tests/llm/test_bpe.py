@@ -1,16 +1,20 @@
 import base64
+import gc
 import hashlib
 import random
 import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import types as T
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewater.llm import bpe, queries
+from tidewater.llm.common import annotate, tidy
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -100,3 +104,23 @@ def test_decode_alone(spark, make_docs):
     coded = bpe.encode(make_docs(["one two", None, "drei vier"]), "text", ranks, public_tokenizers.PATTERN)
     rows = bpe.decode(coded, "ids", ranks, public_tokenizers.PATTERN).collect()
     assert sorted(bytes(r["decoded"]).decode() for r in rows) == ["", "drei vier", "one two"]
+
+
+def test_workers_let_go_of_the_codec(spark, make_docs):
+    """Tasks of other operators do not run beside the vocabulary and memo of the one before."""
+
+    def held():
+        return sum(type(x) is bpe.Codec for x in gc.get_objects())
+
+    def count(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([held()], pa.int64())], names=["doc_id"])
+
+    docs = make_docs([f"some text {i}" for i in range(64)]).repartition(16).select("doc_id", "text").cache()
+    for other in ("annotate", "tidy"):
+        assert bpe.round_trip(docs, "text", bpe.share_ranks(spark, PATH), public_tokenizers.PATTERN).count() == 64
+        if other == "annotate":
+            seen = annotate(docs, [("held", T.LongType())], lambda: lambda batch: [[held()] * batch.num_rows], "text").agg({"held": "max"}).first()[0]
+        else:
+            seen = docs.select("doc_id").mapInArrow(tidy(count), "doc_id long").agg({"doc_id": "max"}).first()[0]
+        assert seen == 0, other

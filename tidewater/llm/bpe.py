@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import annotate, ragged, texts_of
+from tidewater.llm.common import annotate, kept, ragged, texts_of
 
 BUCKETS = (4, 6, 8, 12, 16, 24, 32, 64, 128, 256)
 MEMO = 250_000  # distinct pieces that a Python worker remembers, and
@@ -257,16 +257,9 @@ class Ranks:
         self.shared, self.key = shared, uuid.uuid4().hex
 
 
-_CODECS: dict[tuple, Codec] = {}
-
-
 def _codec(ranks: Ranks, pattern: str) -> Codec:
     """The codec of a worker, made once for a vocabulary and pattern."""
-    key = (ranks.key, pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(ranks.shared.value, pattern)
-    return _CODECS[key]
+    return kept((ranks.key, pattern), lambda: Codec(ranks.shared.value, pattern))
 
 
 def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:

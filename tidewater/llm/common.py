@@ -10,6 +10,7 @@ longest single text, never the partition.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -26,6 +27,50 @@ SLICE_BYTES = 1 << 20
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+_KEPT: dict[tuple, object] = {}
+_ASKED: set[tuple] = set()
+
+
+def kept(key: tuple, make: Callable[[], object]):
+    """``make()``, which this worker keeps until a task asks for something else or for nothing."""
+    _ASKED.add(key)
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def begin(start: Callable[[], object] | None = None):
+    """``start()``, after which this worker keeps only what that asked for.
+
+    Module functions alone see the worker's own ``_KEPT``: nested ones are sent with copies.
+    """
+    _ASKED.clear()
+    out = start() if start else None
+    for key in _KEPT.keys() - _ASKED:
+        del _KEPT[key]
+    return out
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system; workers live on, and allocators hold it."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for mapInArrow, in a worker that lets go of what operators before kept there, and of what this task has freed."""
+
+    def task(batches):
+        begin()
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
 
@@ -130,14 +175,15 @@ def annotate(
     types = [arrow.field(n).type for n in new]
 
     def run(batches):
-        fn = start()
+        fn = begin(start)
         for batch in batches:
             for cut in slices(batch, by):
                 made = fn(cut)
                 columns = [cut.column(cut.schema.get_field_index(n)) for n in names]
                 columns += [x if isinstance(x, pa.Array) and x.type == t else x.cast(t) if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=names + new)
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        fn = made = columns = batch = cut = None
+        give_back()
 
     need = list(dict.fromkeys([*names, by, *(c for c in (keep or []) if c in df.columns)]))
     return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, schema)
@@ -190,7 +236,7 @@ def bloom(keys: DataFrame, column: str, bits: int = 24) -> np.ndarray:
             part = at[a : a + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(mine[part].view(np.int64))], names=["word", "bits"])
 
-    rows = keys.select(F.col(column).cast("long")).mapInArrow(words, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    rows = keys.select(F.col(column).cast("long")).mapInArrow(tidy(words), "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return out

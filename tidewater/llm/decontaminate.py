@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import annotate, bytes_of, materialise, shielded
+from tidewater.llm.common import annotate, bytes_of, kept, materialise, shielded
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -182,15 +182,11 @@ def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, window: int,
 
 
 MATCH = T.ArrayType(T.StructType([T.StructField(n, t) for n, t in (("item_id", T.StringType()), ("word", T.IntegerType()), ("item_word", T.IntegerType()), ("words", T.IntegerType()))]))
-_SUFFIXES: dict[str, Suffixes] = {}
 
 
 def _suffixes(shared, key: str) -> Suffixes:
     """The suffixes of a broadcast block, made once per worker; ``key`` names the block."""
-    if key not in _SUFFIXES:
-        _SUFFIXES.clear()
-        _SUFFIXES[key] = Suffixes(shared.value)
-    return _SUFFIXES[key]
+    return kept((key,), lambda: Suffixes(shared.value))
 
 
 def annotate_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import ASCII_SPACE, Tables, annotate, bloom, bloom_has, bytes_of, slices, texts_of
+from tidewater.llm.common import ASCII_SPACE, Tables, annotate, bloom, bloom_has, bytes_of, slices, texts_of, tidy
 from tidewater.llm.components import connected_components, joined_components
 
 WORDS = 5
@@ -102,9 +102,10 @@ class Shingler:
         np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[: len(flat)], out=sums[1:])
         return _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
-    def word_hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The hashes of all words in a row, and the number of words of each text."""
-        flat = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
+    def word_hashes(self, texts: list[bytes], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all words in a row, A-Z in lower case if ``fold``, and the number of words of each text."""
+        held = b" ".join([*texts, b""])
+        flat = np.frombuffer(held.lower() if fold else held, np.uint8)
         space = _SPACE[flat]
         size = np.array([len(t) + 1 for t in texts], np.int64)
         words = (~space[1:] & space[:-1]).astype(np.int32)  # a word begins after a space
@@ -202,7 +203,7 @@ def shingle_counts(plain: DataFrame, words: int = WORDS, bits: int = COUNTER_BIT
         for at, cells in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.minimum(cells, 2**32 - 1).astype(np.uint32).tobytes()])], names=["chunk", "cells"])
 
-    pieces = plain.select("text").mapInArrow(count, "chunk int, cells binary").repartition("chunk").mapInArrow(add, "chunk int, cells binary").toArrow()
+    pieces = plain.select("text").mapInArrow(tidy(count), "chunk int, cells binary").repartition("chunk").mapInArrow(tidy(add), "chunk int, cells binary").toArrow()
     out = np.zeros(1 << bits, np.uint32)
     for at, cells in zip(pieces["chunk"].to_pylist(), pieces["cells"].to_pylist(), strict=True):
         out[at * chunk : (at + 1) * chunk] = np.frombuffer(cells, np.uint32)
@@ -266,7 +267,7 @@ def _postings(groups: DataFrame, bits: int) -> DataFrame:
             ok = np.flatnonzero(bloom_has(table, token))
             yield pa.RecordBatch.from_arrays([pa.array(token[ok]), batch.column(0).take(pa.array(row[ok])), batch.column(1).take(pa.array(row[ok])), pa.array(at[ok].astype(np.int32))], names=["token", "gid", "n", "at"])
 
-    return groups.select("gid", "n", "prefix").mapInArrow(pick, "token long, gid long, n long, at int")
+    return groups.select("gid", "n", "prefix").mapInArrow(tidy(pick), "token long, gid long, n long, at int")
 
 
 def _may_link(na, nb, pa_, pb, percent: int):
@@ -333,7 +334,7 @@ def _folded(classes: DataFrame, members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["gid", *FOLDS])
 
     alone = classes.select(F.col("uid").alias("gid"), "bits").join(members.select("gid").distinct(), "gid", "left_anti")
-    return alone.mapInArrow(fold, "gid long, " + ", ".join(f"{f} long" for f in FOLDS))
+    return alone.mapInArrow(tidy(fold), "gid long, " + ", ".join(f"{f} long" for f in FOLDS))
 
 
 def _parity_allows(na, nb, a: str, b: str, percent: int):
@@ -381,7 +382,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     for end in ("a", "b"):
         pairs = pairs.join(classes.select(F.col("uid").alias(end), F.col("n").alias(f"n{end}"), F.col("bits").alias(f"bits{end}")), end)
-    return pairs.select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "na", "bitsa", "nb", "bitsb").mapInArrow(tidy(run), "a long, b long")
 
 
 def word_shingles(text: bytes, words: int) -> set:
@@ -438,9 +439,9 @@ def _verify(pairs: DataFrame, classes: DataFrame, plain: DataFrame, words: int,
                         good_b.append(max(where, uid))
             yield pa.RecordBatch.from_arrays([pa.array(good_a, pa.int64()), pa.array(good_b, pa.int64())], names=["a", "b"])
 
-    texts = plain.select("row_key", "text").mapInArrow(pick, "digest binary, text string")
+    texts = plain.select("row_key", "text").mapInArrow(tidy(pick), "digest binary, text string")
     dealt = keyed.join(texts, "digest").select("host", "lot", "side", "uid", "text").repartition("host", "lot").sortWithinPartitions("host", "lot", "side")
-    return dealt.mapInArrow(link, "a long, b long").distinct(), shared
+    return dealt.mapInArrow(tidy(link), "a long, b long").distinct(), shared
 
 
 def _one_each(pairs: DataFrame) -> DataFrame:
