@@ -334,3 +334,19 @@ def test_matching_of_many_siblings():
 def test_edges_of_an_article():
     assert html_text._edges([True, False, True, False, True]) == [True, False, False, False, True]
     assert html_text._edges([True, True]) == [False, False] and html_text._edges([]) == []
+
+
+def test_facts_of_many_pages_at_once(monkeypatch):
+    """Each page has the facts it has alone; white space that is single already costs no substitution."""
+    from tidewater.llm.jaccard_join import Shingler
+
+    pages = ["", "<p>One two three four five</p><p>x</p>", "<article><h1>Äb c</h1><p>One\u00a0two three four five six<p>\u00a0</article>", "<p>One two three four five six seven"] * 3
+    shingler = Shingler(1)
+    made = html_text.facts_of(pages, shingler)
+    assert made == [html_text.facts_of([p], shingler)[0] for p in pages]
+    assert [len(keys) for *_, keys in made] == [html_text.SKETCH * len(paths) for paths, *_ in made]
+    assert set(made[1][3][:4]) & set(made[3][3]) and not set(made[1][3][:4]) & set(made[1][3][4:])
+    for text in (" a  b ", "a\n\tb", "a\x0bb\x0c", "a\rb ", "\u00a0 \u00a0", "a b", ""):
+        assert html_text.single_spaced(text) == re.sub(r"[ \t\n\x0b\x0c\r]+", " ", text).strip(" ")
+    monkeypatch.setattr(html_text, "_SPACE", None)
+    assert html_text.joined([("/p.", " a", False, False), ("/p.", " b c ", False, False)]) == [("/p.", "a b c", False)]

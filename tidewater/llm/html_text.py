@@ -41,7 +41,6 @@ import html
 import json
 import re
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -52,13 +51,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.llm.common import annotate, materialise, texts_of
+from tidewater.llm.jaccard_join import Shingler
 
 SHARE = 0.8  # of the pages of a layout: a text is template, a node can be the root
 NAME_SHARE = 0.1  # of the pages of a host: a class or id is no mark of a single page
 COMMON = 0.5  # of the pages of a layout: a block tells nothing of near copies
 OFTEN = 0.02  # of the pages of a layout: a group of near copies counts as one page
 MANY = 3  # groups: what fewer have in common inside their own articles is article text
-MEMO = 200_000  # words whose hashes a worker holds
 SKETCH = 4  # near-copy keys of a block
 MIX = np.random.default_rng(7).integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BROADCAST_CHARS = 16 << 20  # wrappers of all hosts together
@@ -163,11 +162,13 @@ def _runs(page: str):
     def shut(tags, barrier=()):
         nonlocal links
         for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in tags:
-                links -= sum(s[0] == "a" for s in stack[k:])
+            tag = stack[k][0]
+            if tag in tags:
+                if links:
+                    links -= sum(s[0] == "a" for s in stack[k:])
                 del stack[k:]
                 return
-            if stack[k][0] in barrier:
+            if tag in barrier:
                 return
 
     while at < end:
@@ -215,13 +216,20 @@ def _runs(page: str):
         stack.append((tag, f"{path}/{label}" if named else path, (*inside, (at, never)) if marked else inside, main))
 
 
+def single_spaced(text: str) -> str:
+    """White space made single spaces; most texts hold nothing else."""
+    if "  " in text or "\n" in text or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text:
+        text = _SPACE.sub(" ", text)
+    return text.strip(" ")
+
+
 def joined(runs) -> list[tuple[str, str, bool]]:
     """(path, text, all of it in links) of each non-empty block, white space made single."""
     out, held, path, linked = [], [], "", True
     for where, text, _, link in [*runs, (None, "", False, False)]:
         if where is None:
             if held:
-                text = _SPACE.sub(" ", "".join(held)).strip(" ")
+                text = single_spaced("".join(held))
                 if text:
                     out.append((path, text, linked))
             held, linked = [], True
@@ -446,20 +454,7 @@ def layout_of(paths: list[str], sizes: list[int]) -> str:
     return max(held, key=lambda p: (held[p], p), default="")
 
 
-class _Hashes(dict):
-    """Hashes of words, made on first use; emptied when it has grown."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > MEMO:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
-
-
-_HASHES = _Hashes()
-
-
-def block_keys(texts: list[str]) -> np.ndarray:
+def block_keys(texts: list[str], shingler: Shingler) -> np.ndarray:
     """SKETCH minima of hashed word pairs of each text: texts that are near copies share some."""
     out = np.empty((len(texts), SKETCH), np.int64)
     split = [t.split() for t in texts]
@@ -468,7 +463,7 @@ def block_keys(texts: list[str]) -> np.ndarray:
         out[i] = text_hash(texts[i])
     if long:
         ends = np.cumsum([len(split[i]) for i in long])
-        h = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(split[i] for i in long)), np.uint64, ends[-1])
+        h, _ = shingler.word_hashes([" ".join(split[i]).encode() for i in long], fold=False)
         pairs = h * np.uint64(0x9E3779B97F4A7C15) ^ (np.roll(h, -1) >> np.uint64(7))
         pairs ^= pairs >> np.uint64(31)
         starts, last = np.r_[0, ends[:-1]], ends - 1
@@ -483,11 +478,16 @@ def text_hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def facts_of(page: str) -> tuple[list[str], list[int], list[int], list[int]]:
-    """Paths, text hashes, sizes and near-copy keys of the blocks outside labelled boilerplate."""
-    found = joined(r for r in blocks(page) if not r[2])
-    texts = [t for _, t, _ in found]
-    return [p for p, *_ in found], [text_hash(t) for t in texts], [len(t) for t in texts], block_keys(texts).ravel().tolist()
+def facts_of(pages: list[str], shingler: Shingler) -> list[tuple[list[str], list[int], list[int], list[int]]]:
+    """Paths, text hashes, sizes and near-copy keys of the blocks outside labelled boilerplate, for each page."""
+    found = [joined(r for r in blocks(page) if not r[2]) for page in pages]
+    keys = block_keys([t for blocks_ in found for _, t, _ in blocks_], shingler).ravel().tolist()
+    out, at = [], 0
+    for blocks_ in found:
+        end = at + SKETCH * len(blocks_)
+        out.append(([p for p, *_ in blocks_], [text_hash(t) for _, t, _ in blocks_], [len(t) for _, t, _ in blocks_], keys[at:end]))
+        at = end
+    return out
 
 
 def varying_keys(keys, common) -> list[int]:
@@ -555,8 +555,10 @@ def _facts(pages: DataFrame, url: str, page: str) -> DataFrame:
     """Host, mark, and paths, text hashes, sizes and near-copy keys of blocks: one row per distinct page of a host."""
 
     def start():
+        shingler = Shingler(1)
+
         def run(batch):
-            made = [facts_of(text) for text in texts_of(batch, "html")]
+            made = facts_of(texts_of(batch, "html"), shingler)
             marks = [xxhash.xxh3_64_intdigest(np.sort(np.array(m[1], np.int64)).tobytes()) - (1 << 63) for m in made]
             return [marks, *([m[k] for m in made] for k in range(4))]
 
