@@ -104,6 +104,16 @@ def test_exponent_is_joined_while_rows_are_narrow(spark):
     assert column(done, "hurst") == want and len(want) == 260 and sum(v is not None for v in want) == 2 * 12
 
 
+def test_weekly_table_has_the_exponent(spark):
+    """The weekly table comes with the exponent over 100 weeks, as the tables that are written have it."""
+    rows = [("A", D(7 * i + k), 10.0 + i % 7, 12.0 + i % 7, 9.0 + i % 5, 10.5 + (i * 7 + k) % 11 / 10, 100.0 + i) for i in range(125) for k in (0, 2)]
+    bars = spark.createDataFrame(rows, "ticker string, date date, open double, high double, low double, close double, volume double")
+    done = technical.technical_weekly(bars)
+    want = column(fractal.hurst(fractal.hurst_signal(panel.resample_ohlcv(bars, "week")), 100), "hurst")
+    assert column(done, "hurst") == want and sum(v is not None for v in want) == 7 and {"rsi14", "adrank"} <= set(done.columns)
+    assert technical.technical_weekly(bars, None).columns == [c for c in done.columns if c != "hurst"]
+
+
 def test_blends_take_unnarrowed_ranks_by_date(spark):
     """0.45 * 1.56 + 0.1 * 33.33 is 4.035: which way it rounds must not hang on 33.33 as a float."""
     df = spark.createDataFrame([(k, D(0), float(k), float(k), float(k)) for k in range(1, 5)], "ticker int, date date, __rs double, volumeroc double, ad double")
