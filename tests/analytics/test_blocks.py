@@ -203,3 +203,33 @@ def test_last_rows_by_dates_alone(spark):
     df = spark.createDataFrame([("A", day, 1.0), ("A", day + dt.timedelta(days=1), 2.0), ("A", None, 3.0), (None, day, 4.0), ("B", None, 5.0)], "ticker string, date date, x double")
     got, want = (sorted(map(str, f.collect())) for f in (tables._newest(df), tables.latest_per_key(df, "date")))
     assert got == want and len(got) == 3
+
+
+def test_series_are_dealt_once_and_percentiles_beside_them(spark):
+    """The wide pass gets bars and percentiles in one deal without a join; what it does not read is not dealt, and bars that are files are not written again."""
+    from pathlib import Path
+
+    rows = [(t, dt.date(2020, 1, 1) + dt.timedelta(days=i), 5.0, 6.0, 4.0, 5.0 + i, 10.0) for t in ("A", None) for i in range(3)]
+    bars = spark.createDataFrame(rows, "ticker string, date date, open double, high double, low double, close double, volume double")
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    had = {p.name for p in root.iterdir()} if root.exists() else set()
+    df = technical.technical_daily(bars, 100, written=True)
+    assert sorted(p.name.partition("-")[0] for p in root.iterdir() if p.name not in had) == ["long"]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("RepartitionByExpression") == 2 and "volumeusd" not in plan[plan.rindex("RepartitionByExpression") :]
+    got = {(r["ticker"], r["date"].day): r["close"] for r in df.collect()}
+    assert got == {(r[0], r[1].day): r[5] for r in rows}
+
+
+def test_rows_beside_the_rows_they_belong_to(spark):
+    """Columns made across keys come back to every row, over long and short keys, null keys and empty strings, with rows that have none."""
+    rows = [(k, i, float(i % 7)) for k, n in (("A", 9000), ("B", 30), (None, 5), ("", 4)) for i in range(n)]
+    df = spark.createDataFrame(rows, "ticker string, at long, x double")
+    across = ([("x", "mean", 2, "m")], ("m",), lambda r: r.where("at % 3 != 1").select("__key", "__block", "at", (F.col("m") * 10).alias("tenfold")))
+    got = blocks.run_steps(df, [("x", "mean", 2, "m"), ("x", 0.5, 1, "w")], "ticker", "at", across=across).toPandas()
+    assert len(got) == len(rows) and got["ticker"].isna().sum() == 5 and (got["ticker"] == "").sum() == 4
+    shown = got["at"] % 3 != 1
+    assert got.loc[~shown, "tenfold"].isna().all()
+    np.testing.assert_allclose(got.loc[shown, "tenfold"].to_numpy(float), got.loc[shown, "m"].to_numpy(float) * 10)
+    last = got[got["ticker"] == "A"].sort_values("at")["w"].iloc[-1]
+    assert last == pytest.approx(sum((8999 - k) % 7 * 0.5 ** (k + 1) for k in range(60)), rel=1e-12)
