@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
@@ -233,3 +234,14 @@ def test_rows_beside_the_rows_they_belong_to(spark):
     np.testing.assert_allclose(got.loc[shown, "tenfold"].to_numpy(float), got.loc[shown, "m"].to_numpy(float) * 10)
     last = got[got["ticker"] == "A"].sort_values("at")["w"].iloc[-1]
     assert last == pytest.approx(sum((8999 - k) % 7 * 0.5 ** (k + 1) for k in range(60)), rel=1e-12)
+
+
+def test_state_is_made_of_the_columns_it_needs(spark):
+    """What weighted means leave is made without dealing columns that none of them reads."""
+    df = spark.range(40).selectExpr("'A' ticker", "id at", "cast(id as double) x", "id * 3.0 y", "uuid() z")
+    plan = blocks.Plan([("x", 0.5, 1, "w"), of_row(F.col("w") * 2, "twice", "w"), ("twice", 0.2, 1, "v"), ("y", "mean", 3, "m")])
+    dealt = plan.left(blocks.lay(df, plan.reach, "ticker", "at"), None)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in dealt.splitlines() if "Relation [" in line]
+    assert scans and "MapInArrow" in dealt
+    for part in dealt.split("RepartitionByExpression")[1:]:
+        assert not re.search(r"\b[yz]#", part.partition("Relation [")[0])
